@@ -173,7 +173,146 @@ FROM region"""
     return o
 
 
+AREA_LEVEL_SQL = ("CASE area WHEN 'AFRICA' THEN 'A level' WHEN 'AMERICA' THEN 'A level' "
+                  "WHEN 'ASIA' THEN 'B level' WHEN 'EUROPE' THEN 'C level' ELSE 'D level' END")
+PRODUCT_STATUS_SQL = ("CASE WHEN json_extract_string(extend_info, '$.product_status') = '0' "
+                      "THEN 'self' ELSE 'Third Party' END")
+
+
+def _product_oracles() -> dict[str, str]:
+    o = {}
+    clicks = ("SELECT city_id, click_product_id AS product_id FROM visits "
+              "WHERE click_product_id IS NOT NULL AND date BETWEEN '2024-01-01' AND '2024-01-31'")
+    basic = (f"SELECT c.city_id, ci.city_name, ci.area, c.product_id FROM ({clicks}) c "
+             f"JOIN cities ci ON c.city_id = ci.city_id")
+    area_clicks = f"""
+SELECT area, product_id, count(*) AS click_count,
+       array_to_string(list_sort(list_distinct(list(CAST(city_id AS VARCHAR) || ':' || city_name))), ',')
+         AS city_infos
+FROM ({basic}) b GROUP BY area, product_id"""
+    full = f"""
+SELECT a.product_id, a.area, a.click_count, a.city_infos, p.product_name, {PRODUCT_STATUS_SQL} AS product_status
+FROM ({area_clicks}) a JOIN products p ON a.product_id = p.product_id"""
+    o["click_actions"] = clicks
+    o["click_product_basic"] = basic
+    o["area_product_clicks"] = area_clicks
+    o["area_product_full"] = full
+    o["area_top3_product"] = f"""
+SELECT area, {AREA_LEVEL_SQL} AS area_level, product_id, city_infos, click_count, product_name, product_status
+FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) AS rn
+      FROM ({full}) f) r
+WHERE rn <= 3"""
+    o["area_level_map"] = f"SELECT city_id, area, {AREA_LEVEL_SQL} AS area_level FROM cities"
+    o["product_status"] = f"SELECT product_id, {PRODUCT_STATUS_SQL} AS product_status FROM products"
+    o["group_concat_distinct"] = (f"SELECT area, array_to_string(list_sort(list_distinct(list(city_name))), ',') "
+                                  f"AS city_names FROM ({basic}) b GROUP BY area")
+    return o
+
+
+DETAIL_COLS_SQL = ("user_id, session_id, page_id, action_time, search_keyword, click_category_id, "
+                   "click_product_id, order_category_ids, order_product_ids, pay_category_ids, pay_product_ids")
+
+
+def _detail_src() -> str:
+    sess = _sessions_filtered("2024-01-01", "2024-01-31", "age BETWEEN 10 AND 50 AND sex = 'male'")
+    return (f"(SELECT * FROM visits WHERE date BETWEEN '2024-01-01' AND '2024-01-31' "
+            f"AND session_id IN (SELECT session_id FROM ({sess}) d))")
+
+
+def _unnest_ids(col: str, src: str, kind: int) -> str:
+    return (f"SELECT CAST(x AS BIGINT) AS category_id, {kind} AS kind FROM "
+            f"(SELECT unnest(string_split({col}, ',')) AS x FROM {src} WHERE {col} IS NOT NULL) u WHERE x <> ''")
+
+
+def _category_oracles() -> dict[str, str]:
+    o = {}
+    d = _detail_src()
+    ev = (f"SELECT click_category_id AS category_id, 0 AS kind FROM {d} d0 WHERE click_category_id IS NOT NULL "
+          f"UNION ALL {_unnest_ids('order_category_ids', d, 1)} "
+          f"UNION ALL {_unnest_ids('pay_category_ids', d, 2)}")
+    counts = (f"SELECT category_id, count(*) FILTER (WHERE kind = 0) AS click_count, "
+              f"count(*) FILTER (WHERE kind = 1) AS order_count, count(*) FILTER (WHERE kind = 2) AS pay_count "
+              f"FROM ({ev}) e GROUP BY category_id")
+    top10 = f"SELECT * FROM ({counts}) c ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10"
+    scc = (f"SELECT session_id, click_category_id AS category_id, count(*) AS click_count FROM {d} d1 "
+           f"WHERE click_category_id IS NOT NULL GROUP BY session_id, click_category_id")
+    top_sess = f"""
+SELECT category_id, session_id, click_count FROM (
+  SELECT s.*, row_number() OVER (PARTITION BY s.category_id ORDER BY s.click_count DESC, s.session_id) AS rn
+  FROM ({scc}) s WHERE s.category_id IN (SELECT category_id FROM ({top10}) t)) r
+WHERE rn <= 10"""
+    o["explode_category_ids"] = f"""
+SELECT action_id, session_id, CAST(x AS BIGINT) AS category_id FROM
+  (SELECT action_id, session_id, unnest(string_split(order_category_ids, ',')) AS x
+   FROM visits WHERE order_category_ids IS NOT NULL) u WHERE x <> ''"""
+    o["visited_categories"] = f"SELECT DISTINCT category_id FROM ({ev}) e"
+    o["category_counts"] = counts
+    o["category_counts_join"] = counts
+    o["top10_category"] = top10
+    o["session_category_clicks"] = scc
+    o["top10_session"] = top_sess
+    o["top10_session_detail"] = (f"SELECT {DETAIL_COLS_SQL} FROM {d} d2 "
+                                 f"WHERE session_id IN (SELECT session_id FROM ({top_sess}) t)")
+    return o
+
+
+def _funnel_oracles() -> dict[str, str]:
+    o = {}
+    acts = "(SELECT * FROM visits WHERE date BETWEEN '2024-01-01' AND '2024-01-31')"
+    pairs = (f"SELECT session_id, lag(page_id) OVER (PARTITION BY session_id ORDER BY action_time, action_id) "
+             f"AS prev_page, page_id FROM {acts} a")
+    flow = ("SELECT * FROM (VALUES (1, '1_2', 1, 2), (2, '2_3', 2, 3), (3, '3_4', 3, 4), (4, '4_5', 4, 5)) "
+            "f(position, page_split, from_page, to_page)")
+    split_pv = f"""
+SELECT f.position, f.page_split, coalesce(c.pv, 0) AS pv
+FROM ({flow}) f LEFT JOIN (
+  SELECT f2.position, count(*) AS pv FROM ({pairs}) p JOIN ({flow}) f2
+    ON p.prev_page = f2.from_page AND p.page_id = f2.to_page GROUP BY f2.position) c
+  ON f.position = c.position"""
+    start = f"SELECT count(*) FILTER (WHERE page_id = 1) AS start_page_pv FROM {acts} a"
+    rates = f"""
+SELECT position, page_split, pv, {ratio_sql('pv', 'prev')} AS convert_rate FROM (
+  SELECT *, lag(pv) OVER (ORDER BY position) AS prev FROM (
+    SELECT 0 AS position, NULL AS page_split, start_page_pv AS pv FROM ({start}) s
+    UNION ALL SELECT position, page_split, pv FROM ({split_pv}) sp) u) r
+WHERE position >= 1"""
+    o["page_split_pv"] = split_pv
+    o["start_page_pv"] = start
+    o["page_convert_rate"] = rates
+    o["page_convert_string"] = (f"SELECT string_agg(concat_ws('=', page_split, CAST(convert_rate AS VARCHAR)), '|' "
+                                f"ORDER BY position) AS convert_rate FROM ({rates}) r")
+    return o
+
+
+def _sampling_oracles(n: int = 900, seed: int = 42) -> dict[str, str]:
+    o = {}
+    sess = _sessions_filtered("2024-01-01", "2024-01-31", "age BETWEEN 10 AND 50")
+    hours = f"""
+SELECT date, hour, hour_count, CAST(sum(hour_count) OVER (PARTITION BY date) AS BIGINT) AS day_count FROM (
+  SELECT substr(start_time, 1, 10) AS date, substr(start_time, 12, 2) AS hour, count(*) AS hour_count
+  FROM ({sess}) s GROUP BY 1, 2) h"""
+    quotas = f"""
+SELECT date, hour, least(hour_count, hour_count * ({n} // (SELECT count(DISTINCT date) FROM ({hours}) h2)) // day_count)
+  AS quota FROM ({hours}) h"""
+    extract = f"""
+SELECT session_id, start_time, search_keywords, click_category_ids FROM (
+  SELECT s.*, row_number() OVER (PARTITION BY substr(start_time, 1, 10), substr(start_time, 12, 2)
+                                 ORDER BY md5('{seed}' || session_id), session_id) AS rn
+  FROM ({sess}) s) r
+JOIN ({quotas}) q ON substr(r.start_time, 1, 10) = q.date AND substr(r.start_time, 12, 2) = q.hour
+WHERE rn <= quota"""
+    o["sessions_per_hour"] = hours
+    o["session_random_extract"] = extract
+    o["extracted_session_detail"] = (f"SELECT {DETAIL_COLS_SQL} FROM visits WHERE date BETWEEN '2024-01-01' AND "
+                                     f"'2024-01-31' AND session_id IN (SELECT session_id FROM ({extract}) e)")
+    return o
+
+
 def build_oracle() -> dict[str, str]:
     raw = {}
     raw.update(_session_oracles())
+    raw.update(_product_oracles())
+    raw.update(_category_oracles())
+    raw.update(_funnel_oracles())
+    raw.update(_sampling_oracles())
     return {k: with_fixtures(v) for k, v in raw.items()}
