@@ -17,6 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from visitlab.functions import dates as DT  # noqa: E402
+from visitlab.functions import strings as ST  # noqa: E402
+from visitlab.operators import broadcast as BC  # noqa: E402
+from visitlab.operators import merge as MG  # noqa: E402
+from visitlab.operators import skew as SK  # noqa: E402
+from visitlab.plans import ads as AD  # noqa: E402
 from visitlab.plans import categories as C  # noqa: E402
 from visitlab.plans import funnel as FN  # noqa: E402
 from visitlab.plans import products as PR  # noqa: E402
@@ -40,6 +48,9 @@ P_AREA = TaskParams(start_date="2024-01-01", end_date="2024-01-31")
 P_FLOW = TaskParams(start_date="2024-01-01", end_date="2024-01-31", target_page_flow="1,2,3,4,5")
 SAMPLE_N = 900
 SAMPLE_SEED = 42
+# The reference blocks at 100 clicks per (day, user, ad); the test data peaks at
+# 4, so the registered queries use 3 to produce a non-empty blacklist.
+AD_THRESHOLD = 3
 
 
 def _t(spark: SparkSession, sf_dir: str) -> Tables:
@@ -234,6 +245,170 @@ def q_extracted_session_detail(spark, sf):
     return SM.extracted_session_detail(S.actions_in_range(t.visits(), P_STAT), ext, SAMPLE_N)
 
 
+# ---------------------------------------------------------------- expressions
+
+def q_date_exprs(spark, sf):
+    v = _t(spark, sf).visits()
+    ts = DT.parse_time("action_time")
+    return v.select(
+        "action_id", "action_time",
+        DT.date_hour("action_time").alias("date_hour"),
+        DT.format_date(ts).alias("date_fmt"),
+        DT.format_date_key(ts).alias("date_key"),
+        DT.format_time_minute(ts).alias("minute_key"),
+        F.date_format(DT.parse_date_key(DT.format_date_key(ts)), "yyyy-MM-dd").alias("parsed_date"),
+        DT.before("action_time", F.lit("2024-01-15 00:00:00")).alias("is_before"),
+        DT.after("action_time", F.lit("2024-01-15 00:00:00")).alias("is_after"),
+        DT.minus_seconds("action_time", F.concat(F.col("date"), F.lit(" 00:00:00"))).alias("secs_into_day"),
+        DT.minus_seconds("search_keyword", "action_time").alias("bad_minus"),
+        F.date_format(F.date_sub(F.to_date("date"), 1), "yyyy-MM-dd").alias("prev_date"),
+    )
+
+
+def q_string_exprs(spark, sf):
+    s = S.session_agg(_t(spark, sf).visits())
+    rec = F.concat_ws("|",
+                      F.concat(F.lit("sessionid="), "session_id"),
+                      F.concat(F.lit("searchKeywords="), "search_keywords"),
+                      F.concat(F.lit("clickCategoryIds="), "click_category_ids"),
+                      F.concat(F.lit("visitLength="), F.col("visit_length").cast("string")),
+                      F.concat(F.lit("stepLength="), F.col("step_length").cast("string")))
+    salted = ST.add_prefix("session_id", F.pmod(F.col("step_length"), F.lit(10)))
+    return s.select(
+        "session_id",
+        rec.alias("record"),
+        ST.get_field(rec, "clickCategoryIds").alias("category_field"),
+        ST.get_field(rec, "searchKeywords").alias("keyword_field"),
+        ST.set_field(rec, "visitLength", F.col("visit_length") * 2).alias("record_updated"),
+        ST.trim_comma(F.concat(F.lit(","), F.col("click_category_ids"), F.lit(","))).alias("trimmed"),
+        ST.is_empty("search_keywords").alias("no_keywords"),
+        salted.alias("salted_id"),
+        ST.remove_prefix(salted).alias("unsalted_id"),
+        ST.concat_sep("user_id", "session_id", ":").alias("user_session"),
+    )
+
+
+# ---------------------------------------------------------------- skew operators
+
+def _sessions_users(spark, sf):
+    t = _t(spark, sf)
+    return S.session_agg(t.visits()), t.users()
+
+
+def q_join_broadcast(spark, sf):
+    sess, users = _sessions_users(spark, sf)
+    return S.session_full_info(sess, BC.bounded_broadcast(users, max_rows=1_000_000))
+
+
+def q_join_salted(spark, sf):
+    t = _t(spark, sf)
+    acts = t.visits().select("action_id", "user_id", "session_id", "page_id")
+    users = t.users().select("user_id", "age", "sex")
+    return SK.salted_join(acts, users, "user_id", "inner", n=10)
+
+
+def q_heavy_keys(spark, sf):
+    return SK.heavy_keys(_t(spark, sf).visits(), "user_id", top_n=5, fraction=0.1, seed=9,
+                         id_col="action_id")
+
+
+def q_join_skew_isolate(spark, sf):
+    t = _t(spark, sf)
+    acts = t.visits().select("action_id", "user_id", "session_id", "page_id")
+    users = t.users().select("user_id", "age", "sex")
+    heavy = SK.heavy_keys(t.visits(), "user_id", top_n=5, fraction=0.1, seed=9, id_col="action_id")
+    return SK.skew_isolate_join(acts, users, "user_id", heavy, "inner", n=20)
+
+
+def q_agg_two_stage(spark, sf):
+    clicks = PR.click_product_basic(_clicks(spark, sf), _t(spark, sf).cities())
+    return SK.two_stage_agg(clicks, ["area", "product_id"], None, n=10, out="click_count")
+
+
+# ---------------------------------------------------------------- ad clicks (J4), batch
+
+def _ad_clicks(spark, sf):
+    return AD.parse_ad_log(_t(spark, sf).ad_logs())
+
+
+def q_ad_log_parse(spark, sf):
+    return _ad_clicks(spark, sf).select(*AD.CLICK_COLUMNS)
+
+
+def q_daily_user_ad_clicks(spark, sf):
+    return AD.daily_user_ad_clicks(_ad_clicks(spark, sf))
+
+
+def q_blacklist_users(spark, sf):
+    return AD.blacklist_users(AD.daily_user_ad_clicks(_ad_clicks(spark, sf)), AD_THRESHOLD)
+
+
+def q_blacklist_filter(spark, sf):
+    c = _ad_clicks(spark, sf)
+    return AD.blacklist_filter(c, AD.blacklist_users(AD.daily_user_ad_clicks(c), AD_THRESHOLD)) \
+        .select(*AD.CLICK_COLUMNS)
+
+
+def q_ad_stat(spark, sf):
+    return AD.ad_stat(_ad_clicks(spark, sf))
+
+
+def q_province_ad_clicks(spark, sf):
+    return AD.province_ad_clicks(AD.ad_stat(_ad_clicks(spark, sf)))
+
+
+def q_ad_province_top3(spark, sf):
+    return AD.ad_province_top3(AD.ad_stat(_ad_clicks(spark, sf)))
+
+
+def q_ad_click_trend(spark, sf):
+    return AD.ad_click_trend(_ad_clicks(spark, sf))
+
+
+# ---------------------------------------------------------------- merges (sinks)
+
+def _days(df, lo, hi):
+    return df.filter(F.col("date").between(lo, hi))
+
+
+def q_merge_replace(spark, sf):
+    c = _ad_clicks(spark, sf)
+    old = AD.ad_stat(_days(c, "2024-01-01", "2024-01-20"))
+    new = AD.ad_stat(_days(c, "2024-01-11", "2024-01-30"))
+    return MG.merge_replace(old, new, ["date", "province", "city", "ad_id"])
+
+
+def q_merge_add(spark, sf):
+    c = _ad_clicks(spark, sf)
+    old = AD.daily_user_ad_clicks(_days(c, "2024-01-01", "2024-01-15"))
+    delta = AD.daily_user_ad_clicks(_days(c, "2024-01-10", "2024-01-30"))
+    return MG.merge_add(old, delta, ["date", "user_id", "ad_id"], "click_count")
+
+
+def q_replace_group(spark, sf):
+    c = _ad_clicks(spark, sf)
+    old = AD.ad_province_top3(AD.ad_stat(_days(c, "2024-01-01", "2024-01-20")))
+    new = AD.ad_province_top3(AD.ad_stat(_days(c, "2024-01-15", "2024-01-30")))
+    return MG.replace_group(old, new, ["date", "province"])
+
+
+def q_lookup_total(spark, sf):
+    c = _ad_clicks(spark, sf)
+    totals = AD.daily_user_ad_clicks(_days(c, "2024-01-01", "2024-01-20"))
+    batch = AD.daily_user_ad_clicks(_days(c, "2024-01-16", "2024-01-25")) \
+        .withColumnRenamed("click_count", "batch_count")
+    return MG.lookup_total(batch, totals, ["date", "user_id", "ad_id"], "click_count", "prior_total")
+
+
+def q_sink_append(spark, sf):
+    from visitlab.session import scratch_path
+    c = _ad_clicks(spark, sf)
+    path = scratch_path(spark, "sink_append")
+    MG.append(AD.daily_user_ad_clicks(_days(c, "2024-01-01", "2024-01-15")), path)
+    MG.append(AD.daily_user_ad_clicks(_days(c, "2024-01-16", "2024-01-31")), path)
+    return spark.read.parquet(path)
+
+
 # ---------------------------------------------------------------- contract
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -271,6 +446,26 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sessions_per_hour": q_sessions_per_hour,
     "session_random_extract": q_session_random_extract,
     "extracted_session_detail": q_extracted_session_detail,
+    "date_exprs": q_date_exprs,
+    "string_exprs": q_string_exprs,
+    "join_broadcast": q_join_broadcast,
+    "join_salted": q_join_salted,
+    "heavy_keys": q_heavy_keys,
+    "join_skew_isolate": q_join_skew_isolate,
+    "agg_two_stage": q_agg_two_stage,
+    "ad_log_parse": q_ad_log_parse,
+    "daily_user_ad_clicks": q_daily_user_ad_clicks,
+    "blacklist_users": q_blacklist_users,
+    "blacklist_filter": q_blacklist_filter,
+    "ad_stat": q_ad_stat,
+    "province_ad_clicks": q_province_ad_clicks,
+    "ad_province_top3": q_ad_province_top3,
+    "ad_click_trend": q_ad_click_trend,
+    "merge_replace": q_merge_replace,
+    "merge_add": q_merge_add,
+    "replace_group": q_replace_group,
+    "lookup_total": q_lookup_total,
+    "sink_append": q_sink_append,
 }
 
 

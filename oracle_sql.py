@@ -59,7 +59,7 @@ cities AS (
   SELECT CAST(n_nationkey AS BIGINT) AS city_id, n_name AS city_name, r_name AS area
   FROM nation JOIN region ON n_regionkey = r_regionkey),
 ad_clicks AS (
-  SELECT epoch_ms(ts) AS ts_ms, strftime(ts, '%Y-%m-%d') AS date,
+  SELECT epoch_us(ts) // 1000 AS ts_ms, strftime(ts, '%Y-%m-%d') AS date,
          'P' || CAST(n_regionkey AS VARCHAR) AS province, n_name AS city,
          user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS ad_id
   FROM events JOIN nation ON n_nationkey = user_id % 25)
@@ -308,6 +308,121 @@ WHERE rn <= quota"""
     return o
 
 
+def _expr_oracles() -> dict[str, str]:
+    o = {}
+    o["date_exprs"] = """
+SELECT action_id, action_time,
+       substr(action_time, 1, 10) || '_' || substr(action_time, 12, 2) AS date_hour,
+       strftime(CAST(action_time AS TIMESTAMP), '%Y-%m-%d') AS date_fmt,
+       strftime(CAST(action_time AS TIMESTAMP), '%Y%m%d') AS date_key,
+       strftime(CAST(action_time AS TIMESTAMP), '%Y%m%d%H%M') AS minute_key,
+       strftime(CAST(strptime(strftime(CAST(action_time AS TIMESTAMP), '%Y%m%d'), '%Y%m%d') AS DATE), '%Y-%m-%d')
+         AS parsed_date,
+       CAST(action_time AS TIMESTAMP) < TIMESTAMP '2024-01-15 00:00:00' AS is_before,
+       CAST(action_time AS TIMESTAMP) > TIMESTAMP '2024-01-15 00:00:00' AS is_after,
+       date_diff('second', CAST(date AS TIMESTAMP), CAST(action_time AS TIMESTAMP)) AS secs_into_day,
+       CAST(0 AS BIGINT) AS bad_minus,
+       strftime(CAST(date AS DATE) - 1, '%Y-%m-%d') AS prev_date
+FROM visits"""
+    rec = ("'sessionid=' || session_id || '|searchKeywords=' || search_keywords || '|clickCategoryIds=' || "
+           "click_category_ids || '|visitLength=' || CAST(visit_length AS VARCHAR) || '|stepLength=' || "
+           "CAST(step_length AS VARCHAR)")
+    o["string_exprs"] = f"""
+SELECT session_id, record,
+       nullif(regexp_extract(record, '(?:^|\\|)clickCategoryIds=([^=|]*)(?:\\||$)', 1), '') AS category_field,
+       nullif(regexp_extract(record, '(?:^|\\|)searchKeywords=([^=|]*)(?:\\||$)', 1), '') AS keyword_field,
+       array_to_string(list_transform(string_split(record, '|'),
+           lambda x: CASE WHEN split_part(x, '=', 1) = 'visitLength'
+                     THEN 'visitLength=' || CAST(visit_length * 2 AS VARCHAR) ELSE x END), '|') AS record_updated,
+       regexp_replace(',' || click_category_ids || ',', '^,|,$', '', 'g') AS trimmed,
+       (search_keywords IS NULL OR search_keywords = '') AS no_keywords,
+       CAST(step_length % 10 AS VARCHAR) || '_' || session_id AS salted_id,
+       session_id AS unsalted_id,
+       CAST(user_id AS VARCHAR) || ':' || session_id AS user_session
+FROM (SELECT *, {rec} AS record FROM ({session_agg_sql()}) s) r"""
+    return o
+
+
+def _skew_oracles() -> dict[str, str]:
+    o = {}
+    plain = ("SELECT v.action_id, v.user_id, v.session_id, v.page_id, u.age, u.sex "
+             "FROM visits v JOIN users u ON v.user_id = u.user_id")
+    o["join_broadcast"] = full_info_sql()
+    o["join_salted"] = plain
+    o["join_skew_isolate"] = plain
+    o["heavy_keys"] = """
+SELECT user_id, count(*) AS sample_count FROM visits
+WHERE substr(md5('9-' || CAST(action_id AS VARCHAR)), 1, 8) < '19999999'
+GROUP BY user_id ORDER BY sample_count DESC, user_id LIMIT 5"""
+    o["agg_two_stage"] = """
+SELECT ci.area, v.click_product_id AS product_id, count(*) AS click_count
+FROM visits v JOIN cities ci ON v.city_id = ci.city_id
+WHERE v.click_product_id IS NOT NULL AND v.date BETWEEN '2024-01-01' AND '2024-01-31'
+GROUP BY ci.area, v.click_product_id"""
+    return o
+
+
+def _ad_stat_sql(lo: str, hi: str) -> str:
+    return (f"SELECT date, province, city, ad_id, count(*) AS click_count FROM ad_clicks "
+            f"WHERE date BETWEEN '{lo}' AND '{hi}' GROUP BY date, province, city, ad_id")
+
+
+def _daily_sql(lo: str = "2000-01-01", hi: str = "2999-12-31") -> str:
+    return (f"SELECT date, user_id, ad_id, count(*) AS click_count FROM ad_clicks "
+            f"WHERE date BETWEEN '{lo}' AND '{hi}' GROUP BY date, user_id, ad_id")
+
+
+def _top3_sql(stat: str) -> str:
+    return f"""
+SELECT date, province, ad_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, ad_id) AS rn FROM (
+    SELECT date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count FROM ({stat}) s
+    GROUP BY date, province, ad_id) p) r
+WHERE rn <= 3"""
+
+
+def _ad_oracles(threshold: int = 3) -> dict[str, str]:
+    o = {}
+    all_stat = _ad_stat_sql("2000-01-01", "2999-12-31")
+    bl = f"SELECT DISTINCT user_id FROM ({_daily_sql()}) d WHERE click_count >= {threshold}"
+    o["ad_log_parse"] = "SELECT ts_ms, date, province, city, user_id, ad_id FROM ad_clicks"
+    o["daily_user_ad_clicks"] = _daily_sql()
+    o["blacklist_users"] = bl
+    o["blacklist_filter"] = (f"SELECT ts_ms, date, province, city, user_id, ad_id FROM ad_clicks "
+                             f"WHERE user_id NOT IN ({bl})")
+    o["ad_stat"] = all_stat
+    o["province_ad_clicks"] = (f"SELECT date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count "
+                               f"FROM ({all_stat}) s GROUP BY date, province, ad_id")
+    o["ad_province_top3"] = _top3_sql(all_stat)
+    o["ad_click_trend"] = """
+SELECT strftime(m, '%Y-%m-%d') AS date, strftime(m, '%H') AS hour, strftime(m, '%M') AS minute, ad_id, click_count
+FROM (SELECT date_trunc('minute', make_timestamp(ts_ms * 1000)) AS m, ad_id, count(*) AS click_count
+      FROM ad_clicks GROUP BY 1, 2) t"""
+    old, new = _ad_stat_sql("2024-01-01", "2024-01-20"), _ad_stat_sql("2024-01-11", "2024-01-30")
+    o["merge_replace"] = f"""
+SELECT * FROM ({old}) o WHERE NOT EXISTS (
+  SELECT 1 FROM ({new}) n WHERE n.date = o.date AND n.province = o.province AND n.city = o.city AND n.ad_id = o.ad_id)
+UNION ALL SELECT * FROM ({new}) n2"""
+    o["merge_add"] = f"""
+SELECT date, user_id, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count FROM (
+  SELECT * FROM ({_daily_sql('2024-01-01', '2024-01-15')}) a UNION ALL
+  SELECT * FROM ({_daily_sql('2024-01-10', '2024-01-30')}) b) u
+GROUP BY date, user_id, ad_id"""
+    t_old = _top3_sql(_ad_stat_sql("2024-01-01", "2024-01-20"))
+    t_new = _top3_sql(_ad_stat_sql("2024-01-15", "2024-01-30"))
+    o["replace_group"] = f"""
+SELECT * FROM ({t_old}) o WHERE NOT EXISTS (
+  SELECT 1 FROM ({t_new}) n WHERE n.date = o.date AND n.province = o.province)
+UNION ALL SELECT * FROM ({t_new}) n2"""
+    o["lookup_total"] = f"""
+SELECT b.date, b.user_id, b.ad_id, b.click_count AS batch_count, coalesce(t.click_count, 0) AS prior_total
+FROM ({_daily_sql('2024-01-16', '2024-01-25')}) b
+LEFT JOIN ({_daily_sql('2024-01-01', '2024-01-20')}) t
+  ON b.date = t.date AND b.user_id = t.user_id AND b.ad_id = t.ad_id"""
+    o["sink_append"] = _daily_sql("2024-01-01", "2024-01-31")
+    return o
+
+
 def build_oracle() -> dict[str, str]:
     raw = {}
     raw.update(_session_oracles())
@@ -315,4 +430,7 @@ def build_oracle() -> dict[str, str]:
     raw.update(_category_oracles())
     raw.update(_funnel_oracles())
     raw.update(_sampling_oracles())
+    raw.update(_expr_oracles())
+    raw.update(_skew_oracles())
+    raw.update(_ad_oracles())
     return {k: with_fixtures(v) for k, v in raw.items()}
