@@ -31,6 +31,7 @@ from visitlab.plans import products as PR  # noqa: E402
 from visitlab.plans import sampling as SM  # noqa: E402
 from visitlab.plans import sessions as S  # noqa: E402
 from visitlab.sources.params import TaskParams, parse_task_params  # noqa: E402
+from visitlab.streaming import ad_streams as AS  # noqa: E402
 from visitlab.sources.tables import Tables  # noqa: E402
 
 import oracle_sql as O  # noqa: E402
@@ -409,6 +410,72 @@ def q_sink_append(spark, sf):
     return spark.read.parquet(path)
 
 
+# ---------------------------------------------------------------- ad clicks (J4), streaming
+# The stream input is the ad log laid out as one text file per day and read one
+# file per trigger; each run writes to fresh folders under the checkpoint root.
+# Runs are shared by the keys that read different outputs of the same job.
+
+_RUNS: dict = {}
+
+
+def _replay_glob(spark, sf):
+    key = ("files", sf)
+    if key not in _RUNS:
+        out, _ = AS.new_run_dirs(spark, "ad_log_days")
+        _RUNS[key] = AS.write_day_files(spark, _t(spark, sf).ad_logs(), out)
+    return _RUNS[key]
+
+
+def _blacklist_run(spark, sf):
+    key = ("blacklist", sf, AD_THRESHOLD)
+    if key not in _RUNS:
+        out, ck = AS.new_run_dirs(spark, "blacklist")
+        lines = AS.text_stream(spark, _replay_glob(spark, sf), max_files_per_trigger=1)
+        _RUNS[key] = AS.run_blacklist_stream(lines, out, ck, AD_THRESHOLD)
+    return _RUNS[key]
+
+
+def _ad_stat_run(spark, sf):
+    key = ("ad_stat", sf, AD_THRESHOLD)
+    if key not in _RUNS:
+        out, ck = AS.new_run_dirs(spark, "ad_stat")
+        _RUNS[key] = AS.run_ad_stat_stream(AS.kept_stream(spark, _blacklist_run(spark, sf)), out, ck)
+    return _RUNS[key]
+
+
+def q_stream_parse(spark, sf):
+    out, ck = AS.new_run_dirs(spark, "parsed")
+    lines = AS.text_stream(spark, _replay_glob(spark, sf), max_files_per_trigger=10)
+    AS.run_parse_stream(lines, out, ck)
+    return spark.read.schema(AS.CLICK_SCHEMA).parquet(out)
+
+
+def q_stream_blacklist(spark, sf):
+    """Per user: clicks kept by the dynamic blacklist, and whether the user ended blacklisted."""
+    paths = _blacklist_run(spark, sf)
+    kept = AS.kept_table(spark, paths).groupBy("user_id").agg(F.count(F.lit(1)).alias("kept_clicks"))
+    bl = AS.blacklist_table(spark, paths).withColumn("blacklisted", F.lit(True))
+    return (kept.join(bl, "user_id", "left")
+            .select("user_id", "kept_clicks", F.coalesce("blacklisted", F.lit(False)).alias("blacklisted")))
+
+
+def q_stream_ad_stat(spark, sf):
+    paths = _ad_stat_run(spark, sf)
+    return spark.read.parquet(paths.stat).select("date", "province", "city", "ad_id", "click_count")
+
+
+def q_stream_province_top3(spark, sf):
+    paths = _ad_stat_run(spark, sf)
+    return spark.read.parquet(paths.top3).select("date", "province", "ad_id", "click_count")
+
+
+def q_stream_click_trend(spark, sf):
+    out, ck = AS.new_run_dirs(spark, "click_trend")
+    lines = AS.text_stream(spark, _replay_glob(spark, sf), max_files_per_trigger=10)
+    AS.run_click_trend_stream(lines, out, ck)
+    return spark.read.parquet(out).select("date", "hour", "minute", "ad_id", "click_count")
+
+
 # ---------------------------------------------------------------- contract
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -466,6 +533,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replace_group": q_replace_group,
     "lookup_total": q_lookup_total,
     "sink_append": q_sink_append,
+    "stream_parse": q_stream_parse,
+    "stream_blacklist": q_stream_blacklist,
+    "stream_ad_stat": q_stream_ad_stat,
+    "stream_province_top3": q_stream_province_top3,
+    "stream_click_trend": q_stream_click_trend,
 }
 
 

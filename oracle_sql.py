@@ -420,6 +420,21 @@ FROM ({_daily_sql('2024-01-16', '2024-01-25')}) b
 LEFT JOIN ({_daily_sql('2024-01-01', '2024-01-20')}) t
   ON b.date = t.date AND b.user_id = t.user_id AND b.ad_id = t.ad_id"""
     o["sink_append"] = _daily_sql("2024-01-01", "2024-01-31")
+
+    # Streams, replayed one day per micro-batch: closed form of the dynamic blacklist.
+    block = (f"SELECT user_id, min(date) AS block_day FROM ({_daily_sql()}) d "
+             f"WHERE click_count >= {threshold} GROUP BY user_id")
+    kept = (f"SELECT c.* FROM ad_clicks c LEFT JOIN ({block}) b ON c.user_id = b.user_id "
+            f"WHERE b.block_day IS NULL OR c.date <= b.block_day")
+    o["stream_parse"] = o["ad_log_parse"]
+    o["stream_blacklist"] = f"""
+SELECT k.user_id, count(*) AS kept_clicks, bool_or(b.user_id IS NOT NULL) AS blacklisted
+FROM ({kept}) k LEFT JOIN ({block}) b ON k.user_id = b.user_id GROUP BY k.user_id"""
+    kept_stat = (f"SELECT date, province, city, ad_id, count(*) AS click_count FROM ({kept}) k "
+                 f"GROUP BY date, province, city, ad_id")
+    o["stream_ad_stat"] = kept_stat
+    o["stream_province_top3"] = _top3_sql(kept_stat)
+    o["stream_click_trend"] = o["ad_click_trend"]
     return o
 
 
