@@ -1,4 +1,22 @@
-"""Previous-row pairing inside ordered groups (``lag``)."""
+"""Previous-row pairing inside ordered groups (``lag``), safe for huge groups.
+
+A plain ``lag`` window hash-partitions by the group key, so one group with a
+third of all rows is sorted and scanned by a single task.  The skew-safe form
+never puts more than one range partition's worth of rows in a task:
+
+1. ``repartitionByRange(group + order)``: the sampled range bounds split a hot
+   group across many partitions, each holding a contiguous run of its rows.
+2. A bucket is (group, range partition).  ``lag`` inside a bucket needs only
+   that bucket's rows (bounded by the partition size).
+3. The first row of a bucket takes the last value of the previous bucket of
+   the same group.  Buckets are few (about groups + partitions), so this
+   boundary table and the ``lag`` over it are small; a hot group has at most
+   one bucket per range partition.
+
+Both steps are plain DataFrame operators; the range exchange is computed once
+and reused by the two branches of the plan, and the range bounds are fixed for
+the query, so a task re-run after an executor loss yields the same buckets.
+"""
 
 from __future__ import annotations
 
@@ -8,9 +26,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_previous(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
-                  out: str) -> DataFrame:
-    """Add ``out`` = ``value`` of the previous row of the same group under ``order``
-    (null for the first row).  ``order`` must be a total order within a group."""
+def with_previous_plain(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
+                        out: str) -> DataFrame:
+    """``lag`` over ``partitionBy(group).orderBy(order)`` (one task per group)."""
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(out, F.lag(value).over(w))
+
+
+def with_previous(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, out: str,
+                  num_ranges: int | None = None, skew_safe: bool = True) -> DataFrame:
+    """Add ``out`` = ``value`` of the previous row of the same group under ``order``
+    (null for a group's first row).  ``order`` must be a total order within a group."""
+    if not skew_safe:
+        return with_previous_plain(df, group, order, value, out)
+    group, order = list(group), list(order)
+    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = df.columns
+    ranged = (df.repartitionByRange(n, *[F.col(c) for c in group + order])
+              .withColumn("_pid", F.spark_partition_id()))
+    w = Window.partitionBy(*group, "_pid").orderBy(*order)
+    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    local = (ranged
+             .withColumn(out, F.lag(value).over(w))
+             .withColumn("_rn", F.row_number().over(w))
+             .withColumn("_last", F.last(value).over(w_all)))
+    # One row per bucket: its last value, and the last value of the bucket before it.
+    bounds = (local.filter(F.col("_rn") == 1).select(*group, "_pid", "_last")
+              .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*group).orderBy("_pid")))
+              .select(*group, "_pid", "_carry"))
+    firsts = (local.filter(F.col("_rn") == 1).drop(out)
+              .join(bounds, group + ["_pid"], "inner")
+              .withColumn(out, F.col("_carry")))
+    rest = local.filter(F.col("_rn") > 1)
+    keep = cols + [out]
+    return rest.select(*keep).unionByName(firsts.select(*keep))

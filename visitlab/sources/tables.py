@@ -178,6 +178,8 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        # Times of the data model are UTC wall-clock values.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
