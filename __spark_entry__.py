@@ -460,20 +460,18 @@ def q_stream_blacklist(spark, sf):
 
 
 def q_stream_ad_stat(spark, sf):
-    paths = _ad_stat_run(spark, sf)
-    return spark.read.parquet(paths.stat).select("date", "province", "city", "ad_id", "click_count")
+    return AS.ad_stat_table(spark, _ad_stat_run(spark, sf))
 
 
 def q_stream_province_top3(spark, sf):
-    paths = _ad_stat_run(spark, sf)
-    return spark.read.parquet(paths.top3).select("date", "province", "ad_id", "click_count")
+    return AS.province_top3_table(spark, _ad_stat_run(spark, sf))
 
 
 def q_stream_click_trend(spark, sf):
     out, ck = AS.new_run_dirs(spark, "click_trend")
     lines = AS.text_stream(spark, _replay_glob(spark, sf), max_files_per_trigger=10)
     AS.run_click_trend_stream(lines, out, ck)
-    return spark.read.parquet(out).select("date", "hour", "minute", "ad_id", "click_count")
+    return AS.trend_table(spark, out)
 
 
 # ---------------------------------------------------------------- contract

@@ -200,6 +200,16 @@ def run_ad_stat_stream(clicks: DataFrame, root: str, checkpoint: str,
     return paths
 
 
+def ad_stat_table(spark: SparkSession, paths: AdStatPaths) -> DataFrame:
+    return DatePartitionedTable(spark, paths.stat, AD_STAT_SCHEMA).read() \
+        .select("date", "province", "city", "ad_id", "click_count")
+
+
+def province_top3_table(spark: SparkSession, paths: AdStatPaths) -> DataFrame:
+    return DatePartitionedTable(spark, paths.top3, TOP3_SCHEMA).read() \
+        .select("date", "province", "ad_id", "click_count")
+
+
 # ---------------------------------------------------------------- R7 click trend
 
 def trend_batch(spark: SparkSession, updated: DataFrame, path: str) -> None:
@@ -213,6 +223,11 @@ def trend_batch(spark: SparkSession, updated: DataFrame, path: str) -> None:
         rows.unpersist()
 
 
+def trend_table(spark: SparkSession, path: str) -> DataFrame:
+    return DatePartitionedTable(spark, path, TREND_SCHEMA).read() \
+        .select("date", "hour", "minute", "ad_id", "click_count")
+
+
 def run_click_trend_stream(lines: DataFrame, out_path: str, checkpoint: str, lateness: str = "1 hour",
                            trigger: dict | None = None) -> str:
     trigger = trigger or {"availableNow": True}
