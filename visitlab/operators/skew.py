@@ -70,18 +70,22 @@ def heavy_keys(df: DataFrame, key: str, top_n: int = 1, fraction: float = 0.1,
 
 def skew_isolate_join(large: DataFrame, small: DataFrame, on: str, heavy: DataFrame,
                       how: str = "inner", n: int = 100) -> DataFrame:
-    """JN11/T1: join the heavy keys through a salted join and the rest plainly, then union.
-
-    ``heavy`` is a key list of at most ``top_n`` rows (from :func:`heavy_keys`),
-    so broadcasting it is bounded by that parameter."""
-    hk = F.broadcast(heavy.select(on).distinct())
-    large_heavy = large.join(hk, on, "left_semi")
-    large_rest = large.join(hk, on, "left_anti")
-    small_heavy = small.join(hk, on, "left_semi")
-    small_rest = small.join(hk, on, "left_anti")
-    part_heavy = salted_join(large_heavy, small_heavy, on, how, n)
-    part_rest = large_rest.join(small_rest, on, how)
-    return part_heavy.unionByName(part_rest)
+    """JN11/T1: only the heavy keys are salted ``n`` ways; every other key keeps salt 0.
+
+    This is the isolate-and-union plan fused into one join: each side is read
+    once, tagged against the broadcast heavy-key list (at most ``top_n`` rows
+    from :func:`heavy_keys`, so the broadcast is bounded by that parameter),
+    and the small side's heavy keys are replicated once per salt.  Rows of a
+    heavy key spread over ``n`` tasks; the result equals the plain join."""
+    hk = F.broadcast(heavy.select(on).distinct().withColumn("_heavy", F.lit(True)))
+    big = (large.join(hk, on, "left")
+           .withColumn("_salt", F.when(F.col("_heavy"), salt_column(large, n)).otherwise(F.lit(0)))
+           .drop("_heavy"))
+    sm = (small.join(hk, on, "left")
+          .withColumn("_salt", F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(n - 1)))
+                                         .otherwise(F.array(F.lit(0)))))
+          .drop("_heavy"))
+    return big.join(sm, [on, "_salt"], how).drop("_salt")
 
 
 def two_stage_agg(df: DataFrame, keys: Sequence[str], value: str | None, n: int = 10,

@@ -93,8 +93,9 @@ def top10_session(actions: DataFrame, top_categories: DataFrame, k: int = 10) ->
 
     ``top_categories`` is a top-k result (at most 10 rows), so broadcasting it is
     bounded by construction."""
-    cats = broadcast_fixed(top_categories.select("category_id"))
-    per = session_category_clicks(actions).join(cats, "category_id", "inner")
+    cats = broadcast_fixed(top_categories.select(F.col("category_id").alias("click_category_id")))
+    # Keep only clicks of the top categories before the (session, category) shuffle.
+    per = session_category_clicks(actions.join(cats, "click_category_id", "left_semi"))
     return top_k_per_group(per, ["category_id"],
                            [F.col("click_count").desc(), F.col("session_id").asc()], k) \
         .select("category_id", "session_id", "click_count")
