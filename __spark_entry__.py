@@ -237,12 +237,12 @@ def q_sessions_per_hour(spark, sf):
 
 
 def q_session_random_extract(spark, sf):
-    return SM.session_random_extract(_stat_sessions(spark, sf), SAMPLE_N, SAMPLE_SEED)
+    return SM.session_random_extract(_stat_sessions(spark, sf), SAMPLE_N, SAMPLE_SEED, materialize=True)
 
 
 def q_extracted_session_detail(spark, sf):
     t = _t(spark, sf)
-    ext = SM.session_random_extract(_stat_sessions(spark, sf), SAMPLE_N, SAMPLE_SEED)
+    ext = SM.session_random_extract(_stat_sessions(spark, sf), SAMPLE_N, SAMPLE_SEED, materialize=True)
     return SM.extracted_session_detail(S.actions_in_range(t.visits(), P_STAT), ext, SAMPLE_N)
 
 
@@ -430,8 +430,11 @@ def _blacklist_run(spark, sf):
     key = ("blacklist", sf, AD_THRESHOLD)
     if key not in _RUNS:
         out, ck = AS.new_run_dirs(spark, "blacklist")
-        lines = AS.text_stream(spark, _replay_glob(spark, sf), max_files_per_trigger=1)
-        _RUNS[key] = AS.run_blacklist_stream(lines, out, ck, AD_THRESHOLD)
+        glob = _replay_glob(spark, sf)
+        paths = AS.run_blacklist_stream(AS.text_stream(spark, glob, max_files_per_trigger=1),
+                                        out, ck, AD_THRESHOLD)
+        _RUNS[key] = AS.run_kept_stream(AS.text_stream(spark, glob, max_files_per_trigger=10),
+                                        paths, ck + "-kept")
     return _RUNS[key]
 
 

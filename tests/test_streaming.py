@@ -27,6 +27,10 @@ def test_blacklist_stream_matches_closed_form(spark):
     root = tempfile.mkdtemp(prefix="bl-")
     glob = _day_files(spark, root)
     paths = AS.run_blacklist_stream(AS.text_stream(spark, glob, 1), f"{root}/out", f"{root}/ck", threshold=3)
+    AS.run_kept_stream(AS.text_stream(spark, glob, 2), paths, f"{root}/ck-kept")
+    totals = AS.user_ad_click_counts(spark, paths)
+    assert rows(totals.filter("user_id = 1"), ["date"]) == [("2024-01-01", 1, 1, 3), ("2024-01-02", 1, 1, 1),
+                                                             ("2024-01-03", 1, 1, 1)]
     assert rows(AS.blacklist_table(spark, paths)) == [(1,)]
     kept = AS.kept_table(spark, paths)
     assert kept.filter("user_id = 1").count() == 3  # days 1 and 2 dropped
@@ -45,13 +49,22 @@ def test_blacklist_stream_matches_closed_form(spark):
 def test_replayed_batch_is_idempotent(spark):
     root = tempfile.mkdtemp(prefix="bl2-")
     paths = AS.BlacklistPaths(f"{root}/out")
-    lines = spark.createDataFrame([(f"{T0 + i} P1 N 1 1",) for i in range(4)], "value string")
-    AS.blacklist_batch(spark, lines, 0, paths, threshold=3)
-    AS.blacklist_batch(spark, lines, 0, paths, threshold=3)  # replay of batch 0
-    assert AS.kept_table(spark, paths).count() == 4
-    counts = spark.read.parquet(paths.counts)
-    assert counts.agg(F.sum("click_count")).first()[0] == 4
-    assert rows(AS.blacklist_table(spark, paths)) == [(1,)]
+    upd = spark.createDataFrame([("2024-01-01", 1, 1, 4, T0 + 9), ("2024-01-01", 2, 1, 1, T0 + 5)],
+                                "date string, user_id long, ad_id long, click_count long, max_ts_ms long")
+    for _ in range(2):  # batch 0 and its replay
+        AS.blacklist_update_batch(spark, upd, 0, paths, threshold=3)
+    bl = AS.blacklist_with_block_time(spark, paths)
+    assert rows(bl) == [(1, T0 + 9)]
+    # a later batch where user 1 is hot again adds nothing
+    AS.blacklist_update_batch(spark, upd, 1, paths, threshold=3)
+    assert rows(AS.blacklist_with_block_time(spark, paths)) == [(1, T0 + 9)]
+    lines = spark.createDataFrame([(f"{T0 + i} P1 N {u} 1",) for i in range(8, 12) for u in (1, 2)], "value string")
+    for _ in range(2):
+        AS.kept_clicks_batch(spark, lines, 0, paths)
+    kept = AS.kept_table(spark, paths)
+    assert kept.filter("user_id = 1").count() == 2 and kept.filter("user_id = 2").count() == 4
+    assert rows(AS.user_ad_click_counts(spark, paths), ["user_id"]) == [("2024-01-01", 1, 1, 4),
+                                                                      ("2024-01-01", 2, 1, 1)]
 
 
 def test_click_trend_stream_equals_batch(spark):
@@ -61,3 +74,17 @@ def test_click_trend_stream_equals_batch(spark):
     got = AS.trend_table(spark, out)
     want = AD.ad_click_trend(AD.parse_ad_log(spark.read.text(glob)))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_running_totals_with_lateness_match(spark):
+    root = tempfile.mkdtemp(prefix="late-")
+    glob = _day_files(spark, root)
+    paths = AS.run_blacklist_stream(AS.text_stream(spark, glob, 1), f"{root}/out", f"{root}/ck",
+                                    threshold=3, lateness="2 hours")
+    assert rows(AS.blacklist_table(spark, paths)) == [(1,)]
+    AS.run_kept_stream(AS.text_stream(spark, glob, 3), paths, f"{root}/ck-kept")
+    stat = AS.run_ad_stat_stream(AS.kept_stream(spark, paths), f"{root}/stat", f"{root}/ck2", lateness="2 hours")
+    want = AD.ad_stat(AD.kept_clicks(AD.parse_ad_log(spark.read.text(glob)), 3))
+    got = AS.ad_stat_table(spark, stat)
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    assert want.select(*got.columns).exceptAll(got).count() == 0

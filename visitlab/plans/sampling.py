@@ -23,6 +23,7 @@ from visitlab.functions.dates import date_hour
 from visitlab.functions.numbers import int_div
 from visitlab.operators.broadcast import broadcast_fixed
 from visitlab.plans.sessions import DETAIL_COLUMNS
+from visitlab.session import checkpoint_root
 
 EXTRACT_COLUMNS = ["session_id", "start_time", "search_keywords", "click_category_ids"]
 
@@ -48,8 +49,17 @@ def hour_quotas(sessions: DataFrame, n: int) -> DataFrame:
     return hours.select("date", "hour", quota.alias("quota"))
 
 
-def session_random_extract(sessions: DataFrame, n: int = 100, seed: int = 42) -> DataFrame:
-    """About ``n`` sessions, stratified by day and hour."""
+def session_random_extract(sessions: DataFrame, n: int = 100, seed: int = 42,
+                           materialize: bool = False) -> DataFrame:
+    """About ``n`` sessions, stratified by day and hour.
+
+    The sessions feed two branches (ranking and hour counts).  With
+    ``materialize`` they are written once with a reliable ``checkpoint()`` into
+    the shared checkpoint folder, so the actions are scanned and shuffled once
+    instead of twice."""
+    if materialize:
+        checkpoint_root(sessions.sparkSession)
+        sessions = sessions.checkpoint(eager=True)
     w = Window.partitionBy("date", "hour").orderBy("_rk", "session_id")
     # Rank first and cut at the literal bound n (partial WindowGroupLimit before
     # the shuffle), then meet the per-hour quota on at most n rows per hour.

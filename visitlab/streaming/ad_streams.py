@@ -4,11 +4,13 @@ Every job takes a *streaming* DataFrame with a ``value`` column (Kafka, a
 socket, or a file source) and writes tables under an output folder:
 
 * :func:`run_parse_stream`     -- S8/S9: parsed clicks to a parquet file sink (exactly once).
-* :func:`run_blacklist_stream` -- R4: dynamic blacklist in ``foreachBatch``.  Per batch:
-  drop clicks of users blacklisted by *earlier* batches (anti join), store the
-  kept clicks and the per-(date, user, ad) deltas under ``batch_id=N``
-  (overwritten on replay, so the additive totals are replay-safe), add up the
-  totals of the keys in this batch, and append newly hot users to the blacklist.
+* :func:`run_blacklist_stream` -- R4, counting: running clicks per (date, user, ad)
+  kept in the state store (per-batch work is proportional to the batch); users
+  reaching the threshold are appended to the blacklist with a block time.
+* :func:`run_kept_stream`      -- R4, filtering: each micro-batch reads the whole
+  blacklist and drops clicks of blocked users after their block time.
+  Outputs are written under ``batch_id=N`` with dynamic partition overwrite, so a
+  replayed micro-batch rewrites its own files instead of adding to them.
 * :func:`run_ad_stat_stream`   -- R5/R6: stateful running count per (date, province,
   city, ad) over the kept clicks (update mode, no expiry), upserted into a
   date-partitioned table; the top-3 ads of every touched (date, province) are
@@ -33,8 +35,8 @@ from visitlab.session import checkpoint_root, scratch_path
 
 CLICK_SCHEMA = "ts_ms long, date string, province string, city string, user_id long, ad_id long"
 KEPT_SCHEMA = CLICK_SCHEMA + ", batch_id long"
-COUNT_SCHEMA = "user_id long, ad_id long, click_count long, date string, batch_id long"
-BLACKLIST_SCHEMA = "user_id long, batch_id long"
+COUNT_SCHEMA = "date string, user_id long, ad_id long, click_count long, batch_id long"
+BLACKLIST_SCHEMA = "user_id long, block_ts_ms long, batch_id long"
 AD_STAT_SCHEMA = "province string, city string, ad_id long, click_count long, date string"
 TOP3_SCHEMA = "province string, ad_id long, click_count long, date string"
 TREND_SCHEMA = "hour string, minute string, ad_id long, click_count long, date string"
@@ -101,44 +103,92 @@ def _overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) ->
      .partitionBy(*partition_by).parquet(path))
 
 
-def blacklist_batch(spark: SparkSession, lines: DataFrame, batch_id: int, paths: BlacklistPaths,
-                    threshold: int) -> None:
-    """One micro-batch of the dynamic blacklist (idempotent for a given batch_id)."""
-    clicks = AD.parse_ad_log(lines).select(*AD.CLICK_COLUMNS)
-    # Only entries from earlier batches apply: a replayed batch sees what it saw before.
-    bl = (_read_or_empty(spark, paths.blacklist, BLACKLIST_SCHEMA)
-          .filter(F.col("batch_id") < batch_id).select("user_id"))
-    kept = AD.blacklist_filter(clicks, bl)
-    _overwrite_partitions(kept.withColumn("batch_id", F.lit(batch_id).cast("long")), paths.kept, ["batch_id"])
+def blacklist_update_batch(spark: SparkSession, updated: DataFrame, batch_id: int,
+                           paths: BlacklistPaths, threshold: int) -> None:
+    """foreachBatch body of the counting query (idempotent for a given batch_id).
+
+    ``updated`` holds the current running totals of the (date, user, ad) keys
+    that changed in this micro-batch (from the state store), so the work is
+    proportional to the batch, not to the history."""
+    updated = updated.persist()
+    try:
+        # K4: the change log of the per-(date, user, ad) totals; latest batch wins.
+        _overwrite_partitions(updated.select("date", "user_id", "ad_id", "click_count")
+                              .withColumn("batch_id", F.lit(batch_id).cast("long")),
+                              paths.counts, ["batch_id"])
+        # One value: the newest event time seen among this batch's keys.
+        block_ts = updated.agg(F.max("max_ts_ms")).first()[0]
+        if block_ts is None:
+            return
+        earlier = (_read_or_empty(spark, paths.blacklist, BLACKLIST_SCHEMA)
+                   .filter(F.col("batch_id") < batch_id).select("user_id"))
+        hot = AD.blacklist_users(updated, threshold).join(earlier, "user_id", "left_anti")
+        _overwrite_partitions(hot.withColumn("block_ts_ms", F.lit(block_ts).cast("long"))
+                              .withColumn("batch_id", F.lit(batch_id).cast("long")),
+                              paths.blacklist, ["batch_id"])
+    finally:
+        updated.unpersist()
 
-    kept_now = (_read_or_empty(spark, paths.kept, KEPT_SCHEMA)
-                .filter(F.col("batch_id") == batch_id))
-    delta = AD.daily_user_ad_clicks(kept_now)
-    _overwrite_partitions(delta.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                          paths.counts, ["date", "batch_id"])
-
-    # Dates present in this batch (a handful): prune the count table to them.
-    dates = [r[0] for r in delta.select("date").distinct().collect()]
-    if not dates:
-        return
-    totals = (_read_or_empty(spark, paths.counts, COUNT_SCHEMA)
-              .filter(F.col("date").isin(dates) & (F.col("batch_id") <= batch_id))
-              .join(delta.select("date", "user_id", "ad_id"), ["date", "user_id", "ad_id"], "left_semi")
-              .groupBy("date", "user_id", "ad_id").agg(F.sum("click_count").alias("click_count")))
-    # Users blacklisted earlier have no kept clicks here, so every hot user is new.
-    hot = AD.blacklist_users(totals, threshold)
-    _overwrite_partitions(hot.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                          paths.blacklist, ["batch_id"])
+
+def _daily_counts(clicks: DataFrame, keys: list[str], lateness: str | None, *extra) -> DataFrame:
+    """Running clicks per (date, keys).  Without ``lateness`` the state never
+    expires (every late click still counts under its own date).  With it, the
+    day is a 1-day event-time window and a watermark of ``lateness`` lets the
+    state of finished days leave the store."""
+    aggs = [F.count(F.lit(1)).alias("click_count"), *extra]
+    if lateness is None:
+        return clicks.groupBy("date", *keys).agg(*aggs)
+    return (clicks.withWatermark("ts", lateness)
+            .groupBy(F.window("ts", "1 day").alias("_day"), *keys).agg(*aggs)
+            .withColumn("date", F.date_format("_day.start", "yyyy-MM-dd")).drop("_day"))
 
 
 def run_blacklist_stream(lines: DataFrame, root: str, checkpoint: str,
                          threshold: int = AD.DEFAULT_BLACKLIST_THRESHOLD,
-                         trigger: dict | None = None) -> BlacklistPaths:
+                         trigger: dict | None = None, lateness: str | None = None) -> BlacklistPaths:
+    """R4, counting side: stateful running clicks per (date, user, ad) over the raw
+    stream; users reaching ``threshold`` are appended to the blacklist with the
+    batch's newest event time as their block time.
+
+    Counting raw clicks is exact: until a user is blocked all of their clicks
+    are kept, so raw and kept totals agree up to the blocking batch, and later
+    counts of a blocked user cannot change the blacklist."""
     trigger = trigger or {"availableNow": True}
     spark = lines.sparkSession
     paths = BlacklistPaths(root)
+    counts = _daily_counts(AD.parse_ad_log(lines), ["user_id", "ad_id"], lateness,
+                           F.max("ts_ms").alias("max_ts_ms"))
+    q = _start(counts.writeStream.outputMode("update")
+               .foreachBatch(lambda df, bid: blacklist_update_batch(spark, df, bid, paths, threshold))
+               .option("checkpointLocation", checkpoint), trigger)
+    _finish(q, trigger)
+    return paths
+
+
+def blacklist_with_block_time(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
+    """K7: the whole blacklist (user_id, block_ts_ms), read fresh on every call."""
+    return (_read_or_empty(spark, paths.blacklist, BLACKLIST_SCHEMA)
+            .groupBy("user_id").agg(F.min("block_ts_ms").alias("block_ts_ms")))
+
+
+def kept_clicks_batch(spark: SparkSession, lines: DataFrame, batch_id: int, paths: BlacklistPaths) -> None:
+    """foreachBatch body of the filtering query: JN9 against the current blacklist;
+    a blocked user's clicks up to the block time stay, later ones are dropped."""
+    clicks = AD.parse_ad_log(lines).select(*AD.CLICK_COLUMNS)
+    bl = blacklist_with_block_time(spark, paths)
+    kept = (clicks.join(bl, "user_id", "left")
+            .filter(F.col("block_ts_ms").isNull() | (F.col("ts_ms") <= F.col("block_ts_ms")))
+            .select(*AD.CLICK_COLUMNS))
+    _overwrite_partitions(kept.withColumn("batch_id", F.lit(batch_id).cast("long")), paths.kept, ["batch_id"])
+
+
+def run_kept_stream(lines: DataFrame, paths: BlacklistPaths, checkpoint: str,
+                    trigger: dict | None = None) -> BlacklistPaths:
+    """R4, filtering side: clicks minus those of blacklisted users after their block time."""
+    trigger = trigger or {"availableNow": True}
+    spark = lines.sparkSession
     q = _start(lines.writeStream
-               .foreachBatch(lambda df, bid: blacklist_batch(spark, df, bid, paths, threshold))
+               .foreachBatch(lambda df, bid: kept_clicks_batch(spark, df, bid, paths))
                .option("checkpointLocation", checkpoint), trigger)
     _finish(q, trigger)
     return paths
@@ -152,6 +202,13 @@ def kept_table(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
     return _read_or_empty(spark, paths.kept, KEPT_SCHEMA).select(*AD.CLICK_COLUMNS)
 
 
+def user_ad_click_counts(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
+    """Current running total per (date, user, ad): the newest entry of the change log."""
+    log = _read_or_empty(spark, paths.counts, COUNT_SCHEMA)
+    return (log.groupBy("date", "user_id", "ad_id")
+            .agg(F.max_by("click_count", "batch_id").alias("click_count")))
+
+
 # ---------------------------------------------------------------- R5 / R6 running totals + top 3
 
 @dataclass
@@ -187,12 +244,14 @@ def kept_stream(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
 
 
 def run_ad_stat_stream(clicks: DataFrame, root: str, checkpoint: str,
-                       trigger: dict | None = None) -> AdStatPaths:
+                       trigger: dict | None = None, lateness: str | None = None) -> AdStatPaths:
     """``clicks``: a streaming DataFrame of parsed (kept) clicks."""
     trigger = trigger or {"availableNow": True}
     spark = clicks.sparkSession
     paths = AdStatPaths(root)
-    counts = clicks.groupBy("date", "province", "city", "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
+    if lateness is not None and "ts" not in clicks.columns:
+        clicks = clicks.withColumn("ts", F.timestamp_millis("ts_ms"))
+    counts = _daily_counts(clicks, ["province", "city", "ad_id"], lateness)
     q = _start(counts.writeStream.outputMode("update")
                .foreachBatch(lambda df, bid: ad_stat_batch(spark, df, paths))
                .option("checkpointLocation", checkpoint), trigger)
