@@ -80,3 +80,9 @@ def test_top3_and_trend(spark):
     assert sorted(top) == sorted([("d", "P", 4, 9), ("d", "P", 3, 6), ("d", "P", 1, 5)])
     c = AD.parse_ad_log(_lines(spark, ["1704067260000 P1 N 1 1", "1704067319999 P1 N 2 1", "1704067320000 P1 N 2 1"]))
     assert rows(AD.ad_click_trend(c), ["minute"]) == [("2024-01-01", "00", "01", 1, 2), ("2024-01-01", "00", "02", 1, 1)]
+
+
+def test_malformed_lines_do_not_fail(spark):
+    c = AD.parse_ad_log(_lines(spark, ["oops", "1704067200000 P1 N x 3", "1704067200000 P1 N 4 3"]))
+    got = rows(c.select("user_id", "ad_id"), ["user_id"])
+    assert got == [(None, None), (None, 3), (4, 3)]

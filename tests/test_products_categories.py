@@ -74,3 +74,8 @@ def test_top10_session_per_category(spark):
     assert rows(top, ["session_id"]) == [(7, "a", 3), (7, "b", 3)]
     det = C.top10_session_detail(v, top)
     assert det.count() == 6
+
+
+def test_bad_category_text_is_skipped(spark):
+    v = spark.createDataFrame([visit(1, "s", "2024-01-01 10:00:00", order_cats="2,x,,3")], VISIT_SCHEMA)
+    assert rows(C.category_counts(v).filter("category_id IS NOT NULL"), ["category_id"]) == [(2, 0, 1, 0), (3, 0, 1, 0)]

@@ -22,15 +22,20 @@ CLICK_COLUMNS = ["ts_ms", "date", "province", "city", "user_id", "ad_id"]
 def parse_ad_log(lines: DataFrame) -> DataFrame:
     """Split on single spaces; fields 0..4 -> ts_ms, province, city, user_id, ad_id.
 
+    Malformed or short lines give nulls instead of failing the job.
+
     ``ts`` is the click time (UTC timestamp) and ``date`` its ``yyyy-MM-dd``."""
     parts = F.split(F.col("value"), " ")
-    ts_ms = parts.getItem(0).cast("long")
+
+    def field(i: int):
+        return F.get(parts, i)  # null (not an error) when the line is short
+
     return (lines
-            .select(ts_ms.alias("ts_ms"),
-                    parts.getItem(1).alias("province"),
-                    parts.getItem(2).alias("city"),
-                    parts.getItem(3).cast("long").alias("user_id"),
-                    parts.getItem(4).cast("long").alias("ad_id"))
+            .select(field(0).try_cast("long").alias("ts_ms"),
+                    field(1).alias("province"),
+                    field(2).alias("city"),
+                    field(3).try_cast("long").alias("user_id"),
+                    field(4).try_cast("long").alias("ad_id"))
             .withColumn("ts", F.timestamp_millis("ts_ms"))
             .withColumn("date", F.date_format("ts", "yyyy-MM-dd")))
 

@@ -25,7 +25,7 @@ def explode_category_ids(actions: DataFrame, column: str = "order_category_ids")
     """One row per item of a comma list column (null / empty lists give no row)."""
     return actions.select("action_id", "session_id",
                           F.explode(comma_items(column)).alias("category_id")) \
-        .withColumn("category_id", F.col("category_id").cast("long"))
+        .withColumn("category_id", F.col("category_id").try_cast("long"))
 
 
 def _category_events(actions: DataFrame) -> DataFrame:
@@ -36,9 +36,9 @@ def _category_events(actions: DataFrame) -> DataFrame:
                                 F.lit(0).alias("kind"))))
         .otherwise(F.array().cast("array<struct<category_id:bigint,kind:int>>")),
         F.transform(comma_items("order_category_ids"),
-                    lambda x: F.struct(x.cast("long").alias("category_id"), F.lit(1).alias("kind"))),
+                    lambda x: F.struct(x.try_cast("long").alias("category_id"), F.lit(1).alias("kind"))),
         F.transform(comma_items("pay_category_ids"),
-                    lambda x: F.struct(x.cast("long").alias("category_id"), F.lit(2).alias("kind"))),
+                    lambda x: F.struct(x.try_cast("long").alias("category_id"), F.lit(2).alias("kind"))),
     )
     return actions.select(F.inline(events))
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlab.functions import filters
+from visitlab.functions.dates import parse_time
 from visitlab.functions.numbers import ratio_half_up
 from visitlab.sources.params import TaskParams
 
@@ -45,7 +46,7 @@ def actions_in_range(visits: DataFrame, params: TaskParams | None) -> DataFrame:
 
 def session_agg(actions: DataFrame) -> DataFrame:
     """A1: one row per session."""
-    t = F.unix_seconds(F.to_timestamp("action_time", "yyyy-MM-dd HH:mm:ss"))
+    t = F.unix_seconds(parse_time("action_time"))
     return (actions
             .groupBy("session_id")
             .agg(F.min("user_id").alias("user_id"),
