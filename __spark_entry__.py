@@ -198,13 +198,14 @@ def q_session_category_clicks(spark, sf):
 
 
 def q_top10_session(spark, sf):
-    d = _detail(spark, sf)
-    return C.top10_session(d, C.top10_category(d))
+    _, top_sessions = C.top_categories_and_sessions(_detail(spark, sf))
+    return top_sessions
 
 
 def q_top10_session_detail(spark, sf):
     d = _detail(spark, sf)
-    return C.top10_session_detail(d, C.top10_session(d, C.top10_category(d)))
+    _, top_sessions = C.top_categories_and_sessions(d)
+    return C.top10_session_detail(d, top_sessions)
 
 
 # ---------------------------------------------------------------- page funnel

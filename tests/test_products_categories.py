@@ -79,3 +79,12 @@ def test_top10_session_per_category(spark):
 def test_bad_category_text_is_skipped(spark):
     v = spark.createDataFrame([visit(1, "s", "2024-01-01 10:00:00", order_cats="2,x,,3")], VISIT_SCHEMA)
     assert rows(C.category_counts(v).filter("category_id IS NOT NULL"), ["category_id"]) == [(2, 0, 1, 0), (3, 0, 1, 0)]
+
+
+def test_shared_counts_equal_separate_plans(spark):
+    from visitlab.sources.tables import Tables
+    d = Tables(spark, "/root/testdata/sf0.001").visits()
+    cats, sess = C.top_categories_and_sessions(d)
+    assert rows(cats, ["category_id"]) == rows(C.top10_category(d), ["category_id"])
+    assert rows(sess, ["category_id", "session_id"]) == rows(C.top10_session(d, C.top10_category(d)),
+                                                               ["category_id", "session_id"])

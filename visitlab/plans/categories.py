@@ -28,7 +28,7 @@ def explode_category_ids(actions: DataFrame, column: str = "order_category_ids")
         .withColumn("category_id", F.col("category_id").try_cast("long"))
 
 
-def _category_events(actions: DataFrame) -> DataFrame:
+def _category_events(actions: DataFrame, *keep: str) -> DataFrame:
     """(category_id, kind) per category occurrence; kind 0 click, 1 order, 2 pay."""
     events = F.concat(
         F.when(F.col("click_category_id").isNotNull(),
@@ -40,7 +40,7 @@ def _category_events(actions: DataFrame) -> DataFrame:
         F.transform(comma_items("pay_category_ids"),
                     lambda x: F.struct(x.try_cast("long").alias("category_id"), F.lit(2).alias("kind"))),
     )
-    return actions.select(F.inline(events))
+    return actions.select(*keep, F.inline(events))
 
 
 def visited_categories(actions: DataFrame) -> DataFrame:
@@ -101,6 +101,33 @@ def top10_session(actions: DataFrame, top_categories: DataFrame, k: int = 10) ->
         .select("category_id", "session_id", "click_count")
 
 
+def session_category_kind_counts(actions: DataFrame) -> DataFrame:
+    """Occurrences per (session, category, kind): one partial + final aggregate
+    from which both the category ranking and the per-session clicks follow."""
+    return (_category_events(actions, "session_id")
+            .groupBy("session_id", "category_id", "kind").agg(F.count(F.lit(1)).alias("n")))
+
+
+def top_categories_and_sessions(actions: DataFrame, k_categories: int = 10, k_sessions: int = 10):
+    """C4 + C5 from one scan of the actions.
+
+    Both results are computed from the same (session, category, kind) counts,
+    so the plan shuffles the actions once and the second branch reuses that
+    exchange."""
+    per = session_category_kind_counts(actions)
+    counts = per.groupBy("category_id").agg(
+        *[F.sum(F.when(F.col("kind") == i, F.col("n")).otherwise(F.lit(0))).cast("long").alias(c)
+          for i, c in enumerate(("click_count", "order_count", "pay_count"))])
+    top_cats = top_k(counts, [F.col("click_count").desc(), F.col("order_count").desc(),
+                              F.col("pay_count").desc(), F.col("category_id").asc()], k_categories)
+    clicks = (per.filter(F.col("kind") == 0)
+              .join(broadcast_fixed(top_cats.select("category_id")), "category_id", "left_semi")
+              .select("category_id", "session_id", F.col("n").alias("click_count")))
+    top_sess = top_k_per_group(clicks, ["category_id"],
+                               [F.col("click_count").desc(), F.col("session_id").asc()], k_sessions)
+    return top_cats, top_sess
+
+
 def top10_session_detail(actions: DataFrame, top_sessions: DataFrame) -> DataFrame:
     """JN5: detail rows of the top sessions, each action once (at most 100 ids, broadcast)."""
     ids = broadcast_fixed(top_sessions.select("session_id").distinct())
