@@ -53,6 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     root = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="visitlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
