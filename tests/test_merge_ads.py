@@ -86,3 +86,15 @@ def test_malformed_lines_do_not_fail(spark):
     c = AD.parse_ad_log(_lines(spark, ["oops", "1704067200000 P1 N x 3", "1704067200000 P1 N 4 3"]))
     got = rows(c.select("user_id", "ad_id"), ["user_id"])
     assert got == [(None, None), (None, 3), (4, 3)]
+
+
+def test_top3_literal_per_province_and_last_hour(spark):
+    stat = spark.createDataFrame([("d1", "P", "c", 1, 5), ("d2", "P", "c", 2, 9), ("d2", "P", "c", 1, 1),
+                                  ("d1", "P", "c", 3, 4), ("d2", "P", "c", 4, 4)], STAT)
+    lit = rows(AD.ad_province_top3(stat, k=3, per_day=False), ["click_count"])
+    assert sorted(lit) == sorted([("d2", "P", 2, 9), ("d1", "P", 1, 5), ("d1", "P", 3, 4)])  # ad 3 beats ad 4 on id
+    trend = spark.createDataFrame([("2024-01-01", "10", "00", 1, 3), ("2024-01-01", "10", "59", 1, 2),
+                                   ("2024-01-01", "11", "00", 1, 7), ("2024-01-01", "11", "01", 1, 1)],
+                                  "date string, hour string, minute string, ad_id long, click_count long")
+    got = rows(AD.trend_last_hour(trend, "2024-01-01 11:00:00"), ["hour", "minute"])
+    assert got == [("2024-01-01", "10", "59", 1, 2), ("2024-01-01", "11", "00", 1, 7)]

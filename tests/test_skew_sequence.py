@@ -71,3 +71,12 @@ def test_bounded_broadcast(spark):
     small = _small(spark)
     assert row_count_at_most(small, 40) and not row_count_at_most(small, 39)
     assert bounded_broadcast(small, 10) is small  # over the bound: no hint
+
+
+def test_heavy_keys_bernoulli_sample(spark):
+    hk = SK.heavy_keys(_skewed(spark, 6000), "k", top_n=1, fraction=0.3, seed=5)
+    assert rows_of(hk) == [0]
+
+
+def rows_of(df):
+    return [r[0] for r in df.collect()]

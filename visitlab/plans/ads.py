@@ -97,3 +97,12 @@ def ad_click_trend(clicks: DataFrame) -> DataFrame:
                     F.date_format("_m", "HH").alias("hour"),
                     F.date_format("_m", "mm").alias("minute"),
                     "ad_id", "click_count"))
+
+
+def trend_last_hour(trend: DataFrame, now_ts, minutes: int = 60) -> DataFrame:
+    """The per-minute trend of the ``minutes`` before ``now_ts`` (a timestamp
+    literal or column).  Counts are stored in full per (minute, ad); "the last
+    hour" is a filter on read instead of a window that rewrites old minutes."""
+    now = F.lit(now_ts).cast("timestamp") if not hasattr(now_ts, "alias") else now_ts
+    minute_ts = F.to_timestamp(F.concat_ws(" ", "date", F.concat_ws(":", "hour", "minute")), "yyyy-MM-dd HH:mm")
+    return trend.filter((minute_ts > now - F.expr(f"INTERVAL {minutes} MINUTES")) & (minute_ts <= now))
