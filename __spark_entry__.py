@@ -30,6 +30,7 @@ from visitlab.plans import funnel as FN  # noqa: E402
 from visitlab.plans import products as PR  # noqa: E402
 from visitlab.plans import sampling as SM  # noqa: E402
 from visitlab.plans import sessions as S  # noqa: E402
+from visitlab.plans import sql_jobs as SQ  # noqa: E402
 from visitlab.sources.params import TaskParams, parse_task_params  # noqa: E402
 from visitlab.streaming import ad_streams as AS  # noqa: E402
 from visitlab.sources.tables import Tables  # noqa: E402
@@ -144,6 +145,10 @@ def q_area_top3_product(spark, sf):
     return PR.area_top3_product(t.visits(), t.cities(), t.products(), P_AREA)
 
 
+def q_area_top3_product_sql(spark, sf):
+    return SQ.area_top3_product_sql(spark, _t(spark, sf), P_AREA.start_date, P_AREA.end_date)
+
+
 def q_area_level_map(spark, sf):
     return _t(spark, sf).cities().select("city_id", "area", PR.area_level("area").alias("area_level"))
 
@@ -327,6 +332,10 @@ def q_agg_two_stage(spark, sf):
     return SK.two_stage_agg(clicks, ["area", "product_id"], None, n=10, out="click_count")
 
 
+def q_agg_two_stage_sql(spark, sf):
+    return SQ.agg_two_stage_sql(spark, _t(spark, sf), P_AREA.start_date, P_AREA.end_date, salts=10)
+
+
 # ---------------------------------------------------------------- ad clicks (J4), batch
 
 def _ad_clicks(spark, sf):
@@ -497,6 +506,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_product_clicks": q_area_product_clicks,
     "area_product_full": q_area_product_full,
     "area_top3_product": q_area_top3_product,
+    "area_top3_product_sql": q_area_top3_product_sql,
     "area_level_map": q_area_level_map,
     "product_status": q_product_status,
     "group_concat_distinct": q_group_concat_distinct,
@@ -522,6 +532,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "heavy_keys": q_heavy_keys,
     "join_skew_isolate": q_join_skew_isolate,
     "agg_two_stage": q_agg_two_stage,
+    "agg_two_stage_sql": q_agg_two_stage_sql,
     "ad_log_parse": q_ad_log_parse,
     "daily_user_ad_clicks": q_daily_user_ad_clicks,
     "blacklist_users": q_blacklist_users,

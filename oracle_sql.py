@@ -202,6 +202,7 @@ SELECT area, {AREA_LEVEL_SQL} AS area_level, product_id, city_infos, click_count
 FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) AS rn
       FROM ({full}) f) r
 WHERE rn <= 3"""
+    o["area_top3_product_sql"] = o["area_top3_product"]
     o["area_level_map"] = f"SELECT city_id, area, {AREA_LEVEL_SQL} AS area_level FROM cities"
     o["product_status"] = f"SELECT product_id, {PRODUCT_STATUS_SQL} AS product_status FROM products"
     o["group_concat_distinct"] = (f"SELECT area, array_to_string(list_sort(list_distinct(list(city_name))), ',') "
@@ -359,6 +360,7 @@ SELECT ci.area, v.click_product_id AS product_id, count(*) AS click_count
 FROM visits v JOIN cities ci ON v.city_id = ci.city_id
 WHERE v.click_product_id IS NOT NULL AND v.date BETWEEN '2024-01-01' AND '2024-01-31'
 GROUP BY ci.area, v.click_product_id"""
+    o["agg_two_stage_sql"] = o["agg_two_stage"]
     return o
 
 

@@ -53,3 +53,21 @@ def test_visits_view_shape(spark):
     one_kind = (F.col("search_keyword").isNotNull().cast("int") + F.col("click_category_id").isNotNull().cast("int")
                 + F.col("order_category_ids").isNotNull().cast("int") + F.col("pay_category_ids").isNotNull().cast("int"))
     assert v.filter(one_kind > 1).count() == 0  # one action kind per row
+
+
+def test_sql_functions(spark):
+    from visitlab.functions.sql_functions import register_sql_functions
+
+    register_sql_functions(spark)
+    r = spark.sql("""
+        SELECT concat_long_string(3, 'x', ':') AS a,
+               get_json_field('{"product_status": 0}', 'product_status') AS b,
+               get_json_field('bad', 'product_status') AS c,
+               remove_random_prefix(random_prefix('abc', 10)) AS d,
+               trim_comma(',1,2,') AS e,
+               get_field('sessionid=s1|clickCategoryIds=|age=3', 'clickCategoryIds') AS f,
+               get_field('sessionid=s1|age=3', 'age') AS g,
+               date_hour('2024-01-02 07:08:09') AS h,
+               CAST(substring_index(random_prefix('abc', 10), '_', 1) AS INT) BETWEEN 0 AND 9 AS i
+    """).first()
+    assert tuple(r) == ("3:x", "0", None, "abc", "1,2", None, "3", "2024-01-02_07", True)

@@ -202,7 +202,7 @@ class Tables:
     def tasks(self) -> DataFrame:
         return tasks_from_region(self.raw("region"))
 
-    def register_views(self) -> None:
-        """Register the derived views as temp views for SQL users."""
+    def register_views(self, prefix: str = "") -> None:
+        """Register the derived views as temp views (``<prefix><name>``) for SQL users."""
         for name in ("visits", "users", "products", "cities", "ad_logs", "tasks"):
-            getattr(self, name)().createOrReplaceTempView(name)
+            getattr(self, name)().createOrReplaceTempView(prefix + name)
