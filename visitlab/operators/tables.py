@@ -38,7 +38,11 @@ class DatePartitionedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def _touched(self, new: DataFrame) -> list[str]:
+    def read_dates(self, dates: list[str]) -> DataFrame:
+        """Only the given day partitions (a literal filter: partition pruning)."""
+        return self.read().filter(F.col("date").isin(dates))
+
+    def touched_dates(self, new: DataFrame) -> list[str]:
         # Distinct dates of one micro-batch: a handful of values.
         return sorted(r[0] for r in new.select("date").distinct().collect())
 
@@ -51,18 +55,16 @@ class DatePartitionedTable:
 
     def upsert_replace(self, new: DataFrame, keys: Sequence[str]) -> None:
         """K3 on the touched days: rows of ``new`` replace rows with the same key."""
-        dates = self._touched(new)
+        dates = self.touched_dates(new)
         if not dates:
             return
-        old = self.read().filter(F.col("date").isin(dates))
         cols = self.read().columns
-        self._write(merge_replace(old, new.select(*cols), keys), cols)
+        self._write(merge_replace(self.read_dates(dates), new.select(*cols), keys), cols)
 
     def replace_groups(self, new: DataFrame, group_keys: Sequence[str]) -> None:
         """K5 on the touched days: groups present in ``new`` are replaced wholesale."""
-        dates = self._touched(new)
+        dates = self.touched_dates(new)
         if not dates:
             return
-        old = self.read().filter(F.col("date").isin(dates))
         cols = self.read().columns
-        self._write(replace_group(old, new.select(*cols), group_keys), cols)
+        self._write(replace_group(self.read_dates(dates), new.select(*cols), group_keys), cols)

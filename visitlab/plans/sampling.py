@@ -26,6 +26,7 @@ from visitlab.plans.sessions import DETAIL_COLUMNS
 from visitlab.session import checkpoint_root
 
 EXTRACT_COLUMNS = ["session_id", "start_time", "search_keywords", "click_category_ids"]
+BROADCAST_MAX_IDS = 1_000_000
 
 
 def with_hour(sessions: DataFrame) -> DataFrame:
@@ -76,7 +77,9 @@ def extracted_session_detail(actions: DataFrame, extracted: DataFrame, n: int) -
     """JN3: actions of the extracted sessions.
 
     The quotas of all hours of a day add up to at most ``n div days``, so the
-    extraction holds at most ``n`` ids: broadcasting them is bounded by the
-    parameter."""
-    ids = broadcast_fixed(extracted.select("session_id"))
+    extraction holds at most ``n`` ids: up to ``BROADCAST_MAX_IDS`` they are
+    broadcast (bounded by the parameter); a larger ``n`` keeps a shuffle join."""
+    ids = extracted.select("session_id")
+    if n <= BROADCAST_MAX_IDS:
+        ids = broadcast_fixed(ids)
     return actions.join(ids, "session_id", "left_semi").select(*DETAIL_COLUMNS)

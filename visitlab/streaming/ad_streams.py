@@ -230,8 +230,9 @@ def ad_stat_batch(spark: SparkSession, updated: DataFrame, paths: AdStatPaths) -
     try:
         stat = DatePartitionedTable(spark, paths.stat, AD_STAT_SCHEMA)
         stat.upsert_replace(updated, ["date", "province", "city", "ad_id"])
+        dates = stat.touched_dates(updated)
         touched = updated.select("date", "province").distinct()
-        current = stat.read().join(touched, ["date", "province"], "left_semi")
+        current = stat.read_dates(dates).join(touched, ["date", "province"], "left_semi")
         DatePartitionedTable(spark, paths.top3, TOP3_SCHEMA).replace_groups(
             AD.ad_province_top3(current), ["date", "province"])
     finally:
