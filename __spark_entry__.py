@@ -268,7 +268,8 @@ def q_date_exprs(spark, sf):
         DT.after("action_time", F.lit("2024-01-15 00:00:00")).alias("is_after"),
         DT.minus_seconds("action_time", F.concat(F.col("date"), F.lit(" 00:00:00"))).alias("secs_into_day"),
         DT.minus_seconds("search_keyword", "action_time").alias("bad_minus"),
-        F.date_format(F.date_sub(F.to_date("date"), 1), "yyyy-MM-dd").alias("prev_date"),
+        DT.yesterday(F.col("date")).alias("prev_date"),
+        DT.today(F.col("date")).alias("same_date"),
     )
 
 

@@ -323,7 +323,8 @@ SELECT action_id, action_time,
        CAST(action_time AS TIMESTAMP) > TIMESTAMP '2024-01-15 00:00:00' AS is_after,
        date_diff('second', CAST(date AS TIMESTAMP), CAST(action_time AS TIMESTAMP)) AS secs_into_day,
        CAST(0 AS BIGINT) AS bad_minus,
-       strftime(CAST(date AS DATE) - 1, '%Y-%m-%d') AS prev_date
+       strftime(CAST(date AS DATE) - 1, '%Y-%m-%d') AS prev_date,
+       date AS same_date
 FROM visits"""
     rec = ("'sessionid=' || session_id || '|searchKeywords=' || search_keywords || '|clickCategoryIds=' || "
            "click_category_ids || '|visitLength=' || CAST(visit_length AS VARCHAR) || '|stepLength=' || "

@@ -74,12 +74,19 @@ def epoch_ms_to_ts(c) -> Column:
     return F.timestamp_millis(_col(c).cast("long"))
 
 
-def today(as_of: str | None = None) -> Column:
-    """The as-of date as ``yyyy-MM-dd`` (``current_date`` when not given)."""
-    d = F.lit(as_of).cast("date") if as_of else F.current_date()
-    return F.date_format(d, DATE_FMT)
+def _as_of(as_of) -> Column:
+    if as_of is None:
+        return F.current_date()
+    if isinstance(as_of, Column):
+        return F.try_to_date(as_of)
+    return F.lit(as_of).cast("date")
 
 
-def yesterday(as_of: str | None = None) -> Column:
-    d = F.lit(as_of).cast("date") if as_of else F.current_date()
-    return F.date_format(F.date_sub(d, 1), DATE_FMT)
+def today(as_of=None) -> Column:
+    """The as-of date (text or column; ``current_date`` when not given) as ``yyyy-MM-dd``."""
+    return F.date_format(_as_of(as_of), DATE_FMT)
+
+
+def yesterday(as_of=None) -> Column:
+    """The day before the as-of date as ``yyyy-MM-dd``."""
+    return F.date_format(F.date_sub(_as_of(as_of), 1), DATE_FMT)
