@@ -59,12 +59,18 @@ def test_replayed_batch_is_idempotent(spark):
     AS.blacklist_update_batch(spark, upd, 1, paths, threshold=3)
     assert rows(AS.blacklist_with_block_time(spark, paths)) == [(1, T0 + 9)]
     lines = spark.createDataFrame([(f"{T0 + i} P1 N {u} 1",) for i in range(8, 12) for u in (1, 2)], "value string")
-    for _ in range(2):
-        AS.kept_clicks_batch(spark, lines, 0, paths)
+    AS.kept_clicks_batch(spark, lines, 0, paths)
     kept = AS.kept_table(spark, paths)
     assert kept.filter("user_id = 1").count() == 2 and kept.filter("user_id = 2").count() == 4
+    files = sorted(os.listdir(f"{paths.kept}/batch_id=0"))
+    # user 2 gets blocked meanwhile; the replay of kept batch 0 must not rewrite its files
+    hot2 = upd.filter("user_id = 2").withColumn("click_count", F.lit(5).cast("long"))
+    AS.blacklist_update_batch(spark, hot2, 2, paths, threshold=3)
+    AS.kept_clicks_batch(spark, lines, 0, paths)
+    assert sorted(os.listdir(f"{paths.kept}/batch_id=0")) == files
+    assert AS.kept_table(spark, paths).filter("user_id = 2").count() == 4
     assert rows(AS.user_ad_click_counts(spark, paths), ["user_id"]) == [("2024-01-01", 1, 1, 4),
-                                                                      ("2024-01-01", 2, 1, 1)]
+                                                                      ("2024-01-01", 2, 1, 5)]
 
 
 def test_click_trend_stream_equals_batch(spark):

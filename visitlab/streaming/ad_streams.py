@@ -173,7 +173,14 @@ def blacklist_with_block_time(spark: SparkSession, paths: BlacklistPaths) -> Dat
 
 def kept_clicks_batch(spark: SparkSession, lines: DataFrame, batch_id: int, paths: BlacklistPaths) -> None:
     """foreachBatch body of the filtering query: JN9 against the current blacklist;
-    a blocked user's clicks up to the block time stay, later ones are dropped."""
+    a blocked user's clicks up to the block time stay, later ones are dropped.
+
+    The kept folder is itself a stream source (for the running totals), so its
+    files must never change once written: a replayed batch whose partition was
+    already committed is left as it is (a dynamic-overwrite partition only
+    appears at job commit, so its presence means the write completed)."""
+    if path_exists(spark, f"{paths.kept}/batch_id={batch_id}"):
+        return
     clicks = AD.parse_ad_log(lines).select(*AD.CLICK_COLUMNS)
     bl = blacklist_with_block_time(spark, paths)
     kept = (clicks.join(bl, "user_id", "left")
