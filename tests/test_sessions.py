@@ -86,3 +86,24 @@ def test_session_filter_and_detail(spark):
     assert [r.session_id for r in f.collect()] == ["a"]
     d = S.session_detail(S.actions_in_range(v, p), f)
     assert sorted(r.action_time for r in d.collect()) == ["2024-01-01 10:00:00", "2024-01-01 10:00:01"]
+
+
+def test_ratio_half_up_matches_exact_decimal_rounding(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    rnd = random.Random(7)
+    pairs = [(rnd.randint(0, 5000), rnd.randint(1, 5000)) for _ in range(3000)]
+    pairs += [(n, 200) for n in range(0, 201)] + [(1, 8), (3, 8), (5, 8), (7, 8)]  # exact x.xx5 ties
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = {(r.n, r.d): r.q for r in df.select("n", "d", ratio_half_up("n", "d").alias("q")).collect()}
+    for n, d in pairs:
+        want = float((Decimal(n) / Decimal(d)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+        assert got[(n, d)] == want, (n, d)
+
+
+def test_concat_skips_null_parts(spark):
+    from visitlab.functions.strings import concat_sep
+
+    df = spark.createDataFrame([(None, "x"), (3, None), (4, "y")], "a long, b string")
+    assert [r[0] for r in df.select(concat_sep("a", "b", ":")).collect()] == ["x", "3", "4:y"]
