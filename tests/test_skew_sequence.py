@@ -56,9 +56,11 @@ def test_skew_safe_lag_equals_plain_with_hot_group(spark):
     df = spark.range(5000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(
         (F.col("id") % 97).cast("string")).alias("g"), (F.col("id") * 31 % 1000).alias("t"),
         F.col("id").alias("tie"), (F.col("id") % 10).alias("val"))
-    a = with_previous(df, ["g"], ["t", "tie"], "val", "prev", num_ranges=13)
     b = with_previous_plain(df, ["g"], ["t", "tie"], "val", "prev")
+    a = with_previous(df, ["g"], ["t", "tie"], "val", "prev", num_ranges=13, max_group_rows=None)
     assert _same(a.select(*b.columns), b)
+    iso = with_previous(df, ["g"], ["t", "tie"], "val", "prev", num_ranges=13, max_group_rows=100)
+    assert _same(iso.select(*b.columns), b)  # "hot" (2500 rows) ranged, the rest plain
 
 
 def test_top_k_per_group_total_order(spark):
