@@ -92,6 +92,12 @@ class BlacklistPaths:
         return f"{self.root}/blacklist"
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
@@ -130,7 +136,7 @@ def blacklist_update_batch(spark: SparkSession, updated: DataFrame, batch_id: in
         updated.unpersist()
 
 
-def _daily_counts(clicks: DataFrame, keys: list[str], lateness: str | None, *extra) -> DataFrame:
+def daily_counts(clicks: DataFrame, keys: list[str], lateness: str | None, *extra) -> DataFrame:
     """Running clicks per (date, keys).  Without ``lateness`` the state never
     expires (every late click still counts under its own date).  With it, the
     day is a 1-day event-time window and a watermark of ``lateness`` lets the
@@ -156,7 +162,7 @@ def run_blacklist_stream(lines: DataFrame, root: str, checkpoint: str,
     trigger = trigger or {"availableNow": True}
     spark = lines.sparkSession
     paths = BlacklistPaths(root)
-    counts = _daily_counts(AD.parse_ad_log(lines), ["user_id", "ad_id"], lateness,
+    counts = daily_counts(AD.parse_ad_log(lines), ["user_id", "ad_id"], lateness,
                            F.max("ts_ms").alias("max_ts_ms"))
     q = _start(counts.writeStream.outputMode("update")
                .foreachBatch(lambda df, bid: blacklist_update_batch(spark, df, bid, paths, threshold))
@@ -248,6 +254,7 @@ def ad_stat_batch(spark: SparkSession, updated: DataFrame, paths: AdStatPaths) -
 
 def kept_stream(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
     """The blacklist job's kept clicks as a stream (file source over its output)."""
+    ensure_dir(spark, paths.kept)
     return spark.readStream.schema(KEPT_SCHEMA).parquet(paths.kept).select(*AD.CLICK_COLUMNS)
 
 
@@ -259,7 +266,7 @@ def run_ad_stat_stream(clicks: DataFrame, root: str, checkpoint: str,
     paths = AdStatPaths(root)
     if lateness is not None and "ts" not in clicks.columns:
         clicks = clicks.withColumn("ts", F.timestamp_millis("ts_ms"))
-    counts = _daily_counts(clicks, ["province", "city", "ad_id"], lateness)
+    counts = daily_counts(clicks, ["province", "city", "ad_id"], lateness)
     q = _start(counts.writeStream.outputMode("update")
                .foreachBatch(lambda df, bid: ad_stat_batch(spark, df, paths))
                .option("checkpointLocation", checkpoint), trigger)
