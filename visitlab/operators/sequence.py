@@ -72,6 +72,8 @@ def _with_previous_isolated(df: DataFrame, group: Sequence[str], order: Sequence
     # checking its size on the stored copy; beyond the bound it stays a shuffle join.
     checkpoint_root(df.sparkSession)
     hot = hot.checkpoint(eager=True)
+    if hot.limit(1).count() == 0:  # no hot group: the plain plan, no second branch
+        return with_previous_plain(df, group, order, value, out)
     tagged = df.join(bounded_broadcast(hot, MAX_HOT_GROUPS), group, "left")
     cold_rows = tagged.filter(F.col("_hot").isNull()).drop("_hot")
     hot_rows = tagged.filter(F.col("_hot")).drop("_hot")
