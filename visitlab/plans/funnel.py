@@ -31,35 +31,52 @@ def _actions(visits: DataFrame, params: TaskParams) -> DataFrame:
     return filters.apply(visits, [filters.between("date", params.start_date, params.end_date)])
 
 
+def paired_actions(actions: DataFrame) -> DataFrame:
+    """Every action with ``prev_page``, the page of the previous action of its
+    session in (action_time, action_id) order (null for a session's first action)."""
+    return with_previous(actions.select("session_id", "action_time", "action_id", "page_id"),
+                         group=["session_id"], order=["action_time", "action_id"],
+                         value="page_id", out="prev_page")
+
+
 def page_pairs(actions: DataFrame) -> DataFrame:
-    """(session_id, prev_page, page_id) for every action with a predecessor."""
-    df = with_previous(actions.select("session_id", "action_time", "action_id", "page_id"),
-                       group=["session_id"], order=["action_time", "action_id"],
-                       value="page_id", out="prev_page")
-    return df.filter(F.col("prev_page").isNotNull()).select("session_id", "prev_page", "page_id")
+    """(session_id, prev_page, page_id) for every action with a predecessor."""
+    return (paired_actions(actions).filter(F.col("prev_page").isNotNull())
+            .select("session_id", "prev_page", "page_id"))
 
 
-def page_split_pv(spark: SparkSession, visits: DataFrame, params: TaskParams) -> DataFrame:
-    """Pv of every split of the flow (0 when never taken)."""
+def _split_pv(spark: SparkSession, paired: DataFrame, params: TaskParams) -> DataFrame:
     flow = broadcast_fixed(flow_splits(spark, params.page_flow))
-    pairs = page_pairs(_actions(visits, params))
+    pairs = paired.filter(F.col("prev_page").isNotNull())
     counts = (pairs.join(flow, (pairs.prev_page == flow.from_page) & (pairs.page_id == flow.to_page))
               .groupBy("position").agg(F.count(F.lit(1)).alias("pv")))
     return (flow_splits(spark, params.page_flow).join(counts, "position", "left")
             .select("position", "page_split", F.coalesce("pv", F.lit(0).cast("long")).alias("pv")))
 
 
+def _start_pv(actions: DataFrame, params: TaskParams) -> DataFrame:
+    first = params.page_flow[0]
+    return actions.agg(F.count(F.when(F.col("page_id") == first, 1)).alias("start_page_pv"))
+
+
+def page_split_pv(spark: SparkSession, visits: DataFrame, params: TaskParams) -> DataFrame:
+    """Pv of every split of the flow (0 when never taken)."""
+    return _split_pv(spark, paired_actions(_actions(visits, params)), params)
+
+
 def start_page_pv(visits: DataFrame, params: TaskParams) -> DataFrame:
     """Number of views of the flow's first page (one row)."""
-    first = params.page_flow[0]
-    return (_actions(visits, params)
-            .agg(F.count(F.when(F.col("page_id") == first, 1)).alias("start_page_pv")))
+    return _start_pv(_actions(visits, params), params)
 
 
 def page_convert_rate(spark: SparkSession, visits: DataFrame, params: TaskParams) -> DataFrame:
-    """One row per split: position, page_split, pv, convert_rate."""
-    splits = page_split_pv(spark, visits, params)
-    start = start_page_pv(visits, params).select(
+    """One row per split: position, page_split, pv, convert_rate.
+
+    Split counts and the start-page count read the same paired actions, so the
+    plan pairs (and shuffles) the actions once."""
+    paired = paired_actions(_actions(visits, params))
+    splits = _split_pv(spark, paired, params)
+    start = _start_pv(paired, params).select(
         F.lit(0).alias("position"), F.lit(None).cast("string").alias("page_split"),
         F.col("start_page_pv").alias("pv"))
     # Position 0 carries the start-page pv, so "previous pv" is a lag over the
