@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.check_oracle import TABLES, table_hash
+from tools.check_oracle import SPARK_TO_DUCK, TABLES, table_hash
 
 SF = "/root/testdata/sf0.001"
 KEYS = [k for k in E.queries() if not k.startswith("stream_")]
@@ -31,6 +31,8 @@ def test_key_matches_oracle(spark, con, key):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == {d[0]: str(d[1]) for d in res.description}
     assert len(srows) == len(drows)
     assert table_hash(df.columns, srows) == table_hash(dcols, drows)
 
