@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from visitlab.functions.dates import date_hour
 from visitlab.functions.numbers import int_div
 from visitlab.operators.broadcast import broadcast_fixed
+from visitlab.operators.topk import ensure_group_limit
 from visitlab.plans.sessions import DETAIL_COLUMNS
 from visitlab.session import checkpoint_root
 
@@ -61,6 +62,7 @@ def session_random_extract(sessions: DataFrame, n: int = 100, seed: int = 42,
     if materialize:
         checkpoint_root(sessions.sparkSession)
         sessions = sessions.checkpoint(eager=True)
+    ensure_group_limit(sessions.sparkSession, n)
     w = Window.partitionBy("date", "hour").orderBy("_rk", "session_id")
     # Rank first and cut at the literal bound n (partial WindowGroupLimit before
     # the shuffle), then meet the per-hour quota on at most n rows per hour.
