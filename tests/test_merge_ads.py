@@ -1,7 +1,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from conftest import rows
 from visitlab.operators import merge as MG
