@@ -97,3 +97,17 @@ def test_top3_literal_per_province_and_last_hour(spark):
                                   "date string, hour string, minute string, ad_id long, click_count long")
     got = rows(AD.trend_last_hour(trend, "2024-01-01 11:00:00"), ["hour", "minute"])
     assert got == [("2024-01-01", "10", "59", 1, 2), ("2024-01-01", "11", "00", 1, 7)]
+
+
+def test_hour_partitioned_upsert_rewrites_only_touched_hours(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="dph-"), "t")
+    schema = "minute string, ad_id long, click_count long, date string, hour string"
+    t = DatePartitionedTable(spark, path, schema, ("date", "hour"))
+    keys = ["date", "hour", "minute", "ad_id"]
+    cols = "date string, hour string, minute string, ad_id long, click_count long"
+    t.upsert_replace(spark.createDataFrame([("d1", "10", "00", 1, 1), ("d1", "11", "00", 1, 2)], cols), keys)
+    before = sorted(os.listdir(f"{path}/date=d1/hour=10"))
+    t.upsert_replace(spark.createDataFrame([("d1", "11", "00", 1, 5), ("d1", "11", "01", 1, 1)], cols), keys)
+    assert sorted(os.listdir(f"{path}/date=d1/hour=10")) == before  # untouched hour kept as is
+    got = rows(t.read().select(*keys, "click_count"), keys)
+    assert got == [("d1", "10", "00", 1, 1), ("d1", "11", "00", 1, 5), ("d1", "11", "01", 1, 1)]

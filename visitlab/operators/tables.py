@@ -1,6 +1,6 @@
 """Date-partitioned result tables with keyed upserts (no table format needed).
 
-An upsert touches only the partitions whose ``date`` occurs in the new rows:
+An upsert touches only the partitions (by default days) that occur in the new rows:
 those partitions are read, merged with the new rows, checkpointed (the lineage
 must not point at files about to be replaced) and written back with dynamic
 partition overwrite.  Cost per call is the size of the touched days, not of
@@ -26,12 +26,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 class DatePartitionedTable:
-    """Parquet table at ``path`` partitioned by ``date`` (a ``yyyy-MM-dd`` string)."""
+    """Parquet table at ``path`` partitioned by ``date`` (a ``yyyy-MM-dd`` string),
+    or by ``partition_cols`` starting with ``date`` for finer upsert units."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
+    def __init__(self, spark: SparkSession, path: str, schema: str,
+                 partition_cols: Sequence[str] = ("date",)):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
+        self.partition_cols = list(partition_cols)
 
     def read(self) -> DataFrame:
         if not path_exists(self.spark, self.path):
@@ -46,25 +49,40 @@ class DatePartitionedTable:
         # Distinct dates of one micro-batch: a handful of values.
         return sorted(r[0] for r in new.select("date").distinct().collect())
 
+    def _touched_filter(self, new: DataFrame):
+        """Literal predicate selecting the partitions ``new`` touches (a handful per
+        micro-batch), or None when ``new`` is empty."""
+        parts = [tuple(r) for r in new.select(*self.partition_cols).distinct().collect()]
+        if not parts:
+            return None
+        cond = None
+        for values in parts:
+            one = None
+            for c, v in zip(self.partition_cols, values):
+                term = F.col(c) == F.lit(v)
+                one = term if one is None else one & term
+            cond = one if cond is None else cond | one
+        return cond
+
     def _write(self, merged: DataFrame, columns: Sequence[str]) -> None:
         checkpoint_root(self.spark)  # make sure a checkpoint folder is set
         stable = merged.select(*columns).checkpoint(eager=True)
-        (stable.repartition("date").write.mode("overwrite")
+        (stable.repartition(*self.partition_cols).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date").parquet(self.path))
+         .partitionBy(*self.partition_cols).parquet(self.path))
 
     def upsert_replace(self, new: DataFrame, keys: Sequence[str]) -> None:
-        """K3 on the touched days: rows of ``new`` replace rows with the same key."""
-        dates = self.touched_dates(new)
-        if not dates:
+        """K3 on the touched partitions: rows of ``new`` replace rows with the same key."""
+        cond = self._touched_filter(new)
+        if cond is None:
             return
         cols = self.read().columns
-        self._write(merge_replace(self.read_dates(dates), new.select(*cols), keys), cols)
+        self._write(merge_replace(self.read().filter(cond), new.select(*cols), keys), cols)
 
     def replace_groups(self, new: DataFrame, group_keys: Sequence[str]) -> None:
-        """K5 on the touched days: groups present in ``new`` are replaced wholesale."""
-        dates = self.touched_dates(new)
-        if not dates:
+        """K5 on the touched partitions: groups present in ``new`` are replaced wholesale."""
+        cond = self._touched_filter(new)
+        if cond is None:
             return
         cols = self.read().columns
-        self._write(replace_group(self.read_dates(dates), new.select(*cols), group_keys), cols)
+        self._write(replace_group(self.read().filter(cond), new.select(*cols), group_keys), cols)

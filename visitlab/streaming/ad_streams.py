@@ -39,7 +39,9 @@ COUNT_SCHEMA = "date string, user_id long, ad_id long, click_count long, batch_i
 BLACKLIST_SCHEMA = "user_id long, block_ts_ms long, batch_id long"
 AD_STAT_SCHEMA = "province string, city string, ad_id long, click_count long, date string"
 TOP3_SCHEMA = "province string, ad_id long, click_count long, date string"
-TREND_SCHEMA = "hour string, minute string, ad_id long, click_count long, date string"
+TREND_SCHEMA = "minute string, ad_id long, click_count long, date string, hour string"
+# Trend updates are time-local (watermark 1 hour), so its upsert unit is one hour.
+TREND_PARTITIONS = ("date", "hour")
 
 
 def _start(writer, trigger: dict):
@@ -292,13 +294,14 @@ def trend_batch(spark: SparkSession, updated: DataFrame, path: str) -> None:
                           F.date_format("window.start", "mm").alias("minute"),
                           "ad_id", "click_count").persist()
     try:
-        DatePartitionedTable(spark, path, TREND_SCHEMA).upsert_replace(rows, ["date", "hour", "minute", "ad_id"])
+        DatePartitionedTable(spark, path, TREND_SCHEMA, TREND_PARTITIONS).upsert_replace(
+            rows, ["date", "hour", "minute", "ad_id"])
     finally:
         rows.unpersist()
 
 
 def trend_table(spark: SparkSession, path: str) -> DataFrame:
-    return DatePartitionedTable(spark, path, TREND_SCHEMA).read() \
+    return DatePartitionedTable(spark, path, TREND_SCHEMA, TREND_PARTITIONS).read() \
         .select("date", "hour", "minute", "ad_id", "click_count")
 
 
