@@ -42,11 +42,14 @@ def write_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
 
 
 def kafka_lines(spark: SparkSession, bootstrap_servers: str, topics: str,
-                starting_offsets: str = "latest") -> DataFrame:
-    """A Kafka topic list (comma separated) as a stream of ``value`` strings."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap_servers)
-            .option("subscribe", topics)
-            .option("startingOffsets", starting_offsets)
-            .load()
-            .select(F.col("value").cast("string").alias("value")))
+                starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """A Kafka topic list (comma separated) as a stream of ``value`` strings.
+
+    ``max_offsets_per_trigger`` caps a micro-batch (rate limiting after downtime)."""
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", bootstrap_servers)
+         .option("subscribe", topics)
+         .option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return r.load().select(F.col("value").cast("string").alias("value"))
