@@ -111,3 +111,20 @@ def test_hour_partitioned_upsert_rewrites_only_touched_hours(spark):
     assert sorted(os.listdir(f"{path}/date=d1/hour=10")) == before  # untouched hour kept as is
     got = rows(t.read().select(*keys, "click_count"), keys)
     assert got == [("d1", "10", "00", 1, 1), ("d1", "11", "00", 1, 5), ("d1", "11", "01", 1, 1)]
+
+
+def test_change_log_compaction(spark):
+    from visitlab.operators.tables import ChangeLog
+
+    path = os.path.join(tempfile.mkdtemp(prefix="cl-"), "t")
+    log = ChangeLog(spark, path, "k long, v long", ["k"], "v")
+    for b, data in enumerate([[(1, 1), (2, 1)], [(1, 2)], [(3, 1)], [(2, 5)]]):
+        log.write_batch(spark.createDataFrame(data, "k long, v long"), b)
+        if b == 2:
+            log.compact(1)
+            log.compact(1)  # a replayed compaction changes nothing
+    assert rows(log.current(), ["k"]) == [(1, 2), (2, 5), (3, 1)]
+    assert sorted(os.listdir(f"{path}/log")) == ["batch_id=2", "batch_id=3"]
+    log.compact(3)
+    assert rows(log.current(), ["k"]) == [(1, 2), (2, 5), (3, 1)]
+    assert not [d for d in os.listdir(f"{path}/log") if d.startswith("batch_id=")]

@@ -94,3 +94,15 @@ def test_running_totals_with_lateness_match(spark):
     got = AS.ad_stat_table(spark, stat)
     assert got.exceptAll(want.select(*got.columns)).count() == 0
     assert want.select(*got.columns).exceptAll(got).count() == 0
+
+
+def test_counts_log_compacted_every_batch(spark):
+    root = tempfile.mkdtemp(prefix="cmp-")
+    glob = _day_files(spark, root)
+    paths = AS.run_blacklist_stream(AS.text_stream(spark, glob, 1), f"{root}/out", f"{root}/ck",
+                                    threshold=3, compact_every=1)
+    want = AD.daily_user_ad_clicks(AD.parse_ad_log(spark.read.text(glob)))
+    got = AS.user_ad_click_counts(spark, paths)
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    assert want.select(*got.columns).exceptAll(got).count() == 0
+    assert len([d for d in os.listdir(f"{paths.counts}/log") if d.startswith("batch_id=")]) == 2  # batches 1, 2

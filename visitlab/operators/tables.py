@@ -86,3 +86,97 @@ class DatePartitionedTable:
             return
         cols = self.read().columns
         self._write(replace_group(self.read().filter(cond), new.select(*cols), group_keys), cols)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+class ChangeLog:
+    """Latest value per key, kept as per-batch change sets plus a compacted snapshot.
+
+    Each micro-batch writes the rows whose value changed under
+    ``<path>/log/batch_id=N`` (overwritten on replay).  :meth:`compact` folds all
+    batches up to M into ``<path>/snapshot/upto=M`` and then drops those batch
+    folders, so reads cost the snapshot plus the batches after it instead of
+    the whole history.  Compaction is replay-safe: a finished snapshot is never
+    rewritten, and the batch being processed is never folded in.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], value: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = schema  # the value columns, without batch_id
+        self.keys = list(keys)
+        self.value = value
+
+    @property
+    def log_path(self) -> str:
+        return f"{self.path}/log"
+
+    def _snapshots(self) -> list[int]:
+        fs, p = _fs(self.spark, f"{self.path}/snapshot")
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("upto=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+                out.append(int(name[len("upto="):]))
+        return sorted(out)
+
+    def write_batch(self, changed: DataFrame, batch_id: int) -> None:
+        (changed.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(self.log_path))
+
+    def _entries(self) -> DataFrame:
+        snaps = self._snapshots()
+        upto = snaps[-1] if snaps else -1
+        log_schema = f"{self.schema}, batch_id long"
+        if path_exists(self.spark, self.log_path):
+            log = self.spark.read.schema(log_schema).parquet(self.log_path).filter(F.col("batch_id") > upto)
+        else:
+            log = self.spark.createDataFrame([], log_schema)
+        if upto >= 0:
+            snap = (self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshot/upto={upto}")
+                    .withColumn("batch_id", F.lit(upto).cast("long")))
+            log = snap.unionByName(log)
+        return log
+
+    def current(self) -> DataFrame:
+        """Latest value of every key."""
+        return (self._entries().groupBy(*self.keys)
+                .agg(F.max_by(self.value, "batch_id").alias(self.value)))
+
+    def compact(self, upto: int) -> None:
+        """Fold batches <= ``upto`` into a snapshot, then drop their folders."""
+        snaps = self._snapshots()
+        if upto < 0 or (snaps and snaps[-1] >= upto):
+            self._drop_up_to(snaps[-1] if snaps else -1)
+            return
+        merged = self.current_up_to(upto)
+        merged.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
+        self._drop_up_to(upto)
+
+    def current_up_to(self, upto: int) -> DataFrame:
+        return (self._entries().filter(F.col("batch_id") <= upto).groupBy(*self.keys)
+                .agg(F.max_by(self.value, "batch_id").alias(self.value)))
+
+    def _drop_up_to(self, upto: int) -> None:
+        if upto < 0:
+            return
+        fs, p = _fs(self.spark, self.log_path)
+        if fs.exists(p):
+            for st in fs.listStatus(p):
+                name = st.getPath().getName()
+                if name.startswith("batch_id=") and int(name[len("batch_id="):]) <= upto:
+                    fs.delete(st.getPath(), True)
+        sfs, sp = _fs(self.spark, f"{self.path}/snapshot")
+        if sfs.exists(sp):
+            for st in sfs.listStatus(sp):
+                name = st.getPath().getName()
+                if name.startswith("upto=") and int(name[len("upto="):]) < upto:
+                    sfs.delete(st.getPath(), True)

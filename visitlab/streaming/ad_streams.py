@@ -29,13 +29,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlab.operators.tables import DatePartitionedTable, path_exists
+from visitlab.operators.tables import ChangeLog, DatePartitionedTable, path_exists
 from visitlab.plans import ads as AD
 from visitlab.session import checkpoint_root, scratch_path
 
 CLICK_SCHEMA = "ts_ms long, date string, province string, city string, user_id long, ad_id long"
 KEPT_SCHEMA = CLICK_SCHEMA + ", batch_id long"
-COUNT_SCHEMA = "date string, user_id long, ad_id long, click_count long, batch_id long"
+COUNT_SCHEMA = "date string, user_id long, ad_id long, click_count long"
+COUNT_KEYS = ["date", "user_id", "ad_id"]
+DEFAULT_COMPACT_EVERY = 100
 BLACKLIST_SCHEMA = "user_id long, block_ts_ms long, batch_id long"
 AD_STAT_SCHEMA = "province string, city string, ad_id long, click_count long, date string"
 TOP3_SCHEMA = "province string, ad_id long, click_count long, date string"
@@ -111,8 +113,13 @@ def _overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) ->
      .partitionBy(*partition_by).parquet(path))
 
 
+def counts_log(spark: SparkSession, paths: BlacklistPaths) -> ChangeLog:
+    return ChangeLog(spark, paths.counts, COUNT_SCHEMA, COUNT_KEYS, "click_count")
+
+
 def blacklist_update_batch(spark: SparkSession, updated: DataFrame, batch_id: int,
-                           paths: BlacklistPaths, threshold: int) -> None:
+                           paths: BlacklistPaths, threshold: int,
+                           compact_every: int | None = DEFAULT_COMPACT_EVERY) -> None:
     """foreachBatch body of the counting query (idempotent for a given batch_id).
 
     ``updated`` holds the current running totals of the (date, user, ad) keys
@@ -121,9 +128,10 @@ def blacklist_update_batch(spark: SparkSession, updated: DataFrame, batch_id: in
     updated = updated.persist()
     try:
         # K4: the change log of the per-(date, user, ad) totals; latest batch wins.
-        _overwrite_partitions(updated.select("date", "user_id", "ad_id", "click_count")
-                              .withColumn("batch_id", F.lit(batch_id).cast("long")),
-                              paths.counts, ["batch_id"])
+        log = counts_log(spark, paths)
+        log.write_batch(updated.select(*COUNT_KEYS, "click_count"), batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            log.compact(batch_id - 1)  # never folds in the batch being processed
         # One value: the newest event time seen among this batch's keys.
         block_ts = updated.agg(F.max("max_ts_ms")).first()[0]
         if block_ts is None:
@@ -153,7 +161,8 @@ def daily_counts(clicks: DataFrame, keys: list[str], lateness: str | None, *extr
 
 def run_blacklist_stream(lines: DataFrame, root: str, checkpoint: str,
                          threshold: int = AD.DEFAULT_BLACKLIST_THRESHOLD,
-                         trigger: dict | None = None, lateness: str | None = None) -> BlacklistPaths:
+                         trigger: dict | None = None, lateness: str | None = None,
+                         compact_every: int | None = DEFAULT_COMPACT_EVERY) -> BlacklistPaths:
     """R4, counting side: stateful running clicks per (date, user, ad) over the raw
     stream; users reaching ``threshold`` are appended to the blacklist with the
     batch's newest event time as their block time.
@@ -167,7 +176,8 @@ def run_blacklist_stream(lines: DataFrame, root: str, checkpoint: str,
     counts = daily_counts(AD.parse_ad_log(lines), ["user_id", "ad_id"], lateness,
                            F.max("ts_ms").alias("max_ts_ms"))
     q = _start(counts.writeStream.outputMode("update")
-               .foreachBatch(lambda df, bid: blacklist_update_batch(spark, df, bid, paths, threshold))
+               .foreachBatch(lambda df, bid: blacklist_update_batch(spark, df, bid, paths, threshold,
+                                                                    compact_every))
                .option("checkpointLocation", checkpoint), trigger)
     _finish(q, trigger)
     return paths
@@ -219,9 +229,7 @@ def kept_table(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
 
 def user_ad_click_counts(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
     """Current running total per (date, user, ad): the newest entry of the change log."""
-    log = _read_or_empty(spark, paths.counts, COUNT_SCHEMA)
-    return (log.groupBy("date", "user_id", "ad_id")
-            .agg(F.max_by("click_count", "batch_id").alias("click_count")))
+    return counts_log(spark, paths).current()
 
 
 # ---------------------------------------------------------------- R5 / R6 running totals + top 3
