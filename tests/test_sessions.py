@@ -107,3 +107,15 @@ def test_concat_skips_null_parts(spark):
 
     df = spark.createDataFrame([(None, "x"), (3, None), (4, "y")], "a long, b string")
     assert [r[0] for r in df.select(concat_sep("a", "b", ":")).collect()] == ["x", "3", "4:y"]
+
+
+def test_histogram_sums_on_real_data(spark):
+    from visitlab.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    sess = S.session_agg(t.visits())
+    r = S.session_aggr_counts(sess).first().asDict()
+    zero = sess.filter("visit_length = 0").count()
+    visit = sum(v for k, v in r.items() if k.startswith("visit_length_"))
+    step = sum(v for k, v in r.items() if k.startswith("step_length_"))
+    assert visit + zero == r["session_count"] and step == r["session_count"]

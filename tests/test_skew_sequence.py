@@ -82,3 +82,21 @@ def test_heavy_keys_bernoulli_sample(spark):
 
 def rows_of(df):
     return [r[0] for r in df.collect()]
+
+
+def test_with_previous_against_pandas(spark):
+    import random
+
+    import pandas as pd
+
+    rnd = random.Random(11)
+    data = [(rnd.choice(["a", "b", "c", None]), rnd.randint(0, 30), i, rnd.choice([None, 1, 2, 3]))
+            for i in range(400)]
+    df = spark.createDataFrame(data, "g string, t int, tie long, val int")
+    pdf = pd.DataFrame(data, columns=["g", "t", "tie", "val"]).sort_values(["t", "tie"])
+    pdf["prev"] = pdf.groupby("g", dropna=False)["val"].shift(1)
+    want = {r.tie: (None if pd.isna(r.prev) else int(r.prev)) for r in pdf.itertuples()}
+    for kw in ({"max_group_rows": None, "num_ranges": 7}, {"max_group_rows": 50, "num_ranges": 5},
+               {"skew_safe": False}):
+        got = {r.tie: r.prev for r in with_previous(df, ["g"], ["t", "tie"], "val", "prev", **kw).collect()}
+        assert got == want, kw
