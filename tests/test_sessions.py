@@ -119,3 +119,19 @@ def test_histogram_sums_on_real_data(spark):
     visit = sum(v for k, v in r.items() if k.startswith("visit_length_"))
     step = sum(v for k, v in r.items() if k.startswith("step_length_"))
     assert visit + zero == r["session_count"] and step == r["session_count"]
+
+
+def test_session_detail_isolates_hot_sessions(spark):
+    from visitlab.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    v = t.visits()
+    # one session holding a third of the actions
+    v = v.withColumn("session_id", F.when(F.col("action_id") % 3 == 0, F.lit("hot")).otherwise(F.col("session_id")))
+    sess = S.session_full_info(S.session_agg(v), t.users())
+    plain = S.session_detail(v, sess, max_group_rows=None)
+    iso = S.session_detail(v, sess, max_group_rows=50, salts=7)
+    assert plain.filter("session_id = 'hot'").count() > 50
+    assert iso.exceptAll(plain).count() == 0 and plain.exceptAll(iso).count() == 0
+    none_hot = S.session_detail(v, sess, max_group_rows=10**9)
+    assert none_hot.exceptAll(plain).count() == 0 and plain.exceptAll(none_hot).count() == 0
