@@ -12,11 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitlab.operators.broadcast import bounded_broadcast
 from visitlab.operators.topk import top_k_per_group
+from visitlab.session import checkpoint_root
 
 DEFAULT_BLACKLIST_THRESHOLD = 100
 
 CLICK_COLUMNS = ["ts_ms", "date", "province", "city", "user_id", "ad_id"]
+# Blocked users are few; up to this many they are broadcast to the click side.
+MAX_BROADCAST_USERS = 1_000_000
+
+
+def _small_user_side(df: DataFrame) -> DataFrame:
+    """A per-user table derived by aggregating on user_id.  Joined as is, Spark
+    would reuse that partitioning and a user with a third of the clicks would
+    land in one task (AQE cannot split it).  It is stored once (reliable
+    checkpoint), and broadcast after a size check; beyond the bound it stays a
+    shuffle join."""
+    checkpoint_root(df.sparkSession)
+    return bounded_broadcast(df.checkpoint(eager=True), MAX_BROADCAST_USERS)
 
 
 def parse_ad_log(lines: DataFrame) -> DataFrame:
@@ -52,7 +66,7 @@ def blacklist_users(daily_counts: DataFrame, threshold: int = DEFAULT_BLACKLIST_
 
 def blacklist_filter(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     """JN9: drop the clicks of blacklisted users (anti join)."""
-    return clicks.join(blacklist.select("user_id"), "user_id", "left_anti")
+    return clicks.join(_small_user_side(blacklist.select("user_id")), "user_id", "left_anti")
 
 
 def kept_clicks(clicks: DataFrame, threshold: int = DEFAULT_BLACKLIST_THRESHOLD) -> DataFrame:
@@ -62,8 +76,8 @@ def kept_clicks(clicks: DataFrame, threshold: int = DEFAULT_BLACKLIST_THRESHOLD)
     clicks (counts restart each day, and the user's earlier days are all kept),
     and the blacklist takes effect from the next batch: kept clicks are those
     on or before that day."""
-    block = (daily_user_ad_clicks(clicks).filter(F.col("click_count") >= threshold)
-             .groupBy("user_id").agg(F.min("date").alias("_block_day")))
+    block = _small_user_side(daily_user_ad_clicks(clicks).filter(F.col("click_count") >= threshold)
+                             .groupBy("user_id").agg(F.min("date").alias("_block_day")))
     return (clicks.join(block, "user_id", "left")
             .filter(F.col("_block_day").isNull() | (F.col("date") <= F.col("_block_day")))
             .drop("_block_day"))

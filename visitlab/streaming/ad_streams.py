@@ -29,6 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitlab.operators.broadcast import bounded_broadcast
 from visitlab.operators.tables import ChangeLog, DatePartitionedTable, path_exists
 from visitlab.plans import ads as AD
 from visitlab.session import checkpoint_root, scratch_path
@@ -200,7 +201,8 @@ def kept_clicks_batch(spark: SparkSession, lines: DataFrame, batch_id: int, path
     if path_exists(spark, f"{paths.kept}/batch_id={batch_id}"):
         return
     clicks = AD.parse_ad_log(lines).select(*AD.CLICK_COLUMNS)
-    bl = blacklist_with_block_time(spark, paths)
+    # Read from files, so the capped count of the size check is cheap.
+    bl = bounded_broadcast(blacklist_with_block_time(spark, paths), AD.MAX_BROADCAST_USERS)
     kept = (clicks.join(bl, "user_id", "left")
             .filter(F.col("block_ts_ms").isNull() | (F.col("ts_ms") <= F.col("block_ts_ms")))
             .select(*AD.CLICK_COLUMNS))
