@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from visitlab.llm import bloom
 from visitlab.llm.components import connected_components
 from visitlab.llm.scratch import store
-from visitlab.llm.textnp import mix, shingle_sets
+from visitlab.llm.textnp import mix, shingle_sets, small
 
 SKETCH_BITS = 22  # 4M counters: 32 MB while counting, 4 MB as broadcast ranks; raise it for larger corpora
 _CHUNK = 1 << 16  # counters per stored piece of a sketch
@@ -52,13 +52,21 @@ def _prefix_length(n: int, num: int, den: int) -> int:
 
 def _scan(k: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.int64)
+        counts, waiting = np.zeros(1 << bits, np.int64), []
         shift = np.uint64(64 - bits)
-        for b in batches:
+
+        def count() -> None:
+            if waiting:
+                counts[:] += np.bincount(np.concatenate(waiting), minlength=1 << bits)
+                waiting.clear()
+
+        for b in small(batches, "text"):
             sets = list(shingle_sets(b.column(1), k))
             size = np.array([len(s) for s in sets], np.int64)
             every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            counts += np.bincount((every >> shift).astype(np.int64), minlength=1 << bits)
+            waiting.append((every >> shift).astype(np.int32))
+            if sum(map(len, waiting)) > 1 << 21:
+                count()
             full = np.flatnonzero(size)
             at = np.concatenate([[0], np.cumsum(size[full])[:-1]]).astype(np.int64) if len(full) else full
             marks = []
@@ -70,6 +78,7 @@ def _scan(k: int, bits: int):
             none = pa.nulls(len(size))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), *marks, none.cast(pa.int32()),
                                               none.cast(pa.binary())], ["doc_id", "n", "fa", "fb", "chunk", "counts"])
+        count()
         pieces = [(i, counts[i * _CHUNK:(i + 1) * _CHUNK]) for i in range(max(1, len(counts) // _CHUNK))]
         pieces = [(i, zlib.compress(c.astype("<i8").tobytes(), 1)) for i, c in pieces if c.any()]
         if pieces:
@@ -99,7 +108,7 @@ def _ranks(scanned: DataFrame, bits: int) -> np.ndarray:
 def _prefixes(k: int, num: int, den: int, bits: int, ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, shift, cell = ranks.value, np.uint64(64 - bits), np.uint64((1 << 64) // CELLS)
-        for b in batches:
+        for b in small(batches, "text"):
             ids, sizes, grams, cells = [], [], [], []
             for doc_id, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1), k), strict=True):
                 if len(s) == 0 or doc_id is None:
@@ -178,7 +187,7 @@ def _suffix_filter(num: int, den: int):
 
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, "text"):
             sets = list(shingle_sets(b.column(1), k))
             at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)

@@ -31,6 +31,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def small(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``most`` bytes of text (or one row), so working memory stays small."""
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False)
+                         ) if b.num_rows else np.zeros(0)
+        a, done = 0, 0
+        while a < b.num_rows:
+            z = max(a + 1, int(np.searchsorted(size, done + most, side="right")))
+            yield b.slice(a, z - a)
+            a, done = z, size[z - 1]
+
+
 def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows and the row offsets into them; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
