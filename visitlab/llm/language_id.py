@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlab.llm.textnp import buffers
+from visitlab.llm.textnp import buffers, small
 
 BUCKETS = 1 << 13
 DIMS = 16
@@ -76,8 +76,8 @@ def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = buffers(column)
     n = len(offsets) - 1
     out = np.full(len(data) + n + 1, 32, np.uint8)
-    row = np.repeat(np.arange(n), np.diff(offsets))
-    out[np.arange(len(data)) + row + 1] = _FOLD[data]
+    for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True), 1):
+        out[a + i:b + i] = _FOLD[data[a:b]]
     return out, offsets + np.arange(n + 1)
 
 
@@ -232,7 +232,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
         names = np.array([*model.languages, UNKNOWN], dtype=object)
-        for b in batches:
+        for b in small(batches, "text"):
             if model.languages:
                 p, n = scores(b.column(1), model)
                 known = _lettered(b.column(1), n)
@@ -254,7 +254,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
-        for b in batches:
+        for b in small(batches, text_col):
             if model.languages:
                 text = b.column(text_col)
                 p, n = scores(text, model)

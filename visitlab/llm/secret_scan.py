@@ -306,6 +306,10 @@ def redact_secrets(docs: DataFrame, model: Model, text_col: str = "text", chars_
                           .otherwise(F.length(text_col)).cast(docs.schema[chars_col].dataType)).select(*docs.columns)
 
 
+def count_kind(found: str, kind: str) -> Column:
+    return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
+
+
 def digest(found: Column, base: tuple[str, ...]) -> tuple[Column, Column]:
     """(hex SHA-256 of the base spans, all spans) as kind:start:end strings, comma-joined."""
     def joined(x: Column) -> Column:
