@@ -216,7 +216,7 @@ def parse(transcripts: DataFrame, model: Model, conv_col: str = "conv_id", seq_c
     fragments in order always gives its canonical text.
 
     Null ids make one conversation "", null numbers are -1, null texts are one empty line; rows equal in
-    conversation and number are ordered by text.  Other columns are ignored; an empty table gives no rows.
+    conversation and number are ordered by text; of equally good paths any may come out.  Other columns are ignored; an empty table gives no rows.
     """
     shared = transcripts.sparkSession.sparkContext.broadcast(tuple(model))
     order = ["conv", "seq", "text"]

@@ -27,6 +27,7 @@ BUCKETS = 1 << 13
 DIMS = 16
 GRAMS = (2, 3, 4)
 MAX_DOCS = 2000
+SALTS = 256
 WINDOWS = (3, 8, 25, 80)  # words of the short training windows
 EPOCHS, BATCH, RATE = 8, 64, 0.5
 BOOST = 200  # embeddings learn faster: one subword is a small share of its text
@@ -180,8 +181,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                            F.col(lang_col).alias("lang")).where("lang is not null and doc_id is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id")
-    chosen = (labelled.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
+    # the first of each language by a hash, found within SALTS parts of the language before it is looked at whole
+    order = [F.xxhash64("doc_id", F.lit(5)), "doc_id"]
+    salt = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(SALTS))
+    within = F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))
+    chosen = (labelled.select("doc_id", "lang").withColumn("salt", salt).withColumn("place", within)
+              .where(F.col("place") <= max_docs)
+              .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
               .where(F.col("place") <= max_docs)
               .orderBy("place", "lang", "doc_id").limit(max_docs).select("doc_id").distinct())
     sample = labelled.where("text is not null").join(F.broadcast(chosen), "doc_id").orderBy("doc_id").limit(max_docs)
