@@ -27,6 +27,7 @@ from visitlab.operators import skew as SK  # noqa: E402
 from visitlab.plans import ads as AD  # noqa: E402
 from visitlab.plans import categories as C  # noqa: E402
 from visitlab.plans import funnel as FN  # noqa: E402
+from visitlab.plans import jobs as JB  # noqa: E402
 from visitlab.plans import products as PR  # noqa: E402
 from visitlab.plans import sampling as SM  # noqa: E402
 from visitlab.plans import sessions as S  # noqa: E402
@@ -305,7 +306,7 @@ def _sessions_users(spark, sf):
 
 def q_join_broadcast(spark, sf):
     sess, users = _sessions_users(spark, sf)
-    return S.session_full_info(sess, BC.bounded_broadcast(users, max_rows=1_000_000))
+    return S.session_full_info(sess, BC.bounded_broadcast(users, max_rows=1_000_000))  # counts one column of a scan
 
 
 def q_join_salted(spark, sf):
@@ -329,8 +330,15 @@ def q_join_skew_isolate(spark, sf):
 
 
 def q_agg_two_stage(spark, sf):
-    clicks = PR.click_product_basic(_clicks(spark, sf), _t(spark, sf).cities())
-    return SK.two_stage_agg(clicks, ["area", "product_id"], None, n=10, out="click_count")
+    t = _t(spark, sf)
+    clicks = (S.actions_in_range(t.visits(), P_AREA).filter(F.col("click_product_id").isNotNull())
+              .select("action_id", "city_id", F.col("click_product_id").alias("product_id")))
+    return SK.two_stage_agg(clicks.join(t.cities(), "city_id"), ["area", "product_id"], None, n=10, out="click_count",
+                            salt_by=["action_id"])
+
+
+def q_join_salted_sql(spark, sf):
+    return SQ.join_salted_sql(spark, _t(spark, sf), P_AREA.start_date, P_AREA.end_date, salts=10)
 
 
 def q_agg_two_stage_sql(spark, sf):
@@ -407,7 +415,7 @@ def q_replace_group(spark, sf):
 def q_lookup_total(spark, sf):
     c = _ad_clicks(spark, sf)
     totals = AD.daily_user_ad_clicks(_days(c, "2024-01-01", "2024-01-20"))
-    batch = AD.daily_user_ad_clicks(_days(c, "2024-01-16", "2024-01-25")) \
+    batch = AD.daily_user_ad_clicks(_days(c, "2024-01-16", "2024-01-31")) \
         .withColumnRenamed("click_count", "batch_count")
     return MG.lookup_total(batch, totals, ["date", "user_id", "ad_id"], "click_count", "prior_total")
 
@@ -422,70 +430,73 @@ def q_sink_append(spark, sf):
 
 
 # ---------------------------------------------------------------- ad clicks (J4), streaming
-# The stream input is the ad log laid out as one text file per day and read one
-# file per trigger; each run writes to fresh folders under the checkpoint root.
-# Runs are shared by the keys that read different outputs of the same job.
+# The stream input is the ad log laid out as one text file per day and read one file
+# per trigger.  The keys that read outputs of the one ad job share a run; a key called
+# again in the same session, or in another session, gets a fresh one.
 
 _RUNS: dict = {}
 
 
-def _replay_glob(spark, sf):
-    key = ("files", sf)
-    if key not in _RUNS:
-        out, _ = AS.new_run_dirs(spark, "ad_log_days")
-        _RUNS[key] = AS.write_day_files(spark, _t(spark, sf).ad_logs(), out)
-    return _RUNS[key]
-
-
-def _blacklist_run(spark, sf):
-    key = ("blacklist", sf, AD_THRESHOLD)
-    if key not in _RUNS:
-        out, ck = AS.new_run_dirs(spark, "blacklist")
-        glob = _replay_glob(spark, sf)
-        paths = AS.run_blacklist_stream(AS.text_stream(spark, glob, max_files_per_trigger=1),
-                                        out, ck, AD_THRESHOLD)
-        _RUNS[key] = AS.run_kept_stream(AS.text_stream(spark, glob, max_files_per_trigger=10),
-                                        paths, ck + "-kept")
-    return _RUNS[key]
-
-
-def _ad_stat_run(spark, sf):
-    key = ("ad_stat", sf, AD_THRESHOLD)
-    if key not in _RUNS:
-        out, ck = AS.new_run_dirs(spark, "ad_stat")
-        _RUNS[key] = AS.run_ad_stat_stream(AS.kept_stream(spark, _blacklist_run(spark, sf)), out, ck)
-    return _RUNS[key]
+def _ad_job(spark, sf, key):
+    at = (spark.sparkContext.applicationId, sf)
+    run = _RUNS.get(at)
+    if run is None or key in run[1]:
+        out, ck = AS.new_run_dirs(spark, "ad_job")
+        glob = AS.write_day_files(spark, _t(spark, sf).ad_logs(), f"{out}/days")
+        job = JB.start_ad_job(spark, AS.text_stream(spark, glob, max_files_per_trigger=1), out,
+                              AD_THRESHOLD, {"availableNow": True}, compact_every=10)
+        run = _RUNS[at] = (job.tables, set())
+    run[1].add(key)
+    return run[0]
 
 
 def q_stream_parse(spark, sf):
     out, ck = AS.new_run_dirs(spark, "parsed")
-    lines = AS.text_stream(spark, _replay_glob(spark, sf), max_files_per_trigger=10)
-    AS.run_parse_stream(lines, out, ck)
+    glob = AS.write_day_files(spark, _t(spark, sf).ad_logs(), f"{out}-days")
+    AS.run_parse_stream(AS.text_stream(spark, glob, max_files_per_trigger=10), out, ck)
     return spark.read.schema(AS.CLICK_SCHEMA).parquet(out)
 
 
 def q_stream_blacklist(spark, sf):
     """Per user: clicks kept by the dynamic blacklist, and whether the user ended blacklisted."""
-    paths = _blacklist_run(spark, sf)
-    kept = AS.kept_table(spark, paths).groupBy("user_id").agg(F.count(F.lit(1)).alias("kept_clicks"))
-    bl = AS.blacklist_table(spark, paths).withColumn("blacklisted", F.lit(True))
+    tables = _ad_job(spark, sf, "blacklist")
+    kept = AS.kept_table(tables).groupBy("user_id").agg(F.count(F.lit(1)).alias("kept_clicks"))
+    bl = AS.blacklist_table(tables).withColumn("blacklisted", F.lit(True))
     return (kept.join(bl, "user_id", "left")
             .select("user_id", "kept_clicks", F.coalesce("blacklisted", F.lit(False)).alias("blacklisted")))
 
 
+def q_stream_ad_job(spark, sf):
+    """The kept clicks of the whole job, as a user of ``start_ad_job`` reads them."""
+    return AS.kept_table(_ad_job(spark, sf, "ad_job"))
+
+
 def q_stream_ad_stat(spark, sf):
-    return AS.ad_stat_table(spark, _ad_stat_run(spark, sf))
+    return AS.ad_stat_table(_ad_job(spark, sf, "ad_stat"))
 
 
 def q_stream_province_top3(spark, sf):
-    return AS.province_top3_table(spark, _ad_stat_run(spark, sf))
+    return AS.province_top3_table(_ad_job(spark, sf, "top3"))
 
 
 def q_stream_click_trend(spark, sf):
-    out, ck = AS.new_run_dirs(spark, "click_trend")
-    lines = AS.text_stream(spark, _replay_glob(spark, sf), max_files_per_trigger=10)
-    AS.run_click_trend_stream(lines, out, ck)
-    return AS.trend_table(spark, out)
+    return AS.trend_table(_ad_job(spark, sf, "trend"))
+
+
+def q_trend_last_hour(spark, sf):
+    """The trend of the hour before the newest click (one value read first)."""
+    c = _ad_clicks(spark, sf)
+    newest = c.agg(F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    return AD.trend_last_hour(AD.ad_click_trend(c), newest)
+
+
+def q_ad_log_rejects(spark, sf):
+    """Rejected lines per reason when the raw event payloads, of clicks without a number in front,
+    are mixed into the ad log."""
+    t = _t(spark, sf)
+    number = F.when(F.col("event_type") != "click", F.col("event_id").cast("string"))
+    return AD.reject_counts(t.ad_logs().select("value").unionByName(
+        t.raw("events").select(F.concat_ws(" ", number, "props").alias("value"))))
 
 
 # ---------------------------------------------------------------- contract
@@ -534,6 +545,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_skew_isolate": q_join_skew_isolate,
     "agg_two_stage": q_agg_two_stage,
     "agg_two_stage_sql": q_agg_two_stage_sql,
+    "join_salted_sql": q_join_salted_sql,
     "ad_log_parse": q_ad_log_parse,
     "daily_user_ad_clicks": q_daily_user_ad_clicks,
     "blacklist_users": q_blacklist_users,
@@ -542,6 +554,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "province_ad_clicks": q_province_ad_clicks,
     "ad_province_top3": q_ad_province_top3,
     "ad_click_trend": q_ad_click_trend,
+    "trend_last_hour": q_trend_last_hour,
+    "ad_log_rejects": q_ad_log_rejects,
     "merge_replace": q_merge_replace,
     "merge_add": q_merge_add,
     "replace_group": q_replace_group,
@@ -549,6 +563,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_append": q_sink_append,
     "stream_parse": q_stream_parse,
     "stream_blacklist": q_stream_blacklist,
+    "stream_ad_job": q_stream_ad_job,
     "stream_ad_stat": q_stream_ad_stat,
     "stream_province_top3": q_stream_province_top3,
     "stream_click_trend": q_stream_click_trend,

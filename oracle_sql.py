@@ -8,7 +8,11 @@ them to HUGEINT), ratios use the exact integer half-up rule.
 
 from __future__ import annotations
 
-from visitlab.sources.tables import EPOCH_2024, SEARCH_KEYWORDS, SESSION_SPANS, SESSION_WINDOWS
+# Fixed values of the fixture (FIXTURES.md §3), written out so that a wrong constant in the library shows.
+EPOCH_2024 = 1704067200
+SEARCH_KEYWORDS = ["火锅", "蛋糕", "重庆辣子鸡", "重庆小面", "呷哺呷哺", "新辣道鱼火锅", "国贸大厦", "太古商场", "日本料理", "温泉"]
+SESSION_WINDOWS = [86400, 259200, 864000, 2592000]
+SESSION_SPANS = [2, 5, 8, 20, 50, 150, 500, 1500, 5000, 40000]
 
 
 def _list(values) -> str:
@@ -361,7 +365,15 @@ SELECT ci.area, v.click_product_id AS product_id, count(*) AS click_count
 FROM visits v JOIN cities ci ON v.city_id = ci.city_id
 WHERE v.click_product_id IS NOT NULL AND v.date BETWEEN '2024-01-01' AND '2024-01-31'
 GROUP BY ci.area, v.click_product_id"""
-    o["agg_two_stage_sql"] = o["agg_two_stage"]
+    o["agg_two_stage_sql"] = """
+SELECT ci.area, v.click_product_id AS product_id, count(*) AS click_count,
+       array_to_string(list_sort(list_distinct(list(CAST(ci.city_id AS VARCHAR) || ':' || ci.city_name))), ',') AS city_infos
+FROM visits v JOIN cities ci ON v.city_id = ci.city_id
+WHERE v.click_product_id IS NOT NULL AND v.date BETWEEN '2024-01-01' AND '2024-01-31'
+GROUP BY ci.area, v.click_product_id"""
+    o["join_salted_sql"] = f"""
+SELECT a.area, a.product_id, a.click_count, p.product_name, {PRODUCT_STATUS_SQL} AS product_status
+FROM ({o["agg_two_stage"]}) a JOIN products p ON a.product_id = p.product_id"""
     return o
 
 
@@ -419,7 +431,7 @@ SELECT * FROM ({t_old}) o WHERE NOT EXISTS (
 UNION ALL SELECT * FROM ({t_new}) n2"""
     o["lookup_total"] = f"""
 SELECT b.date, b.user_id, b.ad_id, b.click_count AS batch_count, coalesce(t.click_count, 0) AS prior_total
-FROM ({_daily_sql('2024-01-16', '2024-01-25')}) b
+FROM ({_daily_sql('2024-01-16', '2024-01-31')}) b
 LEFT JOIN ({_daily_sql('2024-01-01', '2024-01-20')}) t
   ON b.date = t.date AND b.user_id = t.user_id AND b.ad_id = t.ad_id"""
     o["sink_append"] = _daily_sql("2024-01-01", "2024-01-31")
@@ -438,6 +450,15 @@ FROM ({kept}) k LEFT JOIN ({block}) b ON k.user_id = b.user_id GROUP BY k.user_i
     o["stream_ad_stat"] = kept_stat
     o["stream_province_top3"] = _top3_sql(kept_stat)
     o["stream_click_trend"] = o["ad_click_trend"]
+    o["stream_ad_job"] = f"SELECT ts_ms, date, province, city, user_id, ad_id FROM ({kept}) k"
+    minute = "CAST(date || ' ' || hour || ':' || minute AS TIMESTAMP)"
+    newest = "(SELECT make_timestamp((max(ts_ms) // 1000) * 1000000) FROM ad_clicks)"
+    o["trend_last_hour"] = f"""
+SELECT * FROM ({o["ad_click_trend"]}) t
+WHERE {minute} > {newest} - INTERVAL 60 MINUTE AND {minute} <= {newest}"""
+    o["ad_log_rejects"] = """
+SELECT CASE WHEN event_type = 'click' THEN 'no_time' ELSE 'no_user' END AS reason, count(*) AS lines
+FROM events GROUP BY 1"""
     return o
 
 

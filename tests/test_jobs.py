@@ -42,17 +42,24 @@ def test_page_and_product_jobs(spark):
     assert top.exceptAll(want).count() == 0 and want.exceptAll(top).count() == 0
 
 
-def test_ad_job_counting_and_trend(spark):
+def test_ad_job_is_the_closed_form(spark):
+    """One file (day) per trigger at threshold 3 on sf0.01: every output equals its batch form."""
     root = tempfile.mkdtemp(prefix="adjob-")
-    glob = AS.write_day_files(spark, Tables(spark, SF).ad_logs(), os.path.join(root, "days"))
-    job = J.start_ad_job(spark, AS.text_stream(spark, glob, 1), f"{root}/out", threshold=2,
-                         trigger={"availableNow": True})
-    for q in job.queries:
-        q.awaitTermination()
+    glob = AS.write_day_files(spark, Tables(spark, "/root/testdata/sf0.01").ad_logs(), os.path.join(root, "days"))
+    job = J.start_ad_job(spark, AS.text_stream(spark, glob, 1), f"{root}/out", threshold=3,
+                         trigger={"availableNow": True}, compact_every=4)
     clicks = AD.parse_ad_log(spark.read.text(glob))
-    want_bl = AD.blacklist_users(AD.daily_user_ad_clicks(clicks), 2)
-    got_bl = AS.blacklist_table(spark, job.blacklist)
-    assert got_bl.exceptAll(want_bl).count() == 0 and want_bl.exceptAll(got_bl).count() == 0
-    trend = AS.trend_table(spark, job.trend_path)
-    want = AD.ad_click_trend(clicks)
-    assert trend.exceptAll(want).count() == 0 and want.exceptAll(trend).count() == 0
+    want = AD.kept_clicks(clicks, 3)
+    kept = AS.kept_table(job.tables)
+    assert kept.count() == 8272 and _same(kept, want.select(*AD.CLICK_COLUMNS))
+    stat = AS.ad_stat_table(job.tables)
+    assert stat.count() == 4944 and _same(stat, AD.ad_stat(want))
+    assert _same(AS.province_top3_table(job.tables), AD.ad_province_top3(AD.ad_stat(want)))
+    assert _same(AS.blacklist_table(job.tables), AD.blacklist_users(AD.daily_user_ad_clicks(clicks), 3))
+    assert _same(AS.trend_table(job.tables), AD.ad_click_trend(clicks))
+    assert job.tables.rejects.read().count() == 0
+
+
+def _same(a, b):
+    b = b.select(*a.columns)
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -1,6 +1,7 @@
 import os
 import tempfile
 
+from pyspark.sql import functions as F
 
 from conftest import rows
 from visitlab.operators import merge as MG
@@ -25,13 +26,28 @@ def test_merge_replace_add_group_lookup(spark):
     assert rows(look, keys) == [("d1", "P", "c", 1, 5), ("d2", "P", "c", 1, 0)]
 
 
-def test_versioned_table(spark):
-    root = tempfile.mkdtemp(prefix="vt-")
-    t = MG.VersionedTable(spark, root, schema="k long")
-    assert t.read().count() == 0
-    assert t.write(spark.range(3).toDF("k")) == 1
-    assert t.write(t.read().union(spark.range(3, 5).toDF("k"))) == 2
-    assert t.read().count() == 5 and t.versions() == [1, 2]
+def test_null_keys_merge_once(spark):
+    x = spark.createDataFrame([(None, "P", "c", 1, 5), ("d1", None, "c", None, 1), ("d1", "P", "c", 2, 2)], STAT)
+    keys = ["date", "province", "city", "ad_id"]
+    assert MG.merge_replace(x, x, keys).count() == 3
+    assert MG.replace_group(x, x, ["date", "province"]).count() == 3
+    assert rows(MG.lookup_total(x.select(*keys), x, keys, "click_count", "t").select("t"), ["t"]) == [(1,), (2,), (5,)]
+    path = os.path.join(tempfile.mkdtemp(prefix="nul-"), "t")
+    t = DatePartitionedTable(spark, path, "province string, city string, ad_id long, click_count long, date string")
+    t.upsert_replace(x, keys)
+    t.upsert_replace(x.withColumn("click_count", F.col("click_count") + 10), keys)
+    assert rows(t.read().select("click_count"), ["click_count"]) == [(11,), (12,), (15,)]
+    t.replace_groups(x.filter("date is null"), ["date"])
+    assert rows(t.read().select("click_count"), ["click_count"]) == [(5,), (11,), (12,)]
+
+
+def test_one_day_upsert_is_written_by_several_tasks(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="day-"), "t")
+    t = DatePartitionedTable(spark, path, "ad_id long, click_count long, date string")
+    day = spark.range(0, 20_000, 1, 8).select(F.col("id").alias("ad_id"), F.lit(1).cast("long").alias("click_count"),
+                                              F.lit("d1").alias("date"))
+    t.upsert_replace(day, ["date", "ad_id"])
+    assert len([f for f in os.listdir(f"{path}/date=d1") if f.endswith(".parquet")]) > 1 and t.read().count() == 20_000
 
 
 def test_date_partitioned_upsert_is_idempotent(spark):
@@ -113,18 +129,38 @@ def test_hour_partitioned_upsert_rewrites_only_touched_hours(spark):
     assert got == [("d1", "10", "00", 1, 1), ("d1", "11", "00", 1, 5), ("d1", "11", "01", 1, 1)]
 
 
-def test_change_log_compaction(spark):
-    from visitlab.operators.tables import ChangeLog
-
-    path = os.path.join(tempfile.mkdtemp(prefix="cl-"), "t")
-    log = ChangeLog(spark, path, "k long, v long", ["k"], "v")
-    for b, data in enumerate([[(1, 1), (2, 1)], [(1, 2)], [(3, 1)], [(2, 5)]]):
-        log.write_batch(spark.createDataFrame(data, "k long, v long"), b)
-        if b == 2:
-            log.compact(1)
-            log.compact(1)  # a replayed compaction changes nothing
-    assert rows(log.current(), ["k"]) == [(1, 2), (2, 5), (3, 1)]
-    assert sorted(os.listdir(f"{path}/log")) == ["batch_id=2", "batch_id=3"]
-    log.compact(3)
-    assert rows(log.current(), ["k"]) == [(1, 2), (2, 5), (3, 1)]
-    assert not [d for d in os.listdir(f"{path}/log") if d.startswith("batch_id=")]
+def test_logs_fold_replay_and_compact(spark):
+    from visitlab.operators.tables import AdditiveLog, BatchLog, ChangeLog, GroupLog
+
+    schema = "k long, v long"
+    batches = [[(1, 1), (2, 1)], [(1, 2)], [(3, 1), (None, 4)], [(2, 5), (None, 1)]]
+    want = {ChangeLog: [(None, 1), (1, 2), (2, 5), (3, 1)], AdditiveLog: [(None, 5), (1, 3), (2, 6), (3, 1)],
+            GroupLog: [(None, 1), (1, 2), (2, 5), (3, 1)], BatchLog: sorted(sum(batches, []), key=str)}
+    for kind, expected in want.items():
+        path = os.path.join(tempfile.mkdtemp(prefix="log-"), "t")
+        more = [] if kind is BatchLog else [["k"]] if kind is GroupLog else [["k"], "v"]
+        log = kind(spark, path, schema, *more)
+        read = (lambda log=log: log.read()) if kind is BatchLog else (lambda log=log: log.current())
+        assert read().count() == 0
+        for b, data in enumerate(batches):
+            for _ in range(2):  # every batch is replayed once
+                log.write_batch(spark.createDataFrame(data, schema), b)
+            if b == 2:
+                log.compact(1)
+                log.compact(1)  # a replayed compaction changes nothing
+        assert sorted(rows(read()), key=str) == sorted(expected, key=str), kind
+        assert sorted(d for d in os.listdir(f"{path}/log") if d.startswith("batch")) == ["batch_id=2", "batch_id=3"]
+        # a crash between writing a segment and dropping its batches: the folders are ignored
+        log.write_batch(spark.createDataFrame([(1, 99)], schema), 0)
+        assert sorted(rows(read()), key=str) == sorted(expected, key=str), kind
+        log.compact(3)
+        assert sorted(rows(read()), key=str) == sorted(expected, key=str), kind
+        assert not [d for d in os.listdir(f"{path}/log") if d.startswith("batch_id=")]
+
+
+def test_split_lines_counts_every_bad_line(spark):
+    lines = _lines(spark, ["1704067200000 P1 N 1 1", "garbage", "1704067200000 P1 N x 1", "1704067200000 P1 N 1", "", None])
+    clicks, rejects = AD.split_lines(lines)
+    assert clicks.count() == 1
+    assert rows(AD.reject_counts(lines), ["reason"]) == [("no_ad", 1), ("no_time", 3), ("no_user", 1)]
+    assert "garbage" in [r.value for r in rejects.collect()]

@@ -121,7 +121,7 @@ def test_histogram_sums_on_real_data(spark):
     assert visit + zero == r["session_count"] and step == r["session_count"]
 
 
-def test_session_detail_isolates_hot_sessions(spark):
+def test_session_detail_splits_a_hot_session(spark):
     from visitlab.sources.tables import Tables
 
     t = Tables(spark, "/root/testdata/sf0.001")
@@ -129,9 +129,23 @@ def test_session_detail_isolates_hot_sessions(spark):
     # one session holding a third of the actions
     v = v.withColumn("session_id", F.when(F.col("action_id") % 3 == 0, F.lit("hot")).otherwise(F.col("session_id")))
     sess = S.session_full_info(S.session_agg(v), t.users())
-    plain = S.session_detail(v, sess, max_group_rows=None)
-    iso = S.session_detail(v, sess, max_group_rows=50, salts=7)
-    assert plain.filter("session_id = 'hot'").count() > 50
-    assert iso.exceptAll(plain).count() == 0 and plain.exceptAll(iso).count() == 0
-    none_hot = S.session_detail(v, sess, max_group_rows=10**9)
-    assert none_hot.exceptAll(plain).count() == 0 and plain.exceptAll(none_hot).count() == 0
+    got = S.session_detail(v, sess)
+    want = v.join(sess.select("session_id"), "session_id", "left_semi").select(*S.DETAIL_COLUMNS)
+    assert got.filter("session_id = 'hot'").count() > 50
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, x in conf.items():
+            spark.conf.set(k, x)
+        split = S.session_detail(v.repartition(8), sess)
+        split.collect()
+        assert "isSkewJoin=true" in split._jdf.queryExecution().toString() or "skew=true" in \
+            split._jdf.queryExecution().toString()
+    finally:
+        for k, x in old.items():
+            spark.conf.unset(k) if x is None else spark.conf.set(k, x)

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from visitlab.operators import skew as SK
@@ -37,12 +38,38 @@ def test_skew_isolate_join_equals_plain(spark):
     assert _same(SK.skew_isolate_join(big, small, "k", heavy, n=11).select(*plain.columns), plain)
 
 
+def test_skew_joins_without_auto_broadcast(spark):
+    """The salted shuffle itself runs, and nothing unchecked is broadcast."""
+    big, small = _skewed(spark), _small(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = big.join(small, "k")
+        salted = SK.salted_join(big, small, "k", n=7)
+        isolated = SK.skew_isolate_join(big, small, "k", big.select("k").distinct(), n=5, max_heavy=1)
+        for df in (salted, isolated):
+            assert _same(df.select(*plain.columns), plain)
+            assert "Broadcast" not in df._jdf.queryExecution().sparkPlan().toString()
+            assert "strategy=broadcast" not in df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_two_stage_agg_equals_plain(spark):
     big = _skewed(spark)
     plain = big.groupBy("k").agg(F.sum("v").alias("total"))
-    assert _same(SK.two_stage_agg(big, ["k"], "v", n=9), plain)
+    assert _same(SK.two_stage_agg(big, ["k"], "v", n=9, salt_by=["rid"]), plain)
     cnt = big.groupBy("k").agg(F.count(F.lit(1)).alias("total"))
-    assert _same(SK.two_stage_agg(big, ["k"], None, n=9), cnt)
+    assert _same(SK.two_stage_agg(big, ["k"], None, n=9, salt_by=["rid"]), cnt)
+    with pytest.raises(ValueError):
+        SK.two_stage_agg(big, ["k"], None, salt_by=["k"])
+
+
+def test_two_stage_agg_spreads_equal_rows_and_keeps_the_set(spark):
+    df = spark.range(100_000).select(F.lit("hot").alias("k"), F.concat(F.lit("c"), F.col("id") % 3).alias("city"), "id")
+    assert df.select(SK.salt_column(df, 10, ["id"])).distinct().count() == 10
+    got = SK.two_stage_agg(df, ["k"], None, n=10, salt_by=["id"], collect="city").first()
+    assert (got.total, got.citys) == (100_000, "c0,c1,c2")
 
 
 def test_hash_sample_is_deterministic(spark):

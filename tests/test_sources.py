@@ -63,11 +63,19 @@ def test_sql_functions(spark):
         SELECT concat_long_string(3, 'x', ':') AS a,
                get_json_field('{"product_status": 0}', 'product_status') AS b,
                get_json_field('bad', 'product_status') AS c,
-               remove_random_prefix(random_prefix('abc', 10)) AS d,
+               remove_random_prefix(random_prefix('abc', 10, 'r')) AS d,
                trim_comma(',1,2,') AS e,
                get_field('sessionid=s1|clickCategoryIds=|age=3', 'clickCategoryIds') AS f,
                get_field('sessionid=s1|age=3', 'age') AS g,
                date_hour('2024-01-02 07:08:09') AS h,
-               CAST(substring_index(random_prefix('abc', 10), '_', 1) AS INT) BETWEEN 0 AND 9 AS i
+               CAST(substring_index(random_prefix('abc', 10, 'r'), '_', 1) AS INT) BETWEEN 0 AND 9 AS i
     """).first()
     assert tuple(r) == ("3:x", "0", None, "abc", "1,2", None, "3", "2024-01-02_07", True)
+
+
+def test_random_prefix_spreads_equal_values(spark):
+    from visitlab.functions.sql_functions import register_sql_functions
+
+    register_sql_functions(spark)
+    n = spark.sql("SELECT count(DISTINCT random_prefix('hot', 10, CAST(id AS STRING))) AS n FROM range(1000)").first().n
+    assert n == 10

@@ -1,8 +1,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
-
 from conftest import rows
 from visitlab.plans import ads as AD
 from visitlab.streaming import ad_streams as AS
@@ -11,98 +9,91 @@ DAY = 86_400_000
 T0 = 1704067200000
 
 
-def _day_files(spark, root):
-    lines = []
+def _files(spark, root, days):
+    """One text file per list of lines, read in that order."""
+    df = spark.createDataFrame([(v, f"{i:03d}") for i, lines in enumerate(days) for v in lines], "value string, day string")
+    return AS.write_day_files(spark, df, os.path.join(root, "days"))
+
+
+def _day_lines():
+    days = []
     for d in range(3):
         base = T0 + d * DAY
         # user 1: 3 clicks on ad 1 on day 0 -> blocked from day 1
-        n1 = 3 if d == 0 else 1
-        lines += [(f"{base + i} P1 N 1 1", f"2024-01-0{d + 1}") for i in range(n1)]
-        lines += [(f"{base + 10 + i} P2 M 2 {i % 2}", f"2024-01-0{d + 1}") for i in range(2)]
-    df = spark.createDataFrame(lines, "value string, day string")
-    return AS.write_day_files(spark, df, os.path.join(root, "days"))
+        lines = [f"{base + i} P1 N 1 1" for i in range(3 if d == 0 else 1)]
+        days.append(lines + [f"{base + 10 + i} P2 M 2 {i % 2}" for i in range(2)])
+    return days
 
 
-def test_blacklist_stream_matches_closed_form(spark):
+def _same(a, b):
+    b = b.select(*a.columns)
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_ad_stream_filters_then_counts(spark):
     root = tempfile.mkdtemp(prefix="bl-")
-    glob = _day_files(spark, root)
-    paths = AS.run_blacklist_stream(AS.text_stream(spark, glob, 1), f"{root}/out", f"{root}/ck", threshold=3)
-    AS.run_kept_stream(AS.text_stream(spark, glob, 2), paths, f"{root}/ck-kept")
-    totals = AS.user_ad_click_counts(spark, paths)
-    assert rows(totals.filter("user_id = 1"), ["date"]) == [("2024-01-01", 1, 1, 3), ("2024-01-02", 1, 1, 1),
-                                                             ("2024-01-03", 1, 1, 1)]
-    assert rows(AS.blacklist_table(spark, paths)) == [(1,)]
-    kept = AS.kept_table(spark, paths)
-    assert kept.filter("user_id = 1").count() == 3  # days 1 and 2 dropped
-    batch = AD.kept_clicks(AD.parse_ad_log(spark.read.text(glob)), 3).select(*AD.CLICK_COLUMNS)
-    assert kept.exceptAll(batch).count() == 0 and batch.exceptAll(kept).count() == 0
-
-    stat = AS.run_ad_stat_stream(AS.kept_stream(spark, paths), f"{root}/stat", f"{root}/ck2")
-    got = AS.ad_stat_table(spark, stat)
-    assert rows(got.filter("province = 'P1'")) == [("2024-01-01", "P1", "N", 1, 3)]
-    top = AS.province_top3_table(spark, stat)
+    glob = _files(spark, root, _day_lines())
+    tables, _ = AS.run_ad_stream(AS.text_stream(spark, glob, 1), f"{root}/out", f"{root}/ck", threshold=3)
+    assert rows(AS.blacklist_table(tables)) == [(1,)]
+    assert rows(tables.counts.current().filter("user_id = 1")) == [("2024-01-01", 1, 1, 3)]  # later days were dropped
+    assert _same(AS.kept_table(tables), AD.kept_clicks(AD.parse_ad_log(spark.read.text(glob)), 3))
+    assert rows(AS.ad_stat_table(tables).filter("province = 'P1'")) == [("2024-01-01", "P1", "N", 1, 3)]
+    top = AS.province_top3_table(tables)
     assert top.count() == 7  # 3 days x P2 (2 ads), plus P1 on day 1
     assert rows(top.filter("province = 'P2' AND date = '2024-01-02'").select("ad_id", "click_count"),
                 ["ad_id"]) == [(0, 1), (1, 1)]
 
 
-def test_replayed_batch_is_idempotent(spark):
-    root = tempfile.mkdtemp(prefix="bl2-")
-    paths = AS.BlacklistPaths(f"{root}/out")
-    upd = spark.createDataFrame([("2024-01-01", 1, 1, 4, T0 + 9), ("2024-01-01", 2, 1, 1, T0 + 5)],
-                                "date string, user_id long, ad_id long, click_count long, max_ts_ms long")
-    for _ in range(2):  # batch 0 and its replay
-        AS.blacklist_update_batch(spark, upd, 0, paths, threshold=3)
-    bl = AS.blacklist_with_block_time(spark, paths)
-    assert rows(bl) == [(1, T0 + 9)]
-    # a later batch where user 1 is hot again adds nothing
-    AS.blacklist_update_batch(spark, upd, 1, paths, threshold=3)
-    assert rows(AS.blacklist_with_block_time(spark, paths)) == [(1, T0 + 9)]
-    lines = spark.createDataFrame([(f"{T0 + i} P1 N {u} 1",) for i in range(8, 12) for u in (1, 2)], "value string")
-    AS.kept_clicks_batch(spark, lines, 0, paths)
-    kept = AS.kept_table(spark, paths)
-    assert kept.filter("user_id = 1").count() == 2 and kept.filter("user_id = 2").count() == 4
-    files = sorted(os.listdir(f"{paths.kept}/batch_id=0"))
-    # user 2 gets blocked meanwhile; the replay of kept batch 0 must not rewrite its files
-    hot2 = upd.filter("user_id = 2").withColumn("click_count", F.lit(5).cast("long"))
-    AS.blacklist_update_batch(spark, hot2, 2, paths, threshold=3)
-    AS.kept_clicks_batch(spark, lines, 0, paths)
-    assert sorted(os.listdir(f"{paths.kept}/batch_id=0")) == files
-    assert AS.kept_table(spark, paths).filter("user_id = 2").count() == 4
-    assert rows(AS.user_ad_click_counts(spark, paths), ["user_id"]) == [("2024-01-01", 1, 1, 4),
-                                                                      ("2024-01-01", 2, 1, 5)]
-
-
-def test_click_trend_stream_equals_batch(spark):
+def test_bad_lines_are_set_aside_and_the_stream_goes_on(spark):
+    root = tempfile.mkdtemp(prefix="bad-")
+    days = [[f"{T0} P1 N 1 1", "garbage"], ["", f"{T0 + DAY} P1 N x 1", f"{T0 + DAY} P1 N 2 7"]]
+    tables, _ = AS.run_ad_stream(AS.text_stream(spark, _files(spark, root, days), 1), f"{root}/out", f"{root}/ck")
+    assert AS.kept_table(tables).count() == 2 and AS.ad_stat_table(tables).count() == 2
+    assert sorted(r.reason for r in tables.rejects.read().collect()) == ["no_time", "no_time", "no_user"]
+
+
+def test_a_future_click_changes_nothing_for_others(spark):
+    root = tempfile.mkdtemp(prefix="fut-")
+    days = _day_lines()
+    days[0].append("4102444800000 P9 Z 9 9")  # the year 2100
+    glob = _files(spark, root, days)
+    tables, _ = AS.run_ad_stream(AS.text_stream(spark, glob, 1), f"{root}/out", f"{root}/ck", threshold=3)
+    assert AS.kept_table(tables).filter("user_id = 1").count() == 3
+    assert AS.kept_table(tables).filter("user_id = 9").count() == 1
+
+
+def test_replayed_batches_leave_the_same_tables(spark):
+    root = tempfile.mkdtemp(prefix="rep-")
+    tables = AS.AdTables(spark, f"{root}/out")
+    batches = [spark.createDataFrame([(v,) for v in lines], "value string") for lines in _day_lines()]
+
+    def state():
+        return [sorted(map(tuple, t.collect()), key=str) for t in (
+            AS.kept_table(tables), tables.counts.current(), AS.blacklist_table(tables), AS.ad_stat_table(tables),
+            AS.province_top3_table(tables), AS.trend_table(tables), tables.rejects.read())]
+
+    for i, b in enumerate(batches):
+        AS.process_batch(spark, b, i, tables, threshold=3, compact_every=1)
+        once = state()
+        AS.process_batch(spark, b, i, tables, threshold=3, compact_every=1)
+        assert state() == once
+    assert AS.kept_table(tables).filter("user_id = 1").count() == 3
+
+
+def test_trend_keeps_late_clicks(spark):
     root = tempfile.mkdtemp(prefix="tr-")
-    glob = _day_files(spark, root)
-    out = AS.run_click_trend_stream(AS.text_stream(spark, glob, 1), f"{root}/trend", f"{root}/ck")
-    got = AS.trend_table(spark, out)
+    hour = 3_600_000
+    days = [[f"{T0 + h * hour + i * 1000} P N {i} 1" for i in range(n)] for h, n in ((6, 3), (7, 2), (1, 3))]
+    glob = _files(spark, root, days)
     want = AD.ad_click_trend(AD.parse_ad_log(spark.read.text(glob)))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-def test_running_totals_with_lateness_match(spark):
-    root = tempfile.mkdtemp(prefix="late-")
-    glob = _day_files(spark, root)
-    paths = AS.run_blacklist_stream(AS.text_stream(spark, glob, 1), f"{root}/out", f"{root}/ck",
-                                    threshold=3, lateness="2 hours")
-    assert rows(AS.blacklist_table(spark, paths)) == [(1,)]
-    AS.run_kept_stream(AS.text_stream(spark, glob, 3), paths, f"{root}/ck-kept")
-    stat = AS.run_ad_stat_stream(AS.kept_stream(spark, paths), f"{root}/stat", f"{root}/ck2", lateness="2 hours")
-    want = AD.ad_stat(AD.kept_clicks(AD.parse_ad_log(spark.read.text(glob)), 3))
-    got = AS.ad_stat_table(spark, stat)
-    assert got.exceptAll(want.select(*got.columns)).count() == 0
-    assert want.select(*got.columns).exceptAll(got).count() == 0
-
-
-def test_counts_log_compacted_every_batch(spark):
-    root = tempfile.mkdtemp(prefix="cmp-")
-    glob = _day_files(spark, root)
-    paths = AS.run_blacklist_stream(AS.text_stream(spark, glob, 1), f"{root}/out", f"{root}/ck",
-                                    threshold=3, compact_every=1)
-    want = AD.daily_user_ad_clicks(AD.parse_ad_log(spark.read.text(glob)))
-    got = AS.user_ad_click_counts(spark, paths)
-    assert got.exceptAll(want.select(*got.columns)).count() == 0
-    assert want.select(*got.columns).exceptAll(got).count() == 0
-    assert [d for d in os.listdir(f"{paths.counts}/log") if d.startswith("batch_id=")] == ["batch_id=2"]
+    tables = AS.run_click_trend_stream(AS.text_stream(spark, glob, 1), f"{root}/trend", f"{root}/ck", compact_every=1)
+    got = AS.trend_table(tables)
+    assert _same(got, want) and got.agg({"click_count": "sum"}).first()[0] == 8
+
+
+def test_parse_stream_writes_every_line_once(spark):
+    root = tempfile.mkdtemp(prefix="ps-")
+    glob = _files(spark, root, _day_lines())
+    AS.run_parse_stream(AS.text_stream(spark, glob, 2), f"{root}/out", f"{root}/ck")
+    got = spark.read.schema(AS.CLICK_SCHEMA).parquet(f"{root}/out")
+    assert _same(got, AD.parse_ad_log(spark.read.text(glob)).select(*AD.CLICK_COLUMNS))

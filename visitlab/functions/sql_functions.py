@@ -19,9 +19,10 @@ SQL_FUNCTIONS = {
     # JSON field by bare name; null on bad JSON
     "get_json_field": ("json STRING, field STRING", "STRING",
                        "get_json_object(json, concat('$.', field))"),
-    # Deterministic salt prefix in [0, n)
-    "random_prefix": ("val STRING, n INT", "STRING",
-                      "concat(CAST(pmod(xxhash64(val), n) AS STRING), '_', val)"),
+    # Salt prefix in [0, n) by a row id, so equal values spread over all n and a
+    # re-run task draws the same prefix for a row
+    "random_prefix": ("val STRING, n INT, row_id STRING", "STRING",
+                      "concat(CAST(pmod(xxhash64(row_id), n) AS STRING), '_', val)"),
     # U4: strip a salt prefix
     "remove_random_prefix": ("val STRING", "STRING", "regexp_replace(val, '^[0-9]+_', '')"),
     # F7

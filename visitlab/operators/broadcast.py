@@ -1,15 +1,13 @@
 """Broadcast only what has a proven size bound.
 
-``bounded_broadcast(df, max_rows)`` checks the row count of the candidate side
-with a capped count (``limit(max_rows + 1).count()`` reads at most that many
-rows) and returns a broadcast-hinted frame only when the bound holds;
-otherwise the frame is returned unchanged and Catalyst / AQE pick a shuffle
-join.  Sides whose size is bounded by construction (a ``limit(k)`` result, a
-parameter list, a fixed 25-row dimension) use :func:`broadcast_fixed`.
-Derived tables of unknown size get no hint at all: AQE measures the finished
-shuffle stage and converts the join to a broadcast only when that measured
-size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, which is the
-size check with a sort-merge fallback, at no extra pass over the data.
+``bounded_broadcast(df, max_rows)`` counts the candidate side (a partial count per
+task, only the partial counts are shuffled) and hints a broadcast when the bound
+holds; otherwise the frame is returned unchanged and Catalyst / AQE pick a shuffle
+join.  Hand it a stored frame: counting runs its plan.  Sides whose size is bounded
+by construction (a ``limit(k)`` result, a parameter list, a fixed 25-row dimension)
+use :func:`broadcast_fixed`.  Derived tables of unknown size get no hint at all: AQE
+measures the finished shuffle stage and converts the join to a broadcast only when
+that measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -21,7 +19,7 @@ DEFAULT_MAX_ROWS = 1_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
@@ -32,10 +30,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFr
 def broadcast_fixed(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (caller's proof)."""
     return F.broadcast(df)
-
-
-def broadcast_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
-                   max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """JN10: map-side join -- the right side is broadcast when its size is checked
-    to be within ``max_rows``; beyond that the join falls back to a shuffle join."""
-    return left.join(bounded_broadcast(right, max_rows), on, how)

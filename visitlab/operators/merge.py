@@ -1,17 +1,11 @@
-"""Keyed table merges as DataFrame operations, and a versioned table writer.
-
-The merge functions are pure: they take the current table and the new rows and
-return the next version.  :class:`VersionedTable` writes each version to a new
-folder (never overwriting a path that is being read) and reads the latest
-complete one, which also cuts the lineage of iterative updates.
-"""
+"""Keyed table merges as pure DataFrame operations: they take the current table and the
+new rows and return the next version.  Null keys equal each other everywhere."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,10 +13,22 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def merge_replace(old: DataFrame, new: DataFrame, keys) -> DataFrame:
-    """K3: upsert that replaces -- rows of ``new`` win, other old rows stay."""
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
+    """Equi-join in which null keys equal each other; the result has ``left``'s columns
+    (and, but for semi and anti joins, the other columns of ``right``)."""
     keys = _keys(keys)
-    return old.join(new.select(*keys), keys, "left_anti").unionByName(new.select(*old.columns))
+    right = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        term = left[k].eqNullSafe(right[f"_r_{k}"])
+        cond = term if cond is None else cond & term
+    return left.join(right, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def merge_replace(old: DataFrame, new: DataFrame, keys) -> DataFrame:
+    """K3: upsert that replaces -- rows of ``new`` win, other old rows stay.  Null keys equal each other."""
+    return null_safe_join(old, new.select(*_keys(keys)).distinct(), keys, "left_anti") \
+        .unionByName(new.select(*old.columns))
 
 
 def merge_add(old: DataFrame, delta: DataFrame, keys, value: str) -> DataFrame:
@@ -33,16 +39,16 @@ def merge_add(old: DataFrame, delta: DataFrame, keys, value: str) -> DataFrame:
 
 
 def replace_group(old: DataFrame, new: DataFrame, group_keys) -> DataFrame:
-    """K5: delete every group present in ``new``, then insert all of ``new``."""
-    g = _keys(group_keys)
-    return old.join(new.select(*g).distinct(), g, "left_anti").unionByName(new.select(*old.columns))
+    """K5: delete every group present in ``new``, then insert all of ``new``.  Null keys equal each other."""
+    return null_safe_join(old, new.select(*_keys(group_keys)).distinct(), group_keys, "left_anti") \
+        .unionByName(new.select(*old.columns))
 
 
 def lookup_total(df: DataFrame, totals: DataFrame, keys, value: str, out: str | None = None) -> DataFrame:
-    """K6: attach the running total of each row's key (0 when absent)."""
-    keys = _keys(keys)
-    t = totals.select(*keys, F.col(value).alias(out or value))
-    return df.join(t, keys, "left").withColumn(out or value, F.coalesce(F.col(out or value), F.lit(0).cast("long")))
+    """K6: attach the running total of each row's key (0 when absent).  Null keys equal each other."""
+    name = out or value
+    t = totals.select(*_keys(keys), F.col(value).alias(name))
+    return null_safe_join(df, t, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
@@ -51,48 +57,3 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequenc
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-class VersionedTable:
-    """A table stored as ``<root>/v=<n>`` folders; readers see the newest one."""
-
-    _V = re.compile(r"^v=(\d+)$")
-
-    def __init__(self, spark: SparkSession, root: str, schema: str | None = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.schema = schema
-
-    def versions(self) -> list[int]:
-        fs, p, _ = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            m = self._V.match(st.getPath().getName())
-            if m and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(m.group(1)))
-        return sorted(out)
-
-    def latest(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
-
-    def read(self) -> DataFrame:
-        v = self.latest()
-        if v is None:
-            if self.schema is None:
-                raise FileNotFoundError(self.root)
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.parquet(f"{self.root}/v={v}")
-
-    def write(self, df: DataFrame) -> int:
-        v = (self.latest() or 0) + 1
-        df.write.mode("overwrite").parquet(f"{self.root}/v={v}")
-        return v

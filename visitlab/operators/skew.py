@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitlab.operators.broadcast import bounded_broadcast
 from visitlab.operators.topk import top_k
 
 
@@ -69,15 +70,15 @@ def heavy_keys(df: DataFrame, key: str, top_n: int = 1, fraction: float = 0.1,
 
 
 def skew_isolate_join(large: DataFrame, small: DataFrame, on: str, heavy: DataFrame,
-                      how: str = "inner", n: int = 100) -> DataFrame:
+                      how: str = "inner", n: int = 100, max_heavy: int = 100_000) -> DataFrame:
     """JN11/T1: only the heavy keys are salted ``n`` ways; every other key keeps salt 0.
 
     This is the isolate-and-union plan fused into one join: each side is read
-    once, tagged against the broadcast heavy-key list (at most ``top_n`` rows
-    from :func:`heavy_keys`, so the broadcast is bounded by that parameter),
-    and the small side's heavy keys are replicated once per salt.  Rows of a
-    heavy key spread over ``n`` tasks; the result equals the plain join."""
-    hk = F.broadcast(heavy.select(on).distinct().withColumn("_heavy", F.lit(True)))
+    once, tagged against the heavy-key list, and the small side's heavy keys are
+    replicated once per salt.  The list is broadcast only when a count shows at most
+    ``max_heavy`` keys; a longer one is joined like any table.  Rows of a heavy key
+    spread over ``n`` tasks; the result equals the plain join."""
+    hk = bounded_broadcast(heavy.select(on).distinct().withColumn("_heavy", F.lit(True)), max_heavy)
     big = (large.join(hk, on, "left")
            .withColumn("_salt", F.when(F.col("_heavy"), salt_column(large, n)).otherwise(F.lit(0)))
            .drop("_heavy"))
@@ -89,10 +90,20 @@ def skew_isolate_join(large: DataFrame, small: DataFrame, on: str, heavy: DataFr
 
 
 def two_stage_agg(df: DataFrame, keys: Sequence[str], value: str | None, n: int = 10,
-                  out: str = "total") -> DataFrame:
+                  out: str = "total", *, salt_by: Sequence[str], collect: str | None = None) -> DataFrame:
     """``sum(value)`` (or ``count(*)`` when value is None) per key, aggregated
-    first per (key, salt) and then per key."""
-    salted = df.withColumn("_salt", salt_column(df, n))
+    first per (key, salt) and then per key.
+
+    ``salt_by`` names columns that differ between the rows of one key (a row id): their
+    hash is the salt, so equal rows spread too and a re-run task gives every row the salt
+    it had.  ``collect``: also gather that column's distinct values as a sorted,
+    comma-joined string ``<collect>s`` through both stages."""
+    if not set(salt_by) - set(keys):
+        raise ValueError("salt_by needs a column that varies within a key")
+    salted = df.withColumn("_salt", salt_column(df, n, salt_by))
     first = F.count(F.lit(1)) if value is None else F.sum(value)
-    part = salted.groupBy(*keys, "_salt").agg(first.alias("_part"))
-    return part.groupBy(*keys).agg(F.sum("_part").alias(out))
+    sets = [F.collect_set(collect).alias("_set")] if collect else []
+    part = salted.groupBy(*keys, "_salt").agg(first.alias("_part"), *sets)
+    joined = [F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_set")))), ",")
+              .alias(f"{collect}s")] if collect else []
+    return part.groupBy(*keys).agg(F.sum("_part").alias(out), *joined)

@@ -5,6 +5,10 @@ those partitions are read, merged with the new rows, checkpointed (the lineage
 must not point at files about to be replaced) and written back with dynamic
 partition overwrite.  Cost per call is the size of the touched days, not of
 the table; a re-run of the same upsert gives the same table.
+
+Streams publish through per-batch logs instead (:class:`AdditiveLog`,
+:class:`ChangeLog`, :class:`GroupLog`): a batch writes its own rows only, however
+large the day's table is.
 """
 
 from __future__ import annotations
@@ -14,10 +18,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlab.operators.merge import merge_replace, replace_group
+from visitlab.operators.merge import merge_replace, null_safe_join, replace_group
 from visitlab.session import checkpoint_root
 
 
+WRITE_SPLIT = 32  # salts over which the rows of one partition are dealt for writing
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -27,7 +34,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 class DatePartitionedTable:
     """Parquet table at ``path`` partitioned by ``date`` (a ``yyyy-MM-dd`` string),
-    or by ``partition_cols`` starting with ``date`` for finer upsert units."""
+    or by ``partition_cols`` starting with ``date`` for finer upsert units.
+
+    A null ``date`` is a partition of its own."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str,
                  partition_cols: Sequence[str] = ("date",)):
@@ -41,51 +50,40 @@ class DatePartitionedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def read_dates(self, dates: list[str]) -> DataFrame:
-        """Only the given day partitions (a literal filter: partition pruning)."""
-        return self.read().filter(F.col("date").isin(dates))
-
-    def touched_dates(self, new: DataFrame) -> list[str]:
-        # Distinct dates of one micro-batch: a handful of values.
-        return sorted(r[0] for r in new.select("date").distinct().collect())
+    def _touched(self, new: DataFrame) -> DataFrame | None:
+        """Current rows of the partitions ``new`` touches, or None when ``new`` is empty.
 
-    def _touched_filter(self, new: DataFrame):
-        """Literal predicate selecting the partitions ``new`` touches (a handful per
-        micro-batch), or None when ``new`` is empty."""
-        parts = [tuple(r) for r in new.select(*self.partition_cols).distinct().collect()]
-        if not parts:
+        Two dates come to the driver: their range prunes the scan; a null-safe semi-join
+        with the touched partitions does the rest."""
+        lo, hi, n = new.agg(F.min("date"), F.max("date"), F.count(F.lit(1))).first()
+        if not n:
             return None
-        cond = None
-        for values in parts:
-            one = None
-            for c, v in zip(self.partition_cols, values):
-                term = F.col(c) == F.lit(v)
-                one = term if one is None else one & term
-            cond = one if cond is None else cond | one
-        return cond
+        current = self.read().filter(F.col("date").between(lo, hi) | F.col("date").isNull())
+        return null_safe_join(current, new.select(*self.partition_cols).distinct(), self.partition_cols, "left_semi")
 
     def _write(self, merged: DataFrame, columns: Sequence[str]) -> None:
         checkpoint_root(self.spark)  # make sure a checkpoint folder is set
         stable = merged.select(*columns).checkpoint(eager=True)
-        (stable.repartition(*self.partition_cols).write.mode("overwrite")
+        # Rows of a partition are dealt over WRITE_SPLIT salts, so one day is not one task.
+        salt = F.pmod(F.xxhash64(*columns), F.lit(WRITE_SPLIT))
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (stable.repartition(tasks, *self.partition_cols, salt).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols).parquet(self.path))
 
     def upsert_replace(self, new: DataFrame, keys: Sequence[str]) -> None:
         """K3 on the touched partitions: rows of ``new`` replace rows with the same key."""
-        cond = self._touched_filter(new)
-        if cond is None:
-            return
-        cols = self.read().columns
-        self._write(merge_replace(self.read().filter(cond), new.select(*cols), keys), cols)
+        old = self._touched(new)
+        if old is not None:
+            cols = self.read().columns
+            self._write(merge_replace(old, new.select(*cols), keys), cols)
 
     def replace_groups(self, new: DataFrame, group_keys: Sequence[str]) -> None:
         """K5 on the touched partitions: groups present in ``new`` are replaced wholesale."""
-        cond = self._touched_filter(new)
-        if cond is None:
-            return
-        cols = self.read().columns
-        self._write(replace_group(self.read().filter(cond), new.select(*cols), group_keys), cols)
+        old = self._touched(new)
+        if old is not None:
+            cols = self.read().columns
+            self._write(replace_group(old, new.select(*cols), group_keys), cols)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -94,89 +92,146 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-class ChangeLog:
-    """Latest value per key, kept as per-batch change sets plus a compacted snapshot.
+class BatchLog:
+    """Rows written per micro-batch, readable at a cost that compaction bounds.
 
-    Each micro-batch writes the rows whose value changed under
-    ``<path>/log/batch_id=N`` (overwritten on replay).  :meth:`compact` folds all
-    batches up to M into ``<path>/snapshot/upto=M`` and then drops those batch
-    folders, so reads cost the snapshot plus the batches after it instead of
-    the whole history.  Compaction is replay-safe: a finished snapshot is never
-    rewritten, and the batch being processed is never folded in.
+    Each batch owns the folder ``log/batch_id=N`` (dynamic overwrite: a replay
+    rewrites it).  ``compact`` writes the batches since the last compaction as one
+    segment ``segment/upto=M`` and drops their folders.  A finished segment is never
+    rewritten, and readers ignore batch folders that a finished segment covers, so a
+    crash between the two steps does no harm.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], value: str):
+    def __init__(self, spark: SparkSession, path: str, schema: str, partition_by: Sequence[str] = ()):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.schema = schema  # the value columns, without batch_id
-        self.keys = list(keys)
-        self.value = value
+        self.schema = schema  # without batch_id
+        self.partition_by = list(partition_by)
 
     @property
     def log_path(self) -> str:
         return f"{self.path}/log"
 
-    def _snapshots(self) -> list[int]:
-        fs, p = _fs(self.spark, f"{self.path}/snapshot")
+    def _segments(self) -> list[int]:
+        fs, p = _fs(self.spark, f"{self.path}/segment")
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("upto=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(name[len("upto="):]))
-        return sorted(out)
-
-    def write_batch(self, changed: DataFrame, batch_id: int) -> None:
-        (changed.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        names = [(st.getPath(), st.getPath().getName()) for st in fs.listStatus(p)]
+        return sorted(int(n[len("upto="):]) for q, n in names
+                      if n.startswith("upto=") and fs.exists(q.suffix("/_SUCCESS")))
+
+    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
+        (rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(self.log_path))
 
-    def _entries(self) -> DataFrame:
-        snaps = self._snapshots()
-        upto = snaps[-1] if snaps else -1
-        log_schema = f"{self.schema}, batch_id long"
-        if path_exists(self.spark, self.log_path):
-            log = self.spark.read.schema(log_schema).parquet(self.log_path).filter(F.col("batch_id") > upto)
-        else:
-            log = self.spark.createDataFrame([], log_schema)
-        if upto >= 0:
-            snap = (self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshot/upto={upto}")
-                    .withColumn("batch_id", F.lit(upto).cast("long")))
-            log = snap.unionByName(log)
-        return log
-
-    def current(self) -> DataFrame:
-        """Latest value of every key."""
-        return (self._entries().groupBy(*self.keys)
-                .agg(F.max_by(self.value, "batch_id").alias(self.value)))
+    def read_batch(self, batch_id: int) -> DataFrame:
+        """The rows one batch wrote (a batch without rows has no folder)."""
+        path = f"{self.log_path}/batch_id={batch_id}"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(path)
+
+    def _log(self, above: int) -> DataFrame:
+        schema = f"{self.schema}, batch_id long"
+        if not path_exists(self.spark, self.log_path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.log_path).filter(F.col("batch_id") > above)
+
+    def _segment(self, upto: int) -> DataFrame:
+        return (self.spark.read.schema(self.schema).parquet(f"{self.path}/segment/upto={upto}")
+                .withColumn("batch_id", F.lit(upto).cast("long")))
+
+    def entries(self) -> DataFrame:
+        """All rows with the batch (or the segment's last batch) that wrote them."""
+        segments = self._segments()
+        out = self._log(segments[-1] if segments else -1)
+        for m in segments:
+            out = self._segment(m).unionByName(out)
+        return out
+
+    def read(self) -> DataFrame:
+        return self.entries().drop("batch_id")
+
+    def _to_compact(self, upto: int) -> DataFrame:
+        segments = self._segments()
+        return self._log(segments[-1] if segments else -1).filter(F.col("batch_id") <= upto).drop("batch_id")
 
     def compact(self, upto: int) -> None:
-        """Fold batches <= ``upto`` into a snapshot, then drop their folders."""
-        snaps = self._snapshots()
-        if upto < 0 or (snaps and snaps[-1] >= upto):
-            self._drop_up_to(snaps[-1] if snaps else -1)
-            return
-        merged = self.current_up_to(upto)
-        merged.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
-        self._drop_up_to(upto)
-
-    def current_up_to(self, upto: int) -> DataFrame:
-        return (self._entries().filter(F.col("batch_id") <= upto).groupBy(*self.keys)
-                .agg(F.max_by(self.value, "batch_id").alias(self.value)))
-
-    def _drop_up_to(self, upto: int) -> None:
-        if upto < 0:
-            return
-        fs, p = _fs(self.spark, self.log_path)
+        """Move batches <= ``upto`` into a segment, then drop their folders."""
+        segments = self._segments()
+        if upto >= 0 and not (segments and segments[-1] >= upto):
+            w = self._to_compact(upto).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            (w.partitionBy(*self.partition_by) if self.partition_by else w).parquet(f"{self.path}/segment/upto={upto}")
+        segments = self._segments()
+        if segments:
+            self._drop("log", "batch_id=", lambda n: n <= segments[-1])
+
+    def _drop(self, folder: str, prefix: str, covered) -> None:
+        fs, p = _fs(self.spark, f"{self.path}/{folder}")
         if fs.exists(p):
             for st in fs.listStatus(p):
                 name = st.getPath().getName()
-                if name.startswith("batch_id=") and int(name[len("batch_id="):]) <= upto:
+                if name.startswith(prefix) and covered(int(name[len(prefix):])):
                     fs.delete(st.getPath(), True)
-        sfs, sp = _fs(self.spark, f"{self.path}/snapshot")
-        if sfs.exists(sp):
-            for st in sfs.listStatus(sp):
-                name = st.getPath().getName()
-                if name.startswith("upto=") and int(name[len("upto="):]) < upto:
-                    sfs.delete(st.getPath(), True)
+
+
+class FoldedLog(BatchLog):
+    """A batch log whose entries fold into one current table; a segment holds that table."""
+
+    def fold(self, entries: DataFrame) -> DataFrame:
+        raise NotImplementedError
+
+    def entries(self) -> DataFrame:
+        segments = self._segments()
+        if not segments:
+            return self._log(-1)
+        return self._segment(segments[-1]).unionByName(self._log(segments[-1]))
+
+    def current(self, upto: int | None = None) -> DataFrame:
+        e = self.entries()
+        return self.fold(e if upto is None else e.filter(F.col("batch_id") <= upto))
+
+    def _to_compact(self, upto: int) -> DataFrame:
+        return self.current(upto)
+
+    def compact(self, upto: int) -> None:
+        super().compact(upto)
+        segments = self._segments()
+        if segments:
+            self._drop("segment", "upto=", lambda n: n < segments[-1])
+
+
+class ChangeLog(FoldedLog):
+    """Latest value per key: the entry of the newest batch wins."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], value: str,
+                 partition_by: Sequence[str] = ()):
+        super().__init__(spark, path, schema, partition_by)
+        self.keys = list(keys)
+        self.value = value
+
+    def fold(self, entries: DataFrame) -> DataFrame:
+        return entries.groupBy(*self.keys).agg(F.max_by(self.value, "batch_id").alias(self.value))
+
+
+class AdditiveLog(ChangeLog):
+    """Running totals per key: batches write increments, the current table sums them (K4).
+
+    A replayed batch replaces its own increments, so nothing counts twice."""
+
+    def fold(self, entries: DataFrame) -> DataFrame:
+        return entries.groupBy(*self.keys).agg(F.sum(self.value).alias(self.value))
+
+
+class GroupLog(FoldedLog):
+    """Whole groups per batch: of each group only the rows of its newest batch count (K5)."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, group: Sequence[str],
+                 partition_by: Sequence[str] = ()):
+        super().__init__(spark, path, schema, partition_by)
+        self.group = list(group)
+
+    def fold(self, entries: DataFrame) -> DataFrame:
+        newest = entries.groupBy(*self.group).agg(F.max("batch_id").alias("batch_id"))
+        return null_safe_join(entries, newest, [*self.group, "batch_id"], "left_semi").drop("batch_id")

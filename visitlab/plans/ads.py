@@ -33,10 +33,11 @@ def _small_user_side(df: DataFrame) -> DataFrame:
     return bounded_broadcast(df.checkpoint(eager=True), MAX_BROADCAST_USERS)
 
 
-def parse_ad_log(lines: DataFrame) -> DataFrame:
+def parse_ad_log(lines: DataFrame, keep: str | None = None) -> DataFrame:
     """Split on single spaces; fields 0..4 -> ts_ms, province, city, user_id, ad_id.
 
-    Malformed or short lines give nulls instead of failing the job.
+    Malformed or short lines give nulls instead of failing the job; :func:`split_lines`
+    takes them out.  ``keep`` names a column to carry along.
 
     ``ts`` is the click time (UTC timestamp) and ``date`` its ``yyyy-MM-dd``."""
     parts = F.split(F.col("value"), " ")
@@ -49,11 +50,30 @@ def parse_ad_log(lines: DataFrame) -> DataFrame:
                     field(1).alias("province"),
                     field(2).alias("city"),
                     field(3).try_cast("long").alias("user_id"),
-                    field(4).try_cast("long").alias("ad_id"))
+                    field(4).try_cast("long").alias("ad_id"), *([keep] if keep else []))
             .withColumn("ts", F.timestamp_millis("ts_ms"))
             .withColumn("date", F.date_format("ts", "yyyy-MM-dd")))
 
 
+REJECT_COLUMNS = ["value", "reason"]
+
+
+def split_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clicks, rejects): a line without a readable time, user or ad is no click; it goes to
+    the rejects with the first reason that applies, so nothing is lost uncounted."""
+    parsed = parse_ad_log(lines.select("value").withColumn("_line", F.col("value")), keep="_line")
+    reason = (F.when(F.col("ts_ms").isNull(), "no_time").when(F.col("user_id").isNull(), "no_user")
+              .when(F.col("ad_id").isNull(), "no_ad"))
+    parsed = parsed.withColumn("reason", reason)
+    rejects = parsed.filter(F.col("reason").isNotNull()).select(F.col("_line").alias("value"), "reason")
+    return parsed.filter(F.col("reason").isNull()).drop("_line", "reason"), rejects
+
+
+def reject_counts(lines: DataFrame) -> DataFrame:
+    """Rejected lines per reason."""
+    return split_lines(lines)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def daily_user_ad_clicks(clicks: DataFrame) -> DataFrame:
     """Clicks per (date, user, ad)."""
     return clicks.groupBy("date", "user_id", "ad_id").agg(F.count(F.lit(1)).alias("click_count"))

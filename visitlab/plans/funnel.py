@@ -1,10 +1,8 @@
 """Page-flow conversion along a target flow such as ``1,2,3,4,5``.
 
 Each action is paired with the previous action of its session in time order
-(ties by action_id); the pair ``prev_cur`` is a page split.  The flow's splits
-form a tiny table (bounded by the parameter length) that is broadcast and
-joined, the split counts come from one grouped aggregate, and a left join from
-the flow keeps splits nobody took (pv 0).  Conversion: first split pv / start
+(ties by action_id); the pair ``prev_cur`` is a page split.  One aggregate counts
+the flow's first page and each of its splits (0 for those nobody took).  Conversion: first split pv / start
 page pv, later splits pv / previous split pv; 2 decimals half-up; divisor 0 ->
 null.
 """
@@ -16,7 +14,6 @@ from pyspark.sql import functions as F
 
 from visitlab.functions import filters
 from visitlab.functions.numbers import ratio_half_up
-from visitlab.operators.broadcast import broadcast_fixed
 from visitlab.operators.sequence import with_previous
 from visitlab.sources.params import TaskParams
 
@@ -45,53 +42,55 @@ def page_pairs(actions: DataFrame) -> DataFrame:
             .select("session_id", "prev_page", "page_id"))
 
 
-def _split_pv(spark: SparkSession, paired: DataFrame, params: TaskParams) -> DataFrame:
-    flow = broadcast_fixed(flow_splits(spark, params.page_flow))
-    pairs = paired.filter(F.col("prev_page").isNotNull())
-    counts = (pairs.join(flow, (pairs.prev_page == flow.from_page) & (pairs.page_id == flow.to_page))
-              .groupBy("position").agg(F.count(F.lit(1)).alias("pv")))
-    return (flow_splits(spark, params.page_flow).join(counts, "position", "left")
-            .select("position", "page_split", F.coalesce("pv", F.lit(0).cast("long")).alias("pv")))
+def _position_counts(spark: SparkSession, paired: DataFrame, params: TaskParams) -> DataFrame:
+    """(position, page_split, pv): position 0 counts the flow's first page, position i its i-th split.
 
-
-def _start_pv(actions: DataFrame, params: TaskParams) -> DataFrame:
-    first = params.page_flow[0]
-    return actions.agg(F.count(F.when(F.col("page_id") == first, 1)).alias("start_page_pv"))
+    One global aggregate with a counter per position, so the paired actions are read once;
+    its single row is laid out as one row per position (parameter-sized)."""
+    flow = params.page_flow
+    counters = [F.count_if(F.col("page_id") == flow[0])]
+    names = [None]
+    for a, b in zip(flow, flow[1:]):
+        counters.append(F.count_if((F.col("prev_page") == a) & (F.col("page_id") == b)))
+        names.append(f"{a}_{b}")
+    row = paired.agg(*[c.alias(f"c{i}") for i, c in enumerate(counters)])
+    items = [F.struct(F.lit(i).alias("position"), F.lit(n).cast("string").alias("page_split"), F.col(f"c{i}").alias("pv"))
+             for i, n in enumerate(names)]
+    return row.select(F.inline(F.array(*items)))
 
 
 def page_split_pv(spark: SparkSession, visits: DataFrame, params: TaskParams) -> DataFrame:
     """Pv of every split of the flow (0 when never taken)."""
-    return _split_pv(spark, paired_actions(_actions(visits, params)), params)
+    return _position_counts(spark, paired_actions(_actions(visits, params)), params).filter(F.col("position") >= 1)
 
 
 def start_page_pv(visits: DataFrame, params: TaskParams) -> DataFrame:
     """Number of views of the flow's first page (one row)."""
-    return _start_pv(_actions(visits, params), params)
+    first = params.page_flow[0]
+    return _actions(visits, params).agg(F.count_if(F.col("page_id") == first).alias("start_page_pv"))
 
 
 def page_convert_rate(spark: SparkSession, visits: DataFrame, params: TaskParams) -> DataFrame:
     """One row per split: position, page_split, pv, convert_rate.
 
-    Split counts and the start-page count read the same paired actions, so the
-    plan pairs (and shuffles) the actions once."""
-    paired = paired_actions(_actions(visits, params))
-    splits = _split_pv(spark, paired, params)
-    start = _start_pv(paired, params).select(
-        F.lit(0).alias("position"), F.lit(None).cast("string").alias("page_split"),
-        F.col("start_page_pv").alias("pv"))
+    Split counts and the start-page count come from one aggregate over the paired
+    actions: besides the check for hot sessions, the actions are scanned once."""
+    counts = _position_counts(spark, paired_actions(_actions(visits, params)), params)
     # Position 0 carries the start-page pv, so "previous pv" is a lag over the
     # flow positions.  The table has one row per flow page (parameter-sized),
     # so this unpartitioned window is bounded.
     w = Window.orderBy("position")
-    return (start.unionByName(splits)
-            .withColumn("convert_rate", ratio_half_up("pv", F.lag("pv").over(w)))
+    return (counts.withColumn("convert_rate", ratio_half_up("pv", F.lag("pv").over(w)))
             .filter(F.col("position") >= 1)
             .select("position", "page_split", "pv", "convert_rate"))
 
 
-def page_convert_string(spark: SparkSession, visits: DataFrame, params: TaskParams) -> DataFrame:
+def convert_string(rates: DataFrame) -> DataFrame:
     """C6, stored form: ``1_2=0.5|2_3=0.33|...`` in flow order (one row)."""
-    rates = page_convert_rate(spark, visits, params)
     item = F.struct("position", F.concat_ws("=", "page_split", F.col("convert_rate").cast("string")).alias("s"))
     return rates.agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["s"]), "|")
                      .alias("convert_rate"))
+
+
+def page_convert_string(spark: SparkSession, visits: DataFrame, params: TaskParams) -> DataFrame:
+    return convert_string(page_convert_rate(spark, visits, params))

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlab.operators.merge import append
-from visitlab.plans import ads as AD
 from visitlab.plans import categories as C
 from visitlab.plans import funnel as FN
 from visitlab.plans import products as PR
@@ -65,11 +64,10 @@ def session_job_outputs(tables: Tables, task_id: int, sample_n: int = 100, seed:
 def page_job_outputs(tables: Tables, task_id: int) -> dict[str, DataFrame]:
     """Conversion rate per split, and the joined string form."""
     p = load_task(tables.tasks(), task_id)
-    visits = tables.visits()
-    return {
-        "page_convert_rate": FN.page_convert_rate(tables.spark, visits, p),
-        "page_split_convert_rate": FN.page_convert_string(tables.spark, visits, p),
-    }
+    checkpoint_root(tables.spark)
+    # Both forms come from one computation (a handful of rows).
+    rates = FN.page_convert_rate(tables.spark, tables.visits(), p).checkpoint(eager=True)
+    return {"page_convert_rate": rates, "page_split_convert_rate": FN.convert_string(rates)}
 
 
 def product_job_outputs(tables: Tables, task_id: int) -> dict[str, DataFrame]:
@@ -92,38 +90,17 @@ def run_product_job(tables: Tables, task_id: int, out_root: str) -> dict[str, st
 
 @dataclass
 class AdJob:
-    """The four streaming queries of J4 and where they write."""
-    blacklist: AS.BlacklistPaths
-    stat: AS.AdStatPaths
-    trend_path: str
+    """The streaming query of J4 and the tables it writes."""
+    tables: AS.AdTables
     queries: list
 
 
-def start_ad_job(spark: SparkSession, lines: DataFrame, out_root: str,
-                 threshold: int = 100, trigger: dict | None = None, lateness: str | None = None) -> AdJob:
-    """J4 in production: blacklist counting, kept-click filtering, running totals with
-    top 3 per province, and the minute trend, all started on ``lines`` (a streaming
-    DataFrame with a ``value`` column, e.g. Kafka) with ``trigger`` (default 5 s)."""
-    trigger = trigger or {"processingTime": "5 seconds"}
+def start_ad_job(spark: SparkSession, lines: DataFrame, out_root: str, threshold: int = 100,
+                 trigger: dict | None = None, compact_every: int | None = AS.DEFAULT_COMPACT_EVERY) -> AdJob:
+    """J4 in production: blacklist, kept clicks, running totals with top 3 per province, and
+    the minute trend, as one ordered query on ``lines`` (a streaming DataFrame with a
+    ``value`` column, e.g. Kafka) with ``trigger`` (default 5 s)."""
     root = out_root.rstrip("/")
-    paths = AS.BlacklistPaths(f"{root}/blacklist_job")
-    counting = (AS.daily_counts(AD.parse_ad_log(lines), ["user_id", "ad_id"], lateness,
-                                F.max("ts_ms").alias("max_ts_ms"))
-                .writeStream.outputMode("update")
-                .foreachBatch(lambda df, bid: AS.blacklist_update_batch(spark, df, bid, paths, threshold))
-                .option("checkpointLocation", f"{root}/_ck/blacklist").trigger(**trigger).start())
-    filtering = (lines.writeStream
-                 .foreachBatch(lambda df, bid: AS.kept_clicks_batch(spark, df, bid, paths))
-                 .option("checkpointLocation", f"{root}/_ck/kept").trigger(**trigger).start())
-    stat = AS.AdStatPaths(f"{root}/stat")
-    stat_q = (AS.daily_counts(AS.kept_stream(spark, paths), ["province", "city", "ad_id"], None)
-              .writeStream.outputMode("update")
-              .foreachBatch(lambda df, bid: AS.ad_stat_batch(spark, df, stat))
-              .option("checkpointLocation", f"{root}/_ck/stat").trigger(**trigger).start())
-    trend_path = f"{root}/ad_click_trend"
-    trend_q = (AD.parse_ad_log(lines).withWatermark("ts", "1 hour")
-               .groupBy(F.window("ts", "1 minute"), "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
-               .writeStream.outputMode("update")
-               .foreachBatch(lambda df, bid: AS.trend_batch(spark, df, trend_path))
-               .option("checkpointLocation", f"{root}/_ck/trend").trigger(**trigger).start())
-    return AdJob(paths, stat, trend_path, [counting, filtering, stat_q, trend_q])
+    tables, q = AS.run_ad_stream(lines, f"{root}/ads", f"{root}/_ck/ads", threshold,
+                                 trigger or {"processingTime": "5 seconds"}, compact_every)
+    return AdJob(tables, [q])

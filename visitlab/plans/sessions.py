@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 from visitlab.functions import filters
 from visitlab.functions.dates import parse_time
 from visitlab.functions.numbers import ratio_half_up
-from visitlab.operators.broadcast import bounded_broadcast
-from visitlab.operators.skew import skew_isolate_join
-from visitlab.session import checkpoint_root
 from visitlab.sources.params import TaskParams
 
 SESSION_AGG_COLUMNS = ["session_id", "user_id", "search_keywords", "click_category_ids",
@@ -31,10 +28,6 @@ DETAIL_COLUMNS = ["user_id", "session_id", "page_id", "action_time", "search_key
                   "click_category_id", "click_product_id", "order_category_ids",
                   "order_product_ids", "pay_category_ids", "pay_product_ids"]
 
-# Sessions with more actions than this are spread over several tasks in joins.
-DEFAULT_MAX_SESSION_ROWS = 2_000_000
-MAX_HOT_SESSIONS = 1_000_000
-
 # Histogram buckets (name, low, high), bounds inclusive, high None = open.
 # Visit length in seconds (0 s falls in no bucket), then step length in actions.
 VISIT_BUCKETS = [("1s_3s", 1, 3), ("4s_6s", 4, 6), ("7s_9s", 7, 9), ("10s_30s", 10, 30),
@@ -118,26 +111,13 @@ def session_aggr_stat(sessions: DataFrame) -> DataFrame:
     return counts.select(*cols)
 
 
-def session_detail(actions: DataFrame, sessions: DataFrame,
-                   max_group_rows: int | None = DEFAULT_MAX_SESSION_ROWS, salts: int = 64) -> DataFrame:
+def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """JN2: the actions of the filtered sessions (a semi join: session ids are
     unique on the filter side, so it equals the inner join keeping the actions).
 
-    The session side is an aggregate on the join key, so Spark reuses its
-    partitioning and AQE cannot split a skewed partition of the action side.
-    The session's own ``step_length`` already counts its actions, so sessions
-    above ``max_group_rows`` are isolated explicitly: the (small) session table
-    is checkpointed once, the hot ids are broadcast after a size check, and
-    their actions are spread over ``salts`` tasks by the fused salted join.
-    Without hot sessions the plan is the plain semi join.  ``max_group_rows=None``
-    skips the check."""
-    if max_group_rows is None or "step_length" not in sessions.columns:
-        return actions.join(sessions.select("session_id"), "session_id", "left_semi").select(*DETAIL_COLUMNS)
-    checkpoint_root(sessions.sparkSession)
-    stored = sessions.select("session_id", "step_length").checkpoint(eager=True)
-    hot = stored.filter(F.col("step_length") > max_group_rows).select("session_id")
-    ids = stored.select("session_id")
-    if hot.limit(1).count() == 0:
-        return actions.join(ids, "session_id", "left_semi").select(*DETAIL_COLUMNS)
-    hot = bounded_broadcast(hot, MAX_HOT_SESSIONS)
-    return skew_isolate_join(actions, ids, "session_id", hot, "left_semi", salts).select(*DETAIL_COLUMNS)
+    The session side is an aggregate on the join key, whose partitioning Spark would
+    reuse; then AQE could not split a skewed partition of the action side.  The
+    rebalance deals the (small) id table anew, so that both sides meet through
+    exchanges of the join's own and a hot session's actions are split.  One lazy plan."""
+    ids = sessions.select("session_id").hint("rebalance")
+    return actions.join(ids, "session_id", "left_semi").select(*DETAIL_COLUMNS)

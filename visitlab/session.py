@@ -52,10 +52,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     cluster names).  Only when it is unset -- local runs and tests -- a fresh
     folder is created and registered on the session.
     """
+    known = spark.sparkContext.getCheckpointDir()
     conf = spark.sparkContext.getConf()
+    local = spark.sparkContext.master.startswith("local")
     root = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    if not root and known:  # set by code: Spark appends a folder of its own
+        root = known.rsplit("/", 1)[0]
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not local or spark.sparkContext.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="visitlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

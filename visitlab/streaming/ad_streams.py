@@ -3,20 +3,22 @@
 Every job takes a *streaming* DataFrame with a ``value`` column (Kafka, a
 socket, or a file source) and writes tables under an output folder:
 
-* :func:`run_parse_stream`     -- S8/S9: parsed clicks to a parquet file sink (exactly once).
-* :func:`run_blacklist_stream` -- R4, counting: running clicks per (date, user, ad)
-  kept in the state store (per-batch work is proportional to the batch); users
-  reaching the threshold are appended to the blacklist with a block time.
-* :func:`run_kept_stream`      -- R4, filtering: each micro-batch reads the whole
-  blacklist and drops clicks of blocked users after their block time.
-  Outputs are written under ``batch_id=N`` with dynamic partition overwrite, so a
-  replayed micro-batch rewrites its own files instead of adding to them.
-* :func:`run_ad_stat_stream`   -- R5/R6: stateful running count per (date, province,
-  city, ad) over the kept clicks (update mode, no expiry), upserted into a
-  date-partitioned table; the top-3 ads of every touched (date, province) are
-  then recomputed from the table and replace the old groups.
-* :func:`run_click_trend_stream` -- R7: per-minute counts per ad on the unfiltered
-  stream, with a one-hour watermark so finished minutes leave the state.
+* :func:`run_parse_stream` -- S8/S9: parsed clicks to a parquet file sink (exactly once).
+* :func:`run_ad_stream`    -- R4-R7 as one ordered pipeline.  Each micro-batch
+
+  1. sets unreadable lines aside (counted in ``rejects``, never lost);
+  2. reads the blacklist of the earlier batches and drops blocked users' clicks;
+  3. adds the kept clicks to the running totals per (date, user, ad) and puts the
+     users that reach the threshold on the blacklist, which counts from the next batch;
+  4. adds the kept clicks to the totals per (date, province, city, ad) and publishes
+     the top 3 of the touched (date, province) groups;
+  5. adds all readable clicks to the per-minute trend.
+
+Filter and count are one query, so nothing races.  Blocking goes by batch, not by
+event time, so a click with an odd time affects nobody else.  There is no watermark:
+a click counts under its own date and minute however late it comes.  All outputs are
+per-batch logs (:mod:`visitlab.operators.tables`): a batch writes rows in proportion
+to itself, a replayed batch rewrites its own folder, and compaction bounds reads.
 
 ``trigger`` is ``processingTime`` in production (5 s in the reference) and
 ``availableNow`` in tests and batch replays.
@@ -30,21 +32,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlab.operators.broadcast import bounded_broadcast
-from visitlab.operators.tables import ChangeLog, DatePartitionedTable, path_exists
+from visitlab.operators.tables import AdditiveLog, BatchLog, ChangeLog, GroupLog
 from visitlab.plans import ads as AD
 from visitlab.session import checkpoint_root, scratch_path
 
 CLICK_SCHEMA = "ts_ms long, date string, province string, city string, user_id long, ad_id long"
-KEPT_SCHEMA = CLICK_SCHEMA + ", batch_id long"
-COUNT_SCHEMA = "date string, user_id long, ad_id long, click_count long"
-COUNT_KEYS = ["date", "user_id", "ad_id"]
 DEFAULT_COMPACT_EVERY = 100
-BLACKLIST_SCHEMA = "user_id long, block_ts_ms long, batch_id long"
-AD_STAT_SCHEMA = "province string, city string, ad_id long, click_count long, date string"
-TOP3_SCHEMA = "province string, ad_id long, click_count long, date string"
-TREND_SCHEMA = "minute string, ad_id long, click_count long, date string, hour string"
-# Trend updates are time-local (watermark 1 hour), so its upsert unit is one hour.
-TREND_PARTITIONS = ("date", "hour")
+COUNT_KEYS = ["date", "user_id", "ad_id"]
+STAT_KEYS = ["date", "province", "city", "ad_id"]
+TREND_KEYS = ["date", "hour", "minute", "ad_id"]
 
 
 def _start(writer, trigger: dict):
@@ -78,256 +74,141 @@ def run_parse_stream(lines: DataFrame, out_path: str, checkpoint: str,
     return q
 
 
-# ---------------------------------------------------------------- R4 blacklist
+# ---------------------------------------------------------------- R4-R7 in one pipeline
 
 @dataclass
-class BlacklistPaths:
+class AdTables:
+    """The output tables of the ad stream under one folder."""
+    spark: SparkSession
     root: str
 
-    @property
-    def kept(self) -> str:
-        return f"{self.root}/kept"
+    def _at(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}"
 
     @property
-    def counts(self) -> str:
-        return f"{self.root}/counts"
+    def rejects(self) -> BatchLog:
+        return BatchLog(self.spark, self._at("rejects"), "value string, reason string")
 
     @property
-    def blacklist(self) -> str:
-        return f"{self.root}/blacklist"
-
+    def kept(self) -> BatchLog:
+        return BatchLog(self.spark, self._at("kept"), CLICK_SCHEMA)
 
-def ensure_dir(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+    @property
+    def counts(self) -> AdditiveLog:
+        return AdditiveLog(self.spark, self._at("counts"), "date string, user_id long, ad_id long, click_count long",
+                           COUNT_KEYS, "click_count", ["date"])
 
+    @property
+    def blacklist(self) -> ChangeLog:
+        return ChangeLog(self.spark, self._at("blacklist"), "user_id long, block_batch long", ["user_id"], "block_batch")
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    @property
+    def stat(self) -> AdditiveLog:
+        return AdditiveLog(self.spark, self._at("ad_stat"),
+                           "date string, province string, city string, ad_id long, click_count long",
+                           STAT_KEYS, "click_count", ["date"])
 
+    @property
+    def top3(self) -> GroupLog:
+        return GroupLog(self.spark, self._at("ad_province_top3"),
+                        "date string, province string, ad_id long, click_count long", ["date", "province"])
 
-def _overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    @property
+    def trend(self) -> AdditiveLog:
+        return AdditiveLog(self.spark, self._at("ad_click_trend"),
+                           "date string, hour string, minute string, ad_id long, click_count long",
+                           TREND_KEYS, "click_count", ["date"])
 
+    def logs(self) -> list[BatchLog]:
+        return [self.rejects, self.kept, self.counts, self.blacklist, self.stat, self.top3, self.trend]
 
-def counts_log(spark: SparkSession, paths: BlacklistPaths) -> ChangeLog:
-    return ChangeLog(spark, paths.counts, COUNT_SCHEMA, COUNT_KEYS, "click_count")
 
+def _touched(log: AdditiveLog, batch: DataFrame, batch_id: int, keys: list[str]) -> DataFrame:
+    """Current totals of the keys a batch touched; the batch's date range prunes the compacted table."""
+    lo, hi = batch.agg(F.min("date"), F.max("date")).first()
+    entries = log.entries().filter(F.col("date").between(lo, hi) & (F.col("batch_id") <= batch_id))
+    return log.fold(entries.join(batch.select(*keys).distinct(), keys, "left_semi"))
 
-def blacklist_update_batch(spark: SparkSession, updated: DataFrame, batch_id: int,
-                           paths: BlacklistPaths, threshold: int,
-                           compact_every: int | None = DEFAULT_COMPACT_EVERY) -> None:
-    """foreachBatch body of the counting query (idempotent for a given batch_id).
 
-    ``updated`` holds the current running totals of the (date, user, ad) keys
-    that changed in this micro-batch (from the state store), so the work is
-    proportional to the batch, not to the history."""
-    updated = updated.persist()
-    try:
-        # K4: the change log of the per-(date, user, ad) totals; latest batch wins.
-        log = counts_log(spark, paths)
-        log.write_batch(updated.select(*COUNT_KEYS, "click_count"), batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+def process_batch(spark: SparkSession, lines: DataFrame, batch_id: int, tables: AdTables,
+                  threshold: int = AD.DEFAULT_BLACKLIST_THRESHOLD,
+                  compact_every: int | None = DEFAULT_COMPACT_EVERY) -> None:
+    """foreachBatch body; run again with the same batch it leaves the same tables."""
+    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+        for log in tables.logs():
             log.compact(batch_id - 1)  # never folds in the batch being processed
-        # One value: the newest event time seen among this batch's keys.
-        block_ts = updated.agg(F.max("max_ts_ms")).first()[0]
-        if block_ts is None:
-            return
-        earlier = (_read_or_empty(spark, paths.blacklist, BLACKLIST_SCHEMA)
-                   .filter(F.col("batch_id") < batch_id).select("user_id"))
-        hot = AD.blacklist_users(updated, threshold).join(earlier, "user_id", "left_anti")
-        _overwrite_partitions(hot.withColumn("block_ts_ms", F.lit(block_ts).cast("long"))
-                              .withColumn("batch_id", F.lit(batch_id).cast("long")),
-                              paths.blacklist, ["batch_id"])
+    lines = lines.persist()
+    try:
+        clicks, rejects = AD.split_lines(lines)
+        clicks = clicks.select("ts", *AD.CLICK_COLUMNS)
+        tables.rejects.write_batch(rejects, batch_id)
+        tables.trend.write_batch(AD.ad_click_trend(clicks).select(*TREND_KEYS, "click_count"), batch_id)
+        blocked = tables.blacklist.current(batch_id - 1).select("user_id")
+        kept = clicks.join(bounded_broadcast(blocked, AD.MAX_BROADCAST_USERS), "user_id", "left_anti")
+        tables.kept.write_batch(kept.select(*AD.CLICK_COLUMNS), batch_id)
     finally:
-        updated.unpersist()
-
-
-def daily_counts(clicks: DataFrame, keys: list[str], lateness: str | None, *extra) -> DataFrame:
-    """Running clicks per (date, keys).  Without ``lateness`` the state never
-    expires (every late click still counts under its own date).  With it, the
-    day is a 1-day event-time window and a watermark of ``lateness`` lets the
-    state of finished days leave the store."""
-    aggs = [F.count(F.lit(1)).alias("click_count"), *extra]
-    if lateness is None:
-        return clicks.groupBy("date", *keys).agg(*aggs)
-    return (clicks.withWatermark("ts", lateness)
-            .groupBy(F.window("ts", "1 day").alias("_day"), *keys).agg(*aggs)
-            .withColumn("date", F.date_format("_day.start", "yyyy-MM-dd")).drop("_day"))
-
-
-def run_blacklist_stream(lines: DataFrame, root: str, checkpoint: str,
-                         threshold: int = AD.DEFAULT_BLACKLIST_THRESHOLD,
-                         trigger: dict | None = None, lateness: str | None = None,
-                         compact_every: int | None = DEFAULT_COMPACT_EVERY) -> BlacklistPaths:
-    """R4, counting side: stateful running clicks per (date, user, ad) over the raw
-    stream; users reaching ``threshold`` are appended to the blacklist with the
-    batch's newest event time as their block time.
-
-    Counting raw clicks is exact: until a user is blocked all of their clicks
-    are kept, so raw and kept totals agree up to the blocking batch, and later
-    counts of a blocked user cannot change the blacklist."""
+        lines.unpersist()
+    kept = tables.kept.read_batch(batch_id)
+    counts, stat = AD.daily_user_ad_clicks(kept), AD.ad_stat(kept)
+    tables.counts.write_batch(counts, batch_id)
+    batch = tables.counts.read_batch(batch_id)
+    totals = _touched(tables.counts, batch, batch_id, COUNT_KEYS)
+    hot = AD.blacklist_users(totals, threshold)
+    tables.blacklist.write_batch(hot.withColumn("block_batch", F.lit(batch_id).cast("long")), batch_id)
+    tables.stat.write_batch(stat, batch_id)
+    batch = tables.stat.read_batch(batch_id)
+    tables.top3.write_batch(AD.ad_province_top3(_touched(tables.stat, batch, batch_id, ["date", "province"])), batch_id)
+
+
+def run_ad_stream(lines: DataFrame, root: str, checkpoint: str,
+                  threshold: int = AD.DEFAULT_BLACKLIST_THRESHOLD, trigger: dict | None = None,
+                  compact_every: int | None = DEFAULT_COMPACT_EVERY):
+    """Start the pipeline; returns (tables, query).  With an ``availableNow`` trigger it also waits for the end."""
     trigger = trigger or {"availableNow": True}
     spark = lines.sparkSession
-    paths = BlacklistPaths(root)
-    counts = daily_counts(AD.parse_ad_log(lines), ["user_id", "ad_id"], lateness,
-                           F.max("ts_ms").alias("max_ts_ms"))
-    q = _start(counts.writeStream.outputMode("update")
-               .foreachBatch(lambda df, bid: blacklist_update_batch(spark, df, bid, paths, threshold,
-                                                                    compact_every))
+    tables = AdTables(spark, root)
+    q = _start(lines.writeStream
+               .foreachBatch(lambda df, bid: process_batch(spark, df, bid, tables, threshold, compact_every))
                .option("checkpointLocation", checkpoint), trigger)
     _finish(q, trigger)
-    return paths
+    return tables, q
 
 
-def blacklist_with_block_time(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
-    """K7: the whole blacklist (user_id, block_ts_ms), read fresh on every call."""
-    return (_read_or_empty(spark, paths.blacklist, BLACKLIST_SCHEMA)
-            .groupBy("user_id").agg(F.min("block_ts_ms").alias("block_ts_ms")))
-
-
-def kept_clicks_batch(spark: SparkSession, lines: DataFrame, batch_id: int, paths: BlacklistPaths) -> None:
-    """foreachBatch body of the filtering query: JN9 against the current blacklist;
-    a blocked user's clicks up to the block time stay, later ones are dropped.
-
-    The kept folder is itself a stream source (for the running totals), so its
-    files must never change once written: a replayed batch whose partition was
-    already committed is left as it is (a dynamic-overwrite partition only
-    appears at job commit, so its presence means the write completed)."""
-    if path_exists(spark, f"{paths.kept}/batch_id={batch_id}"):
-        return
-    clicks = AD.parse_ad_log(lines).select(*AD.CLICK_COLUMNS)
-    # Read from files, so the capped count of the size check is cheap.
-    bl = bounded_broadcast(blacklist_with_block_time(spark, paths), AD.MAX_BROADCAST_USERS)
-    kept = (clicks.join(bl, "user_id", "left")
-            .filter(F.col("block_ts_ms").isNull() | (F.col("ts_ms") <= F.col("block_ts_ms")))
-            .select(*AD.CLICK_COLUMNS))
-    _overwrite_partitions(kept.withColumn("batch_id", F.lit(batch_id).cast("long")), paths.kept, ["batch_id"])
-
-
-def run_kept_stream(lines: DataFrame, paths: BlacklistPaths, checkpoint: str,
-                    trigger: dict | None = None) -> BlacklistPaths:
-    """R4, filtering side: clicks minus those of blacklisted users after their block time."""
+def run_click_trend_stream(lines: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
+                           compact_every: int | None = DEFAULT_COMPACT_EVERY) -> AdTables:
+    """R7 alone: clicks per (minute, ad) of all readable lines, late ones under their own minute."""
     trigger = trigger or {"availableNow": True}
     spark = lines.sparkSession
-    q = _start(lines.writeStream
-               .foreachBatch(lambda df, bid: kept_clicks_batch(spark, df, bid, paths))
-               .option("checkpointLocation", checkpoint), trigger)
-    _finish(q, trigger)
-    return paths
-
-
-def blacklist_table(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
-    return _read_or_empty(spark, paths.blacklist, BLACKLIST_SCHEMA).select("user_id").distinct()
-
-
-def kept_table(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
-    return _read_or_empty(spark, paths.kept, KEPT_SCHEMA).select(*AD.CLICK_COLUMNS)
-
-
-def user_ad_click_counts(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
-    """Current running total per (date, user, ad): the newest entry of the change log."""
-    return counts_log(spark, paths).current()
-
-
-# ---------------------------------------------------------------- R5 / R6 running totals + top 3
-
-@dataclass
-class AdStatPaths:
-    root: str
-
-    @property
-    def stat(self) -> str:
-        return f"{self.root}/ad_stat"
-
-    @property
-    def top3(self) -> str:
-        return f"{self.root}/ad_province_top3"
-
-
-def ad_stat_batch(spark: SparkSession, updated: DataFrame, paths: AdStatPaths) -> None:
-    """Upsert the updated running totals, then refresh the top 3 of touched provinces."""
-    updated = updated.persist()  # used by several actions below; computed once
-    try:
-        stat = DatePartitionedTable(spark, paths.stat, AD_STAT_SCHEMA)
-        stat.upsert_replace(updated, ["date", "province", "city", "ad_id"])
-        dates = stat.touched_dates(updated)
-        touched = updated.select("date", "province").distinct()
-        current = stat.read_dates(dates).join(touched, ["date", "province"], "left_semi")
-        DatePartitionedTable(spark, paths.top3, TOP3_SCHEMA).replace_groups(
-            AD.ad_province_top3(current), ["date", "province"])
-    finally:
-        updated.unpersist()
+    tables = AdTables(spark, root)
 
+    def batch(df: DataFrame, batch_id: int) -> None:
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            tables.trend.compact(batch_id - 1)
+        clicks, _ = AD.split_lines(df)
+        tables.trend.write_batch(AD.ad_click_trend(clicks).select(*TREND_KEYS, "click_count"), batch_id)
 
-def kept_stream(spark: SparkSession, paths: BlacklistPaths) -> DataFrame:
-    """The blacklist job's kept clicks as a stream (file source over its output)."""
-    ensure_dir(spark, paths.kept)
-    return spark.readStream.schema(KEPT_SCHEMA).parquet(paths.kept).select(*AD.CLICK_COLUMNS)
+    _finish(_start(lines.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint), trigger), trigger)
+    return tables
 
 
-def run_ad_stat_stream(clicks: DataFrame, root: str, checkpoint: str,
-                       trigger: dict | None = None, lateness: str | None = None) -> AdStatPaths:
-    """``clicks``: a streaming DataFrame of parsed (kept) clicks."""
-    trigger = trigger or {"availableNow": True}
-    spark = clicks.sparkSession
-    paths = AdStatPaths(root)
-    if lateness is not None and "ts" not in clicks.columns:
-        clicks = clicks.withColumn("ts", F.timestamp_millis("ts_ms"))
-    counts = daily_counts(clicks, ["province", "city", "ad_id"], lateness)
-    q = _start(counts.writeStream.outputMode("update")
-               .foreachBatch(lambda df, bid: ad_stat_batch(spark, df, paths))
-               .option("checkpointLocation", checkpoint), trigger)
-    _finish(q, trigger)
-    return paths
+def blacklist_table(tables: AdTables) -> DataFrame:
+    return tables.blacklist.current().select("user_id")
 
 
-def ad_stat_table(spark: SparkSession, paths: AdStatPaths) -> DataFrame:
-    return DatePartitionedTable(spark, paths.stat, AD_STAT_SCHEMA).read() \
-        .select("date", "province", "city", "ad_id", "click_count")
+def kept_table(tables: AdTables) -> DataFrame:
+    return tables.kept.read().select(*AD.CLICK_COLUMNS)
 
 
-def province_top3_table(spark: SparkSession, paths: AdStatPaths) -> DataFrame:
-    return DatePartitionedTable(spark, paths.top3, TOP3_SCHEMA).read() \
-        .select("date", "province", "ad_id", "click_count")
+def ad_stat_table(tables: AdTables) -> DataFrame:
+    return tables.stat.current()
 
 
-# ---------------------------------------------------------------- R7 click trend
-
-def trend_batch(spark: SparkSession, updated: DataFrame, path: str) -> None:
-    rows = updated.select(F.date_format("window.start", "yyyy-MM-dd").alias("date"),
-                          F.date_format("window.start", "HH").alias("hour"),
-                          F.date_format("window.start", "mm").alias("minute"),
-                          "ad_id", "click_count").persist()
-    try:
-        DatePartitionedTable(spark, path, TREND_SCHEMA, TREND_PARTITIONS).upsert_replace(
-            rows, ["date", "hour", "minute", "ad_id"])
-    finally:
-        rows.unpersist()
+def province_top3_table(tables: AdTables) -> DataFrame:
+    return tables.top3.current()
 
 
-def trend_table(spark: SparkSession, path: str) -> DataFrame:
-    return DatePartitionedTable(spark, path, TREND_SCHEMA, TREND_PARTITIONS).read() \
-        .select("date", "hour", "minute", "ad_id", "click_count")
-
-
-def run_click_trend_stream(lines: DataFrame, out_path: str, checkpoint: str, lateness: str = "1 hour",
-                           trigger: dict | None = None) -> str:
-    trigger = trigger or {"availableNow": True}
-    spark = lines.sparkSession
-    counts = (AD.parse_ad_log(lines)
-              .withWatermark("ts", lateness)
-              .groupBy(F.window("ts", "1 minute"), "ad_id")
-              .agg(F.count(F.lit(1)).alias("click_count")))
-    q = _start(counts.writeStream.outputMode("update")
-               .foreachBatch(lambda df, bid: trend_batch(spark, df, out_path))
-               .option("checkpointLocation", checkpoint), trigger)
-    _finish(q, trigger)
-    return out_path
+def trend_table(tables: AdTables) -> DataFrame:
+    return tables.trend.current()
 
 
 # ---------------------------------------------------------------- replay input
@@ -335,7 +216,8 @@ def run_click_trend_stream(lines: DataFrame, out_path: str, checkpoint: str, lat
 def write_day_files(spark: SparkSession, ad_logs: DataFrame, path: str) -> str:
     """Lay ``ad_logs`` (value, day) out as one text file per day, with file
     modification times ascending by day, so a file source with
-    ``maxFilesPerTrigger=1`` replays the log one day per micro-batch.
+    ``maxFilesPerTrigger=1`` replays the log one day per micro-batch.  (Replay input for
+    tests and the registered queries: each day goes through one task, as one file must.)
     Returns the glob to read."""
     (ad_logs.repartition("day").write.mode("overwrite").partitionBy("day").text(path))
     jvm = spark.sparkContext._jvm
