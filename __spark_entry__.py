@@ -32,6 +32,7 @@ from visitlab.plans import products as PR  # noqa: E402
 from visitlab.plans import sampling as SM  # noqa: E402
 from visitlab.plans import sessions as S  # noqa: E402
 from visitlab.plans import sql_jobs as SQ  # noqa: E402
+from visitlab.session import checkpoint_root  # noqa: E402
 from visitlab.sources.params import TaskParams, parse_task_params  # noqa: E402
 from visitlab.streaming import ad_streams as AS  # noqa: E402
 from visitlab.sources.tables import Tables  # noqa: E402
@@ -57,13 +58,19 @@ AD_THRESHOLD = 3
 
 
 def _t(spark: SparkSession, sf_dir: str) -> Tables:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # the contract hands over a bare session
     return Tables(spark, sf_dir)
 
 
+def _visits(spark: SparkSession, sf_dir: str, p: TaskParams) -> DataFrame:
+    """The actions of a task's date range; the scan is cut to the events that can be in it."""
+    return S.actions_in_range(_t(spark, sf_dir).visits(p.start_date, p.end_date), p)
+
+
 # ---------------------------------------------------------------- sessions
 
 def q_action_date_range(spark, sf):
-    return S.actions_in_range(_t(spark, sf).visits(), P_RANGE)
+    return _visits(spark, sf, P_RANGE)
 
 
 def q_session_agg(spark, sf):
@@ -95,7 +102,7 @@ def q_filter_equal(spark, sf):
 
 def q_session_filter(spark, sf):
     t = _t(spark, sf)
-    return S.filtered_sessions(t.visits(), t.users(), P_SESSION)
+    return S.filtered_sessions(t.visits(P_SESSION.start_date, P_SESSION.end_date), t.users(), P_SESSION)
 
 
 def q_session_aggr_counts(spark, sf):
@@ -121,7 +128,7 @@ def q_task_params(spark, sf):
 # ---------------------------------------------------------------- area products
 
 def _clicks(spark, sf):
-    return PR.click_actions(_t(spark, sf).visits(), P_AREA)
+    return PR.click_actions(_t(spark, sf).visits(P_AREA.start_date, P_AREA.end_date), P_AREA)
 
 
 def q_click_actions(spark, sf):
@@ -192,7 +199,9 @@ def q_category_counts(spark, sf):
 
 
 def q_category_counts_join(spark, sf):
-    return C.category_counts_join(_detail_with_id(spark, sf))
+    checkpoint_root(spark)
+    return C.category_counts_join(_detail_with_id(spark, sf).select(
+        "action_id", "session_id", "click_category_id", "order_category_ids", "pay_category_ids").checkpoint())
 
 
 def q_top10_category(spark, sf):
@@ -209,7 +218,8 @@ def q_top10_session(spark, sf):
 
 
 def q_top10_session_detail(spark, sf):
-    d = _detail(spark, sf)
+    checkpoint_root(spark)
+    d = _detail(spark, sf).checkpoint()  # stored once, read by both branches
     _, top_sessions = C.top_categories_and_sessions(d)
     return C.top10_session_detail(d, top_sessions)
 

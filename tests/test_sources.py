@@ -79,3 +79,49 @@ def test_random_prefix_spreads_equal_values(spark):
     register_sql_functions(spark)
     n = spark.sql("SELECT count(DISTINCT random_prefix('hot', 10, CAST(id AS STRING))) AS n FROM range(1000)").first().n
     assert n == 10
+
+
+def test_native_tables_prune_and_check(spark, tmp_path):
+    import pytest
+
+    from conftest import visit
+    from visitlab.plans import sessions as S
+    from visitlab.sources.params import TaskParams
+
+    rows = [visit(i, f"s{i % 3}", f"2024-01-0{i % 5 + 1} 10:00:0{i % 10}", user_id=i % 3) for i in range(30)]
+    names = ["action_id", "date", "user_id", "session_id", "page_id", "action_time", "search_keyword", "click_category_id",
+             "click_product_id", "order_category_ids", "order_product_ids", "pay_category_ids", "pay_product_ids", "city_id"]
+    from conftest import VISIT_SCHEMA
+    df = spark.createDataFrame(rows, VISIT_SCHEMA).select(*names).drop("action_id")
+    df.write.partitionBy("date").parquet(f"{tmp_path}/actions")
+    spark.createDataFrame([(i, "u", "n", 20 + i, "p", "c", "male") for i in range(3)], "user_id long, username string, "
+                          "name string, age int, professional string, city string, sex string").write.parquet(f"{tmp_path}/users")
+    t = Tables.from_paths(spark, {"visits": f"{tmp_path}/actions", "users": f"{tmp_path}/users"})
+    p = TaskParams(start_date="2024-01-02", end_date="2024-01-03")
+    got = S.actions_in_range(t.visits(), p)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and got.count() == 12
+    assert S.filtered_sessions(t.visits(), t.users(), p).count() == 3
+    with pytest.raises(ValueError):
+        Tables.from_paths(spark, {"orders": "x/y"})
+    with pytest.raises(LookupError):
+        t.cities()
+    df.drop("city_id").createOrReplaceTempView("short_actions")
+    with pytest.raises(ValueError):
+        Tables.from_paths(spark, {"visits": "short_actions"}).visits()
+
+
+def test_date_range_reaches_the_event_scan(spark):
+    t = Tables(spark, SF)
+    cut = t.visits("2024-01-05", "2024-01-10")
+    assert "GreaterThanOrEqual(ts," in cut._jdf.queryExecution().executedPlan().toString()
+    keep = F.col("date").between("2024-01-05", "2024-01-10")
+    assert cut.filter(keep).exceptAll(t.visits().filter(keep)).count() == 0
+    assert t.visits().filter(keep).exceptAll(cut.filter(keep)).count() == 0
+
+
+def test_set_field_with_null_empties_the_field(spark):
+    from visitlab.functions.strings import set_field
+
+    r = spark.range(1).select(set_field(F.lit("a=1|b=2"), "a", F.lit(None)).alias("s")).first()
+    assert r.s == "a=|b=2"

@@ -36,11 +36,12 @@ def get_field(c, field: str, delimiter: str = "|") -> Column:
 
 
 def set_field(c, field: str, value, delimiter: str = "|") -> Column:
-    """Replace the value of ``field`` in a ``k=v<delim>k=v`` string."""
+    """Replace the value of ``field`` in a ``k=v<delim>k=v`` string; null empties it."""
     v = F.lit(value) if not isinstance(value, Column) else value
+    v = F.coalesce(v.cast("string"), F.lit(""))
     parts = F.split(_col(c), "\\" + delimiter)
     replaced = F.transform(
-        parts, lambda x: F.when(F.split(x, "=")[0] == field, F.concat(F.lit(field + "="), v.cast("string")))
+        parts, lambda x: F.when(F.split(x, "=")[0] == field, F.concat(F.lit(field + "="), v))
         .otherwise(x))
     return F.array_join(replaced, delimiter)
 

@@ -3,7 +3,9 @@
 ``row_number() <= k`` over a window lets Spark insert a partial
 ``WindowGroupLimit`` before the shuffle: each map task keeps at most ``k`` rows
 per group, so a group holding a third of the data sends only ``k`` rows per
-task to its reducer.  Ties are broken by the ``tie_break`` columns, so the
+task to its reducer.  Spark does so for limits up to
+``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default; ``get_spark``
+raises it).  Ties are broken by the ``tie_break`` columns, so the
 result is deterministic.
 """
 
@@ -22,22 +24,9 @@ def _order(cols: Sequence) -> list[Column]:
     return out
 
 
-GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-
-
-def ensure_group_limit(spark, k: int) -> None:
-    """Spark inserts the partial WindowGroupLimit only for limits up to
-    ``windowGroupLimitThreshold`` (1000 by default); raise it when ``k`` is larger
-    so big per-group limits keep the pre-shuffle cut."""
-    current = int(spark.conf.get(GROUP_LIMIT_CONF, "1000"))
-    if 0 <= current < k:
-        spark.conf.set(GROUP_LIMIT_CONF, str(k))
-
-
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence, k: int,
                     rank_col: str | None = None) -> DataFrame:
     """Keep the first ``k`` rows of each group under ``order`` (a full total order)."""
-    ensure_group_limit(df.sparkSession, k)
     w = Window.partitionBy(*group).orderBy(*_order(order))
     tmp = rank_col or "_rn"
     out = df.withColumn(tmp, F.row_number().over(w)).filter(F.col(tmp) <= k)

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from visitlab.functions.dates import date_hour
 from visitlab.functions.numbers import int_div
 from visitlab.operators.broadcast import broadcast_fixed
-from visitlab.operators.topk import ensure_group_limit
 from visitlab.plans.sessions import DETAIL_COLUMNS
 from visitlab.session import checkpoint_root
 
@@ -44,8 +43,7 @@ def sessions_per_hour(sessions: DataFrame) -> DataFrame:
 
 def hour_quotas(sessions: DataFrame, n: int) -> DataFrame:
     hours = sessions_per_hour(sessions)
-    # Number of distinct days over the hour table (24 rows per day at most).
-    days = F.size(F.collect_set("date").over(Window.partitionBy()))
+    days = hours.agg(F.countDistinct("date")).scalar()  # one value, from at most 24 rows a day
     per_day = int_div(F.lit(n), days)
     quota = F.least(F.col("hour_count"), int_div(F.col("hour_count") * per_day, F.col("day_count")))
     return hours.select("date", "hour", quota.alias("quota"))
@@ -62,7 +60,6 @@ def session_random_extract(sessions: DataFrame, n: int = 100, seed: int = 42,
     if materialize:
         checkpoint_root(sessions.sparkSession)
         sessions = sessions.checkpoint(eager=True)
-    ensure_group_limit(sessions.sparkSession, n)
     w = Window.partitionBy("date", "hour").orderBy("_rk", "session_id")
     # Rank first and cut at the literal bound n (partial WindowGroupLimit before
     # the shuffle), then meet the per-hour quota on at most n rows per hour.

@@ -15,6 +15,8 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Keep the partial per-group cut for large k as well.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Reliable checkpoints written by upserts are removed once unreferenced.

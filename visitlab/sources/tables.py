@@ -172,20 +172,53 @@ def tasks_from_region(region: DataFrame) -> DataFrame:
     )
 
 
+# How far a fixture action's time may lie from its event's ``ts`` (seconds): later by the
+# start shift and the longest stretch, earlier by the longest session window.
+MAX_LATER = 22 * 3600 + max(SESSION_SPANS)
+MAX_EARLIER = max(SESSION_WINDOWS)
+
+# Column types of the native tables, as their owner declares them.
+NATIVE_SCHEMAS = {
+    "visits": ("date string, user_id long, session_id string, page_id long, action_time string, "
+               "search_keyword string, click_category_id long, click_product_id long, order_category_ids string, "
+               "order_product_ids string, pay_category_ids string, pay_product_ids string, city_id long"),
+    "users": "user_id long, username string, name string, age int, professional string, city string, sex string",
+    "products": "product_id long, product_name string, extend_info string",
+    "cities": "city_id long, city_name string, area string",
+    "tasks": ("task_id long, task_name string, create_time string, start_time string, finish_time string, "
+              "task_type string, task_status string, task_param string"),
+    "ad_logs": "value string",
+}
+
+
 class Tables:
     """Lazy accessor for raw tables and derived views of one data directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        # Times of the data model are UTC wall-clock values.
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+            raise ValueError(f"spark.sql.session.timeZone is {zone}: the tables need UTC (get_spark sets it)")
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        # Times of the data model are UTC wall-clock values.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+    @staticmethod
+    def from_paths(spark: SparkSession, paths: dict[str, str]) -> NativeTables:
+        """Tables that are stored as such: view name -> parquet folder or catalog table."""
+        return NativeTables(spark, paths)
 
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
-    def visits(self) -> DataFrame:
-        return visits_from_events(self.raw("events"))
+    def visits(self, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+        """All actions.  With both dates the scan is also cut to the events that can have an
+        action in that range; the exact date filter stays the caller's."""
+        events = self.raw("events")
+        if start_date and end_date:
+            low = F.lit(start_date).cast("timestamp_ntz") - F.expr(f"INTERVAL {MAX_LATER} SECONDS")
+            high = F.lit(end_date).cast("timestamp_ntz") + F.expr(f"INTERVAL {MAX_EARLIER + 86400} SECONDS")
+            events = events.filter((F.col("ts") >= low) & (F.col("ts") <= high))
+        return visits_from_events(events)
 
     def users(self) -> DataFrame:
         return users_from_customer(self.raw("customer"))
@@ -206,3 +239,56 @@ class Tables:
         """Register the derived views as temp views (``<prefix><name>``) for SQL users."""
         for name in ("visits", "users", "products", "cities", "ad_logs", "tasks"):
             getattr(self, name)().createOrReplaceTempView(prefix + name)
+
+
+class NativeTables(Tables):
+    """The same views over stored tables with the data model's own schemas.
+
+    A table partitioned by ``date`` is pruned by the date filters of the plans.  A path
+    (with a ``/``) is read as parquet, another name from the catalog; columns are checked."""
+
+    def __init__(self, spark: SparkSession, paths: dict[str, str]):
+        super().__init__(spark, "")
+        unknown = set(paths) - set(NATIVE_SCHEMAS)
+        if unknown:
+            raise ValueError(f"no such view: {sorted(unknown)}; known: {sorted(NATIVE_SCHEMAS)}")
+        self.paths = dict(paths)
+
+    def raw(self, name: str) -> DataFrame:
+        if name not in self.paths:
+            raise LookupError(f"no path was given for {name}")
+        path = self.paths[name]
+        if "/" in path:  # the declared schema: a date partition stays a string
+            return self.spark.read.schema(NATIVE_SCHEMAS[name]).parquet(path)
+        df = self.spark.table(path)
+        wanted = [c.strip().split(" ") for c in NATIVE_SCHEMAS[name].split(",")]
+        missing = [c for c, _ in wanted if c not in df.columns]
+        if missing:
+            raise ValueError(f"{path} lacks the columns {missing} of {name}")
+        return df.select(*[F.col(c).cast(t) for c, t in wanted])
+
+    def visits(self, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+        """All actions, with a row hash as ``action_id`` (the tie-break of equal times)."""
+        df = self.raw("visits")
+        if start_date and end_date:
+            df = df.filter(F.col("date").between(start_date, end_date))
+        return df.select(F.xxhash64(*df.columns).alias("action_id"), *df.columns)
+
+    def users(self) -> DataFrame:
+        return self.raw("users")
+
+    def products(self) -> DataFrame:
+        return self.raw("products")
+
+    def cities(self) -> DataFrame:
+        return self.raw("cities")
+
+    def ad_logs(self) -> DataFrame:
+        return self.raw("ad_logs")
+
+    def tasks(self) -> DataFrame:
+        return self.raw("tasks")
+
+    def register_views(self, prefix: str = "") -> None:
+        for name in self.paths:
+            getattr(self, name)().createOrReplaceTempView(prefix + name)
