@@ -11,10 +11,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from visitlab.llm.blobs import merge
 from visitlab.llm.textnp import mix
 
 BITS = 25  # 2^25 bits: 4 MB
+_PIECE = 1 << 16  # bytes merged at a time
 
 
 def _places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -24,24 +27,25 @@ def _places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
 
 
 def build(keys: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
-    """Bit set (uint8 array of 2^bits / 8) of the non-null keys; merged pairwise on the executors."""
+    """Bit set (uint8 array of 2^bits / 8) of the non-null keys, made and merged on the executors."""
+    size = (1 << bits) // 8
 
-    def mark(rows) -> Iterator[bytes]:
-        found = np.array([r[0] for r in rows], np.int64)
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bit = np.zeros(1 << bits, bool)
-        for p in _places(found, bits):
-            bit[p] = True
-        yield np.packbits(bit).tobytes()
-
-    def either(a: bytes, b: bytes) -> bytes:
-        return (np.frombuffer(a, np.uint8) | np.frombuffer(b, np.uint8)).tobytes()
-
-    ids = keys.select(column).where(f"{column} is not null").distinct()
-    # one filter at a time is merged, in a tree, so neither a task nor the driver holds more than two
-    parts = ids.rdd.mapPartitions(mark)
-    if parts.getNumPartitions() == 0:
-        return np.zeros((1 << bits) // 8, np.uint8)
-    return np.frombuffer(parts.treeReduce(either, depth=3), np.uint8)
+        for b in batches:
+            for p in _places(b.column(0).to_numpy(zero_copy_only=False), bits):
+                bit[p] = True
+        packed = np.packbits(bit)
+        used = [i for i in range(0, size, _PIECE) if packed[i:i + _PIECE].any()]
+        if used:
+            yield pa.RecordBatch.from_arrays([pa.array([i // _PIECE for i in used], pa.int32()), pa.array(
+                [packed[i:i + _PIECE].tobytes() for i in used], pa.binary())], ["chunk", "counts"])
+
+    ids = keys.select(F.col(column).cast("long").alias("k")).where("k is not null").distinct()
+    out = np.zeros(size, np.uint8)
+    for i, piece in merge(ids.mapInArrow(mark, "chunk int, counts binary"), "u1", "or").items():
+        out[i * _PIECE:i * _PIECE + len(piece)] = piece
+    return out
 
 
 def holds(filter_bytes: np.ndarray, keys: pa.Array, bits: int = BITS) -> np.ndarray:

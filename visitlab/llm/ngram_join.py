@@ -19,7 +19,6 @@ Steps, each a Spark job over stored tables:
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,11 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlab.llm import bloom
+from visitlab.llm.blobs import merge
 from visitlab.llm.components import connected_components
 from visitlab.llm.scratch import store
 from visitlab.llm.textnp import mix, shingle_sets, small
 
-SKETCH_BITS = 22  # 4M counters: 32 MB while counting, 4 MB as broadcast ranks; raise it for larger corpora
+SKETCH_BITS = 22  # 4M counters: 16 MB while counting, 4 MB as broadcast ranks; raise it for larger corpora
 _CHUNK = 1 << 16  # counters per stored piece of a sketch
 CELLS = 128  # hash cells of the suffix filter
 
@@ -52,12 +52,13 @@ def _prefix_length(n: int, num: int, den: int) -> int:
 
 def _scan(k: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting = np.zeros(1 << bits, np.int64), []
+        counts, waiting = np.zeros(1 << bits, np.int32), []
         shift = np.uint64(64 - bits)
 
         def count() -> None:
             if waiting:
-                counts[:] += np.bincount(np.concatenate(waiting), minlength=1 << bits)
+                at, n = np.unique(np.concatenate(waiting), return_counts=True)
+                counts[at] += n.astype(np.int32)
                 waiting.clear()
 
         for b in small(batches, "text"):
@@ -79,29 +80,21 @@ def _scan(k: int, bits: int):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), *marks, none.cast(pa.int32()),
                                               none.cast(pa.binary())], ["doc_id", "n", "fa", "fb", "chunk", "counts"])
         count()
-        pieces = [(i, counts[i * _CHUNK:(i + 1) * _CHUNK]) for i in range(max(1, len(counts) // _CHUNK))]
-        pieces = [(i, zlib.compress(c.astype("<i8").tobytes(), 1)) for i, c in pieces if c.any()]
-        if pieces:
-            none = pa.nulls(len(pieces), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([i for i, _ in pieces], pa.int32()),
-                                              pa.array([c for _, c in pieces], pa.binary())],
-                                             ["doc_id", "n", "fa", "fb", "chunk", "counts"])
+        none = pa.nulls(1, pa.int64())
+        for i in range(max(1, len(counts) // _CHUNK)):
+            c = counts[i * _CHUNK:(i + 1) * _CHUNK]
+            if c.any():
+                yield pa.RecordBatch.from_arrays(
+                    [none, none, none, none, pa.array([i], pa.int32()), pa.array([c.astype("<i8").tobytes()])],
+                    ["doc_id", "n", "fa", "fb", "chunk", "counts"])
     return run
 
 
 def _ranks(scanned: DataFrame, bits: int) -> np.ndarray:
     """One byte per hash range: its document count on a logarithmic scale (a broadcast of 2^bits bytes)."""
-
-    def counts(blob: bytes) -> np.ndarray:
-        return np.frombuffer(zlib.decompress(blob), "<i8")
-
-    pieces = (scanned.where("chunk is not null").select("chunk", "counts").rdd
-              .map(lambda r: (r[0], counts(bytes(r[1]))))
-              .reduceByKey(lambda x, y: x + y)  # pairwise: never a group of pieces at once
-              .mapValues(lambda c: np.minimum(255, 8 * np.log2(1 + c)).astype(np.uint8)))
     out = np.zeros(1 << bits, np.uint8)
-    for i, c in pieces.collect():
-        out[i * _CHUNK:i * _CHUNK + len(c)] = c
+    for i, c in merge(scanned.where("chunk is not null"), "<i8", "sum").items():
+        out[i * _CHUNK:i * _CHUNK + len(c)] = np.minimum(255, 8 * np.log2(1 + c))
     return out
 
 
