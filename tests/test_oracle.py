@@ -1,5 +1,7 @@
 """Every registered batch key equals its DuckDB oracle on the smallest data set."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -7,7 +9,7 @@ import __spark_entry__ as E
 from tools.check_oracle import SPARK_TO_DUCK, TABLES, table_hash
 
 SF = "/root/testdata/sf0.001"
-KEYS = [k for k in E.queries() if not k.startswith("stream_")]
+KEYS = [k for k in E.oracle_sql() if not k.startswith("stream_")]
 STREAM_KEYS = [k for k in E.queries() if k.startswith("stream_")]
 
 
@@ -20,7 +22,9 @@ def con():
 
 
 def test_every_key_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """All but the language-model operators, whose trained or iterated results SQL cannot state (see tests/llm)."""
+    without = {k for k in E.queries() if k == "pipeline" or re.match(r"op\d+_", k)}
+    assert set(E.queries()) - without <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS + STREAM_KEYS)
