@@ -22,7 +22,7 @@ BITS = 15
 GRAMS = (3, 4, 5)
 MAX_LABELLED = 5000
 EPOCHS, STEP, L2 = 60, 0.5, 1e-4
-BLOCK_AT = 0.5
+BLOCK_AT = 0.8  # a wrong block costs as much as four wrong passes
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # The small labelled URL table.  Words of unwanted and of ordinary hosts and paths, spelt out as URLs.
