@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from visitlab.llm import decontamination as D
 from visitlab.llm import mixing as M
 
@@ -125,6 +127,9 @@ def test_contaminated_equals_brute_force(spark):
     assert sorted(map(tuple, blocks)) == sorted(map(tuple, got))
     clean = {r["doc_id"] for r in D.decontaminate(df, bench).collect()}
     assert clean == {i for i, *_ in rows} - {k[0] for k in want}
+    assert D.decontaminate(df, bench, block_chars=200).count() == D.decontaminate(df, bench).count()
+    loose = df.withColumn("doc_id", F.lit(None).cast("long"))  # ids are not needed to drop
+    assert D.decontaminate(loose, bench).count() == sum(i not in {k[0] for k in want} for i, *_ in rows)
     assert D.contaminated(df, bench.where("false")).count() == 0
     assert D.contaminated(df.where("false"), bench).count() == 0
 

@@ -137,18 +137,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    bench = (benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
-             .where("item_id is not null and text is not null"))
-    total = bench.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-2 * total // block_chars)  # half full on average, as hashing is uneven
     out = None
-    for block in range(max(1, blocks)):
-        own = bench if blocks <= 1 else bench.where(
-            F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        items = [(r[0], normalise(r[1])) for r in own.collect()]
-        items = sorted({x for x in items if len(x[1]) >= min_chars})
-        if not items:
-            continue
+    for items in _blocks(benchmark, item_col, item_text_col, min_chars, block_chars):
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -166,11 +156,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out if out is not None else spark.createDataFrame([], MATCHES)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents without a match, all columns as they came.  Only documents near a match are shuffled."""
-    from visitlab.llm import bloom
-    from visitlab.llm.scratch import store
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, min_chars: int, block_chars: int
+            ) -> Iterator[list[tuple[int, str]]]:
+    """Normalised items (id, text), a bounded part of the benchmark at a time."""
+    bench = (benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
+             .where("item_id is not null and text is not null"))
+    total = bench.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = -(-2 * total // block_chars)  # half full on average, as hashing is uneven
+    for block in range(max(1, blocks)):
+        own = bench if blocks <= 1 else bench.where(
+            F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        items = [(r[0], normalise(r[1])) for r in own.collect()]
+        items = sorted({x for x in items if len(x[1]) >= min_chars})
+        if items:
+            yield items
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", rate: float = RATE, min_chars: int = MIN_CHARS,
+                  block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows whose text holds no item, all columns as they came: a filter, without a shuffle or a need for ids."""
+    at = docs.columns.index(text_col)
+    for items in _blocks(benchmark, item_col, item_text_col, min_chars, block_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            items = shared.value
+            a = _automaton(items, rate)
+            for b in batches:
+                yield b.filter(pa.array([not (t and find(t, a, items, rate)) for t in b.column(at).to_pylist()],
+                                        pa.bool_()))
 
-    bad = store(contaminated(docs, benchmark, id_col=id_col, **options).select("doc_id").distinct(), "op7-bad")
-    maybe, clean = bloom.split(docs, id_col, bloom.build(bad, "doc_id"))
-    return clean.union(maybe.join(bad.select(F.col("doc_id").alias(id_col)), id_col, "left_anti").select(*docs.columns))
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
