@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,11 +10,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitlab.llm.scratch import small_batches
+
 SALTS = 16  # parts in which the pieces of one number are merged first
 
 
+def packed(x: np.ndarray) -> bytes:
+    """A piece as it is shuffled: sparse counters shrink to a fraction."""
+    return zlib.compress(x.tobytes(), 1)
+
+
+def unpacked(blob: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(blob), kind)
+
+
 def merge(pieces: DataFrame, kind: str, how: str) -> dict[int, np.ndarray]:
-    """Piece number -> merged array, from rows (chunk int, counts binary); how is ``sum`` or ``or``.
+    """Piece number -> merged array, from rows (chunk int, counts: a packed piece); how is ``sum`` or ``or``.
 
     The caller bounds the number and length of the pieces; that is what the driver gets.
     """
@@ -21,13 +33,13 @@ def merge(pieces: DataFrame, kind: str, how: str) -> dict[int, np.ndarray]:
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(chunk: int, total: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([packed(total)], pa.binary())],
                                               ["chunk", "counts"])
 
         chunk = total = None
         for b in batches:
             for c, blob in zip(b.column("chunk").to_pylist(), b.column("counts"), strict=True):
-                x = np.frombuffer(blob.as_buffer(), kind)
+                x = unpacked(blob.as_py(), kind)
                 if c == chunk:
                     join(total, x, out=total)
                     continue
@@ -42,4 +54,5 @@ def merge(pieces: DataFrame, kind: str, how: str) -> dict[int, np.ndarray]:
     first = (pieces.select("chunk", "counts").withColumn("salt", salt).repartition("chunk", "salt")
              .sortWithinPartitions("chunk", "salt").select("chunk", "counts").mapInArrow(fold, schema))
     last = first.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(fold, schema)
-    return {r[0]: np.frombuffer(bytes(r[1]), kind) for r in last.collect()}
+    with small_batches(pieces.sparkSession):
+        return {r[0]: unpacked(bytes(r[1]), kind) for r in last.collect()}

@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlab.llm.blobs import merge
-from visitlab.llm.textnp import mix
+from visitlab.llm import blobs
+from visitlab.llm.textnp import mix, pieces
 
 BITS = 25  # 2^25 bits: 4 MB
 _PIECE = 1 << 16  # bytes merged at a time
@@ -39,11 +39,11 @@ def build(keys: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
         used = [i for i in range(0, size, _PIECE) if packed[i:i + _PIECE].any()]
         if used:
             yield pa.RecordBatch.from_arrays([pa.array([i // _PIECE for i in used], pa.int32()), pa.array(
-                [packed[i:i + _PIECE].tobytes() for i in used], pa.binary())], ["chunk", "counts"])
+                [blobs.packed(packed[i:i + _PIECE]) for i in used], pa.binary())], ["chunk", "counts"])
 
     ids = keys.select(F.col(column).cast("long").alias("k")).where("k is not null").distinct()
     out = np.zeros(size, np.uint8)
-    for i, piece in merge(ids.mapInArrow(mark, "chunk int, counts binary"), "u1", "or").items():
+    for i, piece in blobs.merge(ids.mapInArrow(mark, "chunk int, counts binary"), "u1", "or").items():
         out[i * _PIECE:i * _PIECE + len(piece)] = piece
     return out
 
@@ -64,7 +64,7 @@ def split(df: DataFrame, key: str, filter_bytes: np.ndarray, bits: int = BITS) -
 
     def keep(wanted: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in pieces(batches):
                 hit = holds(shared.value, b.column(key), bits)
                 yield b.filter(pa.array(hit if wanted else ~hit))
         return run

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitlab.llm.textnp import pieces as pieces_of
+
 RATE = 0.08  # edits per character of an item
 MIN_CHARS = 20  # shorter items (normalised) are too common to be a match
 BLOCK_CHARS = 8_000_000  # item text on the driver, and in one automaton, at a time
@@ -183,7 +185,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
             a = _automaton(items, rate)
-            for b in batches:
+            for b in pieces_of(batches):
                 yield b.filter(pa.array([not (t and find(t, a, items, rate)) for t in b.column(at).to_pylist()],
                                         pa.bool_()))
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlab.llm import bloom
-from visitlab.llm.blobs import merge
+from visitlab.llm.blobs import merge, packed
 from visitlab.llm.components import connected_components
 from visitlab.llm.scratch import store
 from visitlab.llm.textnp import mix, shingle_sets, small
@@ -85,7 +85,7 @@ def _scan(k: int, bits: int):
             c = counts[i * _CHUNK:(i + 1) * _CHUNK]
             if c.any():
                 yield pa.RecordBatch.from_arrays(
-                    [none, none, none, none, pa.array([i], pa.int32()), pa.array([c.astype("<i8").tobytes()])],
+                    [none, none, none, none, pa.array([i], pa.int32()), pa.array([packed(c.astype("<i8"))])],
                     ["doc_id", "n", "fa", "fb", "chunk", "counts"])
     return run
 

@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from visitlab.session import scratch_path
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Hand rows to Python in small Arrow batches while a job runs: several are in memory on both sides."""
+    old = spark.conf.get(BATCH_BYTES, None)
+    spark.conf.set(BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_BYTES) if old is None else spark.conf.set(BATCH_BYTES, old)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to a fresh shared folder and read it back: cuts lineage, survives lost executors."""
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

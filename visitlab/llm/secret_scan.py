@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitlab.llm.textnp import pieces
+
 KINDS = ("assign", "access", "hex", "crf")  # the last is the field's
 MAX_DOCS, PER_DOC = 2000, 20
 FEATURES = 1 << 12
@@ -295,7 +297,7 @@ def redact_secrets(docs: DataFrame, model: Model, text_col: str = "text", chars_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
-        for b in batches:
+        for b in pieces(batches):
             text = [t and redact(t, spans(t, model)) for t in b.column(at).to_pylist()]
             yield b.set_column(at, b.schema.field(at), pa.array(text, b.schema.field(at).type))
 
