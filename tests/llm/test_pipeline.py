@@ -2,10 +2,12 @@
 
 import importlib.util
 import os
+from itertools import combinations
 
 import pytest
 
 import corpus_pipeline as P
+from test_ngram_join import sets
 from tests_llm_helpers import brute, edit
 from visitlab.llm import decontamination as D
 from visitlab.llm import language_id, secret_scan
@@ -58,6 +60,27 @@ def test_stages(spark, docs):
     assert abs(sum(r["taken"] for r in mixed) / (1.5 * sum(size.values())) - 1) < 0.01
 
 
+def test_near_copies_share_80_percent_of_5_words(spark, docs):
+    text = [f"v{i}" for i in range(51)]
+    edited = [*text[:25], "other", *text[26:]]  # 4 words: 44 of 52 shared; 5 words: 42 of 52
+    made = [(10**6, " ".join(text)), (10**6 + 1, " ".join(edited)), (10**6 + 2, " ".join(text[:40]))]
+    both = docs.union(spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in made], docs.schema))
+    rows = [(r["doc_id"], sets(r["text"], 5)) for r in both.collect()]
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for (i, a), (j, b) in combinations(rows, 2):
+        if a and b and 100 * len(a & b) >= 80 * len(a | b):
+            x, y = find(i), find(j)
+            root[max(x, y)] = min(x, y)
+    got = {r["doc_id"] for r in P.drop_near_copies(spark, both, SF).collect()}
+    assert got == {i for i in root if find(i) == i} and 10**6 + 1 not in got and 10**6 + 2 in got
+
+
 def test_run_and_registration(spark, docs):
     got = P.run(spark, SF)
     assert got.columns == ["doc_id", "source", "size", "copies", "taken"] and got.count() > 100
