@@ -25,7 +25,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     contract of 4 words and 85 %.
     Only documents that may be dropped are shuffled: the others pass a Bloom filter of the dropped ids.
     """
-    found = ngram_join.ngram_jaccard_join(docs, k=5, num=80).documents
+    found = ngram_join.ngram_jaccard_components(docs, k=5, num=80).documents
     gone = store(found.where("component_id <> doc_id").select("doc_id").distinct(), "pipeline-copies")
     maybe, kept = bloom.split(docs, "doc_id", bloom.build(gone, "doc_id"))
     return kept.union(maybe.join(gone, "doc_id", "left_anti").select(*docs.columns))

@@ -84,6 +84,43 @@ def test_near_copy_group_makes_few_pairs(spark):
     assert result.links.count() < 150 * 10
 
 
+@pytest.mark.parametrize(("seed", "block"), [(3, 512), (4, 3)])
+def test_all_links_equal_brute_force(spark, seed, block):
+    rng = random.Random(seed)
+    base = [f"g{i}" for i in range(150)]
+    group = [" ".join([*base[:i], f"x{rng.randrange(10**6)}", *base[i + 1:]]) for i in range(0, 150, 5)]
+    rows = variants(seed, 120) + [(2000 + i, t) for i, t in enumerate(group)] + [
+        (2000, group[0]), (3000, group[4].upper()), (3001, group[5]), (3001, group[6] + " tail"), (3002, group[6] + " tail"),
+        (1000, None), (1001, ""), (None, group[1])]
+    made = [(i, sets(t)) for i, t in rows if i is not None]
+    node = {}
+    for i, s in made:
+        if s:
+            node[s] = min(i, node.get(s, i))
+    links, near = set(), {s: {s} for s in node}
+    for x, y in combinations(node, 2):
+        if 100 * len(x & y) >= 85 * len(x | y):
+            near[x].add(y)
+            near[y].add(x)
+            (a, na, _), (b, nb, _) = sorted([(node[x], len(x), 0), (node[y], len(y), 0)])
+            links.add((a, b, na, nb, len(x & y)))
+    holders = {s: {i for i, t in made if t == s} for s in node}
+    want = [(i, len(s), node.get(s, i), len(set().union(*(holders[y] for y in near[s])) - {i}) if s else 0)
+            for i, s in made] + [(None, len(sets(group[1])), None, None)]
+    out = ngram_join.ngram_jaccard_links(spark.createDataFrame(rows, "doc_id long, text string").repartition(5),
+                                         sketch_bits=16, block=block)
+    got = [tuple(r) for r in out.links.select("a", "b", "n_a", "n_b", "overlap").collect()]
+    assert len(links) >= 435 and sorted(got) == sorted(links)  # the group alone has 435
+    got = [tuple(r) for r in out.documents.select("doc_id", "n_shingles", "class_id", "n_links").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_all_links_of_nothing(spark):
+    for rows in ([], [(1, None)], [(1, "a b c d e")]):
+        out = ngram_join.ngram_jaccard_links(spark.createDataFrame(rows, "doc_id long, text string"), sketch_bits=16)
+        assert out.links.count() == 0 and [r["n_links"] for r in out.documents.collect()] == [0] * len(rows)
+
+
 def test_nulls_repeats_and_empty(spark):
     rows = [(None, "a b c d e"), (1, "a b c d e"), (1, "a b c d e"), (2, "p q r s t"), (2, "a b c d e"), (3, "p q r s t"),
             (4, None)]

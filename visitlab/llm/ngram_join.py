@@ -9,10 +9,13 @@ Steps, each a Spark job over stored tables:
    sketch may be coarse: it costs candidates, never links.  The first n - ceil(t*n) + 1 n-grams are the prefix.
 3. Prefix postings are range-partitioned by (n-gram, class) and sorted, so a hot n-gram spreads over tasks.  Each run
    of equal n-grams is streamed: postings alone in their run die; the others are kept with the run's first class as
-   pivot.  Pivot pairs (a number linear in the postings) are filtered, verified once, and closed to components.
-4. The pairs still needed are those in one run but in different components.  They are formed between the few distinct
-   (set size, position) groups of a run, filtered there, and only then between their classes.  So a group of near
-   copies, once closed, makes no pairs.
+   pivot.
+4. ``ngram_jaccard_links``: all pairs of a run are formed, filtered and verified.  A run is cut into blocks of classes,
+   and each two blocks meet under a key of their own, so a hot n-gram spreads over tasks.
+   ``ngram_jaccard_components``: pivot pairs (a number linear in the postings) are filtered, verified once, and closed to
+   components.  The pairs still needed are those in one run but in different components.  They are formed between the
+   few distinct (set size, position) groups of a run, filtered there, and only then between their classes.  So a group
+   of near copies, once closed, makes no pairs: its components are exact, its links are only some of them.
 5. Verification: the suffix filter (the overlap is at most the sum over hash cells of the smaller cell counts), then
    the exact intersection of the two sets.
 """
@@ -36,6 +39,7 @@ from visitlab.llm.textnp import mix, shingle_sets, small
 SKETCH_BITS = 22  # 4M counters: 16 MB while counting, 4 MB as broadcast ranks; raise it for larger corpora
 _CHUNK = 1 << 16  # counters per stored piece of a sketch
 CELLS = 128  # hash cells of the suffix filter
+RUN_BLOCK = 512  # classes of a run that meet those of another block in one task
 
 _CLASS_SCHEMA = "doc_id long, n long, fa long, fb long, chunk int, counts binary"
 _PREFIX_SCHEMA = "doc_id long, n long, grams array<long>, cells binary"
@@ -43,7 +47,21 @@ _PREFIX_SCHEMA = "doc_id long, n long, grams array<long>, cells binary"
 
 class JoinResult(NamedTuple):
     documents: DataFrame  # doc_id, n_shingles, class_id, component_id: one row per input row
-    links: DataFrame  # a, b, n_a, n_b, overlap: verified pairs between class representatives
+    links: DataFrame  # a, b, n_a, n_b, overlap: verified pairs that tie the components, not all links
+
+
+class LinkResult(NamedTuple):
+    documents: DataFrame  # doc_id, n_shingles, class_id, n_links: one row per input row
+    links: DataFrame  # a, b, n_a, n_b, overlap: all verified pairs between class representatives
+
+
+class _Prepared(NamedTuple):
+    docs: DataFrame  # doc_id, text
+    rows: DataFrame  # doc_id, n, fa, fb: one row per input row
+    members: DataFrame  # doc_id, n, node: one row per input row that takes part
+    same: DataFrame  # a, b: classes tied by a doc_id with several different sets
+    profile: DataFrame  # node, n, cells
+    live: DataFrame  # postings that share their n-gram, with the pivot of their run
 
 
 def _prefix_length(n: int, num: int, den: int) -> int:
@@ -190,14 +208,7 @@ def _sets(k: int):
     return run
 
 
-def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85,
-                       den: int = 100, sketch_bits: int = SKETCH_BITS) -> JoinResult:
-    """Link documents whose k-word shingle sets have den * |intersection| >= num * |union|; exact, no pair is lost.
-
-    Every row comes back once.  Null or blank texts have an empty set and link with nothing; fewer than k words make
-    one shingle.  Rows with one doc_id are one document: they share its component.  Rows without a doc_id come back
-    with null class and component and take no part.  Extra columns are ignored.
-    """
+def _prepare(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int, sketch_bits: int) -> _Prepared:
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -226,14 +237,27 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     live = store(postings.repartitionByRange("h", "node").sortWithinPartitions("h", "node")
                  .mapInArrow(_runs, "h long, node long, n long, pos long, piv long, piv_n long, piv_pos long"),
                  "op9-live")
+    return _Prepared(docs, rows, members, same, profile, live)
+
+
+def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4,
+                             num: int = 85, den: int = 100, sketch_bits: int = SKETCH_BITS) -> JoinResult:
+    """Components of documents whose k-word shingle sets have den * |intersection| >= num * |union|; exact.
+
+    A shortcut: pairs already known to be in one component are not verified, so ``links`` ties every component but is
+    not the join; ``ngram_jaccard_links`` is.
+
+    Every row comes back once.  Null or blank texts have an empty set and link with nothing; fewer than k words make
+    one shingle.  Rows with one doc_id are one document: they share its component.  Rows without a doc_id come back
+    with null class and component and take no part.  Extra columns are ignored.
+    """
+    docs, rows, members, same, profile, live = _prepare(docs, id_col, text_col, k, num, den, sketch_bits)
     spokes = (live.where("piv <> node").where(_may_link("n", "pos", "piv_n", "piv_pos", num, den))
               .select(F.col("piv").alias("a"), F.col("piv_n").alias("na"), F.col("node").alias("b"),
                       F.col("n").alias("nb")).distinct())
     tried, links = _verify(docs, spokes, profile, k, num, den)
     tied = links.select("a", "b").union(same)
     parts = connected_components(tied)
-
-    # 4. what is left between components
     rest = _across(live, parts, num, den)
     rest = rest.join(tried, ["a", "na", "b", "nb"], "left_anti")
     _, more = _verify(docs, rest, profile, k, num, den)
@@ -249,6 +273,65 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return JoinResult(joined.union(alone), links)
 
 
+#: The components under their former name.
+ngram_jaccard_join = ngram_jaccard_components
+
+
+def ngram_jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85,
+                        den: int = 100, sketch_bits: int = SKETCH_BITS, block: int = RUN_BLOCK) -> LinkResult:
+    """The whole join: all pairs of classes with den * |intersection| >= num * |union|, no pair is lost.
+
+    Classes of equal sets stand for their documents, so exact copies make no pairs; a group of near copies has as many
+    links as it has pairs.  ``n_links`` of a row counts the other doc_ids that have an equal or a linked set; it is 0
+    for an empty set and null without a doc_id.  Rows are treated as by ``ngram_jaccard_components``.
+    Not covered: a doc_id that is the smallest of two different sets of one size; only one of the sets is verified.
+    """
+    docs, rows, members, _, profile, live = _prepare(docs, id_col, text_col, k, num, den, sketch_bits)
+    _, links = _verify(docs, _within(live, num, den, block), profile, k, num, den)
+
+    held = store(members.distinct(), "op9-held")
+    size = store(held.groupBy("node", "n").agg(F.count(F.lit(1)).alias("size")), "op9-size")
+    around = store(links.select(F.col("a").alias("node"), F.col("n_a").alias("n"), F.col("b").alias("near"),
+                                F.col("n_b").alias("near_n"))
+                   .union(links.select("b", "n_b", "a", "n_a"))
+                   .union(size.select("node", "n", "node", "n")), "op9-around")
+    total = (around.join(size.select(F.col("node").alias("near"), F.col("n").alias("near_n"), "size"),
+                         ["near", "near_n"]).groupBy("node", "n").agg(F.sum("size").alias("total")))
+    # a doc_id in several classes around a class counts once
+    several = held.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("doc_id")
+    several = store(held.join(several, "doc_id").select("doc_id", F.col("node").alias("near"),
+                                                        F.col("n").alias("near_n")), "op9-several")
+    again = (around.join(several, ["near", "near_n"]).groupBy("node", "n", "doc_id").agg(F.count(F.lit(1)).alias("m"))
+             .groupBy("node", "n").agg(F.sum(F.col("m") - 1).alias("again")))
+    counts = store(total.join(again, ["node", "n"], "left")
+                   .select("node", "n", (F.col("total") - F.coalesce("again", F.lit(0)) - 1).alias("n_links")),
+                   "op9-counts")
+    joined = members.join(counts, ["node", "n"]).select("doc_id", F.col("n").alias("n_shingles"),
+                                                        F.col("node").alias("class_id"), "n_links")
+    alone = rows.where("doc_id is null or n = 0").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"),
+        F.expr("if(doc_id is null, null, 0L)").alias("n_links"))
+    return LinkResult(joined.union(alone), links)
+
+
+def _within(live: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """Distinct pairs ((a, na) < (b, nb)) that share a run and pass both filters; each two blocks of a run meet once."""
+    runs = live.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    runs = store(runs.select("h", F.ceil(F.col("m") / block).cast("int").alias("blocks")), "op9-runs")
+    post = store(live.select("h", "node", "n", "pos").join(runs, "h")
+                 .withColumn("at", F.expr("cast(pmod(xxhash64(node, n), blocks) as int)")), "op9-blocks")
+    left = post.select("h", F.col("at").alias("i"), F.expr("explode(sequence(at, blocks - 1))").alias("j"),
+                       F.col("node").alias("u"), F.col("n").alias("nu"), F.col("pos").alias("pu"))
+    right = post.select("h", F.expr("explode(sequence(0, at))").alias("i"), F.col("at").alias("j"),
+                        F.col("node").alias("v"), F.col("n").alias("nv"), F.col("pos").alias("pv"))
+    pairs = (left.join(right, ["h", "i", "j"]).where("i < j or u < v or u = v and nu < nv")
+             .where(_may_link("nu", "pu", "nv", "pv", num, den)))
+    swap = F.expr("u > v or u = v and nu > nv")
+    return pairs.select(F.least("u", "v").alias("a"), F.when(swap, F.col("nv")).otherwise(F.col("nu")).alias("na"),
+                        F.greatest("u", "v").alias("b"), F.when(swap, F.col("nu")).otherwise(F.col("nv")).alias("nb")
+                        ).distinct()
+
+
 def _across(live: DataFrame, parts: DataFrame, num: int, den: int) -> DataFrame:
     """Distinct pairs (a < b) that share a run, lie in different components and pass both filters."""
     post = live.select("h", "node", "n", "pos", "piv")

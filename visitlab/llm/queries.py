@@ -122,7 +122,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_jaccard_join(_table(spark, sf_dir, "documents")).documents.select(
+    return ngram_join.ngram_jaccard_components(_table(spark, sf_dir, "documents")).documents.select(
         "doc_id", "n_shingles", "component_id")
 
 
