@@ -134,6 +134,17 @@ def test_contaminated_equals_brute_force(spark):
     assert D.contaminated(df.where("false"), bench).count() == 0
 
 
+def test_short_items_and_items_without_id(spark):
+    rows = [(1, "say Forty-two apples now"), (2, "forty two applesauce"), (3, "xforty two apples"), (4, "forty twoo apples"),
+            (5, "forty two apples"), (6, "an item that has no id of its own, in here"), (7, None), (8, "no")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "Forty two apples!"), (None, "An item that has no id of its own"), (3, " ?! ")],
+                                  "item_id long, text string")
+    got = sorted(tuple(r) for r in D.contaminated(df, bench).collect())
+    assert got == [(1, 1, 4, 20, 0), (5, 1, 0, 16, 0)]
+    assert {r["doc_id"] for r in D.decontaminate(df, bench).collect()} == {2, 3, 4, 7, 8}
+
+
 def test_normalise():
     for t in ["É\u2019tude \u2014 d'Été!", "a_b  c\n\nD9", "", "\u00bfQué?", "x\u00a0y"]:
         assert D.normalise(t) == " ".join(re.findall(r"[^\W_]+", t.lower()))
