@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlab.llm import (chat_format, decontamination, language_id, mixing, ngram_join, pii_boost, quality_rules,
-                          secret_scan, token_rollup, url_filter)
+from visitlab.llm import (chat_format, decontamination, language_id, mixing, ngram_join, packing, pii_boost,
+                          quality_rules, resampling, secret_scan, token_rollup, url_filter, whitening)
 from visitlab.session import scratch_path
 
 
@@ -134,6 +134,79 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *count, base.alias("base_sha256"), every.alias("spans"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+# crc32 by its definition, once per distinct word: the table of 256 entries comes from the polynomial.
+OP13_SQL = r"""
+with recursive
+steps(b, i, c) as (
+  select b, 0, b from range(256) t(b)
+  union all
+  select b, i + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from steps where i < 8),
+crc_table as (select list(c order by b) as t from steps where i = 8),
+texts as (
+  select 'corpus' as side, doc_id as id, row_number() over () as r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from documents
+  union all
+  select 'target', item_id, row_number() over (),
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  from benchmark),
+counted as (
+  select side, id, r, w, count(*) as n
+  from (select side, id, r, unnest(words) as w from texts) group by side, id, r, w),
+hashed as (
+  select w, xor(list_reduce(
+           list_prepend(4294967295::bigint,
+                        list_transform(range(1, octet_length(encode(w)) + 1),
+                                       lambda i: ('0x' || hex(encode(w))[2 * i - 1 : 2 * i])::bigint)),
+           lambda c, x: xor(t[xor(c & 255, x) + 1], c >> 8)), 4294967295) % 10000 as bucket
+  from (select distinct w from counted), crc_table),
+sizes as (
+  select b.bucket, coalesce(sum(n) filter (side = 'corpus'), 0)::double as s,
+         coalesce(sum(n) filter (side = 'target'), 0)::double as t
+  from range(10000) b(bucket) left join (select * from counted join hashed using (w)) h on h.bucket = b.bucket
+  group by b.bucket),
+totals as (select sum(s) as s_all, sum(t) as t_all from sizes),
+gains as (
+  select bucket, floor(1000 * ln(((t + 1) * (s_all + 10000)) / ((s + 1) * (t_all + 10000))))::bigint as gain
+  from sizes, totals),
+weights as (
+  select r, sum(n)::bigint as n_features, floor(sum(n * gain)::double / sum(n))::bigint as weight
+  from counted join hashed using (w) join gains using (bucket) where side = 'corpus' group by r),
+scored as (
+  select id as doc_id, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (('0x' || sha256(concat('2024:', id::varchar))[1:8])::bigint + 0.5::double) / 4294967296)))::bigint as score
+  from texts left join weights using (r) where side = 'corpus'),
+drawn as (
+  select *, row_number() over (order by score desc, doc_id) as place, count(*) over () as candidates
+  from scored where n_features >= 20)
+select doc_id, n_features, weight, score, place as rank from drawn where place <= 10 * candidates // 100
+union all
+select doc_id, n_features, weight, score, null from drawn where place > 10 * candidates // 100
+union all
+select doc_id, n_features, weight, score, null from scored where n_features < 20
+"""
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_secret_scans": op2_secret_scans,
@@ -145,6 +218,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_pii": op10_pii,
+    "op11_packing": op11_packing,
+    "op12_whitening": op12_whitening,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
-SQL: dict[str, str] = {"op6_token_counts": OP6_SQL}
+SQL: dict[str, str] = {"op6_token_counts": OP6_SQL, "op13_importance_resampling": OP13_SQL}
