@@ -132,6 +132,36 @@ def test_nulls_repeats_and_empty(spark):
     assert empty.documents.count() == 0 and empty.links.count() == 0
 
 
+def brute_documents(rows, num=85):
+    """doc_id -> component, where the rows of a doc_id are one document with several sets."""
+    root = {i: i for i, _ in rows if i is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    made = [(i, sets(t)) for i, t in rows if i is not None]
+    for (i, a), (j, b) in combinations(made, 2):
+        if a and b and 100 * len(a & b) >= num * len(a | b):
+            x, y = find(i), find(j)
+            root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in root}
+
+
+def test_a_doc_id_with_several_texts_loses_no_link(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    four = [(1, a), (1, b), (2, a + " x"), (3, b + " y")]
+    rng = random.Random(9)
+    many = [(rng.randrange(40), t) for _, t in variants(7, 120)]  # texts of equal size under one doc_id abound
+    many += [(-i, t) for i, t in many[:20]]
+    for rows in (four, [(5, a), (5, b), (7, b + " y"), (1, a)], many):
+        out = ngram_join.ngram_jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), sketch_bits=16)
+        got = out.documents.select("doc_id", "component_id").collect()
+        want = brute_documents(rows)
+        assert len(got) == len(rows) and {tuple(r) for r in got} == set(want.items())
+
+
 def test_long_text_and_words():
     text = "x" * 3_000_000 + " " + "ab cd " * 500_000
     a, = shingle_sets(pa.array([text]), 4)
@@ -167,6 +197,18 @@ def test_runs_across_batches_and_partitions():
     assert last == [1, 2, 2, 2, 3]  # so does the last
 
 
+def test_packed_pieces_add_up():
+    from functools import reduce
+
+    from visitlab.llm import blobs
+    rng = np.random.default_rng(2)
+    pieces = [np.where(rng.random(500) < share, rng.integers(1, 9, 500), 0).astype("<i8") for share in (0.01, 0.9, 0.0, 0.2)]
+    packs = [blobs.packed(p) for p in pieces]
+    assert {b[:1] for b in packs} == {b"s", b"d"}
+    assert all((blobs.unpacked(b, "<i8") == p).all() for b, p in zip(packs, pieces, strict=True))
+    assert (reduce(lambda t, b: blobs._fold(t, b, "<i8", np.add), packs, None) == sum(pieces)).all()
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(500, i) for i in range(501, 560)] + [(None, 1)]
@@ -187,7 +229,7 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_bloom_split(spark):
+def test_bloom_split(spark, monkeypatch):
     df = spark.createDataFrame([(i, "x") for i in range(2000)] + [(None, "y")], "doc_id long, text string")
     keys = df.where("doc_id % 50 = 3")
     maybe, no = bloom.split(df, "doc_id", bloom.build(keys, "doc_id"))
@@ -195,4 +237,10 @@ def test_bloom_split(spark):
     assert {i for i in range(2000) if i % 50 == 3} <= inside and len(inside) < 60 and None in outside
     assert len(inside) + len(outside) == 2001
     assert not bloom.build(df.where("false"), "doc_id").any()
+    ids, every = keys.select("doc_id"), {i for i in range(2000)} | {None}
+    for most in (10**6, 0):
+        monkeypatch.setattr(bloom, "BROADCAST_KEYS", most)
+        got = {r[0] for r in bloom.rows_of(df, "doc_id", ids, 40).collect()}
+        assert {i for i in range(2000) if i % 50 == 3} <= got and len(got) < 60
+        assert {r[0] for r in bloom.rows_but(df, "doc_id", ids, 40).collect()} == every - {i for i in range(2000) if i % 50 == 3}
     assert np.asarray(bloom.holds(bloom.build(keys, "doc_id"), pa.array([3, None]))).tolist() == [True, False]

@@ -81,6 +81,17 @@ def test_near_copies_share_80_percent_of_5_words(spark, docs):
     assert got == {i for i in root if find(i) == i} and 10**6 + 1 not in got and 10**6 + 2 in got
 
 
+def test_repeated_rows_stay_once(spark, docs):
+    some = docs.orderBy("doc_id").limit(50)
+    once = {r["doc_id"] for r in P.drop_near_copies(spark, some, SF).collect()}
+    got = P.drop_near_copies(spark, some.union(some), SF)
+    assert got.columns == COLUMNS and sorted(r["doc_id"] for r in got.collect()) == sorted(once)
+    two = spark.createDataFrame([(1, "b " * 9, "en", "s", 1), (1, "a text of its own", "de", None, 2), (None, "x", "en", "s", 1),
+                                 (None, "x", "en", "s", 1)], docs.schema)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in P.drop_near_copies(spark, two, SF).collect()) == [
+        (0, "x"), (0, "x"), (1, "a text of its own")]
+
+
 def test_run_and_registration(spark, docs):
     got = P.run(spark, SF)
     assert got.columns == ["doc_id", "source", "size", "copies", "taken"] and got.count() > 100
@@ -89,7 +100,7 @@ def test_run_and_registration(spark, docs):
     module = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(module)
     names = module.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 def test_empty_and_null_rows(spark, docs):

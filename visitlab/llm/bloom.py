@@ -17,6 +17,7 @@ from visitlab.llm import blobs
 from visitlab.llm.textnp import mix, pieces
 
 BITS = 25  # 2^25 bits: 4 MB
+BROADCAST_KEYS = 500_000  # keys that are broadcast as they are: some 30 MB
 _PIECE = 1 << 16  # bytes merged at a time
 
 
@@ -31,17 +32,21 @@ def build(keys: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
     size = (1 << bits) // 8
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bit = np.zeros(1 << bits, bool)
+        bits_set = None
         for b in batches:
+            if not b.num_rows:
+                continue
+            bits_set = np.zeros(size, np.uint8) if bits_set is None else bits_set
             for p in _places(b.column(0).to_numpy(zero_copy_only=False), bits):
-                bit[p] = True
-        packed = np.packbits(bit)
-        used = [i for i in range(0, size, _PIECE) if packed[i:i + _PIECE].any()]
-        if used:
+                p = np.unique(p)
+                at, first = np.unique(p >> 3, return_index=True)
+                bits_set[at] |= np.bitwise_or.reduceat((128 >> (p & 7)).astype(np.uint8), first)
+        if bits_set is not None:
+            used = [i for i in range(0, size, _PIECE) if bits_set[i:i + _PIECE].any()]
             yield pa.RecordBatch.from_arrays([pa.array([i // _PIECE for i in used], pa.int32()), pa.array(
-                [blobs.packed(packed[i:i + _PIECE]) for i in used], pa.binary())], ["chunk", "counts"])
+                [blobs.packed(bits_set[i:i + _PIECE]) for i in used], pa.binary())], ["chunk", "counts"])
 
-    ids = keys.select(F.col(column).cast("long").alias("k")).where("k is not null").distinct()
+    ids = keys.select(F.col(column).cast("long").alias("k")).where("k is not null")
     out = np.zeros(size, np.uint8)
     for i, piece in blobs.merge(ids.mapInArrow(mark, "chunk int, counts binary"), "u1", "or").items():
         out[i * _PIECE:i * _PIECE + len(piece)] = piece
@@ -70,3 +75,21 @@ def split(df: DataFrame, key: str, filter_bytes: np.ndarray, bits: int = BITS) -
         return run
 
     return df.mapInArrow(keep(True), df.schema), df.mapInArrow(keep(False), df.schema)
+
+
+def rows_of(df: DataFrame, key: str, ids: DataFrame, count: int) -> DataFrame:
+    """Rows of ``df`` whose key may be among ``ids`` (one long column, ``count`` rows, null never): exactly those if the
+    ids are few enough to be broadcast, else those the Bloom filter lets through."""
+    ids = ids.toDF(key)
+    if count <= BROADCAST_KEYS:
+        return df.join(F.broadcast(ids), key, "left_semi").select(*df.columns)
+    return split(df, key, build(ids, key))[0]
+
+
+def rows_but(df: DataFrame, key: str, ids: DataFrame, count: int) -> DataFrame:
+    """Rows of ``df`` whose key is not among ``ids``; only rows that may be are shuffled."""
+    ids = ids.toDF(key)
+    if count <= BROADCAST_KEYS:
+        return df.join(F.broadcast(ids), key, "left_anti").select(*df.columns)
+    maybe, kept = split(df, key, build(ids, key))
+    return kept.union(maybe.join(ids, key, "left_anti").select(*df.columns))

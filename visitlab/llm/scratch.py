@@ -24,10 +24,17 @@ def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
         spark.conf.unset(BATCH_BYTES) if old is None else spark.conf.set(BATCH_BYTES, old)
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to a fresh shared folder and read it back: cuts lineage, survives lost executors."""
+ROWS_PER_TASK = 50_000
+
+
+def store(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` once to a fresh shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``rows``, a bound on its number of rows, lets small tables be made by few tasks: one per ``ROWS_PER_TASK``."""
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
     with small_batches(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -48,6 +48,7 @@ def small(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) ->
             z = max(a + 1, int(np.searchsorted(size, done + most, side="right")))
             yield b.slice(a, z - a)
             a, done = z, size[z - 1]
+    pa.default_memory_pool().release_unused()  # an idle worker keeps no buffers
 
 
 def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
