@@ -118,7 +118,14 @@ def q_session_aggr_stat(spark, sf):
 def q_session_detail(spark, sf):
     t = _t(spark, sf)
     actions = S.actions_in_range(t.visits(), P_DETAIL)
-    return S.session_detail(actions, S.filtered_sessions(t.visits(), t.users(), P_DETAIL))
+    sessions, _ = S.stored_sessions(S.filtered_sessions(t.visits(), t.users(), P_DETAIL))
+    return S.session_detail(actions, sessions)
+
+
+def q_session_stat_observed(spark, sf):
+    """The histogram ratios as observed while the filtered sessions are written."""
+    t = _t(spark, sf)
+    return S.stored_sessions(S.filtered_sessions(t.visits(), t.users(), P_STAT))[1]
 
 
 def q_task_params(spark, sf):
@@ -166,9 +173,9 @@ def q_product_status(spark, sf):
 
 
 def q_group_concat_distinct(spark, sf):
-    from visitlab.functions.aggregates import group_concat_distinct
+    from visitlab.functions.aggregates import concat_distinct_by
     basic = PR.click_product_basic(_clicks(spark, sf), _t(spark, sf).cities())
-    return basic.groupBy("area").agg(group_concat_distinct("city_name").alias("city_names"))
+    return concat_distinct_by(basic, ["area"], "city_name", "city_names")
 
 
 # ---------------------------------------------------------------- categories
@@ -253,6 +260,10 @@ def q_sessions_per_hour(spark, sf):
     return SM.sessions_per_hour(_stat_sessions(spark, sf))
 
 
+def q_sessions_rollup(spark, sf):
+    return SM.sessions_rollup(_stat_sessions(spark, sf))
+
+
 def q_session_random_extract(spark, sf):
     return SM.session_random_extract(_stat_sessions(spark, sf), SAMPLE_N, SAMPLE_SEED, materialize=True)
 
@@ -331,6 +342,10 @@ def q_heavy_keys(spark, sf):
                          id_col="action_id")
 
 
+def q_heavy_keys_sketch(spark, sf):
+    return SK.heavy_keys_sketch(_t(spark, sf).visits(), "user_id", top_n=5)
+
+
 def q_join_skew_isolate(spark, sf):
     t = _t(spark, sf)
     acts = t.visits().select("action_id", "user_id", "session_id", "page_id")
@@ -383,6 +398,10 @@ def q_ad_stat(spark, sf):
     return AD.ad_stat(_ad_clicks(spark, sf))
 
 
+def q_ad_stat_rollup(spark, sf):
+    return AD.ad_stat_rollup(_ad_clicks(spark, sf))
+
+
 def q_province_ad_clicks(spark, sf):
     return AD.province_ad_clicks(AD.ad_stat(_ad_clicks(spark, sf)))
 
@@ -440,11 +459,18 @@ def q_sink_append(spark, sf):
 
 
 # ---------------------------------------------------------------- ad clicks (J4), streaming
-# The stream input is the ad log laid out as one text file per day and read one file
+# The stream input is the ad log laid out as a few text files per day and read one day
 # per trigger.  The keys that read outputs of the one ad job share a run; a key called
 # again in the same session, or in another session, gets a fresh one.
 
 _RUNS: dict = {}
+FILES_PER_DAY = 4
+
+
+def _day_stream(spark, sf, path):
+    """The log as a stream of days, in a session whose state has a partition per core."""
+    glob = AS.write_day_files(spark, _t(spark, sf).ad_logs(), path, FILES_PER_DAY)
+    return AS.text_stream(AS.stream_session(spark), glob, max_files_per_trigger=FILES_PER_DAY)
 
 
 def _ad_job(spark, sf, key):
@@ -452,25 +478,23 @@ def _ad_job(spark, sf, key):
     run = _RUNS.get(at)
     if run is None or key in run[1]:
         out, ck = AS.new_run_dirs(spark, "ad_job")
-        glob = AS.write_day_files(spark, _t(spark, sf).ad_logs(), f"{out}/days")
-        job = JB.start_ad_job(spark, AS.text_stream(spark, glob, max_files_per_trigger=1), out,
-                              AD_THRESHOLD, {"availableNow": True}, compact_every=10)
-        run = _RUNS[at] = (job.tables, set())
+        job = JB.start_ad_job(spark, _day_stream(spark, sf, f"{out}-days"), out, AD_THRESHOLD, {"availableNow": True})
+        run = _RUNS[at] = (AS.AdTables(spark, job.tables.root), set())
     run[1].add(key)
     return run[0]
 
 
 def q_stream_parse(spark, sf):
     out, ck = AS.new_run_dirs(spark, "parsed")
-    glob = AS.write_day_files(spark, _t(spark, sf).ad_logs(), f"{out}-days")
-    AS.run_parse_stream(AS.text_stream(spark, glob, max_files_per_trigger=10), out, ck)
+    glob = AS.write_day_files(spark, _t(spark, sf).ad_logs(), f"{out}-days", FILES_PER_DAY)
+    AS.run_parse_stream(AS.text_stream(spark, glob, max_files_per_trigger=10 * FILES_PER_DAY), out, ck)
     return spark.read.schema(AS.CLICK_SCHEMA).parquet(out)
 
 
 def q_stream_blacklist(spark, sf):
     """Per user: clicks kept by the dynamic blacklist, and whether the user ended blacklisted."""
     tables = _ad_job(spark, sf, "blacklist")
-    kept = AS.kept_table(tables).groupBy("user_id").agg(F.count(F.lit(1)).alias("kept_clicks"))
+    kept = AS.counts_table(tables).groupBy("user_id").agg(F.sum("click_count").alias("kept_clicks"))
     bl = AS.blacklist_table(tables).withColumn("blacklisted", F.lit(True))
     return (kept.join(bl, "user_id", "left")
             .select("user_id", "kept_clicks", F.coalesce("blacklisted", F.lit(False)).alias("blacklisted")))
@@ -493,6 +517,15 @@ def q_stream_click_trend(spark, sf):
     return AS.trend_table(_ad_job(spark, sf, "trend"))
 
 
+def q_stream_sliding_hour(spark, sf):
+    """Clicks per ad in the last 60 minutes, every 10 seconds, from the stream's panes."""
+    return AS.sliding_hour_table(_ad_job(spark, sf, "sliding"))
+
+
+def q_trend_sliding_hour(spark, sf):
+    return AD.sliding_clicks(AD.click_panes(_ad_clicks(spark, sf)))
+
+
 def q_trend_last_hour(spark, sf):
     """The trend of the hour before the newest click (one value read first)."""
     c = _ad_clicks(spark, sf)
@@ -521,6 +554,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_filter": q_session_filter,
     "session_aggr_counts": q_session_aggr_counts,
     "session_aggr_stat": q_session_aggr_stat,
+    "session_stat_observed": q_session_stat_observed,
     "session_detail": q_session_detail,
     "task_params": q_task_params,
     "click_actions": q_click_actions,
@@ -545,6 +579,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_convert_rate": q_page_convert_rate,
     "page_convert_string": q_page_convert_string,
     "sessions_per_hour": q_sessions_per_hour,
+    "sessions_rollup": q_sessions_rollup,
     "session_random_extract": q_session_random_extract,
     "extracted_session_detail": q_extracted_session_detail,
     "date_exprs": q_date_exprs,
@@ -552,6 +587,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_broadcast": q_join_broadcast,
     "join_salted": q_join_salted,
     "heavy_keys": q_heavy_keys,
+    "heavy_keys_sketch": q_heavy_keys_sketch,
     "join_skew_isolate": q_join_skew_isolate,
     "agg_two_stage": q_agg_two_stage,
     "agg_two_stage_sql": q_agg_two_stage_sql,
@@ -561,10 +597,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "blacklist_users": q_blacklist_users,
     "blacklist_filter": q_blacklist_filter,
     "ad_stat": q_ad_stat,
+    "ad_stat_rollup": q_ad_stat_rollup,
     "province_ad_clicks": q_province_ad_clicks,
     "ad_province_top3": q_ad_province_top3,
     "ad_click_trend": q_ad_click_trend,
     "trend_last_hour": q_trend_last_hour,
+    "trend_sliding_hour": q_trend_sliding_hour,
     "ad_log_rejects": q_ad_log_rejects,
     "merge_replace": q_merge_replace,
     "merge_add": q_merge_add,
@@ -577,6 +615,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ad_stat": q_stream_ad_stat,
     "stream_province_top3": q_stream_province_top3,
     "stream_click_trend": q_stream_click_trend,
+    "stream_sliding_hour": q_stream_sliding_hour,
 }
 
 

@@ -154,7 +154,7 @@ def _session_oracles() -> dict[str, str]:
         f"AND sex = 'male' AND list_has_any(string_split(search_keywords, ','), {_kw('火锅,蛋糕,温泉')})")
     stat_src = _sessions_filtered("2024-01-01", "2024-01-31", "age BETWEEN 10 AND 50")
     o["session_aggr_counts"] = aggr_counts_sql(stat_src)
-    o["session_aggr_stat"] = aggr_stat_sql(stat_src)
+    o["session_aggr_stat"] = o["session_stat_observed"] = aggr_stat_sql(stat_src)
     det = _sessions_filtered("2024-01-01", "2024-01-31", "age BETWEEN 10 AND 50 AND sex = 'male'")
     o["session_detail"] = f"""
 SELECT user_id, session_id, page_id, action_time, search_keyword, click_category_id, click_product_id,
@@ -307,6 +307,11 @@ SELECT session_id, start_time, search_keywords, click_category_ids FROM (
 JOIN ({quotas}) q ON substr(r.start_time, 1, 10) = q.date AND substr(r.start_time, 12, 2) = q.hour
 WHERE rn <= quota"""
     o["sessions_per_hour"] = hours
+    o["sessions_rollup"] = f"""
+SELECT substr(start_time, 1, 10) AS date, substr(start_time, 12, 2) AS hour, count(*) AS sessions, 0 AS level
+FROM ({sess}) s GROUP BY 1, 2
+UNION ALL SELECT substr(start_time, 1, 10), NULL, count(*), 1 FROM ({sess}) s GROUP BY 1
+UNION ALL SELECT NULL, NULL, count(*), 3 FROM ({sess}) s"""
     o["session_random_extract"] = extract
     o["extracted_session_detail"] = (f"SELECT {DETAIL_COLS_SQL} FROM visits WHERE date BETWEEN '2024-01-01' AND "
                                      f"'2024-01-31' AND session_id IN (SELECT session_id FROM ({extract}) e)")
@@ -360,6 +365,8 @@ def _skew_oracles() -> dict[str, str]:
 SELECT user_id, count(*) AS sample_count FROM visits
 WHERE substr(md5('9-' || CAST(action_id AS VARCHAR)), 1, 8) < '19999999'
 GROUP BY user_id ORDER BY sample_count DESC, user_id LIMIT 5"""
+    o["heavy_keys_sketch"] = """
+SELECT user_id, count(*) AS n FROM visits WHERE user_id IS NOT NULL GROUP BY user_id ORDER BY n DESC, user_id LIMIT 5"""
     o["agg_two_stage"] = """
 SELECT ci.area, v.click_product_id AS product_id, count(*) AS click_count
 FROM visits v JOIN cities ci ON v.city_id = ci.city_id
@@ -406,6 +413,10 @@ def _ad_oracles(threshold: int = 3) -> dict[str, str]:
     o["blacklist_filter"] = (f"SELECT ts_ms, date, province, city, user_id, ad_id FROM ad_clicks "
                              f"WHERE user_id NOT IN ({bl})")
     o["ad_stat"] = all_stat
+    o["ad_stat_rollup"] = f"""
+SELECT *, 0 AS level FROM ({all_stat}) s
+UNION ALL SELECT date, province, NULL, ad_id, CAST(sum(click_count) AS BIGINT), 2 FROM ({all_stat}) s
+GROUP BY date, province, ad_id"""
     o["province_ad_clicks"] = (f"SELECT date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count "
                                f"FROM ({all_stat}) s GROUP BY date, province, ad_id")
     o["ad_province_top3"] = _top3_sql(all_stat)
@@ -450,6 +461,18 @@ FROM ({kept}) k LEFT JOIN ({block}) b ON k.user_id = b.user_id GROUP BY k.user_i
     o["stream_ad_stat"] = kept_stat
     o["stream_province_top3"] = _top3_sql(kept_stat)
     o["stream_click_trend"] = o["ad_click_trend"]
+    # Every window by itself: each 10-second pane is in 360 windows; equal neighbours of a day become one row.
+    o["trend_sliding_hour"] = o["stream_sliding_hour"] = """
+SELECT strftime(make_timestamp(min(e) * 1000), '%Y-%m-%d') AS date, ad_id,
+       strftime(make_timestamp(min(e) * 1000), '%Y-%m-%d %H:%M:%S') AS first_end,
+       strftime(make_timestamp(max(e) * 1000), '%Y-%m-%d %H:%M:%S') AS last_end, any_value(n) AS click_count
+FROM (SELECT *, sum(CASE WHEN n = before AND e = e_before + 10000 AND e % 86400000 <> 0 THEN 0 ELSE 1 END)
+                  OVER (PARTITION BY ad_id ORDER BY e ROWS UNBOUNDED PRECEDING) AS island
+      FROM (SELECT *, lag(n) OVER (PARTITION BY ad_id ORDER BY e) AS before,
+                   lag(e) OVER (PARTITION BY ad_id ORDER BY e) AS e_before
+            FROM (SELECT ad_id, (ts_ms // 10000) * 10000 + k * 10000 AS e, count(*) AS n
+                  FROM ad_clicks, range(1, 361) w(k) GROUP BY 1, 2) windows) l) i
+GROUP BY ad_id, island"""
     o["stream_ad_job"] = f"SELECT ts_ms, date, province, city, user_id, ad_id FROM ({kept}) k"
     minute = "CAST(date || ' ' || hour || ':' || minute AS TIMESTAMP)"
     newest = "(SELECT make_timestamp((max(ts_ms) // 1000) * 1000000) FROM ad_clicks)"

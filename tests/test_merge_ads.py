@@ -129,35 +129,6 @@ def test_hour_partitioned_upsert_rewrites_only_touched_hours(spark):
     assert got == [("d1", "10", "00", 1, 1), ("d1", "11", "00", 1, 5), ("d1", "11", "01", 1, 1)]
 
 
-def test_logs_fold_replay_and_compact(spark):
-    from visitlab.operators.tables import AdditiveLog, BatchLog, ChangeLog, GroupLog
-
-    schema = "k long, v long"
-    batches = [[(1, 1), (2, 1)], [(1, 2)], [(3, 1), (None, 4)], [(2, 5), (None, 1)]]
-    want = {ChangeLog: [(None, 1), (1, 2), (2, 5), (3, 1)], AdditiveLog: [(None, 5), (1, 3), (2, 6), (3, 1)],
-            GroupLog: [(None, 1), (1, 2), (2, 5), (3, 1)], BatchLog: sorted(sum(batches, []), key=str)}
-    for kind, expected in want.items():
-        path = os.path.join(tempfile.mkdtemp(prefix="log-"), "t")
-        more = [] if kind is BatchLog else [["k"]] if kind is GroupLog else [["k"], "v"]
-        log = kind(spark, path, schema, *more)
-        read = (lambda log=log: log.read()) if kind is BatchLog else (lambda log=log: log.current())
-        assert read().count() == 0
-        for b, data in enumerate(batches):
-            for _ in range(2):  # every batch is replayed once
-                log.write_batch(spark.createDataFrame(data, schema), b)
-            if b == 2:
-                log.compact(1)
-                log.compact(1)  # a replayed compaction changes nothing
-        assert sorted(rows(read()), key=str) == sorted(expected, key=str), kind
-        assert sorted(d for d in os.listdir(f"{path}/log") if d.startswith("batch")) == ["batch_id=2", "batch_id=3"]
-        # a crash between writing a segment and dropping its batches: the folders are ignored
-        log.write_batch(spark.createDataFrame([(1, 99)], schema), 0)
-        assert sorted(rows(read()), key=str) == sorted(expected, key=str), kind
-        log.compact(3)
-        assert sorted(rows(read()), key=str) == sorted(expected, key=str), kind
-        assert not [d for d in os.listdir(f"{path}/log") if d.startswith("batch_id=")]
-
-
 def test_split_lines_counts_every_bad_line(spark):
     lines = _lines(spark, ["1704067200000 P1 N 1 1", "garbage", "1704067200000 P1 N x 1", "1704067200000 P1 N 1", "", None])
     clicks, rejects = AD.split_lines(lines)

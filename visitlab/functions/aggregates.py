@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,6 +22,11 @@ def group_concat_distinct(c, sep: str = ",") -> Column:
     return F.array_join(F.array_sort(F.collect_set(_col(c).cast("string"))), sep)
 
 
-def sorted_distinct(c) -> Column:
-    """Distinct non-null values of a group as a sorted array."""
-    return F.array_sort(F.collect_set(_col(c)))
+def concat_distinct_by(df: DataFrame, keys: Sequence[str], column: str, out: str, sep: str = ",") -> DataFrame:
+    """U5 per group in two levels: (keys, out).
+
+    Values are made distinct per (group, value) first, over all tasks, and each is then sent to its group once.  With
+    ``collect_set`` alone every map task sends its whole set of a large group to the one task that has it."""
+    value = F.col(column).cast("string").alias("_value")
+    return (df.select(*keys, value).distinct().groupBy(*keys)
+            .agg(F.array_join(F.array_sort(F.collect_list("_value")), sep).alias(out)))

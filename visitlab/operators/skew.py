@@ -10,6 +10,7 @@ join / aggregation.
 * :func:`skew_isolate_join`  -- only the heavy keys are salted; the rest joins plainly.
 * :func:`two_stage_agg`      -- aggregate on (key, salt), then on key.
 * :func:`heavy_keys`         -- the most frequent keys in a deterministic sample.
+* :func:`heavy_keys_sketch` -- the most frequent keys of all rows, with a sketch and exact counts.
 * :func:`hash_sample`        -- deterministic Bernoulli-like sample by md5 of an id.
 """
 
@@ -69,6 +70,27 @@ def heavy_keys(df: DataFrame, key: str, top_n: int = 1, fraction: float = 0.1,
     return top_k(counts, [F.col("sample_count").desc(), F.col(key).asc()], top_n)
 
 
+def heavy_keys_sketch(df: DataFrame, key: str, top_n: int = 1, tracked: int = 10_000) -> DataFrame:
+    """O4/T3/JN11: the ``top_n`` most frequent non-null keys of all rows with their exact counts, (key, n), ties by key.
+
+    One scan feeds Spark's mergeable heavy-hitter sketch of ``tracked`` keys; the keys it reports are then counted
+    exactly, in a second scan that shuffles one partial count per candidate and task.  The sketch reports every key with
+    more than ``3.5 / (tracked / 0.75)`` of the rows (:func:`sketch_error`), so the result is exact if the last of the
+    ``top_n`` has more than that share, or if there are at most ``tracked`` keys.  The candidates, at most ``tracked``,
+    are what is broadcast."""
+    found = df.where(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k({key}, {tracked}, {tracked})").alias("found")).select(F.inline("found"))
+    candidates = found.select(F.col("item").alias(key))
+    counts = df.join(F.broadcast(candidates), key, "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return top_k(counts, [F.col("n").desc(), F.col(key).asc()], top_n)
+
+
+def sketch_error(tracked: int) -> float:
+    """The share of all rows by which a sketch of ``tracked`` keys may miss a key's count."""
+    slots = 1 << max(0, (int(tracked / 0.75) - 1).bit_length())
+    return 3.5 / slots
+
+
 def skew_isolate_join(large: DataFrame, small: DataFrame, on: str, heavy: DataFrame,
                       how: str = "inner", n: int = 100, max_heavy: int = 100_000) -> DataFrame:
     """JN11/T1: only the heavy keys are salted ``n`` ways; every other key keeps salt 0.

@@ -6,9 +6,8 @@ must not point at files about to be replaced) and written back with dynamic
 partition overwrite.  Cost per call is the size of the touched days, not of
 the table; a re-run of the same upsert gives the same table.
 
-Streams publish through per-batch logs instead (:class:`AdditiveLog`,
-:class:`ChangeLog`, :class:`GroupLog`): a batch writes its own rows only, however
-large the day's table is.
+Streams publish the totals of their state through the same upserts
+(:mod:`visitlab.streaming.ad_streams`).
 """
 
 from __future__ import annotations
@@ -22,7 +21,8 @@ from visitlab.operators.merge import merge_replace, null_safe_join, replace_grou
 from visitlab.session import checkpoint_root
 
 
-WRITE_SPLIT = 32  # salts over which the rows of one partition are dealt for writing
+WRITE_SPLIT = 32  # salts over which the rows of one partition are dealt for writing, at most
+ROWS_PER_SALT = 5_000  # a small upsert needs fewer
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -32,6 +32,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create ``path`` if need be, so a table that nobody has written yet reads as empty."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 class DatePartitionedTable:
     """Parquet table at ``path`` partitioned by ``date`` (a ``yyyy-MM-dd`` string),
     or by ``partition_cols`` starting with ``date`` for finer upsert units.
@@ -64,8 +70,8 @@ class DatePartitionedTable:
     def _write(self, merged: DataFrame, columns: Sequence[str]) -> None:
         checkpoint_root(self.spark)  # make sure a checkpoint folder is set
         stable = merged.select(*columns).checkpoint(eager=True)
-        # Rows of a partition are dealt over WRITE_SPLIT salts, so one day is not one task.
-        salt = F.pmod(F.xxhash64(*columns), F.lit(WRITE_SPLIT))
+        # Rows of a partition are dealt over up to WRITE_SPLIT salts, so one large day is not one task.
+        salt = F.pmod(F.xxhash64(*columns), F.lit(min(WRITE_SPLIT, 1 + stable.count() // ROWS_PER_SALT)))
         tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (stable.repartition(tasks, *self.partition_cols, salt).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
@@ -84,154 +90,3 @@ class DatePartitionedTable:
         if old is not None:
             cols = self.read().columns
             self._write(replace_group(old, new.select(*cols), group_keys), cols)
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-class BatchLog:
-    """Rows written per micro-batch, readable at a cost that compaction bounds.
-
-    Each batch owns the folder ``log/batch_id=N`` (dynamic overwrite: a replay
-    rewrites it).  ``compact`` writes the batches since the last compaction as one
-    segment ``segment/upto=M`` and drops their folders.  A finished segment is never
-    rewritten, and readers ignore batch folders that a finished segment covers, so a
-    crash between the two steps does no harm.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, partition_by: Sequence[str] = ()):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.schema = schema  # without batch_id
-        self.partition_by = list(partition_by)
-
-    @property
-    def log_path(self) -> str:
-        return f"{self.path}/log"
-
-    def _segments(self) -> list[int]:
-        fs, p = _fs(self.spark, f"{self.path}/segment")
-        if not fs.exists(p):
-            return []
-        names = [(st.getPath(), st.getPath().getName()) for st in fs.listStatus(p)]
-        return sorted(int(n[len("upto="):]) for q, n in names
-                      if n.startswith("upto=") and fs.exists(q.suffix("/_SUCCESS")))
-
-    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        (rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.log_path))
-
-    def read_batch(self, batch_id: int) -> DataFrame:
-        """The rows one batch wrote (a batch without rows has no folder)."""
-        path = f"{self.log_path}/batch_id={batch_id}"
-        if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(path)
-
-    def _log(self, above: int) -> DataFrame:
-        schema = f"{self.schema}, batch_id long"
-        if not path_exists(self.spark, self.log_path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.log_path).filter(F.col("batch_id") > above)
-
-    def _segment(self, upto: int) -> DataFrame:
-        return (self.spark.read.schema(self.schema).parquet(f"{self.path}/segment/upto={upto}")
-                .withColumn("batch_id", F.lit(upto).cast("long")))
-
-    def entries(self) -> DataFrame:
-        """All rows with the batch (or the segment's last batch) that wrote them."""
-        segments = self._segments()
-        out = self._log(segments[-1] if segments else -1)
-        for m in segments:
-            out = self._segment(m).unionByName(out)
-        return out
-
-    def read(self) -> DataFrame:
-        return self.entries().drop("batch_id")
-
-    def _to_compact(self, upto: int) -> DataFrame:
-        segments = self._segments()
-        return self._log(segments[-1] if segments else -1).filter(F.col("batch_id") <= upto).drop("batch_id")
-
-    def compact(self, upto: int) -> None:
-        """Move batches <= ``upto`` into a segment, then drop their folders."""
-        segments = self._segments()
-        if upto >= 0 and not (segments and segments[-1] >= upto):
-            w = self._to_compact(upto).write.mode("overwrite").option("partitionOverwriteMode", "static")
-            (w.partitionBy(*self.partition_by) if self.partition_by else w).parquet(f"{self.path}/segment/upto={upto}")
-        segments = self._segments()
-        if segments:
-            self._drop("log", "batch_id=", lambda n: n <= segments[-1])
-
-    def _drop(self, folder: str, prefix: str, covered) -> None:
-        fs, p = _fs(self.spark, f"{self.path}/{folder}")
-        if fs.exists(p):
-            for st in fs.listStatus(p):
-                name = st.getPath().getName()
-                if name.startswith(prefix) and covered(int(name[len(prefix):])):
-                    fs.delete(st.getPath(), True)
-
-
-class FoldedLog(BatchLog):
-    """A batch log whose entries fold into one current table; a segment holds that table."""
-
-    def fold(self, entries: DataFrame) -> DataFrame:
-        raise NotImplementedError
-
-    def entries(self) -> DataFrame:
-        segments = self._segments()
-        if not segments:
-            return self._log(-1)
-        return self._segment(segments[-1]).unionByName(self._log(segments[-1]))
-
-    def current(self, upto: int | None = None) -> DataFrame:
-        e = self.entries()
-        return self.fold(e if upto is None else e.filter(F.col("batch_id") <= upto))
-
-    def _to_compact(self, upto: int) -> DataFrame:
-        return self.current(upto)
-
-    def compact(self, upto: int) -> None:
-        super().compact(upto)
-        segments = self._segments()
-        if segments:
-            self._drop("segment", "upto=", lambda n: n < segments[-1])
-
-
-class ChangeLog(FoldedLog):
-    """Latest value per key: the entry of the newest batch wins."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], value: str,
-                 partition_by: Sequence[str] = ()):
-        super().__init__(spark, path, schema, partition_by)
-        self.keys = list(keys)
-        self.value = value
-
-    def fold(self, entries: DataFrame) -> DataFrame:
-        return entries.groupBy(*self.keys).agg(F.max_by(self.value, "batch_id").alias(self.value))
-
-
-class AdditiveLog(ChangeLog):
-    """Running totals per key: batches write increments, the current table sums them (K4).
-
-    A replayed batch replaces its own increments, so nothing counts twice."""
-
-    def fold(self, entries: DataFrame) -> DataFrame:
-        return entries.groupBy(*self.keys).agg(F.sum(self.value).alias(self.value))
-
-
-class GroupLog(FoldedLog):
-    """Whole groups per batch: of each group only the rows of its newest batch count (K5)."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, group: Sequence[str],
-                 partition_by: Sequence[str] = ()):
-        super().__init__(spark, path, schema, partition_by)
-        self.group = list(group)
-
-    def fold(self, entries: DataFrame) -> DataFrame:
-        newest = entries.groupBy(*self.group).agg(F.max("batch_id").alias("batch_id"))
-        return null_safe_join(entries, newest, [*self.group, "batch_id"], "left_semi").drop("batch_id")

@@ -9,7 +9,7 @@ streaming-supported operator) directly on a stream.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlab.operators.broadcast import bounded_broadcast
@@ -113,6 +113,14 @@ def province_ad_clicks(stat: DataFrame) -> DataFrame:
     return stat.groupBy("date", "province", "ad_id").agg(F.sum("click_count").alias("click_count"))
 
 
+def ad_stat_rollup(clicks: DataFrame) -> DataFrame:
+    """A15 with R5: city totals and province totals from one shuffle, as grouping sets: (date, province, city, ad_id,
+    click_count, level), level 0 per city, 2 per province (city is null)."""
+    keys = [F.col(c) for c in ("date", "province", "city", "ad_id")]
+    return clicks.groupingSets([keys, [keys[0], keys[1], keys[3]]], *keys).agg(
+        F.count(F.lit(1)).alias("click_count"), F.grouping_id().cast("int").alias("level"))
+
+
 def ad_province_top3(stat: DataFrame, k: int = 3, per_day: bool = True) -> DataFrame:
     """Top ``k`` ads per (date, province) by clicks, ties by ad_id.
 
@@ -133,6 +141,64 @@ def ad_click_trend(clicks: DataFrame) -> DataFrame:
                     "ad_id", "click_count"))
 
 
+PANE_MS = 10_000
+_DAY_MS = 86_400_000
+
+
+def pane_start(ts_ms, pane_ms: int = PANE_MS) -> Column:
+    """Start of the pane of ``pane_ms`` milliseconds a click time falls in."""
+    return F.col(ts_ms) - F.pmod(F.col(ts_ms), F.lit(pane_ms))
+
+
+def click_panes(clicks: DataFrame, pane_ms: int = PANE_MS) -> DataFrame:
+    """(pane_ms, ad_id, clicks): clicks per pane and ad."""
+    return (clicks.groupBy(pane_start("ts_ms", pane_ms).alias("pane_ms"), "ad_id")
+            .agg(F.count(F.lit(1)).alias("clicks")))
+
+
+def trend_of_panes(panes: DataFrame) -> DataFrame:
+    """The minute trend from panes that divide a minute."""
+    minute = F.timestamp_millis(pane_start("pane_ms", 60_000))
+    return (panes.groupBy(minute.alias("_m"), "ad_id").agg(F.sum("clicks").alias("click_count"))
+            .select(F.date_format("_m", "yyyy-MM-dd").alias("date"), F.date_format("_m", "HH").alias("hour"),
+                    F.date_format("_m", "mm").alias("minute"), "ad_id", "click_count"))
+
+
+def sliding_clicks(panes: DataFrame, window_ms: int = 3_600_000, slide_ms: int = PANE_MS) -> DataFrame:
+    """Clicks per ad in every window of ``window_ms`` that ends at a multiple of ``slide_ms``, from panes of
+    ``slide_ms``: (date, ad_id, first_end, last_end, click_count).
+
+    A row stands for all windows that end from ``first_end`` to ``last_end`` (UTC times, steps of ``slide_ms``) on
+    ``date``: the count only changes when a pane comes into the window or leaves it, so a pane makes two changes instead
+    of a copy per window.  Windows without a click have no row.  Counts run within (ad, day of the window's end); what
+    is still in the window at midnight is carried to the next day as a change of its own, so no task needs more than a
+    day of an ad.  Windows of up to a day."""
+    if window_ms > _DAY_MS or window_ms % slide_ms or _DAY_MS % slide_ms:
+        raise ValueError("a window is a multiple of the slide, up to a day")
+    came, went = F.col("pane_ms") + slide_ms, F.col("pane_ms") + window_ms + slide_ms
+    midnight = went - F.pmod(went, F.lit(_DAY_MS))
+
+    def change(at: Column, n: Column) -> Column:
+        return F.struct(at.alias("at"), n.cast("long").alias("n"))
+
+    n = F.col("clicks")
+    changes = F.when(came >= midnight, F.array(change(came, n), change(went, -n))).otherwise(
+        F.array(change(came, n), change(midnight, n), change(went, -n)))
+    day = F.col("at") - F.pmod(F.col("at"), F.lit(_DAY_MS))
+    net = (panes.select("ad_id", F.explode(changes).alias("c")).select("ad_id", "c.at", "c.n").withColumn("day", day)
+           .groupBy("ad_id", "day", "at").agg(F.sum("n").alias("n")).where("n <> 0"))
+    w = Window.partitionBy("ad_id", "day").orderBy("at")
+    level = net.select("ad_id", "day", "at", F.sum("n").over(w).alias("click_count"),
+                       F.coalesce(F.lead("at").over(w), F.col("day") + _DAY_MS).alias("until"))
+
+    def shown(ms: Column) -> Column:
+        return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd HH:mm:ss")
+
+    return level.where("click_count > 0").select(
+        F.date_format(F.timestamp_millis("day"), "yyyy-MM-dd").alias("date"), "ad_id",
+        shown(F.col("at")).alias("first_end"), shown(F.col("until") - slide_ms).alias("last_end"), "click_count")
+
+
 def trend_last_hour(trend: DataFrame, now_ts, minutes: int = 60) -> DataFrame:
     """The per-minute trend of the ``minutes`` before ``now_ts`` (a timestamp
     literal or column).  Counts are stored in full per (minute, ad); "the last

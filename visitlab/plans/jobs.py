@@ -46,13 +46,14 @@ def session_job_outputs(tables: Tables, task_id: int, sample_n: int = 100, seed:
     visits = tables.visits()
     actions = S.actions_in_range(visits, p)
     checkpoint_root(tables.spark)
-    # Several outputs read the filtered sessions and their detail: store each once.
-    sessions = S.filtered_sessions(visits, tables.users(), p).checkpoint(eager=True)
+    # Several outputs read the filtered sessions and their detail: store each once.  The write of the sessions gives
+    # the histogram too.
+    sessions, stat = S.stored_sessions(S.filtered_sessions(visits, tables.users(), p))
     detail = S.session_detail(actions, sessions).checkpoint(eager=True)
     extract = SM.session_random_extract(sessions, sample_n, seed)
     top_cats, top_sess = C.top_categories_and_sessions(detail)
     return {
-        "session_aggr_stat": S.session_aggr_stat(sessions),
+        "session_aggr_stat": stat,
         "session_random_extract": extract,
         "session_detail": SM.extracted_session_detail(detail, extract, sample_n)
         .unionByName(C.top10_session_detail(detail, top_sess)),
@@ -90,17 +91,15 @@ def run_product_job(tables: Tables, task_id: int, out_root: str) -> dict[str, st
 
 @dataclass
 class AdJob:
-    """The streaming query of J4 and the tables it writes."""
+    """The streaming queries of J4 and the tables they write."""
     tables: AS.AdTables
     queries: list
 
 
 def start_ad_job(spark: SparkSession, lines: DataFrame, out_root: str, threshold: int = 100,
-                 trigger: dict | None = None, compact_every: int | None = AS.DEFAULT_COMPACT_EVERY) -> AdJob:
-    """J4 in production: blacklist, kept clicks, running totals with top 3 per province, and
-    the minute trend, as one ordered query on ``lines`` (a streaming DataFrame with a
-    ``value`` column, e.g. Kafka) with ``trigger`` (default 5 s)."""
+                 trigger: dict | None = None) -> AdJob:
+    """J4 in production: blacklist and kept clicks, running totals with top 3 per province, trend panes and rejects on
+    ``lines`` (a streaming DataFrame with a ``value`` column, e.g. Kafka) with ``trigger`` (default 5 s)."""
     root = out_root.rstrip("/")
-    tables, q = AS.run_ad_stream(lines, f"{root}/ads", f"{root}/_ck/ads", threshold,
-                                 trigger or {"processingTime": "5 seconds"}, compact_every)
-    return AdJob(tables, [q])
+    return AdJob(*AS.run_ad_stream(lines, f"{root}/ads", f"{root}/_ck", threshold,
+                                   trigger or {"processingTime": "5 seconds"}))

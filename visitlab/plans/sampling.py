@@ -41,10 +41,18 @@ def sessions_per_hour(sessions: DataFrame) -> DataFrame:
     return per_hour.withColumn("day_count", F.sum("hour_count").over(Window.partitionBy("date")))
 
 
+def sessions_rollup(sessions: DataFrame) -> DataFrame:
+    """Sessions per (date, hour), per date and in all, from one shuffle: (date, hour, sessions, level), level 0
+    for an hour, 1 for a day (hour is null), 3 for the total (both are null)."""
+    return (with_hour(sessions).rollup("date", "hour")
+            .agg(F.count(F.lit(1)).alias("sessions"), F.grouping_id().cast("int").alias("level")))
+
+
 def hour_quotas(sessions: DataFrame, n: int) -> DataFrame:
-    hours = sessions_per_hour(sessions)
-    days = hours.agg(F.countDistinct("date")).scalar()  # one value, from at most 24 rows a day
-    per_day = int_div(F.lit(n), days)
+    """(date, hour, quota) of every hour."""
+    # One row per hour, at most 24 a day: the number of days comes from the same rows, not from a second count.
+    hours = sessions_per_hour(sessions).withColumn("days", F.size(F.collect_set("date").over(Window.partitionBy(F.lit(1)))))
+    per_day = int_div(F.lit(n), F.col("days"))
     quota = F.least(F.col("hour_count"), int_div(F.col("hour_count") * per_day, F.col("day_count")))
     return hours.select("date", "hour", quota.alias("quota"))
 

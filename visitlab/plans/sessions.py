@@ -13,12 +13,13 @@ session with a third of all rows is still combined map-side before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from visitlab.functions import filters
 from visitlab.functions.dates import parse_time
 from visitlab.functions.numbers import ratio_half_up
+from visitlab.session import scratch_path
 from visitlab.sources.params import TaskParams
 
 SESSION_AGG_COLUMNS = ["session_id", "user_id", "search_keywords", "click_category_ids",
@@ -90,19 +91,23 @@ def _bucket_cond(col: str, lo: int, hi: int | None):
     return (c >= lo) if hi is None else c.between(lo, hi)
 
 
-def session_aggr_counts(sessions: DataFrame) -> DataFrame:
-    """A2/A3: session count and both histograms in one pass (one output row)."""
-    aggs = [F.count(F.lit(1)).alias("session_count")]
+def histogram_columns() -> list[Column]:
+    """A2/A3: session count and both histograms as aggregates over filtered sessions."""
+    out = [F.count(F.lit(1)).alias("session_count")]
     for name, lo, hi in VISIT_BUCKETS:
-        aggs.append(F.count(F.when(_bucket_cond("visit_length", lo, hi), 1)).alias(f"visit_length_{name}"))
+        out.append(F.count(F.when(_bucket_cond("visit_length", lo, hi), 1)).alias(f"visit_length_{name}"))
     for name, lo, hi in STEP_BUCKETS:
-        aggs.append(F.count(F.when(_bucket_cond("step_length", lo, hi), 1)).alias(f"step_length_{name}"))
-    return sessions.agg(*aggs)
+        out.append(F.count(F.when(_bucket_cond("step_length", lo, hi), 1)).alias(f"step_length_{name}"))
+    return out
 
 
-def session_aggr_stat(sessions: DataFrame) -> DataFrame:
-    """Bucket shares of the session count, 2 decimals half-up."""
-    counts = session_aggr_counts(sessions)
+def session_aggr_counts(sessions: DataFrame) -> DataFrame:
+    """A2/A3 as a pass of their own (one output row)."""
+    return sessions.agg(*histogram_columns())
+
+
+def stat_of_counts(counts: DataFrame) -> DataFrame:
+    """A4: bucket shares of the session count, 2 decimals half-up."""
     cols = [F.col("session_count")]
     for name, _, _ in VISIT_BUCKETS:
         cols.append(ratio_half_up(f"visit_length_{name}", "session_count").alias(f"visit_length_{name}_ratio"))
@@ -111,13 +116,35 @@ def session_aggr_stat(sessions: DataFrame) -> DataFrame:
     return counts.select(*cols)
 
 
+def session_aggr_stat(sessions: DataFrame) -> DataFrame:
+    """The histogram ratios of the filtered sessions."""
+    return stat_of_counts(session_aggr_counts(sessions))
+
+
+def stored_sessions(sessions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the filtered sessions, their ratios as by :func:`session_aggr_stat`).
+
+    The sessions are written once, into the shared checkpoint folder, and the histogram is observed by that write: no
+    pass of its own.  The tasks that write are the ones that count, each once, so a task run again counts once too."""
+    spark, seen = sessions.sparkSession, Observation()
+    path = scratch_path(spark, "sessions")
+    columns = histogram_columns()
+    sessions.observe(seen, *columns).write.parquet(path)
+    stored = spark.read.schema(sessions.schema).parquet(path)
+    got = seen.get
+    names = ["session_count", *[f"visit_length_{b[0]}" for b in VISIT_BUCKETS], *[f"step_length_{b[0]}" for b in STEP_BUCKETS]]
+    counts = spark.createDataFrame([tuple(int(got.get(n) or 0) for n in names)], ", ".join(f"{n} long" for n in names))
+    return stored, stat_of_counts(counts)
+
+
 def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """JN2: the actions of the filtered sessions (a semi join: session ids are
     unique on the filter side, so it equals the inner join keeping the actions).
 
-    The session side is an aggregate on the join key, whose partitioning Spark would
-    reuse; then AQE could not split a skewed partition of the action side.  The
-    rebalance deals the (small) id table anew, so that both sides meet through
-    exchanges of the join's own and a hot session's actions are split.  One lazy plan."""
+    Given stored sessions (:func:`stored_sessions`), Spark knows the size of the id side and puts a runtime Bloom filter
+    of the ids in front of the shuffle of the actions, once these are large (``get_spark`` sets its bounds), so few
+    actions of other sessions are shuffled.  When the session side is an aggregate on the join key, Spark would reuse
+    its partitioning; then AQE could not split a skewed partition of the action side.  The rebalance deals the (small)
+    id table anew, so that both sides meet through exchanges of the join's own and a hot session's actions are split."""
     ids = sessions.select("session_id").hint("rebalance")
     return actions.join(ids, "session_id", "left_semi").select(*DETAIL_COLUMNS)

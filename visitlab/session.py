@@ -19,6 +19,12 @@ _DEFAULT_CONF = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Runtime Bloom filters in front of a large shuffled side, from id sides of up to 1 GB (the default of 10 MB is
+    # a few hundred thousand ids) and 64 million ids.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "64000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
     # Reliable checkpoints written by upserts are removed once unreferenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",

@@ -1 +1,10 @@
-"""streaming."""
+"""Structured Streaming jobs.
+
+Functions of this package that run on executors are shipped by value, so executors need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

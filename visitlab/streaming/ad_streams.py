@@ -1,46 +1,55 @@
 """Structured Streaming jobs over ad-click log lines.
 
-Every job takes a *streaming* DataFrame with a ``value`` column (Kafka, a
-socket, or a file source) and writes tables under an output folder:
-
-* :func:`run_parse_stream` -- S8/S9: parsed clicks to a parquet file sink (exactly once).
-* :func:`run_ad_stream`    -- R4-R7 as one ordered pipeline.  Each micro-batch
-
-  1. sets unreadable lines aside (counted in ``rejects``, never lost);
-  2. reads the blacklist of the earlier batches and drops blocked users' clicks;
-  3. adds the kept clicks to the running totals per (date, user, ad) and puts the
-     users that reach the threshold on the blacklist, which counts from the next batch;
-  4. adds the kept clicks to the totals per (date, province, city, ad) and publishes
-     the top 3 of the touched (date, province) groups;
-  5. adds all readable clicks to the per-minute trend.
-
-Filter and count are one query, so nothing races.  Blocking goes by batch, not by
-event time, so a click with an odd time affects nobody else.  There is no watermark:
-a click counts under its own date and minute however late it comes.  All outputs are
-per-batch logs (:mod:`visitlab.operators.tables`): a batch writes rows in proportion
-to itself, a replayed batch rewrites its own folder, and compaction bounds reads.
-
-``trigger`` is ``processingTime`` in production (5 s in the reference) and
-``availableNow`` in tests and batch replays.
+Every job takes a *streaming* DataFrame with a ``value`` column (Kafka, a socket, or a file source).  The ad job is four
+queries, each with Spark's own checkpoint and state:
+
+* ``filter`` (:func:`start_filter`) -- R4, the one query whose order matters.  Its state holds, per user, whether the
+  user is blocked, else the clicks per (date, ad) so far.  A user who reaches the threshold is emitted once, when it
+  happens, and the clicks of later micro-batches are dropped.  Clicks are counted within each Arrow batch before they are
+  shuffled by user, so a user with a third of the clicks sends few rows; the single clicks pass by on lanes that know no
+  user.  A file sink writes clicks, counts and blocks exactly once.
+* ``totals`` (:func:`start_totals`) -- R5 and R6 from the kept counts of the first query.  One streaming aggregation over
+  two grouping sets keeps the totals per (date, province, city, ad) and per (date, province, ad); the totals that a
+  micro-batch raised overwrite the date partitions they fall in.  Totals only grow, so the top 3 of a group is the top 3
+  of its old top 3 and the raised totals: no other total is read again.
+* ``trend`` (:func:`start_trend`) -- R7: clicks per 10-second pane and ad of all readable lines, exactly once.  The
+  minute trend and the sliding hour are sums of panes.  A pane older than ``late_after`` before its ad's newest one is
+  marked late: it counts like any other, and :func:`late_panes` says how many there were.
+* ``rejects`` (:func:`start_rejects`) -- unreadable lines with their reason.
+
+No query has a watermark: a click counts under its own date and minute however late it comes.  Blocking goes by
+micro-batch, so a click with an odd time affects nobody else.  State lives in as many partitions as the session has
+shuffle partitions when a query first starts.
+
+``trigger`` is ``processingTime`` in production (5 s in the original job) and ``availableNow`` in tests and replays.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from visitlab.operators.broadcast import bounded_broadcast
-from visitlab.operators.tables import AdditiveLog, BatchLog, ChangeLog, GroupLog
+from visitlab.operators.merge import merge_replace, null_safe_join
+from visitlab.operators.tables import DatePartitionedTable, make_folder
+from visitlab.operators.topk import top_k_per_group
 from visitlab.plans import ads as AD
 from visitlab.session import checkpoint_root, scratch_path
 
 CLICK_SCHEMA = "ts_ms long, date string, province string, city string, user_id long, ad_id long"
-DEFAULT_COMPACT_EVERY = 100
-COUNT_KEYS = ["date", "user_id", "ad_id"]
+FILTERED_SCHEMA = ("batch_time timestamp, ts_ms long, date string, province string, city string, user_id long, "
+                   "ad_id long, clicks long, kind string")
+PANE_SCHEMA = "pane_ms long, ad_id long, clicks long, late boolean, date string"
 STAT_KEYS = ["date", "province", "city", "ad_id"]
-TREND_KEYS = ["date", "hour", "minute", "ad_id"]
+LANES = 64  # over which single clicks pass the state by
+LATE_AFTER_MS = 3_600_000
 
 
 def _start(writer, trigger: dict):
@@ -74,163 +83,269 @@ def run_parse_stream(lines: DataFrame, out_path: str, checkpoint: str,
     return q
 
 
-# ---------------------------------------------------------------- R4-R7 in one pipeline
+# ---------------------------------------------------------------- tables
 
 @dataclass
 class AdTables:
-    """The output tables of the ad stream under one folder."""
+    """The tables of the ad job under one folder."""
     spark: SparkSession
     root: str
 
-    def _at(self, name: str) -> str:
+    def at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    @property
-    def rejects(self) -> BatchLog:
-        return BatchLog(self.spark, self._at("rejects"), "value string, reason string")
-
-    @property
-    def kept(self) -> BatchLog:
-        return BatchLog(self.spark, self._at("kept"), CLICK_SCHEMA)
+    def _read(self, name: str, schema: str) -> DataFrame:
+        make_folder(self.spark, self.at(name))
+        return self.spark.read.schema(schema).parquet(self.at(name))
 
     @property
-    def counts(self) -> AdditiveLog:
-        return AdditiveLog(self.spark, self._at("counts"), "date string, user_id long, ad_id long, click_count long",
-                           COUNT_KEYS, "click_count", ["date"])
+    def filtered(self) -> DataFrame:
+        return self._read("filtered", FILTERED_SCHEMA)
 
     @property
-    def blacklist(self) -> ChangeLog:
-        return ChangeLog(self.spark, self._at("blacklist"), "user_id long, block_batch long", ["user_id"], "block_batch")
+    def rejects(self) -> DataFrame:
+        return self._read("rejects", "value string, reason string")
 
     @property
-    def stat(self) -> AdditiveLog:
-        return AdditiveLog(self.spark, self._at("ad_stat"),
-                           "date string, province string, city string, ad_id long, click_count long",
-                           STAT_KEYS, "click_count", ["date"])
+    def panes(self) -> DataFrame:
+        return self._read("panes", PANE_SCHEMA)
 
     @property
-    def top3(self) -> GroupLog:
-        return GroupLog(self.spark, self._at("ad_province_top3"),
-                        "date string, province string, ad_id long, click_count long", ["date", "province"])
+    def stat(self) -> DatePartitionedTable:
+        return DatePartitionedTable(self.spark, self.at("ad_stat"),
+                                    "province string, city string, ad_id long, click_count long, date string")
 
     @property
-    def trend(self) -> AdditiveLog:
-        return AdditiveLog(self.spark, self._at("ad_click_trend"),
-                           "date string, hour string, minute string, ad_id long, click_count long",
-                           TREND_KEYS, "click_count", ["date"])
-
-    def logs(self) -> list[BatchLog]:
-        return [self.rejects, self.kept, self.counts, self.blacklist, self.stat, self.top3, self.trend]
-
-
-def _touched(log: AdditiveLog, batch: DataFrame, batch_id: int, keys: list[str]) -> DataFrame:
-    """Current totals of the keys a batch touched; the batch's date range prunes the compacted table."""
-    lo, hi = batch.agg(F.min("date"), F.max("date")).first()
-    entries = log.entries().filter(F.col("date").between(lo, hi) & (F.col("batch_id") <= batch_id))
-    return log.fold(entries.join(batch.select(*keys).distinct(), keys, "left_semi"))
-
-
-def process_batch(spark: SparkSession, lines: DataFrame, batch_id: int, tables: AdTables,
-                  threshold: int = AD.DEFAULT_BLACKLIST_THRESHOLD,
-                  compact_every: int | None = DEFAULT_COMPACT_EVERY) -> None:
-    """foreachBatch body; run again with the same batch it leaves the same tables."""
-    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-        for log in tables.logs():
-            log.compact(batch_id - 1)  # never folds in the batch being processed
-    lines = lines.persist()
-    try:
-        clicks, rejects = AD.split_lines(lines)
-        clicks = clicks.select("ts", *AD.CLICK_COLUMNS)
-        tables.rejects.write_batch(rejects, batch_id)
-        tables.trend.write_batch(AD.ad_click_trend(clicks).select(*TREND_KEYS, "click_count"), batch_id)
-        blocked = tables.blacklist.current(batch_id - 1).select("user_id")
-        kept = clicks.join(bounded_broadcast(blocked, AD.MAX_BROADCAST_USERS), "user_id", "left_anti")
-        tables.kept.write_batch(kept.select(*AD.CLICK_COLUMNS), batch_id)
-    finally:
-        lines.unpersist()
-    kept = tables.kept.read_batch(batch_id)
-    counts, stat = AD.daily_user_ad_clicks(kept), AD.ad_stat(kept)
-    tables.counts.write_batch(counts, batch_id)
-    batch = tables.counts.read_batch(batch_id)
-    totals = _touched(tables.counts, batch, batch_id, COUNT_KEYS)
-    hot = AD.blacklist_users(totals, threshold)
-    tables.blacklist.write_batch(hot.withColumn("block_batch", F.lit(batch_id).cast("long")), batch_id)
-    tables.stat.write_batch(stat, batch_id)
-    batch = tables.stat.read_batch(batch_id)
-    tables.top3.write_batch(AD.ad_province_top3(_touched(tables.stat, batch, batch_id, ["date", "province"])), batch_id)
-
-
-def run_ad_stream(lines: DataFrame, root: str, checkpoint: str,
-                  threshold: int = AD.DEFAULT_BLACKLIST_THRESHOLD, trigger: dict | None = None,
-                  compact_every: int | None = DEFAULT_COMPACT_EVERY):
-    """Start the pipeline; returns (tables, query).  With an ``availableNow`` trigger it also waits for the end."""
-    trigger = trigger or {"availableNow": True}
-    spark = lines.sparkSession
-    tables = AdTables(spark, root)
-    q = _start(lines.writeStream
-               .foreachBatch(lambda df, bid: process_batch(spark, df, bid, tables, threshold, compact_every))
-               .option("checkpointLocation", checkpoint), trigger)
-    _finish(q, trigger)
-    return tables, q
+    def top3(self) -> DatePartitionedTable:
+        return DatePartitionedTable(self.spark, self.at("ad_province_top3"),
+                                    "province string, ad_id long, click_count long, date string")
 
 
-def run_click_trend_stream(lines: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
-                           compact_every: int | None = DEFAULT_COMPACT_EVERY) -> AdTables:
-    """R7 alone: clicks per (minute, ad) of all readable lines, late ones under their own minute."""
-    trigger = trigger or {"availableNow": True}
-    spark = lines.sparkSession
-    tables = AdTables(spark, root)
+def blocks(tables: AdTables) -> DataFrame:
+    """(user_id, block_time): blocked users and the micro-batch that blocked them; each appears once."""
+    return tables.filtered.where("kind = 'block'").select("user_id", F.col("batch_time").alias("block_time"))
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            tables.trend.compact(batch_id - 1)
-        clicks, _ = AD.split_lines(df)
-        tables.trend.write_batch(AD.ad_click_trend(clicks).select(*TREND_KEYS, "click_count"), batch_id)
 
-    _finish(_start(lines.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint), trigger), trigger)
-    return tables
+def blacklist_table(tables: AdTables) -> DataFrame:
+    return blocks(tables).select("user_id")
 
 
-def blacklist_table(tables: AdTables) -> DataFrame:
-    return tables.blacklist.current().select("user_id")
+def counts_table(tables: AdTables) -> DataFrame:
+    """K4: kept clicks per (date, user, ad)."""
+    return (tables.filtered.where("kind = 'count'").groupBy("date", "user_id", "ad_id")
+            .agg(F.sum("clicks").alias("click_count")))
 
 
 def kept_table(tables: AdTables) -> DataFrame:
-    return tables.kept.read().select(*AD.CLICK_COLUMNS)
+    """The single clicks that were kept: those no later than the micro-batch that blocked their user."""
+    side = bounded_broadcast(blocks(tables), AD.MAX_BROADCAST_USERS)
+    return (tables.filtered.where("kind = 'click'").join(side, "user_id", "left")
+            .where(F.col("block_time").isNull() | (F.col("batch_time") <= F.col("block_time")))
+            .select(*AD.CLICK_COLUMNS))
 
 
 def ad_stat_table(tables: AdTables) -> DataFrame:
-    return tables.stat.current()
+    return tables.stat.read().select(*STAT_KEYS, "click_count")
 
 
 def province_top3_table(tables: AdTables) -> DataFrame:
-    return tables.top3.current()
+    return tables.top3.read().select("date", "province", "ad_id", "click_count")
+
+
+def pane_table(tables: AdTables) -> DataFrame:
+    """(pane_ms, ad_id, clicks), late ones included."""
+    return tables.panes.groupBy("pane_ms", "ad_id").agg(F.sum("clicks").alias("clicks"))
+
+
+def late_panes(tables: AdTables) -> DataFrame:
+    """Late clicks per (date, ad): they are part of every other table too."""
+    return tables.panes.where("late").groupBy("date", "ad_id").agg(F.sum("clicks").alias("late_clicks"))
 
 
 def trend_table(tables: AdTables) -> DataFrame:
-    return tables.trend.current()
+    return AD.trend_of_panes(pane_table(tables))
+
+
+def sliding_hour_table(tables: AdTables) -> DataFrame:
+    return AD.sliding_clicks(pane_table(tables))
+
+
+# ---------------------------------------------------------------- R4: blacklist and kept clicks
+
+def _route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each Arrow batch: counts per (user, date, province, city, ad) on lane -1, and the clicks on the other lanes."""
+    keys = ["batch_time", "date", "province", "city", "user_id", "ad_id"]
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        counts = t.group_by(keys).aggregate([([], "count_all")])
+        lane = pc.bit_wise_and(t["ts_ms"], pa.scalar(LANES - 1, pa.int64()))
+        for side, where, owner, ms, n in (
+                (counts, pa.array([-1] * len(counts), pa.int64()), counts["user_id"],
+                 pa.array([0] * len(counts), pa.int64()), counts["count_all"]),
+                (t, lane, pa.array([0] * len(t), pa.int64()), t["ts_ms"], pa.array([1] * len(t), pa.int64()))):
+            yield from pa.table([where, owner, ms, n, *[side[k] for k in keys]],
+                                names=["lane", "owner", "ts_ms", "clicks", *keys]).to_batches()
+
+
+_ROUTED = ("lane long, owner long, ts_ms long, clicks long, batch_time timestamp, date string, province string, "
+           "city string, user_id long, ad_id long")
+_FILTERED = [c.split()[0] for c in FILTERED_SCHEMA.split(", ")]
+_STATE = "blocked boolean, dates array<string>, ads array<long>, counts array<long>"
+
+
+def _decide(threshold: int):
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if key[0] >= 0:  # single clicks: nothing to know about them
+            for f in frames:
+                yield f.assign(kind="click")[_FILTERED]
+            return
+        blocked, dates, ads, counts = state.get if state.exists else (False, [], [], [])
+        if blocked:
+            return
+        total = dict(zip(zip(dates, ads, strict=True), counts, strict=True))
+        for f in frames:
+            for d, a, n in zip(f["date"], f["ad_id"], f["clicks"], strict=True):
+                total[d, int(a)] = total.get((d, int(a)), 0) + int(n)
+            yield f.assign(kind="count")[_FILTERED]
+            last = f.iloc[:1]
+        if max(total.values()) >= threshold:
+            state.update((True, [], [], []))
+            yield last.assign(kind="block", ts_ms=0, clicks=0, ad_id=0, date="", province="", city="")[_FILTERED]
+        else:
+            state.update((False, [k[0] for k in total], [k[1] for k in total], list(total.values())))
+    return run
+
+
+def start_filter(lines: DataFrame, tables: AdTables, checkpoint: str, threshold: int, trigger: dict):
+    clicks = AD.split_lines(lines)[0].select(*AD.CLICK_COLUMNS, F.current_timestamp().alias("batch_time"))
+    filtered = (clicks.mapInArrow(_route, _ROUTED).groupBy("lane", "owner")
+                .applyInPandasWithState(_decide(threshold), FILTERED_SCHEMA, _STATE, "append", GroupStateTimeout.NoTimeout))
+    return _start(filtered.writeStream.format("parquet").option("path", tables.at("filtered")).partitionBy("kind")
+                  .option("checkpointLocation", f"{checkpoint}/filter").outputMode("append").queryName("ad_filter"), trigger)
+
+
+# ---------------------------------------------------------------- R5, R6: running totals and top 3
+
+def publish_totals(raised: DataFrame, tables: AdTables, k: int = 3) -> None:
+    """Write the totals a micro-batch raised: rows (STAT_KEYS, click_count, level), level 0 per city, 2 per province.
+
+    Totals are absolute, so a micro-batch that is run again leaves the same tables."""
+    tables.stat.upsert_replace(raised.where("level = 0").drop("level"), STAT_KEYS)
+    group = ["date", "province"]
+    province = raised.where("level = 2").select(*group, "ad_id", "click_count")
+    old = null_safe_join(province_top3_table(tables), province.select(*group).distinct(), group, "left_semi")
+    best = top_k_per_group(merge_replace(old, province, [*group, "ad_id"]), group,
+                           [F.col("click_count").desc(), F.col("ad_id").asc()], k)
+    tables.top3.replace_groups(best, group)
+
+
+def start_totals(tables: AdTables, checkpoint: str, trigger: dict, max_files_per_trigger: int | None = None):
+    make_folder(tables.spark, tables.at("filtered"))
+    reader = tables.spark.readStream.schema(FILTERED_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    totals = (reader.parquet(tables.at("filtered")).where("kind = 'count'")
+              .groupingSets([[F.col(c) for c in STAT_KEYS], [F.col(c) for c in STAT_KEYS if c != "city"]], *STAT_KEYS)
+              .agg(F.sum("clicks").alias("click_count"), F.grouping_id().alias("level")))
+
+    def write(raised: DataFrame, batch_id: int) -> None:
+        raised.persist()
+        try:
+            publish_totals(raised, tables)
+        finally:
+            raised.unpersist()
+
+    return _start(totals.writeStream.foreachBatch(write).outputMode("update").queryName("ad_totals")
+                  .option("checkpointLocation", f"{checkpoint}/totals"), trigger)
+
+
+# ---------------------------------------------------------------- R7: panes
+
+def _panes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Clicks per (pane, ad) of each Arrow batch."""
+    for b in batches:
+        counts = pa.Table.from_batches([b]).group_by(["pane_ms", "ad_id"]).aggregate([([], "count_all")])
+        yield from counts.select(["pane_ms", "ad_id", "count_all"]).rename_columns(["pane_ms", "ad_id", "clicks"]).to_batches()
+
+
+def _mark_late(late_after: int):
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        newest = state.get[0] if state.exists else None
+        top = newest
+        for f in frames:
+            f = f.groupby("pane_ms", as_index=False)["clicks"].sum()
+            late = f["pane_ms"] < newest - late_after if newest is not None else False
+            top = max(int(f["pane_ms"].max()), top if top is not None else int(f["pane_ms"].max()))
+            date = pd.to_datetime(f["pane_ms"], unit="ms").dt.strftime("%Y-%m-%d")
+            yield f.assign(ad_id=key[0], late=late, date=date)[["pane_ms", "ad_id", "clicks", "late", "date"]]
+        state.update((top,))
+    return run
+
+
+def start_trend(lines: DataFrame, tables: AdTables, checkpoint: str, trigger: dict, late_after: int = LATE_AFTER_MS):
+    clicks = AD.split_lines(lines)[0].select(AD.pane_start("ts_ms").alias("pane_ms"), "ad_id")
+    panes = (clicks.mapInArrow(_panes, "pane_ms long, ad_id long, clicks long").groupBy("ad_id")
+             .applyInPandasWithState(_mark_late(late_after), PANE_SCHEMA, "newest long", "append",
+                                     GroupStateTimeout.NoTimeout))
+    return _start(panes.writeStream.format("parquet").option("path", tables.at("panes")).partitionBy("date")
+                  .option("checkpointLocation", f"{checkpoint}/trend").outputMode("append").queryName("ad_trend"), trigger)
+
+
+def start_rejects(lines: DataFrame, tables: AdTables, checkpoint: str, trigger: dict):
+    return _start(AD.split_lines(lines)[1].writeStream.format("parquet").option("path", tables.at("rejects"))
+                  .option("checkpointLocation", f"{checkpoint}/rejects").outputMode("append").queryName("ad_rejects"), trigger)
+
+
+# ---------------------------------------------------------------- the whole job
+
+def run_ad_stream(lines: DataFrame, root: str, checkpoint: str, threshold: int = AD.DEFAULT_BLACKLIST_THRESHOLD,
+                  trigger: dict | None = None, max_files_per_trigger: int | None = None):
+    """Start the job's queries; returns (tables, queries).  With an ``availableNow`` trigger it also waits for the end:
+    first for the filter, whose output the totals read.  ``max_files_per_trigger`` bounds a micro-batch of the totals."""
+    trigger = trigger or {"availableNow": True}
+    tables = AdTables(lines.sparkSession, root)
+    queries = [start_filter(lines, tables, checkpoint, threshold, trigger), start_trend(lines, tables, checkpoint, trigger),
+               start_rejects(lines, tables, checkpoint, trigger)]
+    _finish(queries[0], trigger)
+    queries.append(start_totals(tables, checkpoint, trigger, max_files_per_trigger))
+    for q in queries:
+        _finish(q, trigger)
+    return tables, queries
+
+
+def run_click_trend_stream(lines: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
+                           late_after: int = LATE_AFTER_MS) -> AdTables:
+    """R7 alone: panes of all readable lines, late ones under their own time."""
+    trigger = trigger or {"availableNow": True}
+    tables = AdTables(lines.sparkSession, root)
+    _finish(start_trend(lines, tables, checkpoint, trigger, late_after), trigger)
+    return tables
 
 
 # ---------------------------------------------------------------- replay input
 
-def write_day_files(spark: SparkSession, ad_logs: DataFrame, path: str) -> str:
-    """Lay ``ad_logs`` (value, day) out as one text file per day, with file
-    modification times ascending by day, so a file source with
-    ``maxFilesPerTrigger=1`` replays the log one day per micro-batch.  (Replay input for
-    tests and the registered queries: each day goes through one task, as one file must.)
-    Returns the glob to read."""
-    (ad_logs.repartition("day").write.mode("overwrite").partitionBy("day").text(path))
+def write_day_files(spark: SparkSession, ad_logs: DataFrame, path: str, files_per_day: int = 1) -> str:
+    """Lay ``ad_logs`` (value, day) out as ``files_per_day`` text files per day, with file modification times ascending
+    by day, so a file source with ``maxFilesPerTrigger=files_per_day`` replays the log one day per micro-batch.  Lines are
+    dealt over a day's files by their hash; a day too small for that gets empty files.  Returns the glob to read."""
+    part = F.pmod(F.xxhash64("value"), F.lit(files_per_day))
+    (ad_logs.select("value", "day", part.alias("part")).repartition("day", "part")
+     .write.mode("overwrite").partitionBy("day", "part").text(path))
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     day_dirs = sorted((st.getPath() for st in fs.listStatus(root) if st.isDirectory()),
                       key=lambda p: p.getName())
     base = 1_600_000_000_000
-    for i, d in enumerate(day_dirs):  # one metadata call per day folder
-        for st in fs.listStatus(d):
-            if st.getPath().getName().startswith("part-"):
-                fs.setTimes(st.getPath(), base + i * 1000, -1)
-    return f"{path}/day=*/part-*"
+    for i, d in enumerate(day_dirs):  # metadata calls only, a handful per day
+        for k in range(files_per_day):
+            folder = jvm.org.apache.hadoop.fs.Path(d, f"part={k}")
+            if not fs.exists(folder):
+                fs.create(jvm.org.apache.hadoop.fs.Path(folder, "part-empty")).close()
+            for st in fs.listStatus(folder):
+                if st.getPath().getName().startswith("part-"):
+                    fs.setTimes(st.getPath(), base + i * 1000, -1)
+    return f"{path}/day=*/part=*/part-*"
 
 
 def new_run_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -238,3 +353,14 @@ def new_run_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
     checkpoint_root(spark)
     base = scratch_path(spark, name)
     return f"{base}/out", f"{base}/_checkpoint"
+
+
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session of the same application whose streams keep their state in ``partitions`` partitions (default: the
+    application's cores); a stateful query cannot change that number later."""
+    s = spark.newSession()
+    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
+        if spark.conf.get(k, None):
+            s.conf.set(k, spark.conf.get(k))
+    s.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.sparkContext.defaultParallelism))
+    return s
