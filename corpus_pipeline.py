@@ -22,13 +22,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document, the smallest doc_id, of each group linked by the n-gram Jaccard join.
 
     Near copies share 80 % of their 5-word shingles, the general rule of near-duplicate stages; op9's query has its own
-    contract of 4 words and 85 %.
-    Only documents that may be dropped are shuffled: the others pass a Bloom filter of the dropped ids.
+    contract of 4 words and 85 %.  Rows of one doc_id are one document: of those that stay, the first in the order of
+    their columns does.  Rows without a doc_id stay.  Only rows that may be dropped are shuffled.
     """
-    found = ngram_join.ngram_jaccard_components(docs, k=5, num=80).documents
-    gone = store(found.where("component_id <> doc_id").select("doc_id").distinct(), "pipeline-copies")
-    maybe, kept = bloom.split(docs, "doc_id", bloom.build(gone, "doc_id"))
-    return kept.union(maybe.join(gone, "doc_id", "left_anti").select(*docs.columns))
+    found = store(ngram_join.ngram_jaccard_components(docs, k=5, num=80).documents.where("doc_id is not null")
+                  .groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n")),
+                  "pipeline-components")
+    gone = store(found.where("component_id <> doc_id").select("doc_id"), "pipeline-copies")
+    repeated = store(found.where("component_id = doc_id and n > 1").select("doc_id"), "pipeline-repeated")
+    rest = bloom.rows_but(docs, "doc_id", gone, gone.count())
+    n = repeated.count()
+    if not n:
+        return rest
+    others = [c for c in docs.columns if c != "doc_id"]
+    first = (bloom.rows_of(rest, "doc_id", repeated, n).join(repeated, "doc_id", "left_semi").groupBy("doc_id")
+             .agg(F.min(F.struct(*others)).alias("row")).select("doc_id", "row.*").select(*docs.columns))
+    return bloom.rows_but(rest, "doc_id", repeated, n).union(first)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
