@@ -78,6 +78,81 @@ def test_cutoffs_keep_the_guarantee(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def naive_cutoffs(rows, strata, alpha=R.ALPHA, delta=R.DELTA):
+    """stratum -> cutoffs, from (stratum, good, shapes, scores by rule); the path and its test on single documents."""
+    def above(x, i, top):
+        return x > top * 0.9 ** i
+
+    def gain(docs, cut):
+        hit = [r for r in docs if any(above(r[3][q], i, R.RULES[q]) for q, i in cut.items())]
+        return sum(not r[1] for r in hit) - R.PRICE * sum(r[1] for r in hit), hit
+
+    out = {}
+    for s in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == s]
+        ends = {}
+        for q in R.RULES:
+            g, i = max((gain([r for r in own if r[2]], {q: i})[0], -i) for i in range(R.GRID))
+            if g > 0:
+                ends[q] = -i
+        tested, n, best = True, sum(r[1] for r in own if not r[2]), None
+        for t in range(1, R.STEPS + 1):
+            cut = {q: e * t // R.STEPS for q, e in ends.items()}
+            g, hit = gain(own, cut)
+            k = sum(r[1] for r in hit if not r[2])
+            tested = tested and sum(math.comb(n, j) * alpha ** j * (1 - alpha) ** (n - j) for j in range(k + 1)) <= delta / strata
+            if tested and g > 0 and (best is None or g > best[0]):
+                best = (g, {q: R.RULES[q] * 0.9 ** i for q, i in cut.items()})
+        if best and ends:
+            out[s] = best[1]
+    return out
+
+
+def noisy(rng, n, leak=0.02):
+    """(stratum, good, scores): two telling rules, one useless one."""
+    rows = []
+    for _ in range(n):
+        good = rng.random() < 0.7
+        bad = rng.random() < (leak if good else 0.6)
+        scores = dict.fromkeys(R.RULES, 0.0)
+        scores["symbols_per_word"] = rng.uniform(0.3, 3) if bad else rng.uniform(0, 0.3)
+        scores["repeat_word_share"] = rng.uniform(0.2, 0.9) if bad and rng.random() < 0.7 else rng.uniform(0, 0.2)
+        scores["capital_share"] = rng.random() * 0.5
+        rows.append((rng.choice(["en", "de", None]), int(good), scores))
+    return rows
+
+
+def test_joint_path_equals_brute_force(spark):
+    rng = random.Random(3)
+    rows = noisy(rng, 1500)
+    schema = "doc_id long, stratum string, " + ", ".join(f"{q} double" for q in R.RULES)
+    df = spark.createDataFrame([(i, s, *x.values()) for i, (s, _, x) in enumerate(rows)], schema)
+    marks = spark.createDataFrame([(i, g) for i, (_, g, _) in enumerate(rows)], "doc_id long, quality int")
+    shapes = {r[0] for r in df.where(F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(R.SHAPING)) == 0).select("doc_id").collect()}
+    want = naive_cutoffs([(s or R._NONE, g, i in shapes, x) for i, (s, g, x) in enumerate(rows)], 3)
+    got = {r["stratum"]: {q: r[f"cut_{q}"] for q in R.RULES if r[f"cut_{q}"] is not None} for r in R.cutoffs(df, marks).collect()}
+    assert set(got) == set(want) == {"en", "de", R._NONE}
+    for s, cut in want.items():
+        assert set(got[s]) == set(cut) and all(abs(got[s][q] - c) < 1e-9 for q, c in cut.items())
+
+
+def test_false_rejections_exceed_alpha_rarely():
+    """200 runs with good documents that look bad just about as often as is allowed: the rule proven on labels rejects
+    more than alpha of new good documents in at most delta of the runs (by the same steps on single documents)."""
+    rng, over, proven = random.Random(8), 0, 0
+    R_fast = [(q, t) for q, t in R.RULES.items() if q in ("symbols_per_word", "repeat_word_share")]
+    for run in range(200):
+        leak = rng.choice([0.03, 0.05, 0.06, 0.08])
+        rows = [("x", g, rng.random() < 1 / R.SHAPING, {**dict.fromkeys(R.RULES, 0.0), **{q: x[q] for q, _ in R_fast}})
+                for _, g, x in noisy(rng, 250, leak)]
+        cut = naive_cutoffs(rows, 1).get("x")
+        if cut:
+            proven += 1
+            fresh = [x for _, g, x in noisy(rng, 3000, leak) if g]
+            over += np.mean([any(x[q] > c for q, c in cut.items()) for x in fresh]) > R.ALPHA + 0.01
+    assert proven > 20 and over <= R.DELTA * 200
+
+
 def changes(spark, rows):
     return spark.createDataFrame(rows, "op string, source string, lang string, version string, tokens long, old_tokens long")
 

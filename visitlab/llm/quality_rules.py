@@ -1,13 +1,17 @@
 """Quality rules with risk-controlled cutoffs; DataFrame functions only.
 
-Every rule scores a document (higher is worse) and rejects scores above a cutoff.  Cutoffs come from a fixed grid.
-The labelled good documents of a stratum are a holdout: with k of n of them above a cutoff, the exact binomial tail
-P(X <= k | n, alpha) <= delta shows that its false rejection rate is at most alpha (this is the Clopper-Pearson upper
-bound, turned round).  alpha is shared out over the rules, so that a document's rejection by any of them stays under
-the total; delta is divided by the number of (stratum, rule) tests (Bonferroni).  Within a test the grid is walked
-from lenient to strict and stops at the first failure (fixed-sequence testing), which needs no further correction.
-Of the proven cutoffs the one is taken that gains most: labelled bad documents rejected, less PRICE per good one.
-A stratum with too few labels to prove anything rejects nothing beyond the base rule.
+Every rule scores a document (higher is worse) and rejects scores above a cutoff from a fixed grid.  All rules of a
+stratum are tightened together along one path, and one test per step controls what they reject together:
+
+* A third of the labelled documents (by a hash of doc_id) shapes the path: per stratum and rule, the cutoff that gains
+  most there (labelled bad documents rejected, less PRICE per good one).  Step t of STEPS takes every rule t/STEPS of the
+  way from its most lenient cutoff to that one; a rule without a gain stays out.
+* The other labelled good documents are the holdout.  With k of n of them rejected by any rule at a step, the exact
+  binomial tail P(X <= k | n, alpha) <= delta proves that the step's false rejection rate is at most alpha (this is the
+  Clopper-Pearson upper bound, turned round).  The path is walked from lenient to strict up to the first failure
+  (fixed-sequence testing, no correction within a stratum); delta is divided by the number of strata (Bonferroni).
+* Of the proven steps the one that gains most is taken.  A stratum with too few labels to prove anything (alpha 0.05
+  and five strata take 90 good documents in the holdout) rejects nothing beyond the base rule.
 """
 
 from __future__ import annotations
@@ -23,7 +27,8 @@ SYMBOLS = r"[#*$%&|<>]"
 # Rule, the most lenient cutoff; the others follow at 0.9 of the one before.
 RULES = {"symbols_per_word": 5.0, "dup_line_share": 1.0, "repeat_word_share": 1.0, "chars_per_word": 100.0,
          "capital_share": 1.0}
-GRID = 60
+GRID = STEPS = 60
+SHAPING = 3  # one in so many labelled documents shapes the path
 ALPHA, DELTA, PRICE = 0.05, 0.05, 10.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 _PLACE = (1 << 26) - 1  # bits for a word's place; the others hold its window's hash
@@ -111,34 +116,51 @@ def cutoffs(scored: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_
              .where("doc_id is not null and good is not null").groupBy("doc_id").agg(F.min("good").alias("good")))
     grid = {r: [top * 0.9 ** i for i in range(GRID)] for r, top in RULES.items()}
 
-    def above(rule: str) -> Column:
-        return F.size(F.filter(F.array(*[F.lit(c) for c in grid[rule]]), lambda c: F.col(rule) > c))
-
-    passed = F.array(*[F.struct(F.lit(r).alias("rule"), above(r).alias("above")) for r in RULES])
-    stratum = F.coalesce("stratum", F.lit(_NONE))
-    held = (scored.join(marks, "doc_id").select(stratum.alias("stratum"), "good", F.explode(passed).alias("x"))
-            .select("stratum", "x.rule", "x.above", (F.col("good") >= 1).cast("long").alias("g"))
-            .groupBy("stratum", "rule", "above").agg(F.sum("g").alias("good"), F.sum(1 - F.col("g")).alias("bad")))
-    held = store(held, "op4-held")
-    # every cutoff 0 .. GRID-1 (strict ones last): documents above it are those with above >= GRID - i
-    ladder = F.explode(F.sequence(F.lit(0), F.lit(GRID - 1)))
-    every = held.select("stratum", "rule").distinct().select("stratum", "rule", ladder.alias("i"))
-    up = Window.partitionBy("stratum", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own = held.where("above > 0").select("stratum", "rule", (F.lit(GRID) - F.col("above")).alias("i"), "good", "bad")
-    sums = (every.join(own, ["stratum", "rule", "i"], "left")
-            .withColumn("k", F.sum(F.coalesce("good", F.lit(0))).over(up))
-            .withColumn("hit", F.sum(F.coalesce("bad", F.lit(0))).over(up)))
+    def first(rule: str) -> Column:
+        """The most lenient cutoff, 0 to GRID - 1, that rejects the document; GRID if none does."""
+        return F.size(F.filter(F.array(*[F.lit(c) for c in grid[rule]]), lambda c: ~(F.col(rule) > c)))
+
+    held = store(scored.join(marks, "doc_id").select(
+        F.coalesce("stratum", F.lit(_NONE)).alias("stratum"), (F.col("good") >= 1).cast("long").alias("g"),
+        (F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(SHAPING)) == 0).alias("shapes"),
+        *[first(r).alias(f"i_{r}") for r in RULES]), "op4-held")
     strata = held.agg(F.countDistinct("stratum")).first()[0] or 1
-    n = held.groupBy("stratum", "rule").agg(F.sum("good").alias("n"))
-    n = n.withColumn("most", allowed_rejections(F.col("n"), F.lit(alpha / len(RULES)),
-                                                F.lit(delta / (len(RULES) * strata))))
+    good, bad = F.sum("g").alias("good"), F.sum(1 - F.col("g")).alias("bad")
     gain = F.col("hit") - price * F.col("k")
-    best = (sums.join(n, ["stratum", "rule"]).where((F.col("k") <= F.col("most")) & (gain > 0))
+
+    # the end of the path: per stratum and rule the cutoff of the greatest gain
+    own = (held.where("shapes").select("stratum", "g", F.explode(F.array(*[F.struct(
+        F.lit(r).alias("rule"), F.col(f"i_{r}").alias("i")) for r in RULES])).alias("x")).select("stratum", "g", "x.*")
+        .where(F.col("i") < GRID).groupBy("stratum", "rule", "i").agg(good, bad))
+    up = Window.partitionBy("stratum", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = (own.withColumn("k", F.sum("good").over(up)).withColumn("hit", F.sum("bad").over(up)).where(gain > 0)
             .groupBy("stratum", "rule").agg(F.max_by("i", F.struct(gain, -F.col("i"))).alias("i")))
-    value = F.expr("case rule " + " ".join(f"when '{r}' then {top}D" for r, top in RULES.items()) + " end")
-    best = best.withColumn("cutoff", value * F.pow(F.lit(0.9), "i"))
-    return best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}")
-                                         for r in RULES])
+    ends = store(ends.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("i"))).alias(f"end_{r}")
+                                               for r in RULES]), "op4-ends")
+
+    # the step at which a document is rejected first, by any rule
+    def step(rule: str) -> Column:
+        i, end = F.col(f"i_{rule}"), F.col(f"end_{rule}")
+        return F.when(i <= end, F.greatest(F.lit(1), F.ceil(i * STEPS / F.greatest(end, F.lit(1)))))
+
+    walked = (held.join(ends, "stratum").withColumn("t", F.least(*[step(r) for r in RULES]).cast("int"))
+              .groupBy("stratum", "t", "shapes").agg(good, bad))
+    walked = store(walked.groupBy("stratum", "t").agg(
+        F.sum(F.when(~F.col("shapes"), F.col("good")).otherwise(0)).alias("proof"),
+        F.sum("good").alias("good"), F.sum("bad").alias("bad")), "op4-path")
+    n = walked.groupBy("stratum").agg(F.sum("proof").alias("n")).withColumn(
+        "most", allowed_rejections(F.col("n"), F.lit(alpha), F.lit(delta / strata)))
+    up = Window.partitionBy("stratum").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    best = (walked.where("t is not null").withColumn("tested", F.sum("proof").over(up))
+            .withColumn("k", F.sum("good").over(up)).withColumn("hit", F.sum("bad").over(up)).join(n, "stratum")
+            .where((F.col("tested") <= F.col("most")) & (gain > 0))
+            .groupBy("stratum").agg(F.max_by("t", F.struct(gain, -F.col("t"))).alias("t")))
+
+    def cutoff(rule: str, top: float) -> Column:
+        end = F.col(f"end_{rule}")  # null: the rule stays out
+        return F.when(end.isNotNull(), F.lit(top) * F.pow(F.lit(0.9), F.floor(end * F.col("t") / STEPS))).alias(f"cut_{rule}")
+
+    return best.join(ends, "stratum").select("stratum", *[cutoff(r, top) for r, top in RULES.items()])
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
