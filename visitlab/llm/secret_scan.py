@@ -168,6 +168,8 @@ def fit(examples: list[tuple[list[list[int]], list[int]]], seed: int = 3) -> Mod
     return Model(emit.astype(np.float32), step)
 
 
+_STRETCH = re.compile(r"[A-Za-z0-9]{12,}")
+
 # Letters, contexts of generated secrets and of harmless tokens that look alike.
 _B62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 _SECRET_LINES = ('password = "{}"', "api_key: {}", "export API_TOKEN={}", "client_secret: '{}'", "Authorization: Bearer {}",
@@ -207,8 +209,18 @@ def generated(count: int = 900, seed: int = 11) -> list[tuple[list[list[int]], l
     return out
 
 
+def _unclear(text: str) -> bool:
+    """Whether a stretch of 12 letters and digits or more changes between small, capital and digit as random ones do."""
+    for part in _STRETCH.findall(text):
+        kinds = [2 if c.isdigit() else int(c.isupper()) for c in part]
+        if 10 * sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) >= 3 * (len(part) - 1):
+            return True
+    return False
+
+
 def _weak(text: str) -> Iterator[tuple[list[list[int]], list[int]]]:
-    """Runs of a document tagged by the rules: assignments and access keys are secrets, text beyond all rules is not."""
+    """Runs of a document tagged by the rules: assignments and access keys are secrets.  Runs beyond all rules are not, but
+    for those of a secret's shape: they stay unlabelled, so secrets that a corpus is full of are not learnt as harmless."""
     rules = rule_spans(text)
     for k, run in enumerate(runs(text)):
         if k >= PER_DOC:
@@ -217,7 +229,7 @@ def _weak(text: str) -> Iterator[tuple[list[list[int]], list[int]]]:
         met = {kind for a, kind, b in rules if a < e and s < b}
         if met & {0, 1}:
             yield [t[2] for t in run], [1] + [2] * (len(run) - 1)
-        elif not met:
+        elif not met and not _unclear(text[s:e]):
             yield [t[2] for t in run], [0] * len(run)
 
 
