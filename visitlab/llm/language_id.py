@@ -8,7 +8,8 @@ BUCKETS x languages, and a prediction averages its rows.
 Training takes a bounded sample of labelled documents (MAX_DOCS, spread evenly over the languages, chosen by a hash
 of doc_id): each whole text and a few short windows of it, so that short texts are learned too.  A fifth of the
 sample is kept for calibration: the temperature that minimises its log loss, and the score under which a prediction
-is rejected (the calibration share REJECT of right predictions may fall under it).
+is rejected: the quantile of right predictions in that fifth that lets the share REJECT of them fall under it, and
+nothing else.
 """
 
 from __future__ import annotations
@@ -168,8 +169,7 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: list[str], holdou
     temperature = float(grid[int(np.argmin(loss))])
     best = prob(temperature)
     right = np.sort(best.max(axis=1)[best.argmax(axis=1) == y[check]])
-    floor = 1.5 / max(k, 2)  # under this a prediction is little better than chance
-    threshold = min(float(right[int(REJECT * len(right))]) if len(right) else 0.0, floor)
+    threshold = float(right[int(REJECT * len(right))]) if len(right) else 0.0
     return Model(languages, table, bias.astype(float), temperature, threshold)
 
 
