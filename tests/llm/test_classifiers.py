@@ -1,7 +1,9 @@
 """Language ID, URL filter, secret scan and PII: brute-force rules, exact decoding, held-out accuracy."""
 
 import itertools
+import random
 import re
+import string
 
 import numpy as np
 import pytest
@@ -230,3 +232,83 @@ def test_pii_edges(spark, pii_model):
     for i, t in rows:
         assert [x for x in got[i] if x[0] < 4] == naive_pii(t or "")
     assert P.find_personal_data(df.where("false"), pii_model).count() == 0
+
+
+# ---------------------------------------------------------------- corpora full of what no rule knows
+
+def _chars(rng, alphabet, n):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+def _new_secret(rng):
+    b62, kind = string.ascii_letters + string.digits, rng.randrange(4)
+    return ("ghp_" + _chars(rng, b62, 36), "sk_live_" + _chars(rng, b62, 24),
+            "xoxb-" + _chars(rng, string.digits, 11) + "-" + _chars(rng, b62, 24),
+            "eyJ" + _chars(rng, b62, 20) + "." + _chars(rng, b62, 40) + "." + _chars(rng, b62, 43))[kind]
+
+
+def _prose(rng, texts):
+    words = rng.choice(texts).split()
+    a = rng.randrange(max(1, len(words) - 40))
+    return " ".join(words[a:a + 40])
+
+
+def test_a_corpus_full_of_unruled_secrets_unlearns_none(spark):
+    rng = random.Random(6)
+    clean = [r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect() if r[0]]
+    lines = ("Authorization: Bearer {}", "use {} for the bot", "curl -u me:{}", "key {} expires soon", "{}")
+    texts = [_prose(rng, clean) for _ in range(280)]
+    texts += ["\n".join([_prose(rng, clean), *(rng.choice(lines).format(_new_secret(rng)) for _ in range(4))]) for _ in range(120)]
+    model = S.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    found = 0
+    for _ in range(100):
+        secret = _new_secret(rng)
+        text = _prose(rng, clean) + "\n" + rng.choice(lines).format(secret) + "\n" + _prose(rng, clean)
+        at = text.index(secret)
+        found += any(s < at + len(secret) and at < e for s, _, e in S.spans(text, model))
+    assert found >= 90
+    wrong = sum(len(S.spans(t, model)) - len(S.rule_spans(t)) for t in clean)
+    assert wrong <= len(clean) // 100
+
+
+def test_personal_data_behind_a_cue_is_found_though_the_corpus_is_full_of_it(spark):
+    rng = random.Random(7)
+    clean = [r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect() if r[0]]
+    digits = string.digits
+
+    def made(kind):
+        if kind == "x_phone":
+            return f"({rng.randrange(201, 989)}) {_chars(rng, digits, 3)}-{_chars(rng, digits, 4)}"
+        if kind == "x_ssn":
+            return f"{rng.randrange(100, 665)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}"
+        at, dot = rng.choice([("(at)", "(dot)"), (" [at] ", " [dot] "), ("{at}", ".")])
+        return f"{rng.choice(['jane', 'max', 'olga'])}.{rng.choice(['doe', 'smith', 'braun'])}{at}mail{rng.choice(['host', 'box'])}{dot}com"
+
+    cue = {"x_phone": "phone: {}", "x_ssn": "social security number {}", "x_email": "contact {}"}
+    texts = [_prose(rng, clean) for _ in range(280)]
+    texts += ["\n".join([_prose(rng, clean), *(f"it is {made(k)} here" for k in cue)]) for _ in range(120)]
+    model = P.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for kind, line in cue.items():
+        found = 0
+        for _ in range(50):
+            body = made(kind)
+            text = _prose(rng, clean) + " " + line.format(body) + " " + _prose(rng, clean)
+            at = text.index(body)
+            found += any(s < at + len(body) and at < e for _, s, e in P.spans(text, model))
+        assert found >= 40, kind
+    wrong = sum(len(P.spans(t, model)) - len(P.rule_spans(t)) for t in clean)
+    assert wrong <= len(clean) // 100
+
+
+def test_texts_of_unlearned_languages_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = L.train(docs)
+    texts = ["De snelle bruine vos springt over de luie hond en loopt daarna terug naar het huis van zijn baas in de stad.",
+             "Nopea ruskea kettu hyppää laiskan koiran yli ja juoksee takaisin metsään ennen kuin talvi tulee.",
+             "Szybki brązowy lis przeskakuje nad leniwym psem i wraca do domu, zanim zapadnie noc nad miastem.",
+             "Hızlı kahverengi tilki tembel köpeğin üzerinden atlar ve sonra ormandaki evine geri döner, hava kararmadan.",
+             "Быстрая коричневая лиса прыгает через ленивую собаку и возвращается домой до наступления ночи.",
+             "快速的棕色狐狸跳过懒狗然后在天黑之前回家", "Rychlá hnědá liška skáče přes líného psa a pak se vrací domů, než padne noc."]
+    found = L.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert sum(r["rejected"] for r in found) >= 5
+    assert L.predict(docs, model).where("rejected").count() <= docs.count() // 50

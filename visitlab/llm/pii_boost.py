@@ -7,7 +7,8 @@ its kind's threshold on, the lowest at which PRECISION of the kind's calibration
 overlapping candidates the best score wins, and none may touch a rule span.
 
 Training uses generated lines for every kind, right and wrong, and a bounded sample of documents (MAX_DOCS, at most
-PER_DOC candidates of each) in which the rules label the candidates they agree with and those they refuse.
+PER_DOC candidates of each): rule matches, right or refused, and generator spans behind a harmless cue, which are wrong.
+All other generator spans of documents are unlabelled, so what a corpus is full of is not learnt to be harmless.
 """
 
 from __future__ import annotations
@@ -49,6 +50,7 @@ _CUES = {"phone": ("tel", "phone", "call", "fax", "mobile", "cell", "whatsapp",
          "net": ("ip", "host", "server", "ping", "addr"),
          "harmless": ("order", "invoice", "page", "version", "isbn", "part", "item", "no", "ref", "room", "chapter",
                       "score", "ratio", "serial", "build", "id", "time", "between", "from")}
+_HARMLESS = -3  # place of the harmless cue among a candidate's features; the four others stand before it
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -221,7 +223,16 @@ def generated(count: int = 2000, seed: int = 23) -> list[tuple[list[float], int,
     rng = np.random.RandomState(seed)
 
     def word(n: int) -> str:
-        return "".join("etaoinshrdlucmfw"[i] for i in rng.randint(0, 16, n))
+        return "".join("etaoinshrdlucmfwypbgvkjxqz"[i] for i in np.minimum(rng.randint(0, 40, n), rng.randint(0, 26, n)))
+
+    def name() -> str:
+        a, b = word(rng.randint(2, 9)), word(rng.randint(3, 11))
+        return (f"{a}.{b}", f"{a}{b}", f"{b}{rng.randint(1, 100)}", f"{a}_{b}", f"{a[0]}.{b}", f"{a}-{b}", b)[rng.randint(0, 7)]
+
+    def host(dot: str) -> str:
+        a, b = word(rng.randint(3, 11)), word(rng.randint(3, 7))
+        top = ("com", "org", "net", "de", "fr", "info", f"co{dot}uk")[rng.randint(0, 7)]
+        return dot.join((f"{a}", f"{a}-{b}", f"{a}{dot}{b}", f"{a}{rng.randint(1, 100)}")[rng.randint(0, 4)].split("|") + [top])
 
     def number(n: int) -> str:
         return "".join(str(d) for d in rng.randint(0, 10, n))
@@ -229,9 +240,11 @@ def generated(count: int = 2000, seed: int = 23) -> list[tuple[list[float], int,
     out = []
     for i in range(count):
         kind, right = 4 + i % 5, i // 5 % 2 == 0
-        at, dot = [("(at)", "(dot)"), (" [at] ", " [dot] "), ("{at}", ".")][rng.randint(0, 3)]
+        space = (" ", "")[rng.randint(0, 2)]
+        at, dot = (f"{space}{a}at{z}{space}" for a, z in [("()", "[]", "{}", "<>")[rng.randint(0, 4)]] * 2)
+        dot = (dot.replace("at", "dot"), ".")[rng.randint(0, 2)]
         if kind == 4:
-            body = f"{word(5)}.{word(4)}{at}{word(6)}{dot}com" if right else f"{word(2)}{at}{number(3)}{dot}{number(2)}"
+            body = f"{name()}{at}{host(dot)}" if right else f"{word(2)}{at}{number(3)}{dot}{number(2)}"
         elif kind == 5:
             body = (f"({rng.randint(201, 989)}) {number(3)}-{number(4)}", f"{rng.randint(201, 989)}-{number(3)}-{number(4)}",
                     f"0{number(3)} {number(3)} {number(4)}")[rng.randint(0, 3)]
@@ -257,7 +270,7 @@ def generated(count: int = 2000, seed: int = 23) -> list[tuple[list[float], int,
 
 
 def _weak(text: str) -> Iterator[tuple[list[float], int, int]]:
-    """Rule matches, right or refused, and generator spans that no rule agrees with and no cue word speaks for."""
+    """Rule matches, right or refused, and generator spans that no rule agrees with and only a harmless cue speaks for."""
     found = list(rule_matches(text))
     rules = [(s, e) for _, s, e, right in found if right]
     for n, (k, s, e, right) in enumerate(found):
@@ -268,7 +281,7 @@ def _weak(text: str) -> Iterator[tuple[list[float], int, int]]:
         if n >= PER_DOC:
             break
         x = describe(text, k, s, e)
-        if not any(a < e and s < b for a, b in rules) and not any(x[-7:-3]):
+        if x[_HARMLESS] and not any(x[_HARMLESS - 4:_HARMLESS]) and not any(a < e and s < b for a, b in rules):
             yield x, 0, k
 
 
