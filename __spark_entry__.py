@@ -119,7 +119,7 @@ def q_session_detail(spark, sf):
     t = _t(spark, sf)
     actions = S.actions_in_range(t.visits(), P_DETAIL)
     sessions, _ = S.stored_sessions(S.filtered_sessions(t.visits(), t.users(), P_DETAIL))
-    return S.session_detail(actions, sessions)
+    return S.session_detail(actions, sessions, stored=True)
 
 
 def q_session_stat_observed(spark, sf):

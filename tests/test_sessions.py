@@ -1,3 +1,5 @@
+import tempfile
+
 from pyspark.sql import functions as F
 
 from conftest import VISIT_SCHEMA, rows, visit
@@ -149,3 +151,71 @@ def test_session_detail_splits_a_hot_session(spark):
     finally:
         for k, x in old.items():
             spark.conf.unset(k) if x is None else spark.conf.set(k, x)
+
+
+def _shuffled_rows(df):
+    """Rows written by the shuffles of an executed plan, by the plan's own counters."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "ShuffleExchangeExec":
+            out.append(node.metrics().apply("shuffleRecordsWritten").value())
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return out
+
+
+def test_bloom_filter_cuts_the_shuffle_of_actions(spark):
+    """Stored sessions: Spark filters the actions by a Bloom filter of the ids before it shuffles them."""
+    v = spark.range(40_000).select(
+        F.col("id").alias("action_id"), F.lit("2024-01-01").alias("date"), (F.col("id") % 7).alias("user_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 4000)).alias("session_id"),
+        *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("page_id", "long"), ("action_time", "string"), ("search_keyword", "string"), ("click_category_id", "long"),
+            ("click_product_id", "long"), ("order_category_ids", "string"), ("order_product_ids", "string"),
+            ("pay_category_ids", "string"), ("pay_product_ids", "string"))])
+    path = tempfile.mkdtemp(prefix="bloom-")
+    v.write.parquet(f"{path}/v")
+    v = spark.read.parquet(f"{path}/v")
+    v.select("session_id").distinct().where("session_id = 'hot' or session_id like 's1__'").write.parquet(f"{path}/s")
+    sess = spark.read.parquet(f"{path}/s")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, x in conf.items():
+            spark.conf.set(k, x)
+        got = S.session_detail(v, sess, stored=True)
+        found = got.collect()
+        assert "might_contain" in got._jdf.queryExecution().optimizedPlan().toString()
+        most = max(_shuffled_rows(got))
+    finally:
+        for k, x in old.items():
+            spark.conf.unset(k) if x is None else spark.conf.set(k, x)
+    assert len(found) == v.join(sess, "session_id", "left_semi").count() > 13_000
+    assert most < 1.1 * len(found)  # of 40,000 actions
+
+
+def test_stored_sessions_observe_the_histogram(spark):
+    sess = S.session_agg(spark.createDataFrame(
+        [visit(i, f"s{i % 40}", f"2024-01-01 10:{i % 60:02d}:00") for i in range(400)], VISIT_SCHEMA))
+    for df in (sess, sess.where("session_id = 'none'")):
+        stored, stat = S.stored_sessions(df)
+        assert stored.exceptAll(df).count() == 0 and stored.count() == df.count()
+        assert stat.collect() == S.session_aggr_stat(df).collect() and stat.columns == S.session_aggr_stat(df).columns
+
+
+def test_distinct_values_meet_their_group_once(spark):
+    """Each distinct value of a hot group is shuffled to it once, not once per map task."""
+    from visitlab.functions.aggregates import concat_distinct_by, group_concat_distinct
+
+    df = spark.range(0, 6000, 1, 12).select(F.lit("hot").alias("g"), (F.col("id") % 50).alias("v")).union(
+        spark.createDataFrame([("a", 2), ("a", 1), ("a", None), ("n", None)], "g string, v long"))
+    got = concat_distinct_by(df, ["g"], "v", "vs")
+    assert sorted(rows(got)) == sorted(rows(df.groupBy("g").agg(group_concat_distinct("v").alias("vs"))))
+    assert min(_shuffled_rows(got)) <= 54  # 50 values of the hot group, and the others

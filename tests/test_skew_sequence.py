@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +105,33 @@ def test_bounded_broadcast(spark):
     assert bounded_broadcast(small, 10) is small  # over the bound: no hint
 
 
+def test_broadcast_is_bounded_in_bytes_too(spark):
+    from visitlab.operators.broadcast import measured
+
+    wide = spark.range(50).select(F.col("id").alias("k"), F.repeat(F.lit("é"), 1000).alias("w"),
+                                  F.array(F.lit(1), F.lit(2)).alias("a"), F.lit(None).cast("string").alias("none"))
+    rows, size = measured(wide)
+    assert rows == 50 and 50 * 2008 < size < 50 * 2100
+    assert bounded_broadcast(wide, 50, size - 1) is wide and bounded_broadcast(wide, 50, size) is not wide
+    assert measured(wide.where("k < 0")) == (0, 0)
+
+
+def test_heavy_keys_sketch_on_zipf(spark):
+    """Keys above the stated share are found, their counts exact, with a sketch far smaller than the number of keys."""
+    rng = random.Random(3)
+    keys = [int(rng.paretovariate(0.9)) for _ in range(40_000)] + [10**9 + i for i in range(20_000)] + [None] * 500
+    rng.shuffle(keys)
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(7)
+    exact = Counter(k for k in keys if k is not None)
+    assert len(exact) > 20_000
+    share = SK.sketch_error(200)
+    sure = sum(n > share * len(keys) for n in exact.values())
+    assert share == 3.5 / 512 and sure >= 3
+    want = sorted(exact.items(), key=lambda x: (-x[1], x[0]))[:sure]
+    assert [tuple(r) for r in SK.heavy_keys_sketch(df, "k", top_n=sure, tracked=200).collect()] == want
+    assert SK.heavy_keys_sketch(df.where("false"), "k").count() == 0
+
+
 def test_heavy_keys_bernoulli_sample(spark):
     hk = SK.heavy_keys(_skewed(spark, 6000), "k", top_n=1, fraction=0.3, seed=5)
     assert rows_of(hk) == [0]
@@ -112,8 +142,6 @@ def rows_of(df):
 
 
 def test_with_previous_against_pandas(spark):
-    import random
-
     import pandas as pd
 
     rnd = random.Random(11)

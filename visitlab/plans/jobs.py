@@ -49,7 +49,7 @@ def session_job_outputs(tables: Tables, task_id: int, sample_n: int = 100, seed:
     # Several outputs read the filtered sessions and their detail: store each once.  The write of the sessions gives
     # the histogram too.
     sessions, stat = S.stored_sessions(S.filtered_sessions(visits, tables.users(), p))
-    detail = S.session_detail(actions, sessions).checkpoint(eager=True)
+    detail = S.session_detail(actions, sessions, stored=True).checkpoint(eager=True)
     extract = SM.session_random_extract(sessions, sample_n, seed)
     top_cats, top_sess = C.top_categories_and_sessions(detail)
     return {

@@ -137,14 +137,16 @@ def stored_sessions(sessions: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stored, stat_of_counts(counts)
 
 
-def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
+def session_detail(actions: DataFrame, sessions: DataFrame, stored: bool = False) -> DataFrame:
     """JN2: the actions of the filtered sessions (a semi join: session ids are
     unique on the filter side, so it equals the inner join keeping the actions).
 
-    Given stored sessions (:func:`stored_sessions`), Spark knows the size of the id side and puts a runtime Bloom filter
-    of the ids in front of the shuffle of the actions, once these are large (``get_spark`` sets its bounds), so few
-    actions of other sessions are shuffled.  When the session side is an aggregate on the join key, Spark would reuse
-    its partitioning; then AQE could not split a skewed partition of the action side.  The rebalance deals the (small)
-    id table anew, so that both sides meet through exchanges of the join's own and a hot session's actions are split."""
-    ids = sessions.select("session_id").hint("rebalance")
+    ``stored`` sessions (:func:`stored_sessions`) have a known size, so Spark puts a runtime Bloom filter of the ids in
+    front of the shuffle of the actions once these are large (``get_spark`` sets its bounds): few actions of other
+    sessions are shuffled.  Spark only builds one from a side with a selecting predicate, hence the comparison that holds
+    for every id.  Else the session side is an aggregate on the join key, whose partitioning Spark would reuse; then AQE
+    could not split a skewed partition of the action side.  The rebalance deals the (small) id table anew, so that both
+    sides meet through exchanges of the join's own.  Either way a hot session's actions are split."""
+    ids = sessions.select("session_id")
+    ids = ids.where(F.col("session_id") >= "") if stored else ids.hint("rebalance")
     return actions.join(ids, "session_id", "left_semi").select(*DETAIL_COLUMNS)
