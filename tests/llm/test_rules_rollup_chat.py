@@ -245,13 +245,26 @@ def test_chat_cut_conversations_decode_the_same(spark, monkeypatch):
     noise = np.random.RandomState(3)  # no two paths score the same
     model = C.Model(*(x + 0.01 * noise.rand(*x.shape) for x in C.fit([])))
 
-    def text(pieces):
-        out = {}
-        for r in sorted(pieces.collect(), key=lambda r: (r["conv"], r["seq"], r["line"])):
-            out.setdefault(r["conv"], []).append(r["rendered"])
-        return {c: "".join(x) for c, x in out.items()}
-    whole = text(C.parse(df.coalesce(1), model))
-    monkeypatch.setattr(C, "PIECE_LINES", 11)
-    cut = text(C.parse(df, model))
-    assert cut == whole and len(whole) == 20
+    def turns(parsed):
+        return sorted(map(str, parsed.collect()))
+    want = turns(C.parse(df.coalesce(1), model))
+    assert len({r["conv"] for r in C.parse(df, model).select("conv").collect()}) == 20
+    for pieces in (11, 2, 1):  # a turn may go over several pieces
+        monkeypatch.setattr(C, "PIECE_LINES", pieces)
+        assert turns(C.parse(df, model)) == want
     assert C.parse(df.where("false"), model).count() == 0
+
+
+def test_chat_rows_do_not_depend_on_partitions(spark):
+    rows = [(1, t, ("User: ask" if t % 600 == 0 else "Assistant: tell" if t % 600 == 300 else "") + f" line {t}") for t in range(9000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    old, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (2, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            found.append(sorted(map(str, C.parse(df, C.fit([])).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found[0] == found[1] and len(found[0]) == 30

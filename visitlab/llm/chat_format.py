@@ -8,7 +8,8 @@ of a bounded labelled sample, mixed with a prior in which a marker mostly tells
 Viterbi over a sequence is a product of max-plus matrices, so it needs no whole conversation in one task.  Rows are
 range-partitioned by (conversation, sequence); a conversation cut by a partition border becomes pieces.  Pass 1 gives
 each cut piece's matrix (states x states), pass 2 joins the few pieces in order (at most two per partition) and fixes
-the state at every border, pass 3 decodes each piece between its borders.
+the state at every border, pass 3 decodes each piece between its borders.  Only the turns at the borders of a cut
+conversation, two per piece, are then put together by their running number; all others come straight from their piece.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlab.llm.scratch import store
+from visitlab.llm.textnp import mix
 
 ROLES = ("system", "user", "assistant")
 STATES = tuple((r, head) for r in range(len(ROLES)) for head in (True, False))
@@ -105,7 +107,8 @@ def _rows(df: DataFrame, conv: str, seq: str, text: str, *more: Column) -> DataF
 def train(transcripts: DataFrame, conv_col: str = "conv_id", seq_col: str = "turn", text_col: str = "text",
           role_col: str = "role", max_conversations: int = MAX_CONVERSATIONS) -> Model:
     """Fit on at most max_conversations labelled conversations, the first by a hash of their id, and of each the rows
-    with a known role up to the 1,000th.  Without labels the prior alone is the model."""
+    with a known role up to the 1,000th, at most 20 * max_conversations rows in all.  Without labels the prior alone is
+    the model."""
     rows = _rows(transcripts, conv_col, seq_col, text_col, F.lower(F.col(role_col)).alias("role")).where(
         F.col("role").isin(*ROLES))
     ids = rows.select("conv").distinct().orderBy(F.xxhash64("conv"), "conv").limit(max_conversations)
@@ -127,22 +130,38 @@ def train(transcripts: DataFrame, conv_col: str = "conv_id", seq_col: str = "tur
     return fit(list(found.values()))
 
 
-def _matrix(obs: list[int], model: Model, first: bool) -> np.ndarray:
+def _nudges(rows: list) -> np.ndarray:
+    """A millionth at most per line and state, from a hash of the line's place (sequence, line): it decides between paths
+    of equal score, and the same way however the conversation is cut."""
+    place = [(seq, i) for _, seq, text in rows for i in range(text.count("\n") + 1)]
+    seq, line = np.array(place, np.int64).T.astype(np.uint64)
+    h = mix(seq * np.uint64(0x9E3779B97F4A7C15) + line)[:, None] + np.arange(len(STATES), dtype=np.uint64)[None]
+    return (mix(h) >> np.uint64(11)).astype(float) * (1e-6 / (1 << 53))
+
+
+def _emitted(obs: list[int], model: Model, nudge: np.ndarray | None) -> np.ndarray:
+    e = model.emit[:, obs].T
+    return e if nudge is None else e + nudge
+
+
+def _matrix(obs: list[int], model: Model, first: bool, nudge: np.ndarray | None = None) -> np.ndarray:
     """Best score of a path through the lines, by the state before them (first: one virtual state) and the last."""
-    m = (model.start[None, :] if first else model.move) + model.emit[:, obs[0]]
-    for o in obs[1:]:
-        m = (m[:, :, None] + model.move[None]).max(axis=1) + model.emit[:, o]
+    e = _emitted(obs, model, nudge)
+    m = (model.start[None, :] if first else model.move) + e[0]
+    for x in e[1:]:
+        m = (m[:, :, None] + model.move[None]).max(axis=1) + x
     return m
 
 
-def _path(obs: list[int], model: Model, before: int | None, last: int | None) -> list[int]:
+def _path(obs: list[int], model: Model, before: int | None, last: int | None, nudge: np.ndarray | None = None) -> list[int]:
     """Viterbi path of lines that follow state ``before`` (None: they open the conversation) and end in ``last``."""
-    score = (model.start if before is None else model.move[before]) + model.emit[:, obs[0]]
+    e = _emitted(obs, model, nudge)
+    score = (model.start if before is None else model.move[before]) + e[0]
     back = []
-    for o in obs[1:]:
+    for x in e[1:]:
         ways = score[:, None] + model.move
         back.append(ways.argmax(axis=0))
-        score = ways.max(axis=0) + model.emit[:, o]
+        score = ways.max(axis=0) + x
     out = [int(score.argmax()) if last is None else last]
     for b in reversed(back):
         out.append(int(b[out[-1]]))
@@ -211,12 +230,12 @@ def parse(transcripts: DataFrame, model: Model, conv_col: str = "conv_id", seq_c
     """Recovered turns (conv, seq, line, role, opens, content, rendered), markers taken off.
 
     seq and line say where the turn begins.  rendered is the canonical form: ``<|role|>``, a line break, the content
-    and a line break; a header ends the turn before it.  A turn that goes on over a cut (see PIECE_LINES) comes as
-    fragments, those after the first with opens false and no header, so that joining a conversation's rendered
-    fragments in order always gives its canonical text.
+    and a line break; a header ends the turn before it.  opens is true: every row is a whole turn, however its
+    conversation was cut.
 
     Null ids make one conversation "", null numbers are -1, null texts are one empty line; rows equal in
-    conversation and number are ordered by text; of equally good paths any may come out.  Other columns are ignored; an empty table gives no rows.
+    conversation and number are ordered by text; between paths of (nearly) equal score a hash of the lines' places decides.
+    Other columns are ignored; an empty table gives no rows.
     """
     shared = transcripts.sparkSession.sparkContext.broadcast(tuple(model))
     order = ["conv", "seq", "text"]
@@ -233,47 +252,80 @@ def parse(transcripts: DataFrame, model: Model, conv_col: str = "conv_id", seq_c
         model = Model(*shared.value)
         for (part, piece), found, (p0, q0) in _grouped(batches, ("p0", "q0")):
             obs = [o for _, _, t in found for o in observe(t)]
-            m = _matrix(obs, model, (part, piece) == (p0, q0))
+            m = _matrix(obs, model, (part, piece) == (p0, q0), _nudges(found))
             m = np.broadcast_to(m, (len(STATES), len(STATES)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([found[0][0]]), pa.array([part], pa.int32()), pa.array([piece], pa.int32()),
                  pa.array([np.ascontiguousarray(m).tobytes()])], ["conv", "part", "piece", "matrix"])
 
-    borders = (by_piece(rows.join(several, "conv"))
-               .mapInArrow(matrices, "conv string, part int, piece int, matrix binary")
-               .groupBy("conv").applyInPandas(_borders(model), "part int, piece int, before int, last int"))
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*shared.value)
-        names = ["conv", "seq", "line", "role", "opens", "content", "rendered"]
-        for _, found, (before, last) in _grouped(batches, ("before", "last")):
-            obs, lines = [], []
-            for conv, seq, text in found:
-                obs += observe(text)
-                lines += [(conv, seq, i, x) for i, x in enumerate(text.split("\n"))]
-            path = _path(obs, model, None if before in (None, -1) else before, last)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*_turns(lines, path, before), strict=True)], names)
-
-    return by_piece(rows.join(store(borders, "op3-borders"), ["part", "piece"], "left")).mapInArrow(
-        decode, "conv string, seq long, line long, role string, opens boolean, content string, rendered string")
+    borders = store(by_piece(rows.join(several, "conv"))
+                    .mapInArrow(matrices, "conv string, part int, piece int, matrix binary")
+                    .groupBy("conv").applyInPandas(_borders(model), "part int, piece int, before int, last int"),
+                    "op3-borders")
+
+    def decode(edges: bool):
+        """The turns of every piece, without those at a border or (``edges``) only those."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = Model(*shared.value)
+            for (part, piece), found, (before, last) in _grouped(batches, ("before", "last")):
+                obs, lines = [], []
+                for conv, seq, text in found:
+                    obs += observe(text)
+                    lines += [(conv, seq, i, x) for i, x in enumerate(text.split("\n"))]
+                path = _path(obs, model, None if before in (None, -1) else before, last, _nudges(found))
+                turns = list(_turns(lines, path, before))
+                at_border = [before is not None and (i == len(turns) - 1 or not t[2]) for i, t in enumerate(turns)]
+                turns = [t for t, x in zip(turns, at_border, strict=True) if x == edges]
+                if edges:
+                    made = [(*first[:3], ROLES[role], opens, "\n".join(words), part, piece) for first, role, opens, words in turns]
+                else:
+                    made = [_turn(*t) for t in turns]
+                if made:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*made, strict=True)], _EDGE if edges else _TURN)
+        return run
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [_turn((c, s, i), ROLES.index(r), True, t.split("\n")) for c, s, i, r, t in zip(
+                *(b.column(x).to_pylist() for x in ("conv", "seq", "line", "role", "text")), strict=True)]
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*made, strict=True)], _TURN)
+
+    turn = "conv string, seq long, line long, role string, opens boolean, content string, rendered string"
+    plain = by_piece(rows.join(borders, ["part", "piece"], "left")).mapInArrow(decode(False), turn)
+    # The turns at borders: a fragment goes on the turn that was opened last in its conversation.
+    edges = store(by_piece(rows.join(borders, ["part", "piece"])).mapInArrow(
+        decode(True), "conv string, seq long, line long, role string, opens boolean, text string, part long, piece long"),
+        "op3-edges")
+    place = ["conv", "part", "piece", "opens"]  # a fragment comes before the turn opened in the same piece
+    number = F.sum(F.col("opens").cast("int")).over(Window.partitionBy("conv").orderBy("part", "piece", "opens"))
+    opened = [F.max(F.when(F.col("opens"), F.col(c))).alias(c) for c in ("seq", "line", "role")]
+    parts = F.array_sort(F.collect_list(F.struct("part", "piece", "opens", "text")))
+    joined = (edges.join(edges.select(*place, number.alias("turn")), place).groupBy("conv", "turn")
+              .agg(*opened, F.array_join(F.transform(parts, lambda x: x["text"]), "\n").alias("text")))
+    return plain.union(joined.select("conv", "seq", "line", "role", "text").mapInArrow(whole, turn))
+
+
+_TURN = ["conv", "seq", "line", "role", "opens", "content", "rendered"]
+_EDGE = [*_TURN[:5], "text", "part", "piece"]
 
 
 def _turns(lines: list[tuple], path: list[int], before: int | None) -> Iterator[tuple]:
-    """Lines and states of one piece to turns; a turn opens at a head or where the role changes."""
+    """Lines and states of one piece to turns (first line, role, opens, lines); a turn opens at a head or where the role
+    changes."""
     role = None if before in (None, -1) else STATES[before][0]
     first, opens, words = lines[0], False, []
     for (conv, seq, i, text), state in zip(lines, path, strict=True):
         r, head = STATES[state]
         if head or r != role:
             if words:
-                yield _turn(first, role, opens, words)
+                yield first, role, opens, words
             first, role, opens, words = (conv, seq, i, text), r, True, []
             text = text[marker(text)[1]:]
         words.append(text)
-    yield _turn(first, role, opens, words)
+    yield first, role, opens, words
 
 
 def _turn(first: tuple, role: int, opens: bool, words: list[str]) -> tuple:
-    content = "\n".join(words[1:] if opens and len(words) > 1 and not words[0].strip() else words)
-    head = f"<|{ROLES[role]}|>\n" if opens else ""
-    return (*first[:3], ROLES[role], opens, content, f"{head}{content}\n")
+    content = "\n".join(words[1:] if len(words) > 1 and not words[0].strip() else words)
+    return (*first[:3], ROLES[role], opens, content, f"<|{ROLES[role]}|>\n{content}\n")
