@@ -47,7 +47,7 @@ def test_ad_job_is_the_closed_form(spark):
     root = tempfile.mkdtemp(prefix="adjob-")
     glob = AS.write_day_files(spark, Tables(spark, "/root/testdata/sf0.01").ad_logs(), os.path.join(root, "days"))
     job = J.start_ad_job(spark, AS.text_stream(spark, glob, 1), f"{root}/out", threshold=3,
-                         trigger={"availableNow": True}, compact_every=4)
+                         trigger={"availableNow": True})
     clicks = AD.parse_ad_log(spark.read.text(glob))
     want = AD.kept_clicks(clicks, 3)
     kept = AS.kept_table(job.tables)
@@ -57,7 +57,7 @@ def test_ad_job_is_the_closed_form(spark):
     assert _same(AS.province_top3_table(job.tables), AD.ad_province_top3(AD.ad_stat(want)))
     assert _same(AS.blacklist_table(job.tables), AD.blacklist_users(AD.daily_user_ad_clicks(clicks), 3))
     assert _same(AS.trend_table(job.tables), AD.ad_click_trend(clicks))
-    assert job.tables.rejects.read().count() == 0
+    assert job.tables.rejects.count() == 0
 
 
 def _same(a, b):
