@@ -102,18 +102,19 @@ def top10_session(actions: DataFrame, top_categories: DataFrame, k: int = 10) ->
 
 
 def session_category_kind_counts(actions: DataFrame) -> DataFrame:
-    """Occurrences per (session, category, kind): one partial + final aggregate
-    from which both the category ranking and the per-session clicks follow."""
-    return (_category_events(actions, "session_id")
+    """Clicks per (session, category), orders and pays per category (no session), as (session_id, category_id, kind, n):
+    one partial + final aggregate from which both the category ranking and the per-session clicks follow."""
+    events = _category_events(actions, "session_id")
+    return (events.withColumn("session_id", F.when(F.col("kind") == 0, F.col("session_id")))
             .groupBy("session_id", "category_id", "kind").agg(F.count(F.lit(1)).alias("n")))
 
 
 def top_categories_and_sessions(actions: DataFrame, k_categories: int = 10, k_sessions: int = 10):
     """C4 + C5 from one scan of the actions.
 
-    Both results are computed from the same (session, category, kind) counts,
-    so the plan shuffles the actions once and the second branch reuses that
-    exchange."""
+    Both results are computed from the same counts, kept per session for clicks
+    only, so the plan shuffles the actions once and the second branch reuses
+    that exchange."""
     per = session_category_kind_counts(actions)
     counts = per.groupBy("category_id").agg(
         *[F.sum(F.when(F.col("kind") == i, F.col("n")).otherwise(F.lit(0))).cast("long").alias(c)
