@@ -254,7 +254,7 @@ def test_cutoff_is_exact(spark, case):
     low = {"spread": lambda: rng.randrange(-10**6, 10**6), "ties": lambda: rng.randrange(3), "one key": lambda: 7}[case]
     keys = [(low(), rng.randrange(5000) if case != "one key" else 1) for _ in range(6000)]
     df = spark.createDataFrame(keys, "low long, id long").repartition(9)
-    for permille in (1, 333, 1000):
+    for permille in (1, 333, 1000) if case == "spread" else (333,):
         cut = R.find_cutoff(df, permille, finish=16)
         assert (cut.low, cut.id) == sorted(keys)[6000 * permille // 1000 - 1] and cut.drawn == 6 * permille
         assert cut.rounds <= 3 + math.log(6000) / math.log(4 / 3)

@@ -28,7 +28,7 @@ BUCKETS = 1 << 13
 DIMS = 16
 GRAMS = (2, 3, 4)
 MAX_DOCS = 2000
-SALTS = 256
+AHEAD = 4
 WINDOWS = (3, 8, 25, 80)  # words of the short training windows
 EPOCHS, BATCH, RATE = 8, 64, 0.5
 BOOST = 200  # embeddings learn faster: one subword is a small share of its text
@@ -181,12 +181,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                            F.col(lang_col).alias("lang")).where("lang is not null and doc_id is not null")
-    # the first of each language by a hash, found within SALTS parts of the language before it is looked at whole
+    # The first of each language by a hash.  Of a large language only ids whose hash is low enough to be among them are
+    # looked at: AHEAD times as many as are taken, by its (approximate) number of ids (a row per language; the model holds them all too).
     order = [F.xxhash64("doc_id", F.lit(5)), "doc_id"]
-    salt = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(SALTS))
-    within = F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))
-    chosen = (labelled.select("doc_id", "lang").withColumn("salt", salt).withColumn("place", within)
-              .where(F.col("place") <= max_docs)
+    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    low = (order[0] / F.lit(2.0 ** 64) + 0.5) * F.col("ids") <= AHEAD * max_docs
+    chosen = (labelled.select("doc_id", "lang").join(F.broadcast(sizes), "lang").where(low).select("doc_id", "lang").distinct()
               .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
               .where(F.col("place") <= max_docs)
               .orderBy("place", "lang", "doc_id").limit(max_docs).select("doc_id").distinct())
