@@ -13,6 +13,12 @@ from visitlab.operators.tables import DatePartitionedTable
 from visitlab.plans import ads as AD
 from visitlab.streaming import ad_streams as AS
 
+@pytest.fixture(scope="module")
+def spark(spark):
+    """A session whose streams keep their state in two partitions."""
+    return AS.stream_session(spark, 2)
+
+
 DAY = 86_400_000
 T0 = 1704067200000
 
