@@ -118,8 +118,14 @@ def q_session_aggr_stat(spark, sf):
 def q_session_detail(spark, sf):
     t = _t(spark, sf)
     actions = S.actions_in_range(t.visits(), P_DETAIL)
+    return S.session_detail(actions, S.filtered_sessions(t.visits(), t.users(), P_DETAIL))
+
+
+def q_session_detail_stored(spark, sf):
+    """The same with the sessions stored first: Spark can put a Bloom filter of their ids before the shuffle."""
+    t = _t(spark, sf)
     sessions, _ = S.stored_sessions(S.filtered_sessions(t.visits(), t.users(), P_DETAIL))
-    return S.session_detail(actions, sessions, stored=True)
+    return S.session_detail(S.actions_in_range(t.visits(), P_DETAIL), sessions, stored=True)
 
 
 def q_session_stat_observed(spark, sf):
@@ -556,6 +562,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_aggr_stat": q_session_aggr_stat,
     "session_stat_observed": q_session_stat_observed,
     "session_detail": q_session_detail,
+    "session_detail_stored": q_session_detail_stored,
     "task_params": q_task_params,
     "click_actions": q_click_actions,
     "click_product_basic": q_click_product_basic,

@@ -156,7 +156,7 @@ def _session_oracles() -> dict[str, str]:
     o["session_aggr_counts"] = aggr_counts_sql(stat_src)
     o["session_aggr_stat"] = o["session_stat_observed"] = aggr_stat_sql(stat_src)
     det = _sessions_filtered("2024-01-01", "2024-01-31", "age BETWEEN 10 AND 50 AND sex = 'male'")
-    o["session_detail"] = f"""
+    o["session_detail"] = o["session_detail_stored"] = f"""
 SELECT user_id, session_id, page_id, action_time, search_keyword, click_category_id, click_product_id,
        order_category_ids, order_product_ids, pay_category_ids, pay_product_ids
 FROM visits WHERE date BETWEEN '2024-01-01' AND '2024-01-31'
