@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from conftest import VISIT_SCHEMA, rows, visit
 from visitlab.plans import categories as C
 from visitlab.plans import products as PR
+from visitlab.plans import sql_jobs as SQ
 from visitlab.sources.params import TaskParams
 
 
@@ -88,3 +89,22 @@ def test_shared_counts_equal_separate_plans(spark):
     assert rows(cats, ["category_id"]) == rows(C.top10_category(d), ["category_id"])
     assert rows(sess, ["category_id", "session_id"]) == rows(C.top10_session(d, C.top10_category(d)),
                                                                ["category_id", "session_id"])
+
+
+def test_salted_products_in_sql_are_shuffled(spark):
+    """Products replicated per salt are not broadcast, however small Spark thinks they are."""
+    class Views:
+        def register_views(self, prefix):
+            spark.createDataFrame([visit(i, "s", "2024-01-01 10:00:00", click_cat=1, click_prod=i % 3, city_id=1 + i % 2)
+                                   for i in range(9)], VISIT_SCHEMA).createOrReplaceTempView(f"{prefix}visits")
+            spark.createDataFrame([(1, "c1", "ASIA"), (2, "c2", "EUROPE")], "city_id long, city_name string, area string") \
+                .createOrReplaceTempView(f"{prefix}cities")
+            (spark.range(2).select(F.col("id").alias("product_id"), F.lit("p").alias("product_name"),
+                                   F.lit('{"product_status": 0}').alias("extend_info"))
+             .createOrReplaceTempView(f"{prefix}products"))  # of known size
+
+    out = SQ.join_salted_sql(spark, Views(), "2024-01-01", "2024-01-02", salts=1000, prefix="salted_")
+    plan = out._jdf.queryExecution().sparkPlan()
+    assert "SortMergeJoin" in plan.toString().splitlines()[1]  # the last join; the cities' one may be broadcast
+    assert rows(out.select("area", "product_id", "click_count", "product_status"), ["area", "product_id"]) == [
+        ("ASIA", 0, 2, "self"), ("ASIA", 1, 1, "self"), ("EUROPE", 0, 1, "self"), ("EUROPE", 1, 2, "self")]

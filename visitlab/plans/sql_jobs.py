@@ -81,7 +81,9 @@ def join_salted_sql(spark: SparkSession, tables: Tables, start_date: str, end_da
     """JN13 in SQL: (area, product) counts, salted by the area, meet products replicated once per salt.
 
     The salt hashes the row's key without the product, so a product counted in many areas
-    spreads over the salts; each row meets exactly one copy, so the join equals the plain one."""
+    spreads over the salts; each row meets exactly one copy, so the join equals the plain one.
+    The copies are shuffled: Spark estimates them at the size of the products, without the
+    copies, and would send them all to the driver to broadcast them."""
     _prepare(spark, tables, prefix)
     return spark.sql(f"""
         WITH per_city AS (
@@ -97,6 +99,7 @@ def join_salted_sql(spark: SparkSession, tables: Tables, start_date: str, end_da
           SELECT p.product_name, p.extend_info,
                  concat(CAST(s.salt AS STRING), '_', CAST(p.product_id AS STRING)) AS salted_id
           FROM {prefix}products p LATERAL VIEW explode(sequence(0, {salts} - 1)) s AS salt)
-        SELECT c.area, CAST(remove_random_prefix(c.salted_id) AS BIGINT) AS product_id, c.click_count, p.product_name,
+        SELECT /*+ MERGE(p) */
+               c.area, CAST(remove_random_prefix(c.salted_id) AS BIGINT) AS product_id, c.click_count, p.product_name,
                if(get_json_field(p.extend_info, 'product_status') = '0', 'self', 'Third Party') AS product_status
         FROM salted_clicks c JOIN salted_products p ON c.salted_id = p.salted_id""")
