@@ -101,6 +101,33 @@ def test_a_block_counts_from_the_next_batch_and_comes_once(spark):
     assert AS.counts_table(tables).filter("user_id = 5").agg({"click_count": "sum"}).first()[0] == 7
 
 
+def test_groups_of_users_are_decided_like_single_users(spark):
+    """Random micro-batches with late dates: clicks, counts and blocks as by a loop over users; the state has a row per
+    group of users, not per user."""
+    rng = random.Random(7)
+    root = tempfile.mkdtemp(prefix="grp-")
+    batches = [[(T0 + rng.randrange(4) * DAY + rng.randrange(DAY), rng.randrange(2000) if rng.random() < 0.5 else
+                 rng.randrange(60), rng.randrange(3)) for _ in range(1500)] for _ in range(4)]
+    blocked, kept, counts = set(), Counter(), Counter()
+    for batch in batches:
+        for ms, u, ad in batch:
+            if u not in blocked:
+                day = f"2024-01-0{(ms - T0) // DAY + 1}"
+                kept[ms, u, ad] += 1
+                counts[day, u, ad] += 1
+        blocked |= {u for (_, u, _), n in counts.items() if n >= 5}
+    assert 20 < len(blocked) < len({u for _, u, _ in counts}) and kept.total() < 5900
+    glob = _files(spark, root, [[f"{ms} P{u % 5} C{u % 7} {u} {ad}" for ms, u, ad in batch] for batch in batches])
+    for owners in (8, AS.OWNERS):
+        tables = AS.AdTables(spark, f"{root}/out{owners}")
+        q = AS.start_filter(AS.text_stream(spark, glob, 1), tables, f"{root}/ck{owners}", 5, {"availableNow": True}, owners)
+        q.awaitTermination()
+        assert Counter(rows(AS.kept_table(tables).select("ts_ms", "user_id", "ad_id"))) == kept
+        assert {r[:3]: r[3] for r in rows(AS.counts_table(tables))} == counts
+        assert sorted(rows(AS.blacklist_table(tables))) == sorted((u,) for u in blocked)
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) <= owners
+
+
 def test_top3_from_raised_totals_equals_full_recomputation(spark):
     """Random batches: the top 3 of the old top 3 and the raised totals is the top 3 of all totals."""
     rng = random.Random(11)

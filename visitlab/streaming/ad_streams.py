@@ -3,11 +3,13 @@
 Every job takes a *streaming* DataFrame with a ``value`` column (Kafka, a socket, or a file source).  The ad job is four
 queries, each with Spark's own checkpoint and state:
 
-* ``filter`` (:func:`start_filter`) -- R4, the one query whose order matters.  Its state holds, per user, whether the
-  user is blocked, else the clicks per (date, ad) so far.  A user who reaches the threshold is emitted once, when it
-  happens, and the clicks of later micro-batches are dropped.  Clicks are counted within each Arrow batch before they are
-  shuffled by user, so a user with a third of the clicks sends few rows; the single clicks pass by on lanes that know no
-  user.  A file sink writes clicks, counts and blocks exactly once.
+* ``filter`` (:func:`start_filter`) -- R4, the one query whose order matters.  Its state holds, per group of users (by
+  the hash of their id), the blocked users, and of the others the clicks per (user, date, ad) so far, as packed arrays:
+  one call decides all users of a group, instead of a call per user.  A user who reaches the threshold is emitted once,
+  when it happens, and the clicks of later micro-batches are dropped.  Clicks are counted within each Arrow batch before
+  they are shuffled, so a user with a third of the clicks sends few rows; the single clicks pass the state by.  A
+  micro-batch rewrites the state of the groups it touches: with short triggers on many users, more ``owners`` (fixed
+  when the query first starts) keep that small.  A file sink writes clicks, counts and blocks exactly once.
 * ``totals`` (:func:`start_totals`) -- R5 and R6 from the kept counts of the first query.  One streaming aggregation over
   two grouping sets keeps the totals per (date, province, city, ad) and per (date, province, ad); the totals that a
   micro-batch raised overwrite the date partitions they fall in.  Totals only grow, so the top 3 of a group is the top 3
@@ -29,9 +31,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -48,7 +50,7 @@ FILTERED_SCHEMA = ("batch_time timestamp, ts_ms long, date string, province stri
                    "ad_id long, clicks long, kind string")
 PANE_SCHEMA = "pane_ms long, ad_id long, clicks long, late boolean, date string"
 STAT_KEYS = ["date", "province", "city", "ad_id"]
-LANES = 64  # over which single clicks pass the state by
+OWNERS = 256  # groups of users by their hash: the filter's state has a row per group, a call decides a whole group
 LATE_AFTER_MS = 3_600_000
 
 
@@ -172,55 +174,81 @@ def sliding_hour_table(tables: AdTables) -> DataFrame:
 
 # ---------------------------------------------------------------- R4: blacklist and kept clicks
 
-def _route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each Arrow batch: counts per (user, date, province, city, ad) on lane -1, and the clicks on the other lanes."""
-    keys = ["batch_time", "date", "province", "city", "user_id", "ad_id"]
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each Arrow batch the clicks per (user, date, province, city, ad)."""
     for b in batches:
-        t = pa.Table.from_batches([b])
-        counts = t.group_by(keys).aggregate([([], "count_all")])
-        lane = pc.bit_wise_and(t["ts_ms"], pa.scalar(LANES - 1, pa.int64()))
-        for side, where, owner, ms, n in (
-                (counts, pa.array([-1] * len(counts), pa.int64()), counts["user_id"],
-                 pa.array([0] * len(counts), pa.int64()), counts["count_all"]),
-                (t, lane, pa.array([0] * len(t), pa.int64()), t["ts_ms"], pa.array([1] * len(t), pa.int64()))):
-            yield from pa.table([where, owner, ms, n, *[side[k] for k in keys]],
-                                names=["lane", "owner", "ts_ms", "clicks", *keys]).to_batches()
-
-
-_ROUTED = ("lane long, owner long, ts_ms long, clicks long, batch_time timestamp, date string, province string, "
-           "city string, user_id long, ad_id long")
+        yield from pa.Table.from_batches([b]).group_by(_COUNTED).aggregate([([], "count_all")]).select(
+            [*_COUNTED, "count_all"]).rename_columns([*_COUNTED, "clicks"]).to_batches()
+
+
+_COUNTED = ["owner", "batch_time", "date", "province", "city", "user_id", "ad_id"]
+_COUNTS = ("owner long, batch_time timestamp, date string, province string, city string, user_id long, ad_id long, "
+           "clicks long")
 _FILTERED = [c.split()[0] for c in FILTERED_SCHEMA.split(", ")]
-_STATE = "blocked boolean, dates array<string>, ads array<long>, counts array<long>"
+# Blocked user ids; the dates that ``counts`` numbers; an _ENTRY per (user, date, ad) of the users that are not blocked.
+_STATE = "blocked binary, dates array<string>, counts binary"
+_ENTRY = np.dtype([("user", "<i8"), ("ad", "<i8"), ("n", "<i8"), ("day", "<i4")])
+
+
+def _entries(seen: list[pd.DataFrame], dates: list[str]) -> np.ndarray:
+    """The clicks of ``seen`` as entries; dates that ``dates`` lacks are appended to it."""
+    f = pd.concat(seen)
+    code, found = pd.factorize(f["date"])
+    number = {d: i for i, d in enumerate(dates)}
+    for d in found:
+        if d not in number:
+            number[d] = len(dates)
+            dates.append(d)
+    new = np.empty(len(f), _ENTRY)
+    new["user"], new["ad"], new["n"] = f["user_id"], f["ad_id"], f["clicks"]
+    new["day"] = np.array([number[d] for d in found], "<i4")[code]
+    return new
+
+
+def _summed(e: np.ndarray) -> np.ndarray:
+    """One entry per (user, date, ad)."""
+    e = e[np.lexsort((e["ad"], e["day"], e["user"]))]
+    first = np.ones(len(e), bool)
+    first[1:] = (e["user"][1:] != e["user"][:-1]) | (e["day"][1:] != e["day"][:-1]) | (e["ad"][1:] != e["ad"][:-1])
+    out = e[first]
+    out["n"] = np.add.reduceat(e["n"], np.flatnonzero(first))
+    return out
 
 
 def _decide(threshold: int):
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if key[0] >= 0:  # single clicks: nothing to know about them
-            for f in frames:
-                yield f.assign(kind="click")[_FILTERED]
-            return
-        blocked, dates, ads, counts = state.get if state.exists else (False, [], [], [])
-        if blocked:
-            return
-        total = dict(zip(zip(dates, ads, strict=True), counts, strict=True))
+        blocked, dates, counts = state.get if state.exists else (b"", [], b"")
+        blocked, dates, counts = np.frombuffer(blocked, "<i8"), list(dates), np.frombuffer(counts, _ENTRY)
+        seen, last = [], None
         for f in frames:
-            for d, a, n in zip(f["date"], f["ad_id"], f["clicks"], strict=True):
-                total[d, int(a)] = total.get((d, int(a)), 0) + int(n)
-            yield f.assign(kind="count")[_FILTERED]
-            last = f.iloc[:1]
-        if max(total.values()) >= threshold:
-            state.update((True, [], [], []))
-            yield last.assign(kind="block", ts_ms=0, clicks=0, ad_id=0, date="", province="", city="")[_FILTERED]
-        else:
-            state.update((False, [k[0] for k in total], [k[1] for k in total], list(total.values())))
+            f = f[~np.isin(f["user_id"], blocked)].assign(kind="count", ts_ms=0)
+            if len(f):
+                last = f.iloc[:1]
+                seen.append(f[["date", "user_id", "ad_id", "clicks"]])
+                yield f[_FILTERED]
+        if not seen:
+            return
+        new = _entries(seen, dates)
+        touched = np.isin(counts["day"], np.unique(new["day"]))  # only their totals can have risen
+        touched[touched] = np.isin(counts["user"][touched], new["user"])
+        raised = _summed(np.concatenate([counts[touched], new]))
+        counts = np.concatenate([counts[~touched], raised])
+        over = np.unique(raised["user"][raised["n"] >= threshold])
+        if len(over):
+            counts, blocked = counts[~np.isin(counts["user"], over)], np.concatenate([blocked, over])
+            yield last.loc[last.index.repeat(len(over))].assign(
+                user_id=over, kind="block", ts_ms=0, clicks=0, ad_id=0, date="", province="", city="")[_FILTERED]
+        state.update((blocked.tobytes(), dates, counts.tobytes()))
     return run
 
 
-def start_filter(lines: DataFrame, tables: AdTables, checkpoint: str, threshold: int, trigger: dict):
+def start_filter(lines: DataFrame, tables: AdTables, checkpoint: str, threshold: int, trigger: dict, owners: int = OWNERS):
     clicks = AD.split_lines(lines)[0].select(*AD.CLICK_COLUMNS, F.current_timestamp().alias("batch_time"))
-    filtered = (clicks.mapInArrow(_route, _ROUTED).groupBy("lane", "owner")
-                .applyInPandasWithState(_decide(threshold), FILTERED_SCHEMA, _STATE, "append", GroupStateTimeout.NoTimeout))
-    return _start(filtered.writeStream.format("parquet").option("path", tables.at("filtered")).partitionBy("kind")
+    owner = F.pmod(F.xxhash64("user_id"), F.lit(owners)).alias("owner")
+    counts = (clicks.select(owner, *_COUNTED[1:]).mapInArrow(_count, _COUNTS).groupBy("owner")
+              .applyInPandasWithState(_decide(threshold), FILTERED_SCHEMA, _STATE, "append", GroupStateTimeout.NoTimeout))
+    single = clicks.withColumns({"clicks": F.lit(1).cast("long"), "kind": F.lit("click")}).select(*_FILTERED)
+    return _start(counts.union(single).writeStream.format("parquet").option("path", tables.at("filtered")).partitionBy("kind")
                   .option("checkpointLocation", f"{checkpoint}/filter").outputMode("append").queryName("ad_filter"), trigger)
 
 
