@@ -128,6 +128,14 @@ def test_groups_of_users_are_decided_like_single_users(spark):
         assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) <= owners
 
 
+def test_panes_of_any_year_have_their_date(spark):
+    root = tempfile.mkdtemp(prefix="yr-")
+    glob = _files(spark, root, [[f"{T0 + DAY - 1} P N 1 1", "-1 P N 1 1", "32503679999999 P N 1 1"]])  # up to 2999
+    tables = AS.run_click_trend_stream(AS.text_stream(spark, glob, 1), f"{root}/trend", f"{root}/ck")
+    assert sorted(rows(tables.panes.select("date", "pane_ms"))) == [
+        ("1969-12-31", -10_000), ("2024-01-01", T0 + DAY - 10_000), ("2999-12-31", 32503679990000)]
+
+
 def test_top3_from_raised_totals_equals_full_recomputation(spark):
     """Random batches: the top 3 of the old top 3 and the raised totals is the top 3 of all totals."""
     rng = random.Random(11)

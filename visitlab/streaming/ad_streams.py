@@ -304,8 +304,7 @@ def _mark_late(late_after: int):
             f = f.groupby("pane_ms", as_index=False)["clicks"].sum()
             late = f["pane_ms"] < newest - late_after if newest is not None else False
             top = max(int(f["pane_ms"].max()), top if top is not None else int(f["pane_ms"].max()))
-            date = pd.to_datetime(f["pane_ms"], unit="ms").dt.strftime("%Y-%m-%d")
-            yield f.assign(ad_id=key[0], late=late, date=date)[["pane_ms", "ad_id", "clicks", "late", "date"]]
+            yield f.assign(ad_id=key[0], late=late)[["pane_ms", "ad_id", "clicks", "late"]]
         state.update((top,))
     return run
 
@@ -313,8 +312,9 @@ def _mark_late(late_after: int):
 def start_trend(lines: DataFrame, tables: AdTables, checkpoint: str, trigger: dict, late_after: int = LATE_AFTER_MS):
     clicks = AD.split_lines(lines)[0].select(AD.pane_start("ts_ms").alias("pane_ms"), "ad_id")
     panes = (clicks.mapInArrow(_panes, "pane_ms long, ad_id long, clicks long").groupBy("ad_id")
-             .applyInPandasWithState(_mark_late(late_after), PANE_SCHEMA, "newest long", "append",
-                                     GroupStateTimeout.NoTimeout))
+             .applyInPandasWithState(_mark_late(late_after), "pane_ms long, ad_id long, clicks long, late boolean",
+                                     "newest long", "append", GroupStateTimeout.NoTimeout)
+             .withColumn("date", F.expr("string(date_from_unix_date(int(floor(pane_ms / 86400000))))")))
     return _start(panes.writeStream.format("parquet").option("path", tables.at("panes")).partitionBy("date")
                   .option("checkpointLocation", f"{checkpoint}/trend").outputMode("append").queryName("ad_trend"), trigger)
 
